@@ -114,15 +114,44 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash a word: a polynomial over its bytes by prefix sums, then mix()."""
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 21) -> np.ndarray:
+    """One 64-bit hash a word: a polynomial over its bytes by prefix sums, then mix(); done in blocks of bytes."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    i = 0
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_B, len(data))[:-1], out=sums[1:])
-        h = (sums[ends] - sums[starts]) * _powers(_BI, len(data))[starts]
-        return mix(h + (ends - starts).astype(np.uint64) * _C)
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, side="right")))
+            s, e = starts[i:j] - starts[i], ends[i:j] - starts[i]
+            part = data[starts[i] : ends[j - 1]]
+            sums = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _powers(_B, len(part))[:-1], out=sums[1:])
+            out[i:j] = mix((sums[e] - sums[s]) * _powers(_BI, len(part))[s] + (e - s).astype(np.uint64) * _C)
+            i = j
+    return out
+
+
+def word_table(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all texts in turn, and where each text's words start (one entry more than texts)."""
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(raw), dtype=np.uint8)
+    if lower:
+        data = LOWER[data]
+    starts, ends = word_bounds(data)
+    at = np.zeros(len(raw) + 1, dtype=np.int64)
+    np.cumsum([len(r) + 1 for r in raw], out=at[1:])
+    return word_hashes(data, starts, ends), np.searchsorted(starts, at)
+
+
+def slices(n_bytes: list[int], most: int = 2_000_000):
+    """(from, to) of runs of texts with about `most` bytes each, one text at least."""
+    at = total = 0
+    for i, n in enumerate(n_bytes):
+        if total and total + n > most:
+            yield at, i
+            at, total = i, 0
+        total += n
+    if at < len(n_bytes):
+        yield at, len(n_bytes)
 
 
 def window_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
@@ -138,10 +167,7 @@ def window_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
 
 def text_words(text: str | None, lower: bool = False) -> np.ndarray:
     """The word hashes of one text; lower maps A-Z alone."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    if lower:
-        data = LOWER[data]
-    return word_hashes(data, *word_bounds(data))
+    return word_table([text], lower)[0]
 
 
 # --- connected components ---------------------------------------------------------------------------------------------

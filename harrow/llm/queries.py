@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, quality, secrets, sharding, warc
+from . import common, packing, pieces, quality, repeats, secrets, sharding, warc
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_decode(common.table(spark, sf_dir, "documents"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(common.table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(common.table(spark, sf_dir, "documents"))
+
+
 def op4_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(common.table(spark, sf_dir, "documents"))
 
@@ -24,12 +32,19 @@ def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(common.table(spark, sf_dir, "documents"))
+
+
 def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(common.table(spark, sf_dir, "pages"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op4_feistel_sharding, op7_quality_qda, op9_warc_salvage)}
+    own = (
+        op1_sentencepiece, op2_secret_scan, op3_substring_dedup, op4_feistel_sharding, op7_quality_qda, op8_best_fit_packing, op9_warc_salvage,
+    )
+    return {f.__name__: f for f in own}
 
 
 _DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, 5 * {i} + 1, 5))::INT) >> {s}) & 31) + 1, 1)"
