@@ -87,25 +87,29 @@ def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", shrink: float = 0.1, ridge: float = 1e-4) -> Discriminant:
     """Fit on every document that has a label 0 or 1 in labels(doc_id, target).
 
-    Statistics are summed in the tasks (counts, sums and cross products a class), so one small row a task and class meets
+    Only statistics, not texts, meet the labels in the join. They are summed in the tasks (counts, sums and cross products a class), so one small row a task and class meets
     in the final sums. Each class covariance is shrunk by `shrink` towards the pooled diagonal, plus `ridge`. A document
     labelled twice counts once a label. With one class only, the score is that class's label; with none it is 0.5.
     """
     d = len(FEATURES)
-    stats = docs.select("doc_id", "text").join(
-        labels.where(F.col(target).isin(0, 1)).select("doc_id", F.col(target).cast("int").alias("y")).distinct(), "doc_id"
-    )
+    known = labels.where(F.col(target).isin(0, 1)).select("doc_id", F.col(target).cast("int").alias("y")).distinct()
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, x in _blocks(batches, "text"):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "x"])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 + d + d * d))
-        for b, x in _blocks(batches, "text"):
-            y = np.asarray(b.column("y"))
+        for b in batches:
+            x, y = np.asarray(b.column(1).flatten()).reshape(b.num_rows, d), np.asarray(b.column(0))
             for c in range(2):
                 own = x[y == c]
                 total[c] += np.concatenate([[len(own)], own.sum(axis=0), (own.T @ own).ravel()])
         yield pa.RecordBatch.from_pydict({"y": pa.array([0, 1], pa.int32()), "s": pa.array(list(total), pa.list_(pa.float64()))})
 
-    part = stats.select("y", "text").mapInArrow(sums, "y int, s array<double>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    stats = docs.select("doc_id", "text").mapInArrow(features, f"doc_id {kind}, x array<double>")
+    part = stats.join(known, "doc_id").select("y", "x").mapInArrow(sums, "y int, s array<double>")
     flat = part.select("y", F.posexplode("s").alias("at", "v")).groupBy("y", "at").agg(F.sum("v").alias("v")).collect()
     total = np.zeros((2, 1 + d + d * d))
     for r in flat:
