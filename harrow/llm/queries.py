@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, packing, pieces, quality, repeats, secrets, sharding, warc
+from . import common, jaccard, packing, pieces, quality, repeats, secrets, sharding, warc
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op4_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(common.table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(common.table(spark, sf_dir, "documents"))
+
+
 def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     held = lambda c: F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(3)) == 1
@@ -42,7 +46,7 @@ def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     own = (
-        op1_sentencepiece, op2_secret_scan, op3_substring_dedup, op4_feistel_sharding, op7_quality_qda, op8_best_fit_packing, op9_warc_salvage,
+        op1_sentencepiece, op2_secret_scan, op3_substring_dedup, op4_feistel_sharding, op5_ngram_jaccard, op7_quality_qda, op8_best_fit_packing, op9_warc_salvage,
     )
     return {f.__name__: f for f in own}
 
