@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, jaccard, packing, pieces, quality, repeats, secrets, sharding, warc
+from . import common, cover, jaccard, mtree, packing, pieces, quality, repeats, secrets, sharding, warc
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(common.table(spark, sf_dir, "documents"))
 
 
+def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover.near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     held = lambda c: F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(3)) == 1
@@ -44,9 +48,14 @@ def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(common.table(spark, sf_dir, "pages"))
 
 
+def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(common.table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     own = (
-        op1_sentencepiece, op2_secret_scan, op3_substring_dedup, op4_feistel_sharding, op5_ngram_jaccard, op7_quality_qda, op8_best_fit_packing, op9_warc_salvage,
+        op1_sentencepiece, op2_secret_scan, op3_substring_dedup, op4_feistel_sharding, op5_ngram_jaccard, op6_cover_tree,
+        op7_quality_qda, op8_best_fit_packing, op9_warc_salvage, op10_mtree_topk,
     )
     return {f.__name__: f for f in own}
 
@@ -63,5 +72,15 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
 """
 
 
+OP10_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc_salvage": OP9_SQL}
+    return {"op9_warc_salvage": OP9_SQL, "op10_mtree_topk": OP10_SQL}
