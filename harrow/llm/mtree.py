@@ -30,12 +30,16 @@ def _pages(put: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
     return vectors.per_row(put.select("block", "dim", "cell", "rows"), make, schema, arrow)
 
 
+#: Below every score; its negative is still a 64-bit number.
+NONE = np.iinfo(np.int64).min + 1
+
+
 class Best:
     """The k best (score, smallest id) of each query of a block so far."""
 
     def __init__(self, queries: int, k: int) -> None:
         self.k = k
-        self.score = np.full((queries, k), np.iinfo(np.int64).min)
+        self.score = np.full((queries, k), NONE)
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
 
     def least(self) -> np.ndarray:
@@ -68,7 +72,7 @@ def visit(best: Best, q: np.ndarray, qid: np.ndarray, centre: np.ndarray, x: np.
     score = np.rint(q @ x[use].T).astype(np.int64)  # whole numbers far below 2**53: exact
     ok = may[:, use] & (score >= limit[:, None]) & (ids[use][None, :] != qid[:, None])
     if len(use) > best.k:  # what isn't among the page's own k best can't be among all (ties kept)
-        masked = np.where(ok, score, np.iinfo(np.int64).min)
+        masked = np.where(ok, score, NONE)
         cut = np.partition(masked, len(use) - best.k, axis=1)[:, len(use) - best.k]
         ok &= score >= cut[:, None]
     i, j = np.nonzero(ok)
@@ -130,7 +134,7 @@ def top_k(
 
         def flush() -> Iterator[pa.RecordBatch]:
             if best is not None:
-                i, j = np.nonzero(best.score > np.iinfo(np.int64).min)
+                i, j = np.nonzero(best.score > NONE)
                 yield pa.RecordBatch.from_arrays([pa.array(qid[i]), pa.array(best.id[i, j]), pa.array(best.score[i, j])], names)
 
         for b in batches:
