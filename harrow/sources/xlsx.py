@@ -84,7 +84,7 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: _File) -> Iterator[tuple]:
         cols = [int(c) for c in self.options.get("cols", "").split(",") if c] or list(range(1, len(self.schema) + 1))
-        for _, cells in read_rows(partition.path, self.options.get("sheet", ""), int(self.options.get("startRow", 1))):
+        for _, cells in read_rows(partition.path, self.options.get("sheet", ""), int(self.options.get("startrow", 1))):
             yield tuple(cells.get(c) for c in cols)
 
 
@@ -160,7 +160,7 @@ class XlsxSource(DataSource):
         return ", ".join(f"col{i} string" for i in range(1, n + 1))
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(schema, dict(self.options))
+        return _Reader(schema, {k.lower(): v for k, v in self.options.items()})
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return _Writer(schema, dict(self.options), overwrite)
+        return _Writer(schema, {k.lower(): v for k, v in self.options.items()}, overwrite)
