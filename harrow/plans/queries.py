@@ -11,7 +11,7 @@ import tempfile
 import uuid
 
 from harrow.functions import documents, emails, places, text, web
-from harrow.operators import clusters, dedup, joins, leads
+from harrow.operators import clusters, dedup, filters, joins, leads
 from harrow.streaming import resume
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -368,6 +368,48 @@ def greek_to_latin(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", text.to_latin(F.concat(pick(1), pick(5))).alias("latin"))
 
 
+@query("""SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')""")
+def missing_details(spark, sf_dir):
+    found = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderstatus")).alias("status"))
+    return joins.dependents(t(spark, sf_dir, "customer").select("c_custkey"), found, "c_custkey", "status", missing=True)
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS k FROM orders) WHERE k = 1""")
+def first_insert(spark, sf_dir):
+    o = t(spark, sf_dir, "orders")
+    return joins.first_per_key(o, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")]).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@query("""SELECT p_partkey FROM part WHERE contains(lower(p_name), lower(p_brand)) OR contains(lower(p_brand), lower(p_name)) OR contains(lower(p_type), lower(p_name)) OR contains(lower(p_name), lower(p_type))""")
+def name_match(spark, sf_dir):
+    n = F.col("p_name")
+    return t(spark, sf_dir, "part").where(filters.same_name(n, F.col("p_brand")) | filters.same_name(n, F.col("p_type"))).select("p_partkey")
+
+
+_HREFS = "['https://www.facebook.com/p' || k, 'https://facebook.com/sharer.php?u=' || k, 'https://instagram.com/u' || k, 'https://www.instagram.com/about/' || k, 'https://x.example/' || k]"
+
+
+@query(f"""WITH l AS (SELECT c_custkey AS k FROM customer), h AS (SELECT k, {_HREFS}[(k % 5 + 1)::INT] AS href FROM l)
+SELECT k AS c_custkey, k % 5 = 0 AS facebook, k % 5 = 2 AS instagram, CASE WHEN k % 5 < 2 THEN 'facebook' WHEN k % 5 < 4 THEN 'instagram' ELSE 'regular' END AS kind FROM h""")
+def social_links(spark, sf_dir):
+    k = F.col("c_custkey").cast("string")
+    heads = ("https://www.facebook.com/p", "https://facebook.com/sharer.php?u=", "https://instagram.com/u", "https://www.instagram.com/about/", "https://x.example/")
+    href = F.concat(F.element_at(F.array(*map(F.lit, heads)), (F.col("c_custkey") % 5 + 1).cast("int")), k)
+    c = t(spark, sf_dir, "customer").select("c_custkey", href.alias("h"))
+    return c.select("c_custkey", web.is_facebook(F.col("h")).alias("facebook"), web.is_instagram(F.col("h")).alias("instagram"), web.website_kind(F.col("h")).alias("kind"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 4.5::DOUBLE ELSE 0::DOUBLE END AS rating, (CASE WHEN c_custkey % 2 = 0 THEN 1000 + c_custkey ELSE 0 END)::INT AS reviews,
+CASE WHEN c_custkey % 2 = 0 THEN 'O''Neil-Smith' ELSE 'North Bay' END AS titled FROM customer""")
+def numbers_and_titles(spark, sf_dir):
+    k = F.col("c_custkey")
+    rating = F.when(k % 3 == 0, "4.5").when(k % 3 == 1, "5,0").otherwise("new")
+    n = (1000 + k).cast("string")
+    reviews = F.when(k % 2 == 0, F.concat(F.lit("("), F.expr("left(cast(1000 + c_custkey as string), 1)"), F.lit(","), F.substring(n, 2, 9), F.lit(" reviews)"))).otherwise("none")
+    name = F.when(k % 2 == 0, "o'NEIL-smith").otherwise("NORTH bay")
+    return t(spark, sf_dir, "customer").select("c_custkey", text.number(rating).alias("rating"), text.first_integer(reviews).alias("reviews"), text.title_case(name).alias("titled"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best e-mail of every document, its score and tier by score: documents without an address stay."""
     e = F.array_join(emails.extract(F.col("text")), ", ")

@@ -5,6 +5,7 @@ import json
 import pytest
 from harrow.plans import jobs
 from harrow.plans.variants import CLEANING, FORMATTING, TEMPLATE
+from harrow.sources import pages as fetched
 from harrow.sources import tables, xlsx
 from harrow.streaming import resume
 from pyspark.sql import functions as F
@@ -118,6 +119,26 @@ def test_page_emails(spark):
     assert (r.email, r.facebook, r.instagram) == ("a@x.yz, b@x.yz", ["https://facebook.com/p"], [])
 
 
+def test_page_tables(spark, tmp_path):
+    value = '<span class="flextable__value">{}</span>'
+    row = '<div class="flextable__row"><a class="public_list__link" href="{}">{}</a><div data-column-header-name="Statuss">' + value + "</div></div>"
+    pages = spark.createDataFrame([(1, row.format("/1", "Acme", "x") + row.format("/2", "Beta", "y")), (2, row.format("/3", "Acme", "z"))], "page_id int, html string")
+    assert {(r.name, r.href, r.status) for r in fetched.register_list(pages).collect()} == {("Acme", "/1", "x"), ("Beta", "/2", "y")}
+    cell = '<div class="wizardform__preview_row"><div class="wizardform__preview_label">{}</div><div class="wizardform__preview_value">{}</div></div>'
+    html = cell.format("Tālruņa numurs", "1") + cell.format("Tālruņa numurs", "2") + cell.format("Faktiskā adrese", "Rīga")
+    (d,) = fetched.register_details(spark.createDataFrame([("/1", html)], "href string, html string").coalesce(1)).collect()
+    assert (d.phone, d.email, d.actual_address) == ("2", "", "Rīga")
+    table = "<table><tr>" + "<td>a\nb</td>" * 11 + "<td><a href='/x'>l</a></td></tr><tr>" + "<td>c</td>" * 11 + "<td><a href='/done'>l</a></td></tr><tr><td>short</td></tr></table>"
+    done = spark.createDataFrame([("/done",)], "url string")
+    (r,) = fetched.employer_rows(spark.createDataFrame([(1, table)], "page_id int, html string"), done).collect()
+    assert r.link == "/x" and r.cells[0] == "a  b"
+    links = '<a href="/company/12/x">A</a><a href="/other">o</a><a href="/company/12/x">B</a>'
+    assert [tuple(r) for r in fetched.company_links(spark.createDataFrame([(1, links)], "page_id int, html string")).collect()] == [("A", "/company/12/x", "12")]
+    (tmp_path / "there.csv").write_text("x")
+    assert fetched.first_existing(spark, f"file://{tmp_path}/no.csv", f"file://{tmp_path}/there.csv").endswith("there.csv")
+    assert spark.createDataFrame([("E-mail: a@b.c\n x",)], "t string").select(fetched.labelled(F.col("t"), "E-mail").alias("x")).first().x == "a@b.c"
+
+
 def test_resume(spark, tmp_path):
     src, schema = tmp_path / "in", "k long, v string"
     spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], schema).write.parquet(str(src))
