@@ -111,12 +111,14 @@ def spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> tuple[Data
     firsts = groups.groupBy("s").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = common.materialize(groups.join(firsts, "s").where("doc_id <> first").select("doc_id").distinct(), "copies")
     repeated = seeds.groupBy("a").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("twice").alias("t")).where("lo <> hi or t")
-    wanted = seeds.select("a", "doc_id", "pos").join(repeated.select("a"), "a", "left_semi").join(copies, "doc_id", "left_anti")
+    repeated = common.materialize(repeated.select("a"), "repeated")  # written first: the join can then split a seed that very many texts have
+    wanted = seeds.select("a", "doc_id", "pos").join(repeated, "a", "left_semi").join(copies, "doc_id", "left_anti")
     wanted = common.materialize(wanted.groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("at")), "wanted")
-    common.discard(seeds)
+    common.discard(seeds, repeated)
     edges = common.materialize(_windows(docs, wanted, window, seed), "edges")
     common.discard(wanted)
     source = edges.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("src"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    source = common.materialize(source.drop("n"), "sources")
     later = edges.join(source, ["k1", "k2"]).where("doc_id <> src.doc_id or start <> src.start")
     later = later.select("doc_id", "start", F.col("src.doc_id").alias("src_doc"), F.col("src.start").alias("src_start"))
     w = Window.partitionBy("doc_id").orderBy("start")
@@ -129,16 +131,16 @@ def spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> tuple[Data
         F.min(F.struct("start", "src_doc", "src_start")).alias("x"),
     )
     out = common.materialize(out.select("doc_id", "start", "length", "x.src_doc", "x.src_start"), "spans")
-    common.discard(edges)
+    common.discard(edges, source)
     return out, copies
 
 
 def _marked(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """docs with _s, _l (starts and lengths of its spans) and _copy."""
+    """docs with __starts__ and __lengths__ of its spans and __copy__."""
     found, copies = spans(docs, window, seed)
-    per = found.groupBy("doc_id").agg(F.collect_list("start").alias("_s"), F.collect_list("length").alias("_l"))
-    per = per.withColumn("_copy", F.lit(False)).unionByName(
-        copies.select("doc_id", F.array().cast("array<int>").alias("_s"), F.array().cast("array<int>").alias("_l"), F.lit(True).alias("_copy"))
+    per = found.groupBy("doc_id").agg(F.collect_list("start").alias("__starts__"), F.collect_list("length").alias("__lengths__"))
+    per = per.withColumn("__copy__", F.lit(False)).unionByName(
+        copies.select("doc_id", F.array().cast("array<int>").alias("__starts__"), F.array().cast("array<int>").alias("__lengths__"), F.lit(True).alias("__copy__"))
     )
     return docs.join(per, "doc_id", "left")
 
@@ -177,7 +179,7 @@ def digests(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFram
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string()), strict=True))], names)
 
     kinds = [docs.schema["doc_id"].dataType, LongType(), LongType(), StringType()]
-    rows = _marked(docs.select("doc_id", "text"), window, seed).select("doc_id", "text", "_s", "_l", "_copy")
+    rows = _marked(docs.select("doc_id", "text"), window, seed).select("doc_id", "text", "__starts__", "__lengths__", "__copy__")
     return rows.mapInArrow(run, StructType([StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
 
 
@@ -196,5 +198,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    rows = _marked(docs, window, seed).select(*[F.col(f"`{c}`") for c in names], "_s", "_l", "_copy")
+    rows = _marked(docs, window, seed).select(*[F.col(f"`{c}`") for c in names], "__starts__", "__lengths__", "__copy__")
     return rows.mapInArrow(run, docs.schema)
