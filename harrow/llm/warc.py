@@ -40,6 +40,7 @@ def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
     first = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes").agg(
         F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")
     ).where("_n > 1").drop("_n")
+    first = common.materialize(first, "first-pages")
     other = (F.col("_first").isNotNull()) & (F.col("_first") != F.col("page_id"))
     return rows.join(first, ["payload_digest", "payload_bytes"], "left").select(
         "page_id", "payload_bytes", "payload_digest",
@@ -98,7 +99,7 @@ def _record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | None
         head[m[1].decode("latin-1").strip().lower()] = m[2].decode("utf-8", "replace")
         at = m.end()
     size = head.get("content-length", "")
-    if not size.isdigit():
+    if not size.isdigit() or not head.get("warc-type") or not head.get("warc-record-id"):
         return None
     at += 2
     block, end = data[at : at + int(size)], at + int(size)
@@ -115,7 +116,7 @@ def salvage(data: bytes, offset: int = 0) -> Iterator[tuple[str, int, int, dict[
     """Records and gaps of one archive: ("record" or "gap", start, end, headers, block).
 
     Works on plain archives and on archives of one gzip member a record. When a check fails (version line, header syntax,
-    length, closing blank lines, payload digest, gzip checksum), the bytes up to the next version line or gzip member that
+    fields, length, closing blank lines, payload digest, gzip checksum), the bytes up to the next version line or gzip member that
     itself passes every check are logged as a gap and reading goes on from there. Inside a gzip member that opens but
     holds bad bytes, the good records of the member are kept and the member is a gap only if it has none.
     """
