@@ -22,28 +22,33 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents scored below one half go. Learns from labels outside the held-out third."""
+    common.bounded_batches(spark)
     learnt = lambda df: df.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1)
     model = quality.fit(learnt(docs), learnt(common.table(spark, sf_dir, "labels")))
-    return quality.score(docs, model, out="_score").where("_score >= 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return quality.score(docs, model, out="__score__").where("__score__ >= 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join over 5-word shingles at 0.8: of each component the document with the smallest doc_id stays."""
+    common.bounded_batches(spark)
     return jaccard.keep_first(docs, jaccard.Settings(n=5, num=80, den=100))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Substring dedup: words in a 20-word window that occurs earlier are cut from the texts."""
+    common.bounded_batches(spark)
     return _counted(repeats.without_repeats(docs))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scan: every span found is replaced by a mark."""
+    common.bounded_batches(spark)
     return _counted(secrets.redacted(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing of the token sequences into rows of at most 1024 tokens."""
+    common.bounded_batches(spark)
     return packing.pack_documents(docs)
 
 

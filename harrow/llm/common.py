@@ -61,7 +61,13 @@ def discard(*frames: DataFrame) -> None:
             p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Python workers of this session get at most so many rows at once: whole texts of 10,000 rows are too much for one."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -83,7 +89,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**n modulo 2**64, kept between calls and grown by doubling."""
     have = _POWERS.get(int(base))
     if have is None or len(have) <= n:
-        size = max(1 << 16, 1 << int(n).bit_length())
+        size = max(1 << 12, 1 << int(n).bit_length())
         steps = np.full(size + 1, base, dtype=np.uint64)
         steps[0] = 1
         have = _POWERS[int(base)] = np.multiply.accumulate(steps)
@@ -114,7 +120,7 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 21) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 18) -> np.ndarray:
     """One 64-bit hash a word: a polynomial over its bytes by prefix sums, then mix(); done in blocks of bytes."""
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
@@ -142,7 +148,7 @@ def word_table(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray
     return word_hashes(data, starts, ends), np.searchsorted(starts, at)
 
 
-def slices(n_bytes: list[int], most: int = 2_000_000):
+def slices(n_bytes: list[int], most: int = 1_000_000):
     """(from, to) of runs of texts with about `most` bytes each, one text at least."""
     at = total = 0
     for i, n in enumerate(n_bytes):
@@ -177,7 +183,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of edges(u, v): rows (id, component_id), component_id the smallest id reachable.
 
     Alternating large-star and small-star joins; every round is written to the shared folder and the previous one
-    deleted. A vertex with very many neighbours is grouped by min() with partial aggregation, so no task holds it whole.
+    deleted. A vertex with very many neighbours is grouped by min() with partial aggregation, and the minima are written
+    before they are joined back, so that both sides of the join are plain shuffles whose large partitions can be split.
     """
     spark = edges.sparkSession
     e = materialize(
@@ -188,17 +195,19 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         # large star: every neighbour above the vertex is tied to the vertex's smallest neighbour
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = materialize(low, name)
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, name)
+        discard(low)
         # small star: the vertex and its smaller neighbours are tied to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), name)
         small = (
             large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
         nxt = materialize(small, name)
         total = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        discard(e, large)
+        discard(e, large, low)
         e = nxt
         if (total[0], total[1]) == last:
             break

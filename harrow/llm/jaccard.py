@@ -23,7 +23,7 @@ class Settings:
     den: int = 100
     heavy: int = 65_536  # tokens that the first orders put last: a bounded table
     local: int = 4  # texts of one stretch that a token needs to be counted for that table
-    group: int = 32  # a larger (token, size zone) group isn't paired directly
+    group: int = 16  # a larger (token, size zone) group isn't paired directly: about where a tenth of n tokens times half a group costs n
 
 
 def _need(s: Settings, x: Column | str, y: Column | str) -> Column:
@@ -161,24 +161,29 @@ def _sets(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), _lists(g.view(np.int64), d, b.num_rows)], ["doc_id", "tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("doc_id", "text")
+    # sorted and merged at any size of ids, so that the plan of a large corpus is the one that was tried on a small one
+    rows = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
     return rows.mapInArrow(run, f"doc_id {kind}, tokens array<long>").dropDuplicates(["doc_id"])
 
 
-def _grouped(rows: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """rows(t, doc_id, n, ...) of tokens in two documents or more -> (small, big): rows with their group (t, z).
+def _grouped(rows: DataFrame, s: Settings) -> DataFrame:
+    """rows(t, doc_id, n, ...) of tokens in two documents or more, with their group (t, z) and its size m.
+
+    Counts are written before they are joined back: both sides are then plain shuffles, and a crowded group can be split.
 
     Every document stands in its own size zone (own = true) and in the next one, so a group meets only sizes that can
     reach the threshold. z is the zone of the larger document of a pair.
     """
     some = rows.groupBy("t").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("t")
+    some = common.materialize(some, "shared")
     zone = _zone(s, F.col("n"))
     zoned = rows.join(some, "t", "left_semi").withColumn("z", F.explode(F.array(zone, zone + 1))).withColumn("own", F.col("z") == zone)
     zoned = common.materialize(zoned, "zoned")
     per = zoned.groupBy("t", "z").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("any")).where("m > 1 and any").drop("any")
+    per = common.materialize(per, "per-group")
     both = common.materialize(zoned.join(per, ["t", "z"]), "groups")
-    common.discard(zoned)
-    return both.where(F.col("m") <= s.group), both.where(F.col("m") > s.group)
+    common.discard(zoned, some, per)
+    return both
 
 
 def _side(df: DataFrame, side: str, *also: str) -> DataFrame:
@@ -193,22 +198,24 @@ def _pairs(left: DataFrame, right: DataFrame, s: Settings, *also: str) -> DataFr
     return x.join(y, (x.t == y.t) & (x.z == y.z) & fits).drop(y.t, y.z)
 
 
-def _rare_first(docs: DataFrame, crowd: DataFrame, s: Settings) -> DataFrame:
-    """Prefix rows (t, doc_id, n, u) of the crowded documents under a third order, by their document frequency among them.
+def _rare_first(sets: DataFrame, s: Settings) -> DataFrame:
+    """Prefix rows (t, doc_id, n, u, i, before) of the crowded documents under a third order, by document frequency among them.
 
     u is how many tokens a document shares with no other crowded one; these come first, so a text with more of them than
-    the threshold allows has no row at all.
+    the threshold allows has no row at all. i is the token's rank in its document and before the shared ones ahead of it:
+    a pair needs to be looked at only at its first common token, and whatever stands before that is in one of the two alone.
     """
-    sets = common.materialize(_sets(docs, crowd.select("doc_id"), s), "crowd")
     tokens = sets.select("doc_id", F.explode("tokens").alias("t"))
     df = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    df = common.materialize(df, "frequencies")
     shared = tokens.join(df, "t").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("ts"))
     n = F.size("tokens").cast("long")
     allowed = n - F.ceil(n * s.num / F.lit(s.den) - F.lit(1e-9)).cast("long") + 1
     per = sets.select("doc_id", n.alias("n"), allowed.alias("p")).join(shared, "doc_id").withColumn("u", F.col("n") - F.size("ts"))
-    per = per.where("u < p").select("doc_id", "n", "u", F.explode(F.expr("slice(ts, 1, int(p - u))")).alias("k"))
-    out = common.materialize(per.select(F.col("k.t").alias("t"), "doc_id", "n", "u"), "rare")
-    common.discard(sets)
+    per = per.where("u < p").select("doc_id", "n", "u", "ts", F.posexplode(F.expr("slice(ts, 1, int(p - u))")).alias("at", "k"))
+    before = F.expr("transform(slice(ts, 1, at), x -> x.t)")
+    out = common.materialize(per.select(F.col("k.t").alias("t"), "doc_id", "n", "u", (F.col("u") + F.col("at")).alias("i"), before.alias("before")), "rare")
+    common.discard(df)
     return out
 
 
@@ -235,9 +242,9 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     1. Prefixes under two hash orders that put frequent tokens last. Groups of one token and size zone are paired if
        small; a pair must share so many prefix tokens that what it lacks up to the shorter prefix's end still allows the
        threshold, and share a token of the second order.
-    2. Documents of larger groups get a third order, rarest token first, from counts among all of them. Its small groups
-       are paired likewise. In larger ones everybody is first held against the member with the fewest own tokens, then
-       only members of different components meet.
+    2. Documents of larger groups get a third order, rarest token first, from counts among all of them. In its groups
+       everybody is first held against the member with the fewest own tokens, then only members of different components
+       meet, once a pair, if what stands before their first common token leaves room for the threshold.
     3. Pairs are verified on whole sets, first one neighbour a document, then those that still connect two components.
     """
     sig_all = common.materialize(signatures(docs.where("doc_id is not null"), s), "signatures")
@@ -251,7 +258,8 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     common.discard(sig_all)
 
     p = F.size("pa").cast("long")
-    small, big = _grouped(sig.select(F.explode("pa").alias("t"), "doc_id", "n", p.alias("p"), "ka"), s)
+    groups = _grouped(sig.select(F.explode("pa").alias("t"), "doc_id", "n", p.alias("p"), "ka"), s)
+    small, big = groups.where(F.col("m") <= s.group), groups.where(F.col("m") > s.group)
     crowd = common.materialize(big.select("doc_id", "t").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("q")), "crowd-ids")
     found = _pairs(small, small, s, "p", "ka").groupBy("doc_idx", "doc_idy").agg(
         F.count(F.lit(1)).alias("c"), *[F.first(c).alias(c) for c in ("nx", "ny", "px", "py", "kax", "kay")]
@@ -263,20 +271,18 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     need = _need(s, "nx", "ny")
     lacks = F.when(F.col("kax") < F.col("kay"), F.col("px") - most <= F.col("nx") - need)
     lacks = lacks.when(F.col("kay") < F.col("kax"), F.col("py") - most <= F.col("ny") - need).otherwise(F.lit(True))
-    pairs = found.where(lacks).select(F.col("doc_idx").alias("x"), F.col("doc_idy").alias("y"))
-
-    rare = _rare_first(docs, crowd, s)
-    small3, big3 = _grouped(rare, s)
-    own = (F.col("ux") <= F.col("nx") - need) & (F.col("uy") <= F.col("ny") - need)
-    pairs3 = _pairs(small3, small3, s, "u").where(own).select(F.col("doc_idx").alias("x"), F.col("doc_idy").alias("y"))
-    centre = big3.groupBy("t", "z").agg(F.min(F.struct("u", "doc_id")).alias("k"), F.min("n").alias("least"))
-    star = big3.join(centre, ["t", "z"]).where("doc_id <> k.doc_id").select(F.col("k.doc_id").alias("x"), F.col("doc_id").alias("y"))
     near = lambda df: df.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    pairs = common.materialize(near(pairs.union(pairs3)), "pairs")
-    star = common.materialize(near(star), "star")
+    pairs = found.where(lacks).select(F.col("doc_idx").alias("x"), F.col("doc_idy").alias("y"))
+    pairs = common.materialize(near(pairs), "pairs")
+    common.discard(groups)
 
     ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).union(crowd.select("doc_id")).distinct()
     sets = common.materialize(_sets(docs, ids, s), "sets")
+    rare = _rare_first(sets.join(crowd.select("doc_id"), "doc_id", "left_semi"), s)
+    crowded = _grouped(rare, s)
+    centre = common.materialize(crowded.groupBy("t", "z").agg(F.min(F.struct("u", "doc_id")).alias("k")), "centres")
+    star = crowded.join(centre, ["t", "z"]).where("doc_id <> k.doc_id").select(F.col("k.doc_id").alias("x"), F.col("doc_id").alias("y"))
+    star = common.materialize(near(star), "star")
     once = near(pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y").union(star))
     links = common.materialize(_verify(once, sets, sig, s), "links")
     comp = common.materialize(common.components(links), "component")
@@ -286,19 +292,21 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         df = df.join(a, "x", "left").join(b, "y", "left")
         return df.where(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y")
 
-    # what larger groups still have to compare: members outside the group's main component, with all of other components
-    known = big3.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component_id", "doc_id"))
-    known = common.materialize(known.select("t", "z", "doc_id", "n", "own", "u", "comp"), "known")
+    # what crowded groups still have to compare: members outside the group's main component, with all of other components
+    own = (F.col("ix") <= F.col("nx") - need) & (F.col("iy") <= F.col("ny") - need) & ~F.arrays_overlap("beforex", "beforey")
+    known = crowded.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component_id", "doc_id"))
+    known = common.materialize(known.select("t", "z", "doc_id", "n", "own", "i", "before", "comp"), "known")
     sizes = known.groupBy("t", "z", "comp").agg(F.count(F.lit(1)).alias("k"))
     main = sizes.groupBy("t", "z").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_ = known.join(main.select("t", "z", F.col("top.comp").alias("top")), ["t", "z"])
+    main = common.materialize(main.select("t", "z", F.col("top.comp").alias("top")), "main")
+    open_ = common.materialize(known.join(main, ["t", "z"]), "open")
     outside = open_.where("comp <> top")
-    cross = [_pairs(a, b, s, "u", "comp").where(own & (F.col("compx") != F.col("compy"))) for a, b in ((outside, open_), (open_, outside))]
+    cross = [_pairs(a, b, s, "i", "before", "comp").where((F.col("compx") != F.col("compy")) & own) for a, b in ((outside, open_), (open_, outside))]
     cross = near(cross[0].union(cross[1]).select(F.col("doc_idx").alias("x"), F.col("doc_idy").alias("y")))
     rest = common.materialize(between(near(pairs.union(cross))).join(once, ["x", "y"], "left_anti"), "rest")
     more = common.materialize(_verify(rest, sets, sig, s), "more-links")
     comp2 = common.materialize(common.components(links.union(more)), "component")
-    common.discard(sets, rest, known, pairs, star, rare, crowd, comp, sig)
+    common.discard(sets, rest, known, open_, main, centre, pairs, star, rare, crowded, crowd, comp, sig)
     out = member.join(comp2.withColumnRenamed("id", "rep"), "rep", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep").alias("component_id"))
     bare = docs.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -307,5 +315,5 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 def keep_first(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """docs without those that belong to a component of a smaller doc_id."""
-    gone = join(docs, s).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = join(docs, s).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone__"))
+    return docs.join(gone, F.col("doc_id") == F.col("__gone__"), "left_anti")

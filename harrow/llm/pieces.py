@@ -147,7 +147,8 @@ class SentencePieces:
         self.tokenizer = build(self.model)
         self.judge = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.cuttable = not self.model.charsmap and self.model.dummy_prefix and not self.model.squeeze and self.tokenizer.pre_tokenizer is not None
-        self.cache = ChunkCache(self._encode)
+        self.cache = ChunkCache(self._encode_pieces)
+        self.opens = np.array([p.startswith(SPACE) for p, _, _ in self.model.pieces])
 
     def _encode(self, texts: list[str]) -> list[tuple[bytes, str, bool]]:
         """(ids, decoded text, whether sentencepiece has the same ids) of each text; threads share the batch."""
@@ -156,6 +157,20 @@ class SentencePieces:
         same = self.judge.encode(texts, num_threads=1)
         return [(np.array(i, "<u4").tobytes(), d, i == s) for i, d, s in zip(ids, back, same, strict=True)]
 
+    def _encode_pieces(self, pieces: list[str], together: int = 256) -> list[tuple[bytes, str, bool]]:
+        """_encode() of pieces without spaces, many in one text: a token with the space marker opens the next piece."""
+        plain = [p for p in pieces if SPACE not in p]
+        known: dict[str, tuple[bytes, str, bool]] = {}
+        groups = [plain[i : i + together] for i in range(0, len(plain), together)]
+        for group, (ids, back, same) in zip(groups, self._encode([" ".join(g) for g in groups]), strict=True):
+            ids = np.frombuffer(ids, "<u4")
+            at, texts = np.flatnonzero(self.opens[ids]), back.split(" ")
+            if same and len(at) == len(group) == len(texts) and not at[0]:
+                known.update(zip(group, ((x.tobytes(), t, True) for x, t in zip(np.split(ids, at[1:]), texts, strict=True)), strict=True))
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, self._encode(rest), strict=True))
+        return [known[p] for p in pieces]
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, str, bool]]:
         found = self.cache.look_up([t.split(" ") if self.cuttable and SPACE not in t else [""] for t in texts])
         out = [

@@ -109,6 +109,7 @@ def spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> tuple[Data
     seeds = common.materialize(_seeds(docs, window, seed), "seeds")
     groups = docs.where("doc_id is not null and text is not null").select("doc_id", F.sha2("text", 256).alias("s"))
     firsts = groups.groupBy("s").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    firsts = common.materialize(firsts.select("s", "first"), "firsts")
     copies = common.materialize(groups.join(firsts, "s").where("doc_id <> first").select("doc_id").distinct(), "copies")
     repeated = seeds.groupBy("a").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("twice").alias("t")).where("lo <> hi or t")
     repeated = common.materialize(repeated.select("a"), "repeated")  # written first: the join can then split a seed that very many texts have
