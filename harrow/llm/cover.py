@@ -145,7 +145,7 @@ def _load(n: int, points: bytes, nodes: bytes) -> tuple[Tree, np.ndarray]:
     return Tree(whole(0), whole(1), whole(2), t[3], whole(4), whole(5)), np.frombuffer(points).reshape(n, -1)
 
 
-def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 2048, most_cells: int = 256) -> DataFrame:
+def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 2048, most_cells: int = 256, sample: int = 4096) -> DataFrame:
     """Cosine near-duplicates of all vectors: vec_id, n_links, component_id, kept.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing and stand alone; vectors of
@@ -153,7 +153,8 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 2048, most_
     several vectors of that id. Extra columns are left out, an empty table gives an empty result.
 
     Rows stand in cells of far-apart pivots, cells in blocks of bounded size, each block under its own cover tree. Pairs of
-    cells are pruned by their covering radii, then each pair of blocks is one dual traversal in one task. A task returns
+    cells are pruned by their covering radii, then each pair of blocks is one dual traversal in one task. Pivots come out of
+    `sample` vectors; those of a length that the sample lacks stand in one cell about zero. A task returns
     link counts and a spanning forest, not the pairs, so a dense group makes no more rows than it has members a block.
     """
     every = df.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
@@ -163,13 +164,14 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 2048, most_
     reps = same.select(F.col("rep").alias("id"), F.transform("vec", lambda x: x / size).alias("vec"), "m")
     reps = common.materialize(reps, "units")
     n = reps.count()
-    centres = vectors.pivots(reps, max(1, min(most_cells, n // block)))
+    centres = vectors.pivots(reps, max(1, min(most_cells, n // block)), sample)
     trees = common.materialize(_trees(vectors.blocks(vectors.with_cells(reps, centres), block, ["id", "vec", "m", "dist"])), "trees")
     far = {(r.dim, r.cell): r.far for r in trees.groupBy("dim", "cell").agg(F.max("radius").alias("far")).collect()}
     reach = float(np.sqrt(2 - 2 * least))
+    used = {d: centres.get(d, np.zeros((1, d))) for d in {d for d, _ in far}}
     near = [
         (d, i, j)
-        for d, c in centres.items() for i in range(len(c)) for j in range(i, len(c))
+        for d, c in used.items() for i in range(len(c)) for j in range(i, len(c))
         if (d, i) in far and (d, j) in far and np.linalg.norm(c[i] - c[j]) <= far[d, i] + far[d, j] + reach + 1e-6
     ]
     spark = df.sparkSession

@@ -2,7 +2,8 @@
 
 import numpy as np
 import pytest
-from harrow.llm import cover, mtree
+from harrow.llm import cover, mtree, vectors
+from pyspark.sql import functions as F
 
 
 def odd_rows():
@@ -52,6 +53,18 @@ def test_cover_tree(spark, block):
     assert got == brute_links(rows)
 
 
+@pytest.mark.parametrize("block", [16, 2048])
+def test_cover_tree_of_a_length_beyond_the_sample(spark, block):
+    rng = np.random.default_rng(6)
+    late = [r.id for r in spark.range(2000, 3000).orderBy(F.xxhash64("id").desc()).limit(40).collect()]
+    rare = [(i, [float(x) for x in v]) for i, v in zip(late, np.arange(1, 6) + rng.normal(size=(40, 5)) * 0.5, strict=True)]
+    rows = odd_rows() + rare
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert 5 not in vectors.pivots(vectors.valid(df).groupBy("vec").agg(F.min("id").alias("id")), 4, 8)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in cover.near_duplicates(df, block=block, sample=8).collect()}
+    assert got == brute_links(rows) and any(got[i][0] for i, _ in rare)
+
+
 def test_cover_tree_covers():
     x = np.random.default_rng(1).normal(size=(300, 5))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
