@@ -5,12 +5,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 KINDS = ("assign", "access", "hex", "guess")
 _ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -31,7 +34,9 @@ COMMON_WORDS = (
     "you", "server", "system", "access", "public", "private", "account", "office", "computer", "internet", "mail", "data",
 )
 _RANK = {w: i + 1 for i, w in enumerate(COMMON_WORDS)}
-_LONGEST = max(map(len, COMMON_WORDS))
+#: Words of the corpus that join them: whole words of so many letters, at most MOST_WORDS of them.
+_SHORTEST, _LONGEST, MOST_WORDS = 3, 24, 65_536
+_EDGES = "\"'`()[]{}<>.,;:!?¡¿„“”‘’«»…"
 #: Rows of a keyboard and runs of the alphabet; a walk moves one step at a time along one of them.
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz")
 _NEXT = {a + b for row in WALKS for r in (row, row[::-1]) for a, b in zip(r, r[1:])}
@@ -43,10 +48,10 @@ def _alphabet(c: str) -> float:
     return math.log10(26 if c.isalpha() else 10 if c.isdigit() else 33)
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
     """log10 of the guesses that the cheapest segmentation of value needs.
 
-    best[i] is the least cost of value[:i]; a segment ending at i is a common word (rank, with case and sign swaps), a
+    best[i] is the least cost of value[:i]; a segment ending at i is a word of `ranks` (with case and sign swaps), a
     date, a repeat of one character, a keyboard or alphabet walk of three or more steps, or one brute-force character.
     Word, date and repeat segments are bounded in length or found by run lengths, so the time is linear in len(value).
     """
@@ -70,9 +75,9 @@ def guess_cost(value: str) -> float:
         if walk >= 3:
             best[i] = min(best[i], best[i - walk] + math.log10(len(WALKS) * 10 * walk))
         for j in range(max(0, i - _LONGEST), i - 2):
-            rank = _RANK.get(plain[j:i])
+            rank = ranks.get(low[j:i]) or ranks.get(plain[j:i])
             if rank:
-                extra = (math.log10(2) if value[j:i] != low[j:i] else 0) + (math.log10(4) if plain[j:i] != low[j:i] else 0)
+                extra = (math.log10(2) if value[j:i] != low[j:i] else 0) + (math.log10(4) if low[j:i] not in ranks else 0)
                 best[i] = min(best[i], best[j] + math.log10(rank + 1) + extra)
         for j in dates.get(i, ()):
             best[i] = min(best[i], best[j] + math.log10(365 * 130))
@@ -91,7 +96,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]], least: float) -> list[tuple[int, int, int]]:
+def guess_spans(text: str, base: list[tuple[int, int, int]], least: float, ranks: Mapping[str, int] = _RANK) -> list[tuple[int, int, int]]:
     """Spans of credential-context values whose guess cost is at least 10**least, outside what base spans cover."""
     low = text.lower()
     if not any(w in low for w in _CONTEXT_WORDS):
@@ -99,11 +104,62 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], least: float) -> li
     out = []
     for m in _CONTEXT.finditer(text):
         s, e = m.span(1)
-        if not any(a <= s and e <= b for a, _, b in base) and any(c.isdigit() for c in m[1]) and guess_cost(m[1]) >= least:
+        if not any(a <= s and e <= b for a, _, b in base) and any(c.isdigit() for c in m[1]) and guess_cost(m[1], ranks) >= least:
             out.append((s, 3, e))
     return out
 
 
+def words_of(text: str) -> set[str]:
+    """Lower-case words of the text, apart from values in credential context and fixed patterns, which aren't to vouch for themselves."""
+    hidden = base_spans(text)
+    if any(w in text.lower() for w in _CONTEXT_WORDS):
+        hidden += [(m.start(1), 3, m.end(1)) for m in _CONTEXT.finditer(text)]
+    tokens = {t.strip(_EDGES) for t in set(redact(text, sorted(hidden), " ").split())}
+    return {t.lower() for t in tokens if _SHORTEST <= len(t) <= _LONGEST and t.isalpha()}
+
+
+def word_ranks(docs: DataFrame, most: int = MOST_WORDS) -> dict[str, int]:
+    """Rank by number of texts of the `most` most frequent words of all documents, whatever their language, and of COMMON_WORDS.
+
+    A word counts if it occurs in at least two texts that differ. Where not all words of one count fit, none of that count is
+    taken, so the table is the same however the rows are dealt. Words are counted a task first, so no word makes a large one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter[str] = Counter()
+        ends: dict[str, tuple[int, int]] = {}
+
+        def rows() -> pa.RecordBatch:
+            low, high = zip(*(ends[w] for w in n)) if n else ((), ())
+            cols = [pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())]
+            return pa.RecordBatch.from_arrays(cols, ["word", "n", "low", "high"])
+
+        for b in batches:
+            for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for w in words_of(t):
+                    n[w] += 1
+                    a, z = ends.get(w, (h, h))
+                    ends[w] = (min(a, h), max(z, h))
+            if len(n) > 100_000:
+                yield rows()
+                n.clear()
+                ends.clear()
+        yield rows()
+
+    part = docs.where("text is not null").select("text", F.xxhash64("text").alias("h")).mapInArrow(run, "word string, n long, low long, high long")
+    every = part.groupBy("word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("word", "n")
+    every = common.materialize(every, "word-counts")
+    held, least = 0, None
+    for r in sorted(every.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r.n):
+        if held + r.k > most:
+            break
+        held, least = held + r.k, r.n
+    found = [] if least is None else every.where(F.col("n") >= least).collect()
+    common.discard(every)
+    ranks = {r.word: i + 1 for i, r in enumerate(sorted(found, key=lambda r: (-r.n, r.word)))}
+    return ranks | {w: min(k, ranks.get(w, k)) for w, k in _RANK.items()}
+
+
 def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "<secret>") -> str:
     """text with each run of overlapping spans replaced by mark."""
     out, at = [], 0
@@ -122,15 +178,17 @@ def scan(docs: DataFrame, least: float = 9.0) -> DataFrame:
     """Secrets of every whole text: doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans.
 
     A null text counts as empty; a row without secrets has zeros, an empty span list and the digest of "". Repeated rows
-    give repeated results, an empty table an empty one, columns besides doc_id and text are left out. No shuffle.
+    give repeated results, an empty table an empty one, columns besides doc_id and text are left out. The only shuffle is
+    that of word_ranks(), whose table travels with the tasks.
     """
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
             for t in b.column(1).to_pylist():
                 base = base_spans(t or "")
-                guess = guess_spans(t or "", base, least)
+                guess = guess_spans(t or "", base, least, ranks.value)
                 for k in range(3):
                     cols[k].append(sum(1 for x in base if x[1] == k))
                 cols[3].append(len(guess))
@@ -149,6 +207,7 @@ def scan(docs: DataFrame, least: float = 9.0) -> DataFrame:
 def redacted(docs: DataFrame, least: float = 9.0) -> DataFrame:
     """docs with every secret span of the text replaced by <secret>; null texts stay null; other columns stay as they are."""
     at = docs.columns.index("text")
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,7 +215,7 @@ def redacted(docs: DataFrame, least: float = 9.0) -> DataFrame:
             for t in b.column(at).to_pylist():
                 if t is not None:
                     base = base_spans(t)
-                    t = redact(t, sorted(base + guess_spans(t, base, least)))
+                    t = redact(t, sorted(base + guess_spans(t, base, least, ranks.value)))
                 texts.append(t)
             cols = list(b.columns)
             cols[at] = pa.array(texts, pa.string())

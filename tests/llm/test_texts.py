@@ -218,6 +218,23 @@ def test_guess_cost_and_redaction(odd):
     assert "hunter2secret" not in texts[12] and "AKIA" not in texts[12]
 
 
+def test_words_of_the_corpus_are_cheap(spark):
+    prose = ["Die Gärtnerei, the gardening section; la jardinería", "une jardinerie: «Gärtnerei» gardening section jardinería", "jardinerie xvqkzw"]
+    clean = ["user: gardening2", "login is section12", "user is Gärtnerei7", "login: jardinería1", "user: jardinerie3"]
+    real = ["pwd: zqxkvwpj7", "pwd: zqxkvwpj7 again", "user: xvqkzwbn8"]
+    copies = ["xvqkzwbn once"] * 3
+    df = spark.createDataFrame(list(enumerate(prose + clean + real + copies)), "doc_id long, text string")
+    found = {r.doc_id: r.n_guess for r in secrets.scan(df).collect()}
+    n = len(prose)
+    assert [found[n + i] for i in range(len(clean))] == [0] * len(clean)
+    assert [found[n + len(clean) + i] for i in range(len(real))] == [1] * len(real)
+    texts = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert [texts[n + i] for i in range(len(clean))] == clean
+    ranks = secrets.word_ranks(df)
+    assert "zqxkvwpj" not in ranks and "xvqkzwbn" not in ranks and ranks["jardinerie"] > ranks["gardening"] and ranks["password"] == 1
+    assert secrets.word_ranks(df, most=0) == {w: i + 1 for i, w in enumerate(secrets.COMMON_WORDS)} == secrets.word_ranks(df.limit(0))
+
+
 def test_quality(spark, odd):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
