@@ -19,9 +19,10 @@ _ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # a maximal run of 32 or more: the leftmost match starts where the run does
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: Wider credential contexts, whose values are judged by guess cost.
+#: Wider credential contexts, whose values are judged by guess cost. A keyword starts a word, or a part of one after a sign, `_`
+#: or a change from a lower-case letter or digit to upper case (DB_PWD, db-pass, dbPwd).
 _CONTEXT = re.compile(
-    r"""(?ai)\b(?:log[_-]?in|user(?:name)?|pwd|pass(?:word|wd|code|phrase)?|pin|secret|token|api[_-]?key|access[_-]?key|"""
+    r"""(?ai)(?:(?<![a-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:log[_-]?in|user(?:name)?|pwd|pass(?:word|wd|code|phrase)?|pin|secret|token|api[_-]?key|access[_-]?key|"""
     r"""private[_-]?key|client[_-]?secret|credentials?|auth(?:orization)?|bearer)\b["']?\x20{0,3}(?:[:=]|=>|\bis\b)\x20{0,3}"""
     r"""(?:bearer\x20)?["']?([^\s"',;<>]{6,})"""
 )
@@ -104,7 +105,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], least: float, ranks
     out = []
     for m in _CONTEXT.finditer(text):
         s, e = m.span(1)
-        if not any(a <= s and e <= b for a, _, b in base) and any(c.isdigit() for c in m[1]) and guess_cost(m[1], ranks) >= least:
+        if not any(a <= s and e <= b for a, _, b in base) and guess_cost(m[1], ranks) >= least:
             out.append((s, 3, e))
     return out
 

@@ -218,6 +218,17 @@ def test_guess_cost_and_redaction(odd):
     assert "hunter2secret" not in texts[12] and "AKIA" not in texts[12]
 
 
+def test_cost_alone_decides_and_keywords_may_be_parts_of_names():
+    def found(text):
+        return [text[a:e] for a, _, e in secrets.guess_spans(text, secrets.base_spans(text), 9.0)]
+
+    assert found("pwd: XkqPz-wTgLm_vRb") == ["XkqPz-wTgLm_vRb"] and found("passphrase=qZvKxWpLmTnB") == ["qZvKxWpLmTnB"]
+    for key in ("DB_PWD", "MYSQL_PWD", "db_pass", "db-pwd", "dbPwd", "db2Pass", "x.pwd", "pwd"):
+        assert found(f"{key}=Tr0ub4dor&3xyz!") == ["Tr0ub4dor&3xyz!"], key
+    for text in ("compass=Tr0ub4dor&3xyz!", "spin: Tr0ub4dor&3xyz!", "pwd: welcome", "passphrase is sunshine", "DB_PWD=password"):
+        assert found(text) == []
+
+
 def test_words_of_the_corpus_are_cheap(spark):
     prose = ["Die Gärtnerei, the gardening section; la jardinería", "une jardinerie: «Gärtnerei» gardening section jardinería", "jardinerie xvqkzw"]
     clean = ["user: gardening2", "login is section12", "user is Gärtnerei7", "login: jardinería1", "user: jardinerie3"]
