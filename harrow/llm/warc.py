@@ -29,21 +29,22 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of every page, without its payload.
+    """payload_bytes, payload_digest, record_type and refers_to of every page row, beside its page_id, url and html.
 
-    Among payloads of `least` or more bytes that are equal (digest and length), the smallest page_id is the response. The
-    groups are found by min() with partial aggregation, and the join back carries a few dozen bytes a row, so a payload
-    that a third of all pages share needs no large task beyond what skew-join handling splits.
+    Among payloads of `least` or more bytes that are equal (digest and length), the smallest page_id is the response; a page
+    without an id is always one, as nothing could refer to its payload. The groups are found by min() with partial
+    aggregation. All is computed on the row itself, as page_ids may repeat; a payload that a third of all pages share is
+    split by skew-join handling.
     """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", F.octet_length(body).cast("long").alias("payload_bytes"), base32_sha1(body).alias("payload_digest"))
+    rows = pages.select("page_id", "url", "html", F.octet_length(body).cast("long").alias("payload_bytes"), base32_sha1(body).alias("payload_digest"))
     first = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes").agg(
         F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")
     ).where("_n > 1").drop("_n")
     first = common.materialize(first, "first-pages")
-    other = (F.col("_first").isNotNull()) & (F.col("_first") != F.col("page_id"))
+    other = F.coalesce(F.col("_first") != F.col("page_id"), F.lit(False))
     return rows.join(first, ["payload_digest", "payload_bytes"], "left").select(
-        "page_id", "payload_bytes", "payload_digest",
+        "page_id", "url", "html", "payload_bytes", "payload_digest",
         F.when(other, "revisit").otherwise("response").alias("record_type"), F.when(other, F.col("_first")).alias("refers_to"),
     )
 
@@ -67,16 +68,15 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_file
     to will do, and a retried task replaces its file. Pages with a null page_id can't be named and raise no error: they
     are numbered by an empty id and read back as null.
     """
-    plan = plan_records(pages, least).withColumnRenamed("page_id", "_page")
+    plan = plan_records(pages, least)
     body = F.coalesce(F.col("html"), F.lit(""))
-    both = pages.select("page_id", "url", "html").join(plan.dropDuplicates(["_page"]), F.col("page_id").eqNullSafe(F.col("_page")))
     kind = F.col("record_type")
     text = _record(
         kind, F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("url"), F.col("payload_digest"), F.col("refers_to"),
         F.col("payload_bytes"), F.when(kind == "revisit", "").otherwise(body),
     )
     with common.shuffle_files_go(pages.sparkSession):
-        both.select(text.alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path)
+        plan.select(text.alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 # --- salvage reader ---------------------------------------------------------------------------------------------------
@@ -152,12 +152,18 @@ def salvage(data: bytes, offset: int = 0) -> Iterator[tuple[str, int, int, dict[
 
 
 def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(records, gaps) of all archives under path.
+    """(records, gaps) of all archives under path, see _read().
 
     records: file, at, page_id, record_type, refers_to, url, payload_digest, payload_length (from the header), body (the
     block; null for a revisit); gaps: file, start, end of quarantined bytes. An archive is one row of Spark's binary
     source, so writers bound its size (records_per_file).
     """
+    every = _read(spark, path)
+    return every.where("kind = 'record'").drop("kind", "end"), every.where("kind = 'gap'").select("file", F.col("at").alias("start"), "end")
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """Records and gaps of all archives under path in one table: the columns of records, kind ("record" or "gap") and end."""
     schema = (
         "kind string, file string, at long, end long, page_id long, record_type string, refers_to long, url string, "
         "payload_digest string, payload_length long, body binary"
@@ -187,29 +193,37 @@ def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         names = [f.split()[0] for f in schema.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
 
-    every = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
-    return every.where("kind = 'record'").drop("kind", "end"), every.where("kind = 'gap'").select("file", F.col("at").alias("start"), "end")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write the pages, read the archives back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     A response's length and digest are taken from the payload that was read; a revisit's are those of the payload it
-    refers to. Null html is an empty payload; an empty table writes nothing and gives no rows; with repeated page_ids each
-    row gets a record.
+    refers to. Null html is an empty payload; an empty table writes nothing and gives no rows; each row gets a record, also
+    where page_ids repeat or are null. Raises RuntimeError if the reader logs a gap in what was just written.
     """
     spark = pages.sparkSession
     path = f"{common.shared_dir(spark)}/llm/warc-{uuid.uuid4().hex}"
     write_archives(pages, path, least)
-    got, _ = read_archives(spark, path)
     response = F.col("record_type") == "response"
-    own = got.select(
-        "page_id", "record_type", "refers_to", "payload_digest",
+    own = _read(spark, path).select(
+        "kind", F.when(F.col("kind") == "gap", F.col("file")).alias("file"), "at", "page_id", "record_type", "refers_to", "payload_digest", "payload_length",
         F.when(response, F.octet_length("body").cast("long")).alias("payload_bytes"), F.when(response, base32_sha1(F.col("body"))).alias("_own"),
     )
     own = common.materialize(own, "warc-read")
-    full = own.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), F.col("_own").alias("_digest")).dropDuplicates(["refers_to"])
-    revisit = own.where("record_type = 'revisit'").drop("payload_bytes", "_own").join(full, "refers_to", "left")
+    gaps = own.where("kind = 'gap'").select("file", "at").limit(3).collect()
+    if gaps:
+        raise RuntimeError(f"archives just written hold bytes that are no record: {', '.join(f'{g.file} at {g.at}' for g in gaps)}")
+    own = own.select("page_id", "record_type", "refers_to", "payload_digest", "payload_length", "payload_bytes", "_own")
+    full = own.where("record_type = 'response'").select(
+        F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), F.col("_own").alias("_digest")
+    ).dropDuplicates()
+    revisit = own.where("record_type = 'revisit'").drop("payload_bytes", "_own").withColumnsRenamed({"payload_digest": "_digest", "payload_length": "_bytes"})
+    revisit = revisit.join(full.withColumn("_found", F.lit(True)), ["refers_to", "_digest", "_bytes"], "left")
     return own.where("record_type = 'response'").select(
         "page_id", "payload_bytes", F.col("_own").alias("payload_digest"), "record_type", "refers_to"
-    ).unionByName(revisit.select("page_id", F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest"), "record_type", "refers_to"))
+    ).unionByName(revisit.select(
+        "page_id", F.when(F.col("_found"), F.col("_bytes")).alias("payload_bytes"), F.when(F.col("_found"), F.col("_digest")).alias("payload_digest"),
+        "record_type", "refers_to",
+    ))

@@ -35,6 +35,22 @@ def test_round_trip(spark, least):
     assert got == brute(rows, least)
 
 
+def test_round_trip_of_repeated_and_null_page_ids(spark):
+    rows = [(None, "A"), (None, "B"), (5, "A"), (5, "C"), (5, "D"), (7, "A"), (8, "D"), (9, None), (9, "E"), (None, "B")]
+    df = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
+    got = sorted(map(repr, ((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(df).collect())))
+    lead = {(7, "A"): 5, (8, "D"): 5}
+    want = [(i, len(h or ""), digest((h or "").encode()), "revisit" if (i, h) in lead else "response", lead.get((i, h))) for i, h in rows]
+    assert got == sorted(map(repr, want))
+
+
+def test_round_trip_reports_gaps(spark, monkeypatch):
+    monkeypatch.setattr(warc, "VERSION", "WARX/1.1")
+    df = spark.createDataFrame([(1, "u", "A")], "page_id long, url string, html string")
+    with pytest.raises(RuntimeError, match="no record"):
+        warc.round_trip(df).collect()
+
+
 def test_pages(spark, sf):
     df = spark.read.parquet(f"{sf}/pages.parquet")
     got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(df).collect()}
