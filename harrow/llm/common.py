@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OWN: dict[str, str] = {}
-#: Word separators: space and \t \n \v \f \r.
-SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only in local mode without it.
+
+    Raises RuntimeError on a cluster whose session names none, as a machine's own folder would lose rows there.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         found = _OWN.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="harrow-shared-")
         _OWN[app] = found
@@ -73,42 +76,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- word hashing -----------------------------------------------------------------------------------------------------
 
-_B = np.uint64(0x9E3779B97F4A7C15 | 1)
-_C = np.uint64(0xD6E8FEB86659FD93 | 1)
-
-
-def _inverse(odd: np.uint64) -> np.uint64:
-    return np.uint64(pow(int(odd), -1, 1 << 64))
-
-
-_BI, _CI = _inverse(_B), _inverse(_C)
+_B = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_MASK = (1 << 64) - 1
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def _powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**n modulo 2**64, kept between calls and grown by doubling."""
-    have = _POWERS.get(int(base))
+    have = _POWERS.get(base)
     if have is None or len(have) <= n:
         size = max(1 << 12, 1 << int(n).bit_length())
         steps = np.full(size + 1, base, dtype=np.uint64)
         steps[0] = 1
-        have = _POWERS[int(base)] = np.multiply.accumulate(steps)
+        have = _POWERS[base] = np.multiply.accumulate(steps)
     return have[: n + 1]
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A 64-bit finaliser (xor-shift-multiply); another salt gives another order of the same values."""
     with np.errstate(over="ignore"):
-        x = x + np.uint64((0x9E3779B97F4A7C15 * (2 * salt + 1)) & (2**64 - 1))
+        x = x + np.uint64((0x9E3779B97F4A7C15 * (2 * salt + 1)) & _MASK)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
 
 
 _SEP = np.zeros(256, dtype=bool)
-_SEP[list(SEPARATORS)] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
+_SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Bytes of a word that are looked up; those of longer words are computed.
+_SHORT = 64
+_TABLES: dict[int, np.ndarray] = {}
+
+
+def _table(salt: int) -> np.ndarray:
+    """A 64-bit number of its own for every place in a word (below _SHORT) and byte there."""
+    if salt not in _TABLES:
+        _TABLES[salt] = mix(np.arange(_SHORT * 256, dtype=np.uint64), salt)
+    return _TABLES[salt]
 
 
 def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,32 +126,48 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 18) -> np.ndarray:
-    """One 64-bit hash a word: a polynomial over its bytes by prefix sums, then mix(); done in blocks of bytes."""
-    out = np.empty(len(starts), dtype=np.uint64)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salts: tuple[int, ...], block: int = 1 << 18) -> list[np.ndarray]:
+    """One 64-bit hash a word and salt: the sum of a random number for each (place, byte), then mix() with its length.
+
+    Unlike a polynomial, such sums collide for no family of words: two different words have one hash by chance alone, 1 in
+    2**64. Done in blocks of bytes.
+    """
+    out = [np.empty(len(starts), dtype=np.uint64) for _ in salts]
     i = 0
     with np.errstate(over="ignore"):
         while i < len(starts):
             j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, side="right")))
             s, e = starts[i:j] - starts[i], ends[i:j] - starts[i]
             part = data[starts[i] : ends[j - 1]]
+            opens = np.zeros(len(part), dtype=np.int64)
+            opens[s] = s
+            key = np.minimum(np.arange(len(part)) - np.maximum.accumulate(opens), _SHORT - 1) * 256 + part
+            long = np.flatnonzero(e - s > _SHORT)
             sums = np.zeros(len(part) + 1, dtype=np.uint64)
-            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _powers(_B, len(part))[:-1], out=sums[1:])
-            out[i:j] = mix((sums[e] - sums[s]) * _powers(_BI, len(part))[s] + (e - s).astype(np.uint64) * _C)
+            for h, salt in zip(out, salts, strict=True):
+                np.cumsum(_table(salt)[key], out=sums[1:])
+                own = sums[e] - sums[s]
+                for w in long:
+                    own[w] = mix(np.arange(e[w] - s[w], dtype=np.uint64) * np.uint64(256) + part[s[w] : e[w]], salt).sum()
+                h[i:j] = mix(own + (e - s).astype(np.uint64), salt)
             i = j
     return out
 
 
-def word_table(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts in turn, and where each text's words start (one entry more than texts)."""
+def word_table(texts: list[str | None], lower: bool = False, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(one, two, first): two independent 64-bit hashes of every word of all texts in turn, and where each text's words start.
+
+    first has one entry more than texts; another salt gives other hashes; lower maps A-Z alone.
+    """
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b"\n".join(raw), dtype=np.uint8)
     if lower:
-        data = LOWER[data]
+        data = _LOWER[data]
     starts, ends = word_bounds(data)
     at = np.zeros(len(raw) + 1, dtype=np.int64)
     np.cumsum([len(r) + 1 for r in raw], out=at[1:])
-    return word_hashes(data, starts, ends), np.searchsorted(starts, at)
+    one, two = word_hashes(data, starts, ends, (2 * salt + 1000, 2 * salt + 1001))
+    return one, two, np.searchsorted(starts, at)
 
 
 def slices(n_bytes: list[int], most: int = 1_000_000):
@@ -160,20 +182,23 @@ def slices(n_bytes: list[int], most: int = 1_000_000):
         yield at, len(n_bytes)
 
 
-def window_hashes(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
-    """Hash of each run of k consecutive words."""
+def window_hashes(words: np.ndarray, k: int, salt: int = 0, base: int = 0) -> np.ndarray:
+    """Hash of each run of k consecutive words: a polynomial over word hashes (base 0 or 1), then mix()."""
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
+    b = _B[base]
     with np.errstate(over="ignore"):
         sums = np.zeros(len(words) + 1, dtype=np.uint64)
-        np.cumsum(words * _powers(_C, len(words))[:-1], out=sums[1:])
-        return mix((sums[k:] - sums[:-k]) * _powers(_CI, n)[:n], salt)
+        np.cumsum(words * _powers(b, len(words))[:-1], out=sums[1:])
+        return mix((sums[k:] - sums[:-k]) * _powers(pow(b, -1, 1 << 64), n)[:n], salt)
 
 
-def text_words(text: str | None, lower: bool = False) -> np.ndarray:
-    """The word hashes of one text; lower maps A-Z alone."""
-    return word_table([text], lower)[0]
+def unused(taken: list[str], *names: str) -> list[str]:
+    """Helper column names that no column of `taken` has (whatever the case)."""
+    low = {t.lower() for t in taken}
+    tail = next(t for t in map(str, range(len(low) + 1)) if not any(f"_{n}_{t}" in low for n in names))
+    return [f"_{n}_{tail}" for n in names]
 
 
 # --- connected components ---------------------------------------------------------------------------------------------

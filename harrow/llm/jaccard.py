@@ -37,29 +37,33 @@ def _zone(s: Settings, n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(math.log(s.den / s.num)) + F.lit(1e-9)).cast("int")
 
 
-def shingles(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(token, text number) of the distinct n-word shingles of each text, sorted by text and token.
+def shingles(texts: list[str | None], n: int, owner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, other, document): the distinct n-word shingles of each document, sorted by document and token.
 
-    A text of fewer words has its whole word sequence as its one shingle, a text without words none.
+    A text of fewer words has its whole word sequence as its one shingle, a text without words none; owner names the document
+    of each text, its number where there is none. token and other are two independent 64-bit hashes of a shingle.
     """
-    words, first = common.word_table(texts, lower=True)
+    one, two, first = common.word_table(texts, lower=True)
     counts = np.diff(first)
     doc_end = np.repeat(first[1:], counts)
-    grams = common.window_hashes(words, n)
-    starts = np.arange(len(grams))
+    starts = np.arange(max(0, len(one) - n + 1))
     starts = starts[starts + n <= doc_end[starts]]
-    token, doc = [grams[starts]], [np.searchsorted(first, starts, side="right") - 1]
+    token, other = [common.window_hashes(one, n)[starts]], [common.window_hashes(two, n, 0, 1)[starts]]
+    doc = [np.searchsorted(first, starts, side="right") - 1]
     for k in range(1, n):
         own = np.flatnonzero(counts == k)
         if len(own):
-            token.append(common.window_hashes(words, k, 100 + k)[first[own]])
+            token.append(common.window_hashes(one, k, 100 + k)[first[own]])
+            other.append(common.window_hashes(two, k, 100 + k, 1)[first[own]])
             doc.append(own)
-    g, d = np.concatenate(token), np.concatenate(doc)
+    g, o, d = np.concatenate(token), np.concatenate(other), np.concatenate(doc)
+    if owner is not None:
+        d = owner[d]
     order = np.lexsort((g, d))
-    g, d = g[order], d[order]
+    g, o, d = g[order], o[order], d[order]
     fresh = np.ones(len(g), bool)
     fresh[1:] = (g[1:] != g[:-1]) | (d[1:] != d[:-1])
-    return g[fresh], d[fresh]
+    return g[fresh], o[fresh], d[fresh]
 
 
 def _lists(values: np.ndarray, doc: np.ndarray, texts: int) -> pa.ListArray:
@@ -67,11 +71,25 @@ def _lists(values: np.ndarray, doc: np.ndarray, texts: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def documents(docs: DataFrame) -> DataFrame:
+    """doc_id, texts: one row a doc_id, with its different texts in an array; rows without doc_id are left out.
+
+    Only the few doc_ids of several rows are gathered; the table of them is mostly empty and then broadcast by its size.
+    """
+    rows = docs.where("doc_id is not null").select("doc_id", "text")
+    more = common.materialize(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    single = rows.join(more, "doc_id", "left_anti").select("doc_id", F.array("text").alias("texts"))
+    several = rows.join(more, "doc_id", "left_semi").groupBy("doc_id").agg(F.sort_array(F.collect_set("text")).alias("texts"))
+    return single.union(several)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """The batches (doc_id, texts) in slices of bounded text, with the shingles of each."""
     for b in batches:
-        texts = b.column(1).to_pylist()
-        for lo, hi in common.slices([len(t or "") for t in texts]):
-            yield b.slice(lo, hi - lo), *shingles(texts[lo:hi], n)
+        lists = b.column(1).to_pylist()
+        for lo, hi in common.slices([sum(len(t or "") for t in x) for x in lists]):
+            owner = np.repeat(np.arange(hi - lo), [len(x) for x in lists[lo:hi]])
+            yield b.slice(lo, hi - lo), *shingles([t for x in lists[lo:hi] for t in x], n, owner)
 
 
 def heavy_tokens(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +107,7 @@ def heavy_tokens(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
             own = c >= s.local
             return pa.RecordBatch.from_arrays([pa.array(t[own].view(np.int64)), pa.array(c[own].astype(np.int64))], ["t", "c"])
 
-        for _, token, _ in _parts(batches, s.n):
+        for _, token, _, _ in _parts(batches, s.n):
             held.append(token)
             size += len(token)
             if size > 4_000_000:
@@ -98,7 +116,7 @@ def heavy_tokens(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield flush()
 
-    counts = docs.select("doc_id", "text").mapInArrow(run, "t long, c long").groupBy("t").agg(F.sum("c").alias("c"))
+    counts = docs.select("doc_id", "texts").mapInArrow(run, "t long, c long").groupBy("t").agg(F.sum("c").alias("c"))
     rows = counts.orderBy(F.desc("c"), "t").limit(s.heavy).toPandas()
     tokens, places = rows["t"].to_numpy(np.int64).view(np.uint64), len(rows) - np.arange(len(rows))
     order = np.argsort(tokens)
@@ -106,7 +124,7 @@ def heavy_tokens(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, n, f1, f2 (128 bits of the whole set), pa and pb (prefixes under two orders), ka (place of pa's last).
+    """doc_id, n, f1, f2 (128 bits of the whole set, each of hashes of its own), pa and pb (prefixes under two orders), ka (place of pa's last).
 
     Both orders put heavy tokens last, by rising count; the rest, and ties, go by two different hashes. A pair that
     reaches the threshold shares a token of its prefixes under any order.
@@ -114,7 +132,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
     heavy, place = heavy_tokens(docs, s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, g, d in _parts(batches, s.n):
+        for b, g, o, d in _parts(batches, s.n):
             m = b.num_rows
             counts = np.bincount(d, minlength=m)
             first = np.concatenate([[0], np.cumsum(counts)])
@@ -134,8 +152,8 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
                     last = np.zeros(m, np.int64)
                     last[d[order]] = wide  # the last one of each text stays
             sums = []
-            for salt in (21, 22):
-                total = np.concatenate([[np.uint64(0)], np.cumsum(common.mix(g, salt), dtype=np.uint64)])
+            for tokens, salt in ((g, 21), (o, 22)):
+                total = np.concatenate([[np.uint64(0)], np.cumsum(common.mix(tokens, salt), dtype=np.uint64)])
                 with np.errstate(over="ignore"):
                     sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
             (ga, da), (gb, db) = out
@@ -148,7 +166,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "texts").mapInArrow(
         run, f"doc_id {kind}, n long, f1 long, f2 long, pa array<long>, pb array<int>, ka long"
     )
 
@@ -157,13 +175,13 @@ def _sets(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
     """doc_id, tokens (all distinct shingles, hashed) of the documents in ids(doc_id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, g, d in _parts(batches, s.n):
+        for b, g, _, d in _parts(batches, s.n):
             yield pa.RecordBatch.from_arrays([b.column(0), _lists(g.view(np.int64), d, b.num_rows)], ["doc_id", "tokens"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     # sorted and merged at any size of ids, so that the plan of a large corpus is the one that was tried on a small one
-    rows = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, tokens array<long>").dropDuplicates(["doc_id"])
+    rows = docs.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "texts")
+    return rows.mapInArrow(run, f"doc_id {kind}, tokens array<long>")
 
 
 def _grouped(rows: DataFrame, s: Settings) -> DataFrame:
@@ -236,8 +254,9 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Jaccard components of all documents: doc_id, n_shingles, component_id.
 
     Null and empty texts have no shingles and stand alone; equal sets are one class from the start, represented by the
-    smallest doc_id; repeated rows of a doc_id count once; extra columns are left out. Rows without doc_id give a row of
-    their own without component.
+    smallest doc_id. Rows of one doc_id are one document and give one row: its set is the union of its different texts'
+    shingles. Extra columns are left out; an empty table gives an empty result. Rows without doc_id give a row of their own
+    without component. Shingles are compared by 64 bits of hash, whole sets by 128.
 
     1. Prefixes under two hash orders that put frequent tokens last. Groups of one token and size zone are paired if
        small; a pair must share so many prefix tokens that what it lacks up to the shorter prefix's end still allows the
@@ -247,14 +266,15 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
        meet, once a pair, if what stands before their first common token leaves room for the threshold.
     3. Pairs are verified on whole sets, first one neighbour a document, then those that still connect two components.
     """
-    sig_all = common.materialize(signatures(docs.where("doc_id is not null"), s), "signatures")
+    every = documents(docs)
+    sig_all = common.materialize(signatures(every, s), "signatures")
     firsts = sig_all.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     member = common.materialize(
-        sig_all.select("doc_id", "n", "f1", "f2").distinct().join(firsts, ["n", "f1", "f2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")),
+        sig_all.select("doc_id", "n", "f1", "f2").join(firsts, ["n", "f1", "f2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")),
         "member",
     )
     reps = member.where("n > 0 and doc_id = rep").select("doc_id")
-    sig = common.materialize(sig_all.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "representatives")
+    sig = common.materialize(sig_all.join(reps, "doc_id", "left_semi"), "representatives")
     common.discard(sig_all)
 
     p = F.size("pa").cast("long")
@@ -277,7 +297,7 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     common.discard(groups)
 
     ids = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).union(crowd.select("doc_id")).distinct()
-    sets = common.materialize(_sets(docs, ids, s), "sets")
+    sets = common.materialize(_sets(every, ids, s), "sets")
     rare = _rare_first(sets.join(crowd.select("doc_id"), "doc_id", "left_semi"), s)
     crowded = _grouped(rare, s)
     centre = common.materialize(crowded.groupBy("t", "z").agg(F.min(F.struct("u", "doc_id")).alias("k")), "centres")
@@ -314,6 +334,11 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """docs without those that belong to a component of a smaller doc_id."""
-    gone = join(docs, s).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone__"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone__"), "left_anti")
+    """docs without the rows whose doc_id belongs to a component of a smaller doc_id.
+
+    Rows without doc_id, null and empty texts stay; all rows of a doc_id that stays are kept; other columns pass through
+    whatever their names; an empty table stays empty.
+    """
+    (gone,) = common.unused(docs.columns, "gone")
+    ids = join(docs, s).where("doc_id <> component_id").select(F.col("doc_id").alias(gone))
+    return docs.join(ids, F.col("doc_id") == F.col(gone), "left_anti")

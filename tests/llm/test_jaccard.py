@@ -83,3 +83,17 @@ def test_empty_table_and_null_id(spark):
     df = spark.createDataFrame([(None, "a b c d"), (None, None)], "doc_id long, text string")
     assert [r.component_id for r in jaccard.join(df).collect()] == [None, None]
     assert jaccard.join(df.limit(0)).count() == 0
+
+
+def test_colliding_words_repeated_ids_and_clashing_names(spark):
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    w = [f"w{i}" for i in range(100)]
+    rows = [(1, a), (2, b), (3, " ".join(w)), (3, "x y z"), (3, "x y z"), (4, "x Y z"), (5, " ".join(w) + " x y z"), (6, None), (6, "x y z"), (None, "x y z")]
+    df = spark.createDataFrame([(*r, "c", "d") for r in rows], "doc_id long, text string, __gone__ string, _gone_0 string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(df).collect()}
+    # 3 has the shingles of both texts, 99; 5 those and two more
+    assert got == {1: (1, 1), 2: (1, 2), 3: (99, 3), 4: (1, 4), 5: (101, 3), 6: (1, 4), None: (None, None)}
+    kept = jaccard.keep_first(df)
+    assert kept.columns == df.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 3, 3, 4]

@@ -50,6 +50,52 @@ def test_substring_dedup(which, request):
     assert got == brute_repeats([(r.doc_id, r.text) for r in df.collect()])
 
 
+def thue_morse(n):
+    """Two words of 2**n letters that polynomials modulo 2**64 can't tell apart."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_substring_dedup_of_colliding_words_and_repeated_ids(spark):
+    a, b = thue_morse(11)
+    tail = " ".join(f"v{i}" for i in range(19))
+    rows = [(1, f"{a} {tail}"), (2, f"{b} {tail}"), (3, f"x {b} {tail}"), (None, f"{a} {tail}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in repeats.digests(df).collect()}
+    assert got == {1: 0, 2: 0, 3: 20, None: 0}
+    # two texts of one doc_id (in the order of their digests), one of them twice, and a copy of each
+    one, two = sorted((" ".join(f"p{i}" for i in range(30)), " ".join(f"q{i}" for i in range(25)) + " p0"), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    df = spark.createDataFrame([(5, two), (5, one), (5, one), (6, "z " + two), (6, one), (7, None), (7, "")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in repeats.digests(df).collect())
+    n, m = len(one.split()), len(two.split())
+    assert got == sorted([(5, m, 0), (5, n, 0), (5, n, 0), (6, m + 1, m), (6, n, n), (7, 0, 0), (7, 0, 0)])
+
+
+def test_spans_with_few_bits_of_hash_are_found_out(spark, docs):
+    df = spark.createDataFrame([(r.doc_id, r.text) for r in docs.limit(20).collect()], "doc_id long, text string")
+    with pytest.raises(RuntimeError, match="equal hashes 2 times"):
+        repeats.spans(df, repeats.twins_of(df), bits=3, attempts=2)
+
+
+def test_paths_are_compacted(spark):
+    """Edges 0-199 of one text in a row, a branch before edge 150 and a gap after 180."""
+    edges = [(1, i, 1000 + i, 1001 + i) for i in range(200) if i != 180] + [(2, 7, 1150, 5000), (3, 0, 7000, 7001)]
+    df = spark.createDataFrame(edges, "doc_id long, start long, node_in long, node_out long")
+    got = {(r.doc_id, r.start): r.head for r in repeats.compacted(df).collect()}
+    want = {(1, i): 0 if i < 150 else 150 if i < 180 else 181 for i in range(200) if i != 180}
+    assert got == want | {(2, 7): 7, (3, 0): 0}
+
+
+def test_without_repeats_of_clashing_names(spark):
+    names = ["doc_id", "text", "__starts__", "_starts_0", "_copy_0", "start", "s", "twin"]
+    rows = [(i, t, *[f"{c}{i}" for c in names[2:]]) for i, t in enumerate(ODD)]
+    out = repeats.without_repeats(spark.createDataFrame(rows, ", ".join(f"`{c}` {'long' if c == 'doc_id' else 'string'}" for c in names)))
+    assert out.columns == names and {r.doc_id: tuple(r)[2:] for r in out.collect()} == {r[0]: r[2:] for r in rows}
+    assert repeats.without_repeats(out.limit(0)).count() == 0 and repeats.digests(out.limit(0)).count() == 0
+
+
 def test_without_repeats_keeps_columns(odd):
     out = repeats.without_repeats(odd)
     assert out.columns == odd.columns
