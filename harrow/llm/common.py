@@ -59,9 +59,13 @@ def discard(*frames: DataFrame) -> None:
     for df in frames:
         path = getattr(df, "_harrow_path", None)
         if path:
-            jvm = df.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+            remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of whatever file system path is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 500) -> None:

@@ -28,22 +28,27 @@ def base32_sha1(payload: Column) -> Column:
     )
 
 
-def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
+def _described(pages: DataFrame) -> DataFrame:
+    body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    return pages.select("page_id", "url", "html", F.octet_length(body).cast("long").alias("payload_bytes"), base32_sha1(body).alias("payload_digest"))
+
+
+def first_pages(pages: DataFrame, least: int = 0) -> DataFrame:
+    """payload_digest, payload_bytes and _first (smallest page_id) of payloads of `least` or more bytes that several rows have."""
+    rows = _described(pages).where(F.col("payload_bytes") >= least)
+    found = rows.groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    return common.materialize(found, "first-pages")
+
+
+def plan_records(pages: DataFrame, first: DataFrame) -> DataFrame:
     """payload_bytes, payload_digest, record_type and refers_to of every page row, beside its page_id, url and html.
 
-    Among payloads of `least` or more bytes that are equal (digest and length), the smallest page_id is the response; a page
-    without an id is always one, as nothing could refer to its payload. The groups are found by min() with partial
-    aggregation. All is computed on the row itself, as page_ids may repeat; a payload that a third of all pages share is
-    split by skew-join handling.
+    Among equal payloads (digest and length) of `first`, the smallest page_id is the response; a page without an id is always
+    one, as nothing could refer to its payload. All is computed on the row itself, as page_ids may repeat; a payload that a
+    third of all pages share is split by skew-join handling.
     """
-    body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", "html", F.octet_length(body).cast("long").alias("payload_bytes"), base32_sha1(body).alias("payload_digest"))
-    first = rows.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes").agg(
-        F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")
-    ).where("_n > 1").drop("_n")
-    first = common.materialize(first, "first-pages")
     other = F.coalesce(F.col("_first") != F.col("page_id"), F.lit(False))
-    return rows.join(first, ["payload_digest", "payload_bytes"], "left").select(
+    return _described(pages).join(first, ["payload_digest", "payload_bytes"], "left").select(
         "page_id", "url", "html", "payload_bytes", "payload_digest",
         F.when(other, "revisit").otherwise("response").alias("record_type"), F.when(other, F.col("_first")).alias("refers_to"),
     )
@@ -61,22 +66,28 @@ def _record(kind: Column, page: Column, url: Column, digest: Column, refers: Col
     )
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 0, records_per_file: int = 5000) -> None:
-    """Write one record a page under path, as plain WARC files of at most records_per_file records each.
+def write_archives(pages: DataFrame, path: str, least: int = 0, most_bytes: int = 64 << 20) -> None:
+    """Write one record a page row under path, as gzipped WARC files of about most_bytes of payload at most, or one larger record.
 
     The text writer puts a record and a line feed after each, which is all a WARC file is; so any store that Spark writes
-    to will do, and a retried task replaces its file. Pages with a null page_id can't be named and raise no error: they
-    are numbered by an empty id and read back as null.
+    to will do, and a retried task replaces its file. It rolls files by number of records, so pages are written in three
+    classes of size, each with as many records a file as fit in most_bytes. A null page_id gives an empty id, which reads
+    back as null.
     """
-    plan = plan_records(pages, least)
-    body = F.coalesce(F.col("html"), F.lit(""))
-    kind = F.col("record_type")
-    text = _record(
-        kind, F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("url"), F.col("payload_digest"), F.col("refers_to"),
-        F.col("payload_bytes"), F.when(kind == "revisit", "").otherwise(body),
-    )
-    with common.shuffle_files_go(pages.sparkSession):
-        plan.select(text.alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path)
+    first = first_pages(pages, least)
+    size = F.octet_length(F.coalesce(F.col("html"), F.lit("")))
+    bounds = [0, most_bytes >> 12, most_bytes >> 6, None]
+    for name, lo, hi in zip(("small", "middle", "large"), bounds[:-1], bounds[1:], strict=True):
+        plan = plan_records(pages.where((size >= lo) & (size < hi if hi else F.lit(True))), first)
+        kind = F.col("record_type")
+        text = _record(
+            kind, F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("url"), F.col("payload_digest"), F.col("refers_to"),
+            F.col("payload_bytes"), F.when(kind == "revisit", "").otherwise(F.coalesce(F.col("html"), F.lit(""))),
+        )
+        out = plan.select(text.alias("value")).write.option("lineSep", "\n").option("compression", "gzip")
+        with common.shuffle_files_go(pages.sparkSession):
+            out.option("maxRecordsPerFile", most_bytes // hi if hi else 1).text(f"{path}/{name}")
+    common.discard(first)
 
 
 # --- salvage reader ---------------------------------------------------------------------------------------------------
@@ -86,6 +97,11 @@ _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
 _GZIP = b"\x1f\x8b\x08"
 
 
+def _number(text: str | None) -> int | None:
+    """A count in plain ASCII digits that a long can hold, else None."""
+    return int(text) if text and len(text) <= 18 and text.isascii() and text.isdigit() else None
+
+
 def _record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """Headers, block and end of the record that starts at `at`, or None if any check fails."""
     m = _HEAD.match(data, at)
@@ -98,13 +114,14 @@ def _record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | None
             return None
         head[m[1].decode("latin-1").strip().lower()] = m[2].decode("utf-8", "replace")
         at = m.end()
-    size = head.get("content-length", "")
-    if not size.isdigit() or not head.get("warc-type") or not head.get("warc-record-id"):
+    size = _number(head.get("content-length"))
+    if size is None or not head.get("warc-type") or not head.get("warc-record-id"):
         return None
     at += 2
-    block, end = data[at : at + int(size)], at + int(size)
-    if len(block) < int(size) or not data.startswith(b"\r\n\r\n", end):
+    end = at + size
+    if end > len(data) or not data.startswith(b"\r\n\r\n", end):
         return None
+    block = data[at:end]
     digest = head.get("warc-payload-digest", "")
     if head.get("warc-type") == "response" and digest.startswith("sha1:"):
         if base64.b32encode(hashlib.sha1(block).digest()).decode() != digest[5:]:
@@ -112,74 +129,99 @@ def _record_at(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | None
     return head, block, end + 4
 
 
+def _member(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, bool]:
+    """(what the gzip member at `at` holds, where reading it ended, whether it passed its checks).
+
+    Read a step at a time; the step in which an error comes up is read again in small ones, so nothing before it is lost.
+    """
+    z, out, view = zlib.decompressobj(31), [], memoryview(data)
+    while not z.eof and at < len(data):
+        before = z.copy()
+        try:
+            out.append(z.decompress(view[at : at + step]))
+            at = min(len(data), at + step)
+        except zlib.error:
+            if step == 1:
+                return b"".join(out), at, False
+            z, step = before, max(1, step >> 8)
+    return b"".join(out), at - len(z.unused_data), z.eof
+
+
 def salvage(data: bytes, offset: int = 0) -> Iterator[tuple[str, int, int, dict[str, str], bytes]]:
     """Records and gaps of one archive: ("record" or "gap", start, end, headers, block).
 
-    Works on plain archives and on archives of one gzip member a record. When a check fails (version line, header syntax,
-    fields, length, closing blank lines, payload digest, gzip checksum), the bytes up to the next version line or gzip member that
-    itself passes every check are logged as a gap and reading goes on from there. Inside a gzip member that opens but
-    holds bad bytes, the good records of the member are kept and the member is a gap only if it has none.
+    Works on plain archives and on gzip members of one or many records. When a check fails (version line, header syntax, fields,
+    length, closing blank lines, payload digest, gzip checksum), the bytes up to the next version line or gzip member that itself
+    yields a record are logged as a gap and reading goes on from there. A torn or corrupt member gives the good records of
+    what could be decompressed; the bytes after that are a gap. Bad bytes between the records inside a member are a gap with the
+    member's place as start and end and their own place in its contents as headers inner-start and inner-end.
     """
     at, bad, n = 0, None, len(data)
     while at < n:
-        found, end = [], at
+        found, end, whole = [], at, True
         if data.startswith(_GZIP, at):
-            try:
-                z = zlib.decompressobj(31)
-                plain = z.decompress(data[at:])
-                if z.eof:
-                    end = n - len(z.unused_data)
-                    found = [("record", offset + at, offset + end, h, b) for k, _, _, h, b in salvage(plain) if k == "record"]
-            except zlib.error:
-                pass
+            plain, end, whole = _member(data, at)
+            for kind, s, e, head, block in salvage(plain):
+                inner = head if kind == "record" else {"inner-start": str(s), "inner-end": str(e)}
+                found.append((kind, offset + at, offset + end, inner, block))
+            if not any(x[0] == "record" for x in found):
+                found = []
+            empty = whole and not plain
         else:
+            empty = False
             one = _record_at(data, at)
             if one:
                 end = one[2]
                 found = [("record", offset + at, offset + end, one[0], one[1])]
-        if found:
-            if bad is not None:
+        if found or empty:
+            if bad is not None and bad < at:
                 yield "gap", offset + bad, offset + at, {}, b""
-                bad = None
             yield from found
-            at = end
-            continue
+            bad = None if whole else end  # a torn member may have run on into the next one, which is looked for from its own start
+            if whole:
+                at = end
+                continue
         bad = at if bad is None else bad
         tries = [x for x in (data.find(b"WARC/1.", at + 1), data.find(_GZIP, at + 1)) if x >= 0]
         at = min(tries, default=n)
-    if bad is not None:
+    if bad is not None and bad < n:
         yield "gap", offset + bad, offset + n, {}, b""
 
 
 def read_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(records, gaps) of all archives under path, see _read().
+    """(records, gaps) of all archives in and below path, see _read().
 
     records: file, at, page_id, record_type, refers_to, url, payload_digest, payload_length (from the header), body (the
-    block; null for a revisit); gaps: file, start, end of quarantined bytes. An archive is one row of Spark's binary
-    source, so writers bound its size (records_per_file).
+    block; null for a revisit); gaps: file, start, end of quarantined bytes, with inner_start and inner_end where they lie in the
+    contents of the gzip member at start. Ids and lengths that aren't plain numbers are null. A folder of empty files gives
+    no rows. An archive is one row of Spark's binary source, so writers bound its size.
     """
     every = _read(spark, path)
-    return every.where("kind = 'record'").drop("kind", "end"), every.where("kind = 'gap'").select("file", F.col("at").alias("start"), "end")
+    records = every.where("kind = 'record'").drop("kind", "end", "inner_start", "inner_end")
+    return records, every.where("kind = 'gap'").select("file", F.col("at").alias("start"), "end", "inner_start", "inner_end")
+
+
+def _page(urn: str | None) -> int | None:
+    m = re.search(r"urn:page:(-?[0-9]{1,19})>", urn or "")
+    return int(m[1]) if m and -(1 << 63) <= int(m[1]) < 1 << 63 else None
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    """Records and gaps of all archives under path in one table: the columns of records, kind ("record" or "gap") and end."""
+    """Records and gaps of all archives under path in one table: the columns of records, kind ("record" or "gap"), end and inner places."""
     schema = (
         "kind string, file string, at long, end long, page_id long, record_type string, refers_to long, url string, "
-        "payload_digest string, payload_length long, body binary"
+        "payload_digest string, payload_length long, inner_start long, inner_end long, body binary"
     )
-    page = lambda x: int(m[1]) if (m := re.search(r"urn:page:(-?\d+)>", x or "")) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for file, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 rows, size = [], 0
                 for kind, s, e, h, block in salvage(content.as_buffer().to_pybytes()):
-                    is_response = h.get("warc-type") == "response"
                     rows.append((
-                        kind, file, s, e, page(h.get("warc-record-id")), h.get("warc-type"), page(h.get("warc-refers-to")),
-                        h.get("warc-target-uri"), h.get("warc-payload-digest", "sha1:")[5:],
-                        int(h["warc-payload-length"]) if h.get("warc-payload-length", "").isdigit() else None, block if is_response else None,
+                        kind, file, s, e, _page(h.get("warc-record-id")), h.get("warc-type"), _page(h.get("warc-refers-to")), h.get("warc-target-uri"),
+                        h.get("warc-payload-digest", "sha1:")[5:], _number(h.get("warc-payload-length")), _number(h.get("inner-start")),
+                        _number(h.get("inner-end")), block if h.get("warc-type") == "response" else None,
                     ))
                     size += len(block)
                     if size > 8_000_000:
@@ -189,11 +231,12 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
                     yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-        names = [f.split()[0] for f in schema.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds, strict=True)], names)
+        of = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+        names, kinds = zip(*(f.split() for f in schema.split(", ")), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, of[t]) for c, t in zip(zip(*rows), kinds, strict=True)], list(names))
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "content").mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -212,6 +255,7 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
         F.when(response, F.octet_length("body").cast("long")).alias("payload_bytes"), F.when(response, base32_sha1(F.col("body"))).alias("_own"),
     )
     own = common.materialize(own, "warc-read")
+    common.remove(spark, path)
     gaps = own.where("kind = 'gap'").select("file", "at").limit(3).collect()
     if gaps:
         raise RuntimeError(f"archives just written hold bytes that are no record: {', '.join(f'{g.file} at {g.at}' for g in gaps)}")

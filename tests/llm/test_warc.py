@@ -99,6 +99,47 @@ def test_salvage_of_gzip_members():
     assert ids == [0, 2, 3] and gaps == [(len(parts[0]), len(parts[0]) + len(bad))]
 
 
+def test_salvage_inside_gzip_members():
+    parts = [record(i, bytes(random.Random(i).choices(range(256), k=400))) for i in range(50)]
+    z = gzip.compress(b"".join(parts))
+    cut = z[: len(z) * 3 // 4]
+    ids, gaps = read(cut + gzip.compress(record(77, b"later")))
+    assert ids[-1] == 77 and ids[:-1] == list(range(len(ids) - 1)) and len(ids) > 30 and gaps
+    bad = bytearray(z)
+    bad[-6] ^= 1  # the checksum alone
+    ids, gaps = read(bytes(bad))
+    assert ids == list(range(50)) and len(gaps) == 1 and gaps[0][1] == len(z)
+    inner = gzip.compress(parts[0] + b"damage" + parts[1])
+    got = list(warc.salvage(b"x" * 9 + inner))
+    assert [(x[0], x[1], x[2]) for x in got] == [("gap", 0, 9)] + [(k, 9, 9 + len(inner)) for k in ("record", "gap", "record")]
+    assert got[2][3] == {"inner-start": str(len(parts[0])), "inner-end": str(len(parts[0]) + 6)}
+    assert read(gzip.compress(b"") + gzip.compress(record(3, b"z"))) == ([3], [])
+
+
+def test_salvage_of_odd_numbers(spark, tmp_path):
+    good = record(1, b"ok")
+    for size in ("\u00b2", "\u0663", "9" * 5000, "-3", ""):
+        bad = good.replace(b"Content-Length: 2", f"Content-Length: {size}".encode())
+        assert read(bad + good) == ([1], [(0, len(bad))])
+    odd = good.replace(b"page:1>", b"page:" + b"9" * 30 + b">").replace(b"Content-Length", "WARC-Payload-Length: \u00b2\r\nContent-Length".encode())
+    (tmp_path / "a.warc").write_bytes(odd)
+    (row,) = warc.read_archives(spark, str(tmp_path))[0].collect()
+    assert row.page_id is None and row.payload_length is None and bytes(row.body) == b"ok"
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    sizes = [5] * 40 + [3000] * 9 + [70_000] * 3
+    df = spark.createDataFrame([(i, "u", "x" * n + str(i)) for i, n in enumerate(sizes)], "page_id long, url string, html string")
+    path = str(tmp_path / "out")
+    warc.write_archives(df.coalesce(1), path, most_bytes=1 << 16)
+    records, gaps = warc.read_archives(spark, path)
+    assert gaps.count() == 0 and records.count() == len(sizes)
+    per = records.groupBy("file").agg(F.sum(F.octet_length("body")).alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    assert all(r.b <= 1 << 16 or r.n == 1 for r in per) and all(r.file.endswith(".gz") for r in per)
+
+
 def test_salvage_never_loses_whole_records():
     r = random.Random(2)
     for _ in range(200):
