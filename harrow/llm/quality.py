@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 FEATURES = (
     "log_words", "mean_word", "sd_word", "upper", "digit", "symbol", "comma_stop", "bang", "newline",
-    "repeat_word", "noise_word", "caps_word", "short_word",
+    "repeat_word", "caps_word", "short_word",
 )
 
 _UP = np.zeros(256, bool)
@@ -43,9 +43,8 @@ def statistics(text: str | None) -> np.ndarray:
         lens = np.fromiter(map(len, words), np.int64, m)
         out[1], out[2] = math.log1p(lens.mean()), math.log1p(lens.std())
         out[9] = math.log(m / len(set(words))) / math.log1p(m)
-        out[10] = math.sqrt(sum(map(ends_in_repeated_sign, words)) / m)
-        out[11] = math.sqrt(sum(map(str.isupper, words)) / m)
-        out[12] = math.sqrt(float((lens <= 1).mean()))
+        out[10] = math.sqrt(sum(map(str.isupper, words)) / m)
+        out[11] = math.sqrt(float((lens <= 1).mean()))
     share = lambda mask: math.sqrt(float(hist[mask].sum()) / n)
     out[3], out[4], out[5], out[6] = share(_UP), share(_DIGIT), share(_SYMBOL), share(_STOP)
     out[7] = math.sqrt(hist[33] / n)
@@ -53,17 +52,12 @@ def statistics(text: str | None) -> np.ndarray:
     return out
 
 
-def ends_in_repeated_sign(word: str) -> bool:
-    """Whether a word ends in a repeated sign, as in `the&&&`."""
-    return len(word) > 2 and word[-1] == word[-2] and not word[-1].isalnum()
-
-
 @dataclass
 class Discriminant:
-    """Class means, Cholesky factors of the shrunk covariances, log-determinants and log-priors."""
+    """Class means, inverses of the Cholesky factors of the shrunk covariances, log-determinants and log-priors."""
 
     means: np.ndarray
-    factors: np.ndarray
+    whiten: np.ndarray
     logdets: np.ndarray
     priors: np.ndarray
     single: float | None = None
@@ -74,7 +68,7 @@ class Discriminant:
             return np.full(len(x), self.single)
         logs = []
         for c in range(2):
-            z = np.linalg.solve(self.factors[c], (x - self.means[c]).T)
+            z = self.whiten[c] @ (x - self.means[c]).T
             logs.append(self.priors[c] - 0.5 * self.logdets[c] - 0.5 * (z * z).sum(axis=0))
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
 
@@ -89,7 +83,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", shrink: flo
 
     Only statistics, not texts, meet the labels in the join. They are summed in the tasks (counts, sums and cross products a class), so one small row a task and class meets
     in the final sums. Each class covariance is shrunk by `shrink` towards the pooled diagonal, plus `ridge`. A document
-    labelled twice counts once a label. With one class only, the score is that class's label; with none it is 0.5.
+    labelled twice counts once a label; rows without doc_id have none; null texts count as empty. With one class only, or an
+    empty table of labels or documents, the score is that class's label; with none it is 0.5.
     """
     d = len(FEATURES)
     known = labels.where(F.col(target).isin(0, 1)).select("doc_id", F.col(target).cast("int").alias("y")).distinct()
@@ -127,13 +122,14 @@ def from_sums(total: np.ndarray, shrink: float, ridge: float) -> Discriminant:
     pooled = np.diag((cov * n[:, None, None]).sum(axis=0).diagonal() / n.sum())
     cov = (1 - shrink) * cov + shrink * pooled + ridge * np.eye(d)
     factors = np.linalg.cholesky(cov)
-    return Discriminant(means, factors, 2 * np.log(np.diagonal(factors, axis1=1, axis2=2)).sum(axis=1), np.log(n / n.sum()))
+    return Discriminant(means, np.linalg.inv(factors), 2 * np.log(np.diagonal(factors, axis1=1, axis2=2)).sum(axis=1), np.log(n / n.sum()))
 
 
 def score(docs: DataFrame, model: Discriminant, text: str = "text", out: str = "score") -> DataFrame:
-    """docs with a column `out` more: P(label 1) of each whole text; null and empty texts get a score as well.
+    """docs with a column `out` more: P(label 1) of each whole text.
 
-    A column already named `out` is replaced. The model (a few kB whatever the input) travels with the task.
+    Null and empty texts get the score of a text without words; repeated rows get equal scores; an empty table gives an empty
+    one. A column already named `out` is replaced. The model (a few kB whatever the input) travels with the task.
     """
     keep = [c for c in docs.columns if c != out]
     source = docs.select(*[F.col(f"`{c}`") for c in keep])

@@ -82,5 +82,79 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP3_SQL = f"""
+WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(ws[i : i + 19], ' ') AS k FROM w, unnest(range(1, len(ws) - 18)) AS t(i)),
+later AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM later, range(20) AS t(j)),
+one AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM one ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+_CRC = """list_reduce(list_transform(range(strlen(body)), lambda i: ('0x' || substr(hexed, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)"""
+
+
+def _feistel_sql(source: str, seed: int = 20) -> str:
+    """source(rn, x, n, ...) with x permuted once, each step a column of a subquery."""
+    sql = f"SELECT *, x & (a - 1) AS l, x >> k AS r FROM ({source})"
+    for k in range(sharding.ROUNDS):
+        own, other, size = ("l", "r", "a") if k % 2 == 0 else ("r", "l", "b")
+        h = other
+        for prime, times in sharding.STEPS:
+            h = f"(({h} % {prime} * {times} + {sharding.offset(seed, k)}) % {prime})"
+        sql = f"SELECT * REPLACE (({own} + {h} % {size}) % {size} AS {own}) FROM ({sql})"
+    return f"SELECT rn, l + r * a AS x, n, k, a, b FROM ({sql})"
+
+
+#: Rows are numbered in one order, as the query does for up to sharding.ROWS_PER_BUCKET rows.
+OP4_SQL = f"""
+WITH RECURSIVE rule AS (SELECT list_transform(range(256), lambda v: list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1
+  THEN xor(3988292384, c >> 1) ELSE c >> 1 END, v::BIGINT)) AS crc_of),
+d AS (SELECT doc_id, coalesce(text, '') AS body, hex(encode(coalesce(text, ''))) AS hexed FROM documents),
+s AS (SELECT doc_id, (strlen(body) + 1)::BIGINT AS size, xor({_CRC}, 4294967295) AS text_crc32 FROM d, rule),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS rn FROM s),
+total AS (SELECT count(*) AS n, (SELECT min(e) FROM range(31) AS t(e) WHERE (1::BIGINT << (2 * e)) >= (SELECT count(*) FROM s)) AS k FROM s),
+sizes AS (SELECT n, k, 1::BIGINT << k AS a, (n + (1::BIGINT << k) - 1) >> k AS b FROM total),
+walk AS ({_feistel_sql("SELECT rn, rn AS x, n, k, a, b FROM numbered, sizes")} UNION ALL {_feistel_sql("SELECT * FROM walk WHERE x >= n")})
+SELECT doc_id, size, text_crc32, 'rows' AS law, (x % 8)::INT AS shard, (x // 8)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM numbered JOIN (SELECT rn, x FROM walk WHERE x < n) USING (rn)
+"""
+
+_REACH = """both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT u, v FROM both_ways UNION SELECT reach.u, both_ways.v FROM reach JOIN both_ways ON reach.v = both_ways.u),
+low AS (SELECT u, min(v) AS least FROM reach GROUP BY u)"""
+
+OP5_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) >= 3 THEN list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i : i + 2], ' ')))
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE []::VARCHAR[] END AS sh FROM w),
+t AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS k FROM s),
+links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM t a JOIN t b ON a.k = b.k AND a.doc_id < b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+{_REACH}
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id FROM s LEFT JOIN low ON doc_id = u
+"""
+
+OP6_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v),
+links AS (SELECT p.vec_id AS u, q.vec_id AS v FROM u p JOIN u q ON p.vec_id < q.vec_id AND len(p.e) = len(q.e)
+  AND list_dot_product(p.e, q.e) / (p.size * q.size) >= 0.95::DOUBLE),
+{_REACH},
+degree AS (SELECT u, count(*) AS n FROM both_ways GROUP BY u)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id <= coalesce(least, vec_id) AS kept
+FROM embeddings LEFT JOIN low ON vec_id = low.u LEFT JOIN degree ON vec_id = degree.u
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc_salvage": OP9_SQL, "op10_mtree_topk": OP10_SQL}
+    return {
+        "op3_substring_dedup": OP3_SQL, "op4_feistel_sharding": OP4_SQL, "op5_ngram_jaccard": OP5_SQL, "op6_cover_tree": OP6_SQL,
+        "op9_warc_salvage": OP9_SQL, "op10_mtree_topk": OP10_SQL,
+    }

@@ -38,50 +38,95 @@ _RANK = {w: i + 1 for i, w in enumerate(COMMON_WORDS)}
 #: Words of the corpus that join them: whole words of so many letters, at most MOST_WORDS of them.
 _SHORTEST, _LONGEST, MOST_WORDS = 3, 24, 65_536
 _EDGES = "\"'`()[]{}<>.,;:!?¡¿„“”‘’«»…"
-#: Rows of a keyboard and runs of the alphabet; a walk moves one step at a time along one of them.
-WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz")
-_NEXT = {a + b for row in WALKS for r in (row, row[::-1]) for a, b in zip(r, r[1:])}
-_DATE = re.compile(r"(?:\d{1,2}[-/.]?\d{1,2}[-/.]?)?(?:19|20)\d\d|(?:19|20)\d\d[-/.]?\d{1,2}[-/.]?\d{1,2}")
+#: Rows of a keyboard, each a half key to the right of the one above it or less, and runs of the alphabet and of digits.
+KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
+SEQUENCES = ("abcdefghijklmnopqrstuvwxyz", "0123456789")
+
+
+def _moves() -> tuple[dict[str, int], dict[str, int]]:
+    """The direction, by number, of each step from a key to a neighbouring one: along a row, or to the row above or below."""
+    place = {c: (r, i) for r, row in enumerate(KEYBOARD) for i, c in enumerate(row)}
+    ways = {(0, 1): 0, (0, -1): 1, (1, 0): 2, (1, -1): 3, (-1, 0): 4, (-1, 1): 5}
+    near = {(a, b): (place[b][0] - place[a][0], place[b][1] - place[a][1]) for a in place for b in place}
+    out = {a + b: ways[step] for (a, b), step in near.items() if step in ways}
+    # steps of a sequence have directions of their own, so that a walk doesn't mix the two
+    return out, {a + b: k for row in SEQUENCES for k, r in enumerate((row, row[::-1])) for a, b in zip(r, r[1:])}
+
+
+_KEYS, _STEPS = _moves()
+_D = r"[-/.]?"
+#: Dates by their numbers of digits, so that every length at a place is found: a year, day and month before it, or after it.
+_YEAR = re.compile(r"(?:19|20)\d\d")
+_DATES = [re.compile(p, re.ASCII) for a in (1, 2) for b in (1, 2) for p in (
+    rf"\d{{{a}}}{_D}\d{{{b}}}{_D}(?:19|20)\d\d", rf"(?:19|20)\d\d{_D}\d{{{a}}}{_D}\d{{{b}}}", rf"\d{{{a}}}[-/.]\d{{{b}}}[-/.]\d\d"
+)]
 _SWAPS = str.maketrans("@4310$5!7", "aaeiossit")
+#: Segments of a walk are at most so long, repeated blocks at most so many characters.
+_WALK, _BLOCK = 24, 8
 
 
 def _alphabet(c: str) -> float:
-    return math.log10(26 if c.isalpha() else 10 if c.isdigit() else 33)
+    """log10 of the characters that a brute-force guess has to try in this one's place."""
+    return math.log10(26 if c.islower() else 52 if c.isalpha() else 10 if c.isdigit() else 33)
 
 
 def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
     """log10 of the guesses that the cheapest segmentation of value needs.
 
-    best[i] is the least cost of value[:i]; a segment ending at i is a word of `ranks` (with case and sign swaps), a
-    date, a repeat of one character, a keyboard or alphabet walk of three or more steps, or one brute-force character.
-    Word, date and repeat segments are bounded in length or found by run lengths, so the time is linear in len(value).
+    best[i] is the least cost of value[:i]; a segment ending at i is one of: a word of `ranks` (its rank + 1, twice that if not in
+    lower case, four times for signs in place of letters); a date (130 years, times 365 with day and month); a block of at most
+    _BLOCK characters repeated (the block's own cost times the count); a walk of three to _WALK keys (37 keys to start at, 6
+    ways at each change of direction, its length); a stretch of the alphabet or of digits (36 starts, 2 ways, its length); or one
+    brute-force character. Time is linear in len(value).
     """
-    n = len(value)
-    low = value.lower()
+    n, low = len(value), value.lower()
+    if len(low) != n:  # a few letters grow when lowered
+        low = value
     plain = low.translate(_SWAPS)
     best = [0.0] + [math.inf] * n
-    dates: dict[int, list[int]] = {}
+    dates: dict[int, list[tuple[int, float]]] = {}
     for i in range(n):
-        m = _DATE.match(value, i)
-        if m:
-            dates.setdefault(m.end(), []).append(i)
-    run = walk = 0
+        if value[i].isdigit():
+            for m in {m.end() for p in _DATES if (m := p.match(value, i))}:
+                dates.setdefault(m, []).append((i, math.log10(365 * 130)))
+            if m := _YEAR.match(value, i):
+                dates.setdefault(m.end(), []).append((i, math.log10(130)))
+    reps = [[1] * (n + 1) for _ in range(_BLOCK + 1)]  # reps[p][i]: how often the p characters before i stand there in a row
+    for p in range(1, _BLOCK + 1):
+        for i in range(2 * p, n + 1):
+            if value[i - p : i] == value[i - 2 * p : i - p]:
+                reps[p][i] = reps[p][i - p] + 1
+    blocks: dict[str, float] = {}
     for i in range(1, n + 1):
-        c = value[i - 1]
-        best[i] = best[i - 1] + _alphabet(c)
-        run = run + 1 if i > 1 and value[i - 2] == c else 1
-        walk = walk + 1 if i > 1 and low[i - 2 : i] in _NEXT else 1
-        if run >= 3:
-            best[i] = min(best[i], best[i - run] + _alphabet(c) + math.log10(run))
-        if walk >= 3:
-            best[i] = min(best[i], best[i - walk] + math.log10(len(WALKS) * 10 * walk))
+        cost = best[i - 1] + _alphabet(value[i - 1])
+        for p in range(1, _BLOCK + 1):
+            k = reps[p][i]
+            if k * p >= 3 and k > 1:
+                block = value[i - p : i]
+                if block not in blocks:
+                    blocks[block] = _alphabet(block) if p == 1 else guess_cost(block, ranks)
+                cost = min(cost, *(best[i - m * p] + blocks[block] + math.log10(m) for m in range(2, k + 1) if m * p >= 3))
+        turns, way, steps = 0, None, None
+        key = run = True
+        for j in range(i - 2, max(-1, i - 1 - _WALK), -1):
+            pair = low[j : j + 2]
+            now, step = _KEYS.get(pair), _STEPS.get(pair)
+            turns, way = turns + (now != way), now
+            key, run = key and now is not None, run and step is not None and steps in (None, step)
+            steps = step
+            if not key and not run:
+                break
+            if i - j >= 3:
+                if key:
+                    cost = min(cost, best[j] + math.log10(37 * 6**turns * (i - j)))
+                if run:
+                    cost = min(cost, best[j] + math.log10(36 * 2 * (i - j)))
         for j in range(max(0, i - _LONGEST), i - 2):
             rank = ranks.get(low[j:i]) or ranks.get(plain[j:i])
             if rank:
                 extra = (math.log10(2) if value[j:i] != low[j:i] else 0) + (math.log10(4) if low[j:i] not in ranks else 0)
-                best[i] = min(best[i], best[j] + math.log10(rank + 1) + extra)
-        for j in dates.get(i, ()):
-            best[i] = min(best[i], best[j] + math.log10(365 * 130))
+                cost = min(cost, best[j] + math.log10(rank + 1) + extra)
+        best[i] = min(cost, *(best[j] + c for j, c in dates.get(i, ())), math.inf)
     return best[n]
 
 
@@ -206,7 +251,10 @@ def scan(docs: DataFrame, least: float = 9.0) -> DataFrame:
 
 
 def redacted(docs: DataFrame, least: float = 9.0) -> DataFrame:
-    """docs with every secret span of the text replaced by <secret>; null texts stay null; other columns stay as they are."""
+    """docs with every secret span of the text replaced by <secret>.
+
+    Null and empty texts stay as they are, so do other columns whatever their names; equal rows change alike; an empty table stays empty.
+    """
     at = docs.columns.index("text")
     ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
 

@@ -9,34 +9,58 @@ ROUNDS = 4
 ROWS_PER_BUCKET = 200_000
 
 
+#: Primes and multipliers of the round function, all below 2**31, so that no product leaves 64 bits.
+STEPS = ((2_147_483_647, 1_103_515_245), (2_147_483_629, 1_664_525_011), (2_147_483_587, 1_220_703_125))
+
+
+def offset(seed: int, k: int) -> int:
+    return (seed * 7_919 + k * 104_729) % STEPS[0][0]
+
+
+def _long(x: int) -> Column:
+    """A 64-bit literal: so deep an expression would otherwise have each of its levels cast in a pass of its own."""
+    return F.lit(x).cast("long")
+
+
 def _round(value: Column, seed: int, k: int, modulus: int) -> Column:
-    return F.pmod(F.xxhash64(value, F.lit(seed), F.lit(k)), F.lit(modulus))
+    """A number below modulus made of value by multiplying modulo one prime after the other.
+
+    value stands in it once, so the expression of all rounds stays small.
+    """
+    x = value
+    for prime, times in STEPS:
+        x = (x % _long(prime) * _long(times) + _long(offset(seed, k))) % _long(prime)
+    return x % _long(modulus)
+
+
+def halves(n: int) -> tuple[int, int, int]:
+    """(k, a, b): the sizes a = 2**k and b of the two halves, a * a >= n and a * b >= n > a * (b - 1)."""
+    k = 0
+    while 4**k < n:
+        k += 1
+    return k, 1 << k, -(-n >> k)
 
 
 def permute_once(x: Column, n: int, seed: int, rounds: int = ROUNDS) -> tuple[Column, int]:
-    """One pass of an alternating Feistel network on [0, a*b), a = ceil(sqrt n), b = ceil(n / a); gives it and a*b.
+    """One pass of an alternating Feistel network on [0, a*b); gives it and a*b, see halves().
 
     Each half is added to modulo its own size, so the pass is a bijection whatever the round function, and at most
-    a - 1 of its values lie outside [0, n).
+    a - 1 of its values lie outside [0, n). All arithmetic is on whole numbers.
     """
-    a = max(1, int(n**0.5))
-    while a * a < n:
-        a += 1
-    b = -(-n // a)
-    left = F.pmod(x, F.lit(a))
-    right = ((x - left) / F.lit(a)).cast("long")
+    bits, a, b = halves(n)
+    left, right = x.bitwiseAND(_long(a - 1)), F.shiftright(x, bits)
     for k in range(rounds):
         if k % 2 == 0:
-            left = F.pmod(left + _round(right, seed, k, a), F.lit(a))
+            left = (left + _round(right, seed, k, a)) % _long(a)
         else:
-            right = F.pmod(right + _round(left, seed, k, b), F.lit(b))
-    return left + right * F.lit(a), a * b
+            right = (right + _round(left, seed, k, b)) % _long(b)
+    return left + right * _long(a), a * b
 
 
 def feistel(x: Column, n: int, seed: int) -> Column:
     """The permutation of [0, n): passes repeat (cycle walking) until the value falls inside.
 
-    A walk can't be longer than the number of values outside, size - n < sqrt(n); the first 16 steps are tried first so
+    A walk can't be longer than the number of values outside, size - n < a < 2 sqrt(n); the first 16 steps are tried first so
     that the long sequence is built for next to no row.
     """
     first, size = permute_once(x, n, seed)
@@ -44,10 +68,10 @@ def feistel(x: Column, n: int, seed: int) -> Column:
     if out <= 0:
         return first
     walk = lambda start, steps: F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)), start, lambda acc, _: F.when(acc < n, acc).otherwise(permute_once(acc, n, seed)[0])
+        F.sequence(F.lit(1), F.lit(steps)), start, lambda acc, _: F.when(acc < _long(n), acc).otherwise(permute_once(acc, n, seed)[0])
     )
-    near = F.when(first < n, first).otherwise(walk(first, min(16, out)))
-    return near if out <= 16 else F.when(near < n, near).otherwise(walk(near, out))
+    near = F.when(first < _long(n), first).otherwise(walk(first, min(16, out)))
+    return near if out <= 16 else F.when(near < _long(n), near).otherwise(walk(near, out))
 
 
 def row_numbers(df: DataFrame, by: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
@@ -81,12 +105,16 @@ def shard_rows(df: DataFrame, by: list[str], shards: int = 8, seed: int = 20) ->
     numbered, n = row_numbers(df.select(*by), by)
     at = numbered.withColumn("position", feistel(F.col("row_no"), n, seed) if n else F.col("row_no"))
     return at.withColumn("shard", F.pmod("position", F.lit(shards)).cast("int")).withColumn(
-        "slot", ((F.col("position") - F.pmod("position", F.lit(shards))) / F.lit(shards)).cast("long")
+        "slot", F.expr(f"position div {shards}")
     )
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, seed: int = 20) -> DataFrame:
-    """Sizes, checksums and places of all documents under the `rows` law (counts at most one apart)."""
+    """Sizes, checksums and places of all documents under the `rows` law (counts at most one apart).
+
+    A null text has no bytes; null doc_ids order first; repeated rows get a place each; other columns are left out; an empty table
+    gives an empty result.
+    """
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     base = docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     return shard_rows(base, ["doc_id", "size", "text_crc32"], shards, seed).select(

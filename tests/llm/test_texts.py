@@ -1,6 +1,9 @@
 """Operators over documents against brute force: coding, secrets, substring dedup, sharding, quality, packing."""
 
 import hashlib
+import itertools
+import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -82,7 +85,7 @@ def test_spans_with_few_bits_of_hash_are_found_out(spark, docs):
 def test_paths_are_compacted(spark):
     """Edges 0-199 of one text in a row, a branch before edge 150 and a gap after 180."""
     edges = [(1, i, 1000 + i, 1001 + i) for i in range(200) if i != 180] + [(2, 7, 1150, 5000), (3, 0, 7000, 7001)]
-    df = spark.createDataFrame(edges, "doc_id long, start long, node_in long, node_out long")
+    df = spark.createDataFrame(edges + edges[:70], "doc_id long, start long, node_in long, node_out long")
     got = {(r.doc_id, r.start): r.head for r in repeats.compacted(df).collect()}
     want = {(1, i): 0 if i < 150 else 150 if i < 180 else 181 for i in range(200) if i != 180}
     assert got == want | {(2, 7): 7, (3, 0): 0}
@@ -168,19 +171,32 @@ def test_packing(which, request):
     assert len(seqs) <= -(-total // 1024) * 1.02 + 2
 
 
-def test_best_fit_is_best_fit_decreasing():
-    rng = np.random.default_rng(4)
-    for cap in (10, 64):
-        sizes = rng.integers(1, cap + 1, 400)
-        gaps = []
-        for s in sorted(sizes, reverse=True):
-            fit = [(g, i) for i, g in enumerate(gaps) if g >= s]
-            if fit:
-                gaps[min(fit)[1]] -= s
-            else:
-                gaps.append(cap - s)
-        plan, bins = packing.best_fit(np.bincount(sizes, minlength=cap + 1), cap)
-        assert bins == len(gaps) and (plan[:, 2] - plan[:, 1]).sum() == 400
+@pytest.mark.parametrize("sizes", [(1, 65, 3000), (20, 34, 700), (1, 20, 2000)])
+def test_packing_is_best_fit_decreasing(spark, sizes):
+    """Every bin valid, and as many of them as one-by-one best fit decreasing opens."""
+    lo, hi, n = sizes
+    given = np.random.default_rng(4).integers(lo, hi, n).tolist()
+    gaps = []
+    for s in sorted(given, reverse=True):
+        fit = [(g, i) for i, g in enumerate(gaps) if g >= s]
+        if fit:
+            gaps[min(fit)[1]] -= s
+        else:
+            gaps.append(64 - s)
+    cut = spark.createDataFrame([(i // 3, i % 2, s, "x") for i, s in enumerate(given)], "doc_id long, piece int, length long, gap string")
+    rows = packing.pack(cut, 64).collect()
+    assert sorted(r.length for r in rows) == sorted(given) and {r.gap for r in rows} == {"x"}
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for x in bins.values():
+        at = 0
+        for offset, length in sorted(x):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(bins) == len(gaps)
+    assert packing.pack(cut.limit(0), 64).count() == 0
 
 
 def test_byte_bpe_equals_tokenizers(docs):
@@ -264,6 +280,48 @@ def test_guess_cost_and_redaction(odd):
     assert "hunter2secret" not in texts[12] and "AKIA" not in texts[12]
 
 
+def segment_cost(x, ranks):
+    """The least cost of x as one segment, from the definition of the segments."""
+    log, n, low = math.log10, len(x), x.lower()
+    each = lambda c: log(26 if c.islower() else 52 if c.isalpha() else 10 if c.isdigit() else 33)
+    costs = [each(x)] if n == 1 else []
+    plain = "".join(dict(zip("@4310$5!7", "aaeiossit")).get(c, c) for c in low)
+    for word, extra in ((low, 1), (plain, 4)):
+        if n >= 3 and word in ranks and (word == low or low not in ranks):
+            costs.append(log(ranks[word] + 1) + log(extra) + (log(2) if x != low else 0))
+    if re.fullmatch(r"(19|20)\d\d", x):
+        costs.append(log(130))
+    if re.fullmatch(r"\d{1,2}[-/.]?\d{1,2}[-/.]?(19|20)\d\d|(19|20)\d\d[-/.]?\d{1,2}[-/.]?\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d\d", x):
+        costs.append(log(130 * 365))
+    for p in range(1, n // 2 + 1):
+        if n % p == 0 and x == x[:p] * (n // p) and n >= 3:
+            costs.append((each(x[:p]) if p == 1 else exhaustive(x[:p], ranks)) + log(n // p))
+    if n >= 3:
+        rows = ["1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm"]
+        at = {c: (r, i) for r, row in enumerate(rows) for i, c in enumerate(row)}
+        moves = [(at[b][0] - at[a][0], at[b][1] - at[a][1]) if a in at and b in at else None for a, b in zip(low, low[1:])]
+        if all(m in ((0, 1), (0, -1), (1, 0), (1, -1), (-1, 0), (-1, 1)) for m in moves):
+            costs.append(log(37 * 6 ** (1 + sum(a != b for a, b in zip(moves, moves[1:]))) * n))
+        if any(low in r for row in ("abcdefghijklmnopqrstuvwxyz", "0123456789") for r in (row, row[::-1])):
+            costs.append(log(72 * n))
+    return min(costs, default=math.inf)
+
+
+def exhaustive(x, ranks):
+    cuts = [[x[a:b] for a, b in zip((0, *c), (*c, len(x)))] for k in range(len(x)) for c in itertools.combinations(range(1, len(x)), k)]
+    return min((sum(segment_cost(s, ranks) for s in c) for c in cuts), default=0.0)
+
+
+def test_guess_cost_is_the_least_over_all_segmentations():
+    r = random.Random(7)
+    ranks = {"pass": 3, "word": 9, "password": 1, "ass": 700, "sword": 50, "in": 2, "love": 4}
+    parts = ["pass", "word", "P4ss", "1.2.1999", "2004", "qwe", "zaq1", "abc", "cba", "aaa", "xyxy", "!", "7", "Q", "é", "l0v3", "12/3/04", "9", "sd"]
+    given = ["password", "Passw0rd", "31121999", "1qaz2wsx", "abcabcabc", "aaaaaaa", "qwertyui", "fedcba98", "20041231", "asdsasd", "ßẞİ"]
+    given += ["".join(r.choice(parts) for _ in range(3))[:11] for _ in range(60)]
+    for x in given:
+        assert secrets.guess_cost(x, ranks) == pytest.approx(exhaustive(x, ranks)), x
+
+
 def test_cost_alone_decides_and_keywords_may_be_parts_of_names():
     def found(text):
         return [text[a:e] for a, _, e in secrets.guess_spans(text, secrets.base_spans(text), 9.0)]
@@ -302,6 +360,19 @@ def test_quality(spark, odd):
     assert sum(p == y for p, y in held) / len(held) > 0.95
     empty = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.score(odd, quality.fit(odd, empty)).collect()} == {0.5}
+    # the same discriminant from the labelled rows at once, by inverse covariances
+    learnt = [(quality.statistics(r.text), labels[r.doc_id]) for r in df.collect() if r.doc_id in labels and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    x, y = np.array([v for v, _ in learnt]), np.array([v for _, v in learnt])
+    covs = [np.cov(x[y == c].T, bias=True) for c in range(2)]
+    pooled = np.diag(sum(np.diag(covs[c]) * (y == c).mean() for c in range(2)))
+    score = {r.doc_id: r.score for r in rows}
+    for r in df.collect():
+        logs = []
+        for c in range(2):
+            cov = 0.9 * covs[c] + 0.1 * pooled + 1e-4 * np.eye(x.shape[1])
+            gap = quality.statistics(r.text) - x[y == c].mean(axis=0)
+            logs.append(math.log((y == c).mean()) - np.linalg.slogdet(cov)[1] / 2 - gap @ np.linalg.inv(cov) @ gap / 2)
+        assert score[r.doc_id] == pytest.approx(1 / (1 + math.exp(min(500, logs[0] - logs[1]))), abs=1e-9)
     model = quality.fit(df, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
     scored = quality.score(odd, model)
     assert scored.columns == ["doc_id", "text", "score"] and scored.count() == len(ODD)
