@@ -79,7 +79,10 @@ TW_COUNTIES = (
     "台北市", "臺北市", "新北市", "桃園市", "台中市", "臺中市", "台南市", "臺南市", "高雄市", "基隆市", "新竹市", "新竹縣", "苗栗縣", "彰化縣", "南投縣", "雲林縣",
     "嘉義市", "嘉義縣", "屏東縣", "宜蘭縣", "花蓮縣", "台東縣", "臺東縣", "澎湖縣", "金門縣", "連江縣",
 )
-TW_LATIN = ("taipei", "new taipei", *(p for p in COUNTRIES["tw"].places[25:]))
+TW_LATIN = (
+    "taipei", "new taipei", "taoyuan", "taichung", "tainan", "kaohsiung", "keelung", "hsinchu", "chiayi", "miaoli", "changhua", "nantou", "yunlin",
+    "pingtung", "yilan", "hualien", "taitung", "penghu", "kinmen", "matsu",
+)
 #: Metropolitan postcodes: state, first, last (inclusive).
 METRO_RANGES = (
     ("NSW", 2000, 2234), ("NSW", 2250, 2310), ("NSW", 2500, 2530), ("ACT", 2600, 2620), ("ACT", 2900, 2920), ("VIC", 3000, 3207), ("VIC", 3211, 3220),
@@ -99,7 +102,7 @@ def in_country(address: Column, country: str) -> Column:
     for w in c.starts:
         out = out | low.startswith(w)
     if c.pattern:
-        out = out | (low.rlike(c.pattern) & (~low.contains(c.unless) if c.unless else F.lit(True)))
+        out = out | (low.rlike("(?U)" + c.pattern) & (~low.contains(c.unless) if c.unless else F.lit(True)))
     return out & (low != "")
 
 
@@ -128,7 +131,7 @@ def parse_address(address: Column, country: str) -> Column:
     text = F.coalesce(address, F.lit(""))
     if country == "sk":
         region = F.coalesce(*[F.when(F.lower(text).contains(r.lower()), F.lit(r)) for r in SK_REGIONS], F.lit(""))
-        post = F.coalesce(F.nullif(F.regexp_extract(text, r"\b\d{3}\s?\d{2}\b", 0), F.lit("")), F.lit(""))
+        post = F.coalesce(F.nullif(F.regexp_extract(text, r"(?U)\b\d{3}\s?\d{2}\b", 0), F.lit("")), F.lit(""))
         out = (F.when(region == "", "SK").otherwise(region), F.when(region == "", "Slovakia").otherwise(region), post)
     elif country == "tw":
         bare = F.trim(F.regexp_replace(text, "Taiwan|taiwan|台灣|臺灣", ""))
@@ -136,7 +139,7 @@ def parse_address(address: Column, country: str) -> Column:
         latin = F.initcap(F.regexp_extract(text, r"(?i)\b(" + "|".join(TW_LATIN) + r")\b", 0))
         city = F.when(native != "", native).otherwise(latin)
         district = F.regexp_extract(bare, r"([^\s,]{2,5}(區|鄉|鎮|市))", 0)
-        out = (F.when(district != "", district).otherwise(city), F.when(city != "", city).otherwise("TW"), F.regexp_extract(text, r"\b\d{3,6}\b", 0))
+        out = (F.when(district != "", district).otherwise(city), F.when(city != "", city).otherwise("TW"), F.regexp_extract(text, r"(?U)\b\d{3,6}\b", 0))
     else:
         for suffix in c.suffixes:
             text = F.trim(F.regexp_replace(text, rf"(?iu),\s*{suffix}\s*$", ""))
@@ -152,7 +155,7 @@ def parse_address(address: Column, country: str) -> Column:
             none = F.lit(None).cast("string")
             out = (F.when(hit, before).otherwise(second), F.when(hit, state).when(some, "").otherwise(none), F.when(hit, post).when(some, "").otherwise(none))
         else:
-            forms = {"nz": [r"\b(\d{4})$"], "lv": [r"(?i)\bLV-\d{4}\b", r"\b(\d{4})$"], "gr": [r"\b\d{3}\s?\d{2}\b"], "pt": [r"\b\d{4}-\d{3}\b"]}[country]
+            forms = {"nz": [r"(?U)\b(\d{4})$"], "lv": [r"(?iU)\bLV-\d{4}\b", r"(?U)\b(\d{4})$"], "gr": [r"(?U)\b\d{3}\s?\d{2}\b"], "pt": [r"(?U)\b\d{4}-\d{3}\b"]}[country]
             suburb = F.coalesce(_part(text, 2), _part(text, 1))
             post = F.lit("")
             for k, pattern in reversed(list(enumerate(forms))):

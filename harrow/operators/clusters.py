@@ -4,23 +4,41 @@ from __future__ import annotations
 
 import numpy as np
 from harrow.functions.places import EARTH_KM, haversine_km
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import _written
+from .dedup import _written, gone
 
 
-def _cells(df: DataFrame, radius_km: float) -> DataFrame:
-    """df with a latitude band of at least one radius, so that places in reach are in the same or a neighbouring band."""
+def _cell(band: Column, lng: Column, radius_km: float) -> tuple[Column, Column]:
+    """(longitude cell in a latitude band, number of cells of that band): a cell is as wide as the radius reaches there.
+
+    The width is taken at the highest latitude that a place of the band or one in reach of it can have; near a pole
+    the band is one cell.
+    """
     step = radius_km / (EARTH_KM * np.pi / 180)
-    return df.withColumn("band", F.floor(F.col("lat") / F.lit(step)).cast("long"))
+    high = F.radians((F.greatest(F.abs(band), F.abs(band + 1)) + 1) * F.lit(step))
+    ratio = F.lit(float(np.sin(radius_km / EARTH_KM / 2))) / F.cos(high)
+    wide = F.when((high < np.pi / 2) & (ratio < 1), F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0))))).otherwise(F.lit(360.0))
+    n = F.greatest(F.lit(1), F.floor(F.lit(360.0) / (wide * 1.000001))).cast("long")
+    return F.floor(F.pmod(lng, F.lit(360.0)) * n / 360).cast("long"), n
 
 
 def within(df: DataFrame, radius_km: float, row_id: str = "id") -> DataFrame:
-    """Pairs (earlier, later) of places at most radius_km apart, by an equi-join on latitude bands."""
-    a = _cells(df, radius_km).select(F.col(row_id).alias("earlier"), F.col("lat").alias("la"), F.col("lng").alias("ga"), F.explode(F.expr("array(band - 1, band, band + 1)")).alias("band"))
-    b = _cells(df, radius_km).select(F.col(row_id).alias("later"), F.col("lat").alias("lb"), F.col("lng").alias("gb"), "band")
-    pairs = a.join(b, "band").where("earlier < later")
+    """Pairs (earlier, later) of places at most radius_km apart, by an equi-join on latitude bands and longitude cells.
+
+    A place meets those of its own and the neighbouring bands and cells; cells wrap around at 360 degrees. All of a cell is
+    near by, so a crowded one gives many pairs but few that are thrown away, and skew-join handling splits it.
+    """
+    step = radius_km / (EARTH_KM * np.pi / 180)
+    bands = df.withColumn("_band", F.floor(F.col("lat") / F.lit(step)).cast("long"))
+    a = bands.select(F.col(row_id).alias("earlier"), F.col("lat").alias("la"), F.col("lng").alias("ga"), F.explode(F.expr("array(_band - 1, _band, _band + 1)")).alias("band"))
+    at, n = _cell(F.col("band"), F.col("ga"), radius_km)
+    a = a.withColumn("_at", at).withColumn("_n", n)
+    a = a.withColumn("cell", F.explode(F.expr("array_distinct(transform(array(-1, 0, 1), d -> pmod(_at + d, _n)))"))).drop("_at", "_n")
+    b = bands.select(F.col(row_id).alias("later"), F.col("lat").alias("lb"), F.col("lng").alias("gb"), F.col("_band").alias("band"))
+    at, n = _cell(F.col("band"), F.col("gb"), radius_km)
+    pairs = a.join(b.withColumn("cell", F.pmod(at, n)), ["band", "cell"]).where("earlier < later")
     return pairs.where(haversine_km(F.col("la"), F.col("ga"), F.col("lb"), F.col("gb")) <= radius_km).select("earlier", "later")
 
 
@@ -39,7 +57,8 @@ def leader_clusters(df: DataFrame, radius_km: float, row_id: str = "id") -> Data
         nxt = state.join(before, "id", "left").select(
             "id", F.coalesce("is_centre", F.when(F.coalesce("some", F.lit(False)), F.lit(False)).when(~F.coalesce("open", F.lit(False)), F.lit(True))).alias("is_centre")
         )
-        state = _written(nxt)
+        last, state = state, _written(nxt)
+        gone(last)
         if state.where("is_centre is null").isEmpty():
             break
     centres = state.where("is_centre").select(F.col("id").alias("earlier"))

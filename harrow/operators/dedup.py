@@ -5,17 +5,34 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode without it a temporary one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (root or "file://" + tempfile.gettempdir()).rstrip("/")
+
+
 def _written(df: DataFrame) -> DataFrame:
     """df written to the folder that driver and executors share, and read again."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    path = f"{root.rstrip('/')}/rounds/{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/rounds/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def gone(*frames: DataFrame) -> None:
+    """Delete what _written() wrote, once nothing reads it."""
+    for df in frames:
+        if path := getattr(df, "_written_to", None):
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def first_of_equal_rows(df: DataFrame, columns: list[str], row_id: str) -> DataFrame:
@@ -41,8 +58,8 @@ def greedy_two_key(df: DataFrame, first: str, second: str, position: str) -> Dat
 
     Rows with the first key come before those without; among equals `position` decides; blank keys clash with nothing. A
     row beaten only by rows that are dropped themselves stays. Solved in rounds: a live row that is the earliest of both
-    its groups is kept, rows sharing a key with it go, until none is live; each round is a few aggregations and joins, and
-    what is left is written between rounds.
+    its groups is kept, rows sharing a key with it go, until none is live; each round is a few aggregations and joins. Kept and
+    live rows are written, the round before is deleted; rounds are bounded by the longest chain of rows that beat each other.
     """
     live = df.withColumn("_o", F.struct((F.col(first) == "").cast("int").alias("late"), F.col(position).alias("at")))
     kept_all: DataFrame | None = None
@@ -52,12 +69,13 @@ def greedy_two_key(df: DataFrame, first: str, second: str, position: str) -> Dat
         seen = live.join(firsts, first, "left").join(seconds, second, "left")
         wins = (F.col("_m1").isNull() | (F.col("_m1") == F.col("_o"))) & (F.col("_m2").isNull() | (F.col("_m2") == F.col("_o")))
         marked = _written(seen.withColumn("_wins", wins).select(*live.columns, "_wins"))
-        kept = marked.where("_wins").drop("_wins")
+        kept = _written(marked.where("_wins").drop("_wins"))
         kept_all = kept if kept_all is None else kept_all.unionByName(kept)
         left = marked.where("not _wins").drop("_wins")
         left = left.join(kept.where(F.col(first) != "").select(first).distinct(), first, "left_anti")
         left = left.join(kept.where(F.col(second) != "").select(second).distinct(), second, "left_anti")
-        live = _written(left.select(*live.columns))
+        last, live = live, _written(left.select(*live.columns))
+        gone(last, marked)
         if live.isEmpty():
             return kept_all.drop("_o")
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def open_grid(locations: DataFrame, keywords: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+def open_grid(locations: DataFrame, keywords: DataFrame, done: DataFrame, keys: list[str], parts: int = 64) -> DataFrame:
     """Every location with every keyword, less the finished ones, compared in lower case.
 
-    The grid of two small dimensions is a product by nature; it goes by a constant key so that it stays a hash join.
+    The grid of the two dimensions is a product by nature. Locations are dealt to `parts` keys, each of which has all keywords,
+    so that it is a hash join without a key that holds everything; Spark broadcasts a side where its size allows it.
     """
-    grid = locations.withColumn("_one", F.lit(1)).join(keywords.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    part = F.pmod(F.xxhash64(*locations.columns), F.lit(parts))
+    every = keywords.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
+    grid = locations.withColumn("_part", part).join(every, "_part").drop("_part")
     low = [F.lower(F.trim(F.col(k))).alias(f"_{k}") for k in keys]
     finished = done.select(*low).distinct()
     return grid.select("*", *low).join(finished, [f"_{k}" for k in keys], "left_anti").drop(*[f"_{k}" for k in keys])
@@ -61,12 +64,19 @@ def allowed(column: Column, values: tuple[str, ...], *, contains: bool = False,
 
 
 def in_ranges(df: DataFrame, value: Column, ranges: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Rows whose value lies in some range lo..hi of the (small) table, of the same `by` columns if given."""
+    """Rows whose value lies in some range lo..hi of the table, of the same `by` columns if given.
+
+    An equi-join on `by` and on stretches of the average range's width, to which a range is dealt, then the exact test.
+    """
+    width = ranges.agg(F.ceil(F.avg(F.col("hi") - F.col("lo") + 1)).cast("long")).first()[0] or 1
+    cell = lambda c: F.floor(c / F.lit(max(1, width))).cast("long")
+    dealt = ranges.where("lo <= hi").withColumn("_cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))))
     x = df.withColumn("_v", value)
-    on = (x["_v"] >= ranges["lo"]) & (x["_v"] <= ranges["hi"])
+    x = x.withColumn("_cell", cell(F.col("_v")))
+    on = (x["_cell"] == dealt["_cell"]) & (x["_v"] >= dealt["lo"]) & (x["_v"] <= dealt["hi"])
     for c in by or []:
-        on = on & (x[c] == ranges[c])
-    return x.join(F.broadcast(ranges), on, "left_semi").drop("_v")
+        on = on & (x[c] == dealt[c])
+    return x.join(dealt, on, "left_semi").drop("_v", "_cell")
 
 
 def without_contained(names: DataFrame, known: DataFrame, key: str, gram: int = 3) -> DataFrame:
@@ -100,8 +110,22 @@ def without_contained(names: DataFrame, known: DataFrame, key: str, gram: int =
 
 
 def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+    """The first row of each key by `order`, kept by partial aggregation, so no key is sorted as a whole."""
+    rest = [c for c in df.columns if c != key]
+    one = df.groupBy(key).agg(F.min(F.struct(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("o"), F.struct(*rest).alias("v"))).alias("_m"))
+    return one.select(*[F.col(key) if c == key else F.col(f"_m.v.{c}").alias(c) for c in df.columns])
+
+
+def repair_blanks(rows: DataFrame, found: DataFrame, key: str, column: str, mark: str = "·") -> DataFrame:
+    """rows whose blank `column` is taken from found(key, column) where they have a key: the first value, by text, that isn't blank.
+
+    Values lose `mark` and blanks around them; cells that are filled stay as they are, so do rows without a value.
+    """
+    value = F.trim(F.replace(F.trim(F.coalesce(F.col(column), F.lit(""))), F.lit(mark), F.lit("")))
+    got = found.select(key, value.alias("_v")).where(f"_v <> '' and trim({key}) <> ''").groupBy(key).agg(F.min("_v").alias("_v"))
+    blank = F.trim(F.coalesce(F.col(column), F.lit(""))) == ""
+    out = rows.join(got, key, "left").withColumn(column, F.when(blank & F.col("_v").isNotNull(), F.col("_v")).otherwise(F.col(column)))
+    return out.select(*rows.columns)
 
 
 def dependents(left: DataFrame, right: DataFrame, key: str, value: str, *, missing: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from harrow.operators import clusters, dedup, joins, leads
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .variants import CLEANING, FORMATTING, GRIDS, TEMPLATE
+from .variants import CLEANING, FORMATTING, GRIDS, LISTINGS, SEARCH_URL, TEMPLATE
 
 
 def cell(df: DataFrame, *names: str) -> Column:
@@ -57,6 +57,8 @@ def format_leads(rows: DataFrame, variant: str, row_id: str = "row_id") -> DataF
         phone = text.phone_prefixed(F.col("_phone"))
     if v.lookup == "first":
         df = df.withColumn("Category", joins.translate_first(F.col("_category"), v.table, v.default))
+    elif v.lookup == "constant":
+        df = df.withColumn("Category", F.lit(v.default))
     elif v.table:
         df = joins.translate(df, "_category", v.table, "Category", lower=v.lookup == "lower", default=v.default, suffix=v.suffix)
     else:
@@ -100,8 +102,30 @@ def location_grid(rows: DataFrame, country: str, metro: DataFrame | None = None)
     return clusters.centres_with_names(df, radius, zoom)
 
 
-def check_listings(rows: DataFrame, country: str) -> DataFrame:
-    """Listings that name themselves, lie in the country by address and, where the link has coordinates, by its box."""
+def searches(locations: DataFrame, variant: str, done: DataFrame) -> DataFrame:
+    """Every place of a location table (state, name, lat, lng, zoom) with every keyword of a listing variant, less the finished ones.
+
+    Adds keyword, Search_Query and the address of the search. done has (location, state, keyword) in lower case.
+    """
+    v = LISTINGS[variant]
+    words = locations.sparkSession.createDataFrame([(k,) for k in v.keywords], "keyword string")
+    grid = joins.open_grid(locations.withColumn("location", F.col("name")), words, done, ["location", "state", "keyword"]).drop("location")
+    at = [F.col("name"), *([F.col("state")] if v.state else []), F.lit(v.country)]
+    coded = F.replace(F.replace(F.url_encode("keyword"), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    where = F.concat(F.col("lat").cast("string"), F.lit(","), F.col("lng").cast("string"), F.lit(","), F.col("zoom").cast("string"))
+    return grid.withColumn("Search_Query", F.concat(F.col("keyword"), F.lit(" in "), F.concat_ws(", ", *at))).withColumn(
+        "search_url", F.concat(F.lit(SEARCH_URL), coded, F.lit("/@"), where, F.lit(f"z?hl={v.language}"))
+    )
+
+
+def check_listings(rows: DataFrame, country: str, variant: str | None = None) -> DataFrame:
+    """Listings that name themselves, lie in the country by address and, where the link has coordinates, by its box.
+
+    With a listing variant, their Category has to pass its check as well.
+    """
+    v = LISTINGS[variant] if variant else None
+    if v and v.categories:
+        rows = rows.where(joins.allowed(F.col("Category"), v.categories, contains=v.contains, lower=v.lower, blank=v.blank))
     at = places.link_coordinates(F.col("URL"))
     df = rows.withColumns({"_at": at, "place": places.place_key(F.col("URL")), "_a": places.parse_address(F.col("Address"), country)})
     df = df.where((F.trim(text.blank(F.col("Name"))) != "") & places.in_country(F.col("Address"), country))
@@ -110,6 +134,12 @@ def check_listings(rows: DataFrame, country: str) -> DataFrame:
     return df.withColumns({"suburb": text.blank(F.col("_a.suburb")), "state": state, "postcode": text.blank(F.col("_a.postcode"))}).drop("_at", "_a")
 
 
+def registry_rows(links: DataFrame, details: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, open): companies of list pages (name, href, ...) with the details of their own page, and those still without any."""
+    some = details.withColumn("_some", F.lit(True))
+    return joins.dependents(links, some, "href", "_some").drop("_some"), joins.dependents(links, some, "href", "_some", missing=True)
+
+
 def page_emails(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Addresses of a page: mailto links and visible text, sorted and joined; and its social links."""
     found = F.array_sort(F.array_union(emails.mailto(F.col(html)), emails.extract(web.strip_tags(F.col(html)))))

@@ -7,16 +7,17 @@ same arithmetic on both sides.
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from harrow.functions import documents, emails, places, text, web
 from harrow.operators import clusters, dedup, filters, joins, leads
+from harrow.sources import pages as fetched
 from harrow.streaming import resume
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .variants import PT_HOTELS
+from . import jobs
+from .variants import FORMATTING, LISTINGS, PT_HOTELS, SEARCH_URL, SK_AGENCIES
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -318,8 +319,7 @@ def template_project(spark, sf_dir):
 @query("SELECT DISTINCT user_id FROM events")
 def incremental_resume(spark, sf_dir):
     """Streaming: one run over all event files, then another that must add nothing."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    at = f"{root.rstrip('/')}/resume/{uuid.uuid4().hex}"
+    at = f"{dedup.shared_root(spark)}/resume/{uuid.uuid4().hex}"
     schema = "user_id long"
     for _ in range(2):
         resume.run_new(spark, f"{sf_dir}/events.parquet*", schema, "user_id", f"{at}/out", f"{at}/state")
@@ -410,6 +410,139 @@ def numbers_and_titles(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", text.number(rating).alias("rating"), text.first_integer(reviews).alias("reviews"), text.title_case(name).alias("titled"))
 
 
+@query("""WITH r AS (SELECT p_partkey, 'u' || p_partkey % 300 AS url, CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE p_type END AS category FROM part),
+f AS (SELECT 'u' || s_suppkey AS url, min(CASE WHEN s_suppkey % 4 > 0 THEN s_name END) AS v FROM supplier GROUP BY 1)
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 AND v IS NOT NULL THEN v ELSE category END AS category FROM r LEFT JOIN f USING (url)""")
+def category_repair(spark, sf_dir):
+    k = F.col("p_partkey")
+    rows = t(spark, sf_dir, "part").select(k, F.concat(F.lit("u"), (k % 300).cast("string")).alias("url"), F.when(k % 3 == 0, " ").otherwise(F.col("p_type")).alias("category"))
+    found = F.when(F.col("s_suppkey") % 4 > 0, F.concat(F.lit("· "), F.col("s_name"), F.lit(" "))).otherwise(" · ")
+    s = t(spark, sf_dir, "supplier").select(F.concat(F.lit("u"), F.col("s_suppkey").cast("string")).alias("url"), found.alias("category"))
+    return joins.repair_blanks(rows, s, "url", "category").select("p_partkey", "category")
+
+
+@query(f"""WITH l AS (SELECT 'ST' AS state, n_name AS name, n_nationkey * 1.5::DOUBLE - 10 AS lat, n_nationkey + 0.25::DOUBLE AS lng, 11 AS zoom, n_regionkey FROM nation),
+g AS (SELECT *, unnest([{_quoted(LISTINGS['au_builders'].keywords)}]) AS keyword FROM l)
+SELECT name, keyword, keyword || ' in ' || name || ', Australia' AS query, '{SEARCH_URL}' || replace(keyword, ' ', '+') || '/@' || lat || ',' || lng || ',11z?hl=en' AS url
+FROM g WHERE NOT (n_regionkey = 1 AND keyword IN ('Contractor', 'Home builder'))""")
+def search_grid(spark, sf_dir):
+    k, n = F.col("n_nationkey"), t(spark, sf_dir, "nation")
+    places_ = n.select(F.lit("ST").alias("state"), F.col("n_name").alias("name"), (k * 1.5 - 10).alias("lat"), (k + 0.25).alias("lng"), F.lit(11).alias("zoom"))
+    done = n.where("n_regionkey = 1").select(F.lower("n_name").alias("location"), F.lit("st").alias("state"), F.explode(F.array(F.lit("contractor"), F.lit("home builder"))).alias("keyword"))
+    out = jobs.searches(places_, "au_builders", done)
+    return out.select("name", "keyword", F.col("Search_Query").alias("query"), F.col("search_url").alias("url"))
+
+
+_FORMS = {
+    "nz": ("k || ' Queen St, Ponsonby, Auckland ' || p || ', New Zealand'", "'Auckland'", "'NZ'", "p"),
+    "lv": ("k || ' iela, Rīga, LV-' || p || ', Latvia'", "'Rīga'", "'LV'", "'LV-' || p"),
+    "gr": ("'Odos A, Patra 262 ' || right(p, 2) || ', Greece'", "'Patra'", "'GR'", "'262 ' || right(p, 2)"),
+    "pt": ("'Rua ' || k || ', Porto ' || p || '-' || right(p, 3) || ', Portugal'", "'Porto'", "'PT'", "p || '-' || right(p, 3)"),
+    "sk": ("'Ulica ' || k || ', 811 ' || right(p, 2) || ' Bratislava, Slovakia'", "'Bratislava'", "'Bratislava'", "'811 ' || right(p, 2)"),
+    "tw": ("left(p, 3) || ' 台灣台北市中正區路' || k || '號'", "'台北市中正區'", "'台北市'", "left(p, 3)"),
+    "au_loose": ("k || ' King St, Perth, WA ' || p || ', Australia'", "'Perth'", "'WA'", "p"),
+}
+_CASE = lambda at: "CASE c_custkey % 7 " + " ".join(f"WHEN {i} THEN {f[at]}" for i, f in enumerate(_FORMS.values())) + " END"
+_KP = "SELECT c_custkey, c_custkey::VARCHAR AS k, (1000 + c_custkey % 9000)::VARCHAR AS p FROM customer"
+
+
+@query(f"""SELECT c_custkey, true AS inside, {_CASE(1)} AS suburb, {_CASE(2)} AS state, {_CASE(3)} AS postcode FROM ({_KP})""")
+def address_forms(spark, sf_dir):
+    """One address form of each of seven countries, by key."""
+    c = t(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("k"), (1000 + F.col("c_custkey") % 9000).cast("string").alias("p"))
+    c = c.withColumn("a", F.expr(_CASE(0)))
+    own = lambda f: F.coalesce(*[F.when(F.col("c_custkey") % 7 == i, f(n)) for i, n in enumerate(_FORMS)])
+    inside, parsed = own(lambda n: places.in_country(F.col("a"), n)), own(lambda n: places.parse_address(F.col("a"), n))
+    return c.select("c_custkey", inside.alias("inside"), parsed.alias("x")).select("c_custkey", "inside", "x.*")
+
+
+@query("""SELECT c_custkey, ['0', '', '', '', '0', '0'][c_custkey % 6 + 1] || c_custkey AS key FROM customer""")
+def phone_rules_by_country(spark, sf_dir):
+    rules, codes = ("au", "au_bare", "lv", "pt", "sk", "tw"), ("61", "61", "371", "351", "421", "886")
+    k = F.col("c_custkey")
+    raw = F.concat(F.lit("+"), F.element_at(F.array(*map(F.lit, codes)), (k % 6 + 1).cast("int")), F.lit(" "), k.cast("string"))
+    c = t(spark, sf_dir, "customer").select(k, raw.alias("raw"))
+    return c.select("c_custkey", F.coalesce(*[F.when(k % 6 == i, text.phone_key(F.col("raw"), r)) for i, r in enumerate(rules)]).alias("key"))
+
+
+_GREEK_LOCALS, _GREEK_HOSTS = ("info", "joe", "gemi", "support", "hr.jobs", "mail", "noreply"), ("chamber.gr", "otenet.gr", "acme.gr", "gmail.com", "gemi.gr")
+_GREEK_PICKS = ((3, 5), (1, 1), (5, 2))
+
+
+def _greek_cell(sql: bool):
+    if sql:
+        return "[" + ", ".join(f"[{_quoted(_GREEK_LOCALS)}][(c_custkey * {a} % 7 + 1)::INT] || '@' || [{_quoted(_GREEK_HOSTS)}][(c_custkey * {b} % 5 + 1)::INT]" for a, b in _GREEK_PICKS) + "]"
+    pick = lambda words, m: F.element_at(F.array(*map(F.lit, words)), (F.col("c_custkey") * m % len(words) + 1).cast("int"))
+    return F.concat_ws(" ", *[F.concat(pick(_GREEK_LOCALS, a), F.lit("@"), pick(_GREEK_HOSTS, b)) for a, b in _GREEK_PICKS])
+
+
+def _best_sql(name: str) -> str:
+    """The best candidate under a variant's rules; '' where all are thrown out."""
+    r = FORMATTING[name].rules
+    has = lambda words, *cells: f"len(list_filter([{_quoted(words)}], lambda w: {' OR '.join(f'contains({c}, w)' for c in cells)})) > 0"
+    whole = "e" if r.discard == "address" else "dom"
+    points = f"""CASE WHEN dom IN ({_GENERIC}) THEN 0 ELSE 10 END + CASE WHEN {has(r.prefixes, 'loc')} THEN 5 ELSE 0 END - CASE WHEN {has(r.bad, 'loc', 'dom')} THEN 20 ELSE 0 END
+      - CASE WHEN {has(emails.OLD_PROVIDERS, whole)} THEN {r.penalty} ELSE 0 END"""
+    kept = f"WHERE NOT ({has(emails.REGISTRY_WORDS, whole)})" if r.discard else ""
+    return f"SELECT c_custkey, '{name}' AS rules, e, row_number() OVER (PARTITION BY c_custkey ORDER BY ({points})::DOUBLE - length(e) * 0.01::DOUBLE DESC, i) AS k FROM s {kept}"
+
+
+_RULES = ("gr_farms", "gr_brokers", "lv_metal")
+
+
+@query(f"""WITH c AS (SELECT c_custkey, {_greek_cell(True)} AS es FROM customer), u AS (SELECT c_custkey, generate_subscripts(es, 1) AS i, unnest(es) AS e FROM c),
+s AS (SELECT *, split_part(e, '@', 1) AS loc, split_part(e, '@', 2) AS dom FROM u),
+b AS ({' UNION ALL '.join(_best_sql(r) for r in _RULES)})
+SELECT c_custkey, rule AS rules, coalesce(e, '') AS best_email FROM (SELECT c_custkey, unnest([{_quoted(_RULES)}]) AS rule FROM customer) x
+LEFT JOIN (SELECT c_custkey AS ck, rules AS rr, e FROM b WHERE k = 1) y ON ck = c_custkey AND rr = rule""")
+def email_rule_variants(spark, sf_dir):
+    c = t(spark, sf_dir, "customer").select("c_custkey", _greek_cell(False).alias("cell"))
+    each = F.array(*[F.struct(F.lit(r).alias("rules"), emails.best(F.col("cell"), FORMATTING[r].rules).alias("best_email")) for r in _RULES])
+    return c.select("c_custkey", F.explode(each).alias("x")).select("c_custkey", "x.*")
+
+
+@query("""SELECT event_id, array_to_string(list_sort(list_distinct([event_id::VARCHAR, 's' || event_id % 7, 't', 'u' || event_id % 3])), ',') AS found FROM events""")
+def json_nested_search(spark, sf_dir):
+    """Nesting, lists, a matching key in capitals, and an object right under a matching key, which isn't entered."""
+    e = F.col("event_id").cast("string")
+    parts = [
+        F.lit('{"a": [{"k": '), e, F.lit(', "x": {"k": " s'), (F.col("event_id") % 7).cast("string"), F.lit(' "}}, 2], "kk": {"k": 5, "y": [1]}, "K": ["t", "", {"k": "u'),
+        (F.col("event_id") % 3).cast("string"), F.lit('"}]}'),
+    ]
+    return t(spark, sf_dir, "events").select("event_id", F.array_join(documents.values_by_key(F.concat(*parts), ("k",)), ",").alias("found"))
+
+
+@query("""SELECT c_custkey, o_orderkey FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F'""")
+def details_of_rows(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", F.when(F.col("o_orderstatus") == "F", F.lit("F")).alias("status"))
+    return joins.dependents(t(spark, sf_dir, "customer").select("c_custkey"), o, "c_custkey", "status").select("c_custkey", "o_orderkey")
+
+
+_CELLS = (*SK_AGENCIES, "sprostredkovanie práce", "")
+
+
+@query(f"""WITH c AS (SELECT p_partkey, [{_quoted(_CELLS)}][p_partkey % {len(_CELLS)} + 1] AS cell FROM part)
+SELECT p_partkey, cell IN ({_quoted(SK_AGENCIES)}) OR cell = '' AS cleaned, cell IN ({_quoted(SK_AGENCIES)}) AS listed,
+CASE cell {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in SK_AGENCIES.items())} ELSE cell END AS shown FROM c""")
+def category_case_sensitive(spark, sf_dir):
+    cell = F.element_at(F.array(*map(F.lit, _CELLS)), (F.col("p_partkey") % len(_CELLS) + 1).cast("int"))
+    df = joins.translate(t(spark, sf_dir, "part").select("p_partkey", cell.alias("cell")), "cell", SK_AGENCIES, "shown")
+    flag = lambda blank: joins.allowed(F.col("cell"), tuple(SK_AGENCIES), lower=False, blank=blank)
+    return df.select("p_partkey", flag(True).alias("cleaned"), flag(False).alias("listed"), "shown")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'b' || c_custkey || '@x.tw' ELSE '' END AS email, 'en' || c_custkey % 5 AS other_language,
+'work ' || c_custkey AS job, 'pay' AS conditions FROM customer""")
+def employer_page_fields(spark, sf_dir):
+    k = F.col("c_custkey").cast("string")
+    mail = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("<span>業務聯繫信箱：a@x.tw</span><span> 業務聯繫信箱： b"), k, F.lit("@x.tw</span>"))).otherwise("")
+    html = F.concat(
+        F.lit('<div class="text-top-info">'), mail, F.lit("<span>希望外國人其它語言：<b>en"), (F.col("c_custkey") % 5).cast("string"), F.lit("</b></span></div>"),
+        F.lit('<div class="x text-con">工作內容：work '), k, F.lit('</div><div class="text-con">勞動條件：pay</div>'),
+    )
+    return fetched.employer_details(t(spark, sf_dir, "customer").select("c_custkey", html.alias("html")), "c_custkey")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best e-mail of every document, its score and tier by score: documents without an address stay."""
     e = F.array_join(emails.extract(F.col("text")), ", ")

@@ -107,12 +107,6 @@ NZ_FARMS = (
     "christmas tree farm", "orchid farm", "orchid grower", "aquaculture farm", "fish farm", "seafood farm", "shrimp farm",
 )
 
-_TRADE = ("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager")
-_SERVICE = (*_TRADE, "service")
-_METAL = ("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries")
-_NO_SUPPORT = ("wix", "no-reply", "noreply", "test", "example", "domain")
-
-
 @dataclass(frozen=True)
 class Cleaning:
     """Category filter of the cleaning step; how cells are compared and whether blank ones pass. No values: no filter."""
@@ -133,7 +127,7 @@ class Formatting:
     closed: bool = True
     rank: tuple[str, ...] = ("Website", "Reviews_Count", "Rating")
     table: dict[str, str] = field(default_factory=dict)
-    lookup: str = "exact"  # exact, lower, first or none
+    lookup: str = "exact"  # exact, lower, first, constant (the default) or none (the cell as it is)
     default: str | None = None
     suffix: str = ""
     category: bool = True
@@ -160,37 +154,37 @@ FORMATTING = {
     "au_barbers": Formatting("au", lookup="none"),
     "nz_barbers": Formatting("nz", lookup="none"),
     "nz_farms": Formatting("nz", lookup="none"),
-    "au_cars": Formatting("au_bare", Rules((*_SERVICE, "repair", "auto", "car")), table=AU_CARS, lookup="lower", default="Gara sửa chữa ô tô", latin=True),
-    "au_builders": Formatting("au_bare", Rules((*_TRADE, "build", "builder", "construction")), table=AU_BUILDERS, lookup="lower"),
+    "au_cars": Formatting("au_bare", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "repair", "auto", "car")), table=AU_CARS, lookup="lower", default="Gara sửa chữa ô tô", latin=True),
+    "au_builders": Formatting("au_bare", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "build", "builder", "construction")), table=AU_BUILDERS, lookup="lower"),
     "gr_brokers": Formatting(
-        "gr", Rules.broker((*_SERVICE, "recruitment", "hr", "jobs", "careers")), "greek", table=GR_BROKERS, lookup="lower",
+        "gr", Rules.broker(("info", "contact", "office", "admin", "hello", "sales", "manager", "service", "enquiries", "recruitment", "hr", "jobs", "careers")), "greek", table=GR_BROKERS, lookup="lower",
         default="Môi giới lao động Hy Lạp", latin=True, digits=True,
     ),
     "gr_hotels": Formatting(
         "gr", Rules.registry(("info", "reservations", "reception", "contact", "office", "admin", "hello", "booking", "sales", "manager", "service", "enquiries")),
         "greek", table=GR_HOTELS, lookup="lower", suffix=" Hy Lạp",
     ),
-    "gr_farms": Formatting("gr", Rules.registry((*_SERVICE, "farm", "agri", "fish", "forest")), "greek", False, ("Link chi tiết",), lookup="none", columns=_REGISTRY),
-    "gr_builders": Formatting("gr", Rules.registry((*_SERVICE, "build", "builder", "construction")), "greek", False, ("Link chi tiết",), lookup="none", columns=_REGISTRY),
-    "gr_makers": Formatting("gr", Rules.registry((*_SERVICE, "factory", "manufacture", "production")), "greek", False, ("Link chi tiết",), lookup="none", columns=_REGISTRY),
-    "lv_builders": Formatting("lv", Rules((*_TRADE, "birojs", "recepts", "buve")), table=LV_BUILDERS, lookup="lower"),
-    "lv_fish": Formatting("lv", Rules((*_TRADE, "birojs", "recepts", "zivis", "zivju", "fish")), table=LV_FISH, lookup="lower", digits=True),
-    "lv_metal": Formatting("lv", Rules(_METAL, _NO_SUPPORT), rank=("Website", "Reviews_Count"), table=LV_METAL, lookup="first", default="Gia công kim loại"),
-    "lv_wood": Formatting("lv", Rules((*_METAL, "birojs"), _NO_SUPPORT), rank=("Website", "Reviews_Count"), table=LV_WOOD, lookup="first", default="Xưởng mộc"),
+    "gr_farms": Formatting("gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "farm", "agri", "fish", "forest")), "greek", False, ("Link chi tiết",), lookup="constant", default="Nông lâm thủy sản Hy Lạp", columns=_REGISTRY),
+    "gr_builders": Formatting("gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "build", "builder", "construction")), "greek", False, ("Link chi tiết",), lookup="constant", default="Xây dựng Hy Lạp", columns=_REGISTRY),
+    "gr_makers": Formatting("gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "factory", "manufacture", "production")), "greek", False, ("Link chi tiết",), lookup="constant", default="Sản xuất Hy Lạp", columns=_REGISTRY),
+    "lv_builders": Formatting("lv", Rules(("info", "hello", "contact", "birojs", "office", "admin", "sales", "recepts", "enquiries", "manager", "buve")), table=LV_BUILDERS, lookup="lower"),
+    "lv_fish": Formatting("lv", Rules(("info", "hello", "contact", "birojs", "office", "admin", "sales", "recepts", "enquiries", "manager", "zivis", "zivju", "fish")), table=LV_FISH, lookup="lower", digits=True),
+    "lv_metal": Formatting("lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries"), ("wix", "no-reply", "noreply", "test", "example", "domain")), rank=("Website", "Reviews_Count"), table=LV_METAL, lookup="first", default="Gia công kim loại"),
+    "lv_wood": Formatting("lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries", "birojs"), ("wix", "no-reply", "noreply", "test", "example", "domain")), rank=("Website", "Reviews_Count"), table=LV_WOOD, lookup="first", default="Xưởng mộc"),
     "lv_metal_members": Formatting(
-        "lv", Rules(_METAL, _NO_SUPPORT), closed=False, rank=("website",), lookup="none",
+        "lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries"), ("wix", "no-reply", "noreply", "test", "example", "domain")), closed=False, rank=("website",), lookup="constant", default="Hiệp hội Cơ khí - Gia công kim loại Latvia (MASOC)",
         columns={"Công ty": "name", "SĐT": "phone", "Liên Hệ": "website", "Địa chỉ": "address", "name": "name", "email": "email"},
     ),
     "pt_hotels": Formatting(
         "pt", Rules(("info", "reservas", "reservations", "recepcao", "reception", "contacto", "contact", "geral", "general", "booking", "admin", "office")),
         table=PT_HOTELS, lookup="lower",
     ),
-    "sk_agencies": Formatting("sk", Rules((*_SERVICE, "sk", "slovakia", "recruitment", "jobs")), "compact", table=SK_AGENCIES, digits=True),
-    "sk_factories": Formatting("sk", Rules((*_SERVICE, "sk", "slovakia", "factory", "mfg", "sklad")), "compact", table=SK_FACTORIES, digits=True),
-    "tw_builders": Formatting("tw", Rules((*_SERVICE, "tw", "taiwan", "build")), "compact", table=TW_BUILDERS, digits=True),
-    "tw_factories": Formatting("tw", Rules((*_SERVICE, "tw", "taiwan", "factory", "mfg")), "compact", table=TW_FACTORIES, digits=True),
+    "sk_agencies": Formatting("sk", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "sk", "slovakia", "recruitment", "jobs")), "compact", table=SK_AGENCIES, digits=True),
+    "sk_factories": Formatting("sk", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "sk", "slovakia", "factory", "mfg", "sklad")), "compact", table=SK_FACTORIES, digits=True),
+    "tw_builders": Formatting("tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "build")), "compact", table=TW_BUILDERS, digits=True),
+    "tw_factories": Formatting("tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "factory", "mfg")), "compact", table=TW_FACTORIES, digits=True),
     "tw_jobs": Formatting(
-        "tw", Rules((*_SERVICE, "tw", "taiwan", "hr")), "compact", False, ("Link chi tiết", "Số lượng tuyển (Quota)"), TW_JOBS, digits=True, broker_phone=True,
+        "tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "hr")), "compact", False, ("Link chi tiết", "Số lượng tuyển (Quota)"), TW_JOBS, digits=True, broker_phone=True,
         columns={
             "Công ty": "Tên chủ sử dụng", "SĐT": "SĐT chủ", "Liên Hệ": "Link chi tiết", "Địa chỉ": "Địa điểm làm việc",
             "Lương": "Điều kiện lao động (Lương/Ăn ở)", "Hạn tuyển": "Ngày hết hạn", "name": "Tên chủ sử dụng", "email": "Email liên hệ",
@@ -201,3 +195,95 @@ FORMATTING = {
 
 #: Radius in km and zoom of the location grids.
 GRIDS = {"au": (4.5, 13), "gr": (10.0, 11), "lv": (7.0, 11), "nz": (20.0, 11), "pt": (10.0, 11), "sk": (10.0, 11), "tw": (10.0, 11)}
+
+
+@dataclass(frozen=True)
+class Listing:
+    """A search: its keywords, the country it names (after the place and, if `state`, the state), the language, and the category check.
+
+    place is the key of the country's address rules; the check is as in Cleaning, without categories there is none.
+    """
+
+    keywords: tuple[str, ...]
+    country: str
+    language: str
+    place: str
+    state: bool = False
+    categories: tuple[str, ...] = ()
+    contains: bool = True
+    lower: bool = True
+    blank: bool = True
+
+
+LISTINGS = {
+    "au_nails": Listing(("nail salon",), "Australia", "en", "au", state=True),
+    "nz_nails": Listing(("nail salon",), "New Zealand", "en", "nz"),
+    "au_cars": Listing(
+        ("Auto repair shop", "Car repair and maintenance service", "Automobile manufacturer", "Car manufacturer"), "Australia", "en", "au_loose",
+        categories=tuple(AU_CARS), blank=False,
+    ),
+    "au_barbers": Listing(("barber shop",), "Australia", "en", "au", state=True),
+    "nz_barbers": Listing(("barber shop",), "New Zealand", "en", "nz"),
+    "gr_brokers": Listing(
+        ("Εταιρεία συμβουλευτικών υπηρεσιών ανθρώπινου δυναμικού", "Γραφείο εύρεσης προσωπικού", "Γραφείο απασχόλησης"), "Greece", "el", "gr",
+        categories=tuple(GR_BROKERS), blank=False,
+    ),
+    "au_builders": Listing(
+        ("Contractor", "Construction company", "Home builder", "Office refurbishment service", "Excavating contractor", "Custom home builder"),
+        "Australia", "en", "au_loose", categories=tuple(AU_BUILDERS),
+    ),
+    "lv_builders": Listing(
+        ("Celtniecības uzņēmums", "Demontāžas darbuzņēmējs", "Betonēšanas pakalpojumu sniedzējs", "Ceļu būves uzņēmums", "Būvuzņēmums"), "Latvia", "lv", "lv"
+    ),
+    "nz_farms": Listing(
+        ("Farm", "Orchard", "Crop grower", "Agricultural production", "Organic farm", "Vineyard", "Greenhouse", "Plant nursery", "Tree farm",
+         "Truck farmer", "Pick your own farm produce", "Dairy farm", "Cattle farm", "Livestock producer", "Pig farm", "Poultry farm", "Honey farm",
+         "Horsestable studfarm", "Christmas tree farm", "Orchid farm", "Orchid grower", "Aquaculture farm", "Fish farm", "Seafood farm", "Shrimp farm"),
+        "New Zealand", "en", "nz",
+    ),
+    "lv_fish": Listing(
+        ("Zivju apstrādes uzņēmums", "Konservu fabrika", "Zivju ferma", "Akvakultūras ferma", "Jūras velšu vairumtirgotājs"), "Latvia", "lv", "lv",
+        categories=("zivju apstrādes uzņēmums", "konservu fabrika", "zivju ferma", "akvakultūras ferma", "jūras velšu vairumtirgotājs"),
+    ),
+    "gr_hotels": Listing(
+        ("Ξενοδοχείο 5 αστέρων", "Κατ' οίκον φιλοξενία", "Ξενοδοχείο", "Ξενοδοχείο 4 αστέρων", "Ξενοδοχείο 3 αστέρων", "Ξενοδοχείο 2 αστέρων",
+         "Ξενοδοχείο 1 αστέρων", "Ξενοδοχείο παρατεταμένης διαμονής", "Χόστελ", "Μοτέλ"),
+        "Greece", "el", "gr", categories=tuple(GR_HOTELS),
+    ),
+    "pt_hotels": Listing(
+        ("Hospedaria", "Hotel de 3 estrelas", "Hotel", "Hotel de 5 estrelas", "Hotel de 4 estrelas", "Hotel Resort", "Hospedagem domiciliar",
+         "Hotel de 2 estrelas", "Albergue"),
+        "Portugal", "pt", "pt", categories=tuple(PT_HOTELS),
+    ),
+    "lv_metal": Listing(
+        ("Metāla darbnīca", "Metālapstrāde", "Metāla konstrukcijas", "Metāla izstrādājumu ražotājs", "Metāllūžņu sniedzējs"), "Latvia", "lv", "lv",
+        categories=tuple(LV_METAL),
+    ),
+    "sk_agencies": Listing(
+        ("Pracovná agentúra", "Personálne poradenstvo", "Agentúra pre sprostredkovanie práce", "Sprostredkovanie práce"), "Slovakia", "sk", "sk",
+        categories=tuple(SK_AGENCIES), contains=False, lower=False, blank=False,
+    ),
+    "sk_factories": Listing(
+        ("Strojná dielňa", "Výrobca autodielov", "Výrobca", "Dodávateľ železobetónových konštrukcií", "Chemický závod", "Továreň na automobily",
+         "Továreň na čokoládu", "Továreň na topánky", "Výrobca elektroniky", "Kovovýroba", "Dodávateľ výrobkov z plastu",
+         "Spoločnosť vyrábajúca plastové diely", "Služby vstrekovania plastov", "Dodávateľ výrobkov z gumy", "Výrobca batérií", "Sklad",
+         "Prenájom skladovacích priestorov"),
+        "Slovakia", "sk", "sk", categories=tuple(SK_FACTORIES), contains=False, lower=False, blank=False,
+    ),
+    "tw_builders": Listing(
+        ("建築公司", "房屋建造商", "工程外判商", "承包商", "自訂房屋建築商", "土木工程公司", "建築修復服務"), "Taiwan", "zh-TW", "tw",
+        categories=tuple(TW_BUILDERS), contains=False, lower=False, blank=False,
+    ),
+    "tw_factories": Listing(
+        ("工廠設備供應商", "家具製造商", "電子產品製造商", "電子零件供應商", "玩具製造商", "食品製造商", "食品調味料製造商", "冷凍食品製造商", "化學工廠", "化學品製造商",
+         "機械製造商", "機械廠", "機械零件製造商", "汽車零件製造商", "塑料製造公司", "塑膠製品供應商", "紡織廠", "紗廠", "服裝與布料製造商", "布產品製造商", "電池製造商",
+         "玻璃製造商", "玻璃纖維供應商", "鞋廠", "汽車工廠", "造紙廠", "半導體供應商", "橡膠製品供應商", "扣件供應商", "製造商", "電子公司"),
+        "Taiwan", "zh-TW", "tw", categories=tuple(TW_FACTORIES), contains=False, lower=False, blank=False,
+    ),
+    "lv_wood": Listing(
+        ("Galdniecība", "Mēbeļu izgatavotājs", "Galdnieks", "Kokmateriālu piegādātājs", "Kokzāģētava"), "Latvia", "lv", "lv",
+        categories=tuple(LV_WOOD),
+    ),
+}
+#: Address of a search: keyword, coordinates, zoom and language stand in it.
+SEARCH_URL = "https://www.google.com/maps/search/"

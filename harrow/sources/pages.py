@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from harrow.functions import web
 from harrow.operators.filters import has_cells
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from harrow.operators.joins import first_per_key
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,8 +26,7 @@ def _lateral(pages: DataFrame, html: str, function, key: str) -> DataFrame:
 def register_list(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """name, href, reg_no and status of every listed company; of one name the first by page counts."""
     rows = _lateral(pages, html, web.ListedCompanies, key)
-    w = Window.partitionBy("name").orderBy(key, "href")
-    return rows.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
+    return first_per_key(rows, "name", [F.col(key), F.col("href")])
 
 
 def register_details(pages: DataFrame, key: str = "href", html: str = "html") -> DataFrame:
@@ -60,3 +60,21 @@ def company_links(pages: DataFrame, key: str = "page_id", html: str = "html") ->
     links = pages.select(key, F.posexplode(web.anchors(F.col(html))).alias("pos", "a")).where(F.col("a.href").contains("/company/"))
     first = links.groupBy(F.col("a.href").alias("href")).agg(F.min(F.struct(key, "pos", F.col("a.label").alias("name"))).alias("m"))
     return first.select("m.name", "href", F.regexp_extract("href", r"/company/(\d+)", 1).alias("number"))
+
+
+# Labels of an employer's page and the columns they fill.
+EMPLOYER_LABELS = {"email": "業務聯繫信箱：", "other_language": "希望外國人其它語言：", "job": "工作內容：", "conditions": "勞動條件："}
+
+
+def employer_details(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
+    """email, other_language, job and conditions of employer pages: what stands beside a label in a span or a text block, the last one."""
+    body = F.coalesce(F.col(html), F.lit(""))
+    spans = F.regexp_extract_all(body, F.lit(r"(?is)<span\b[^>]*>(.*?)</span>"), F.lit(1))
+    blocks = F.regexp_extract_all(body, F.lit(r'(?is)class="[^"]*\btext-con\b[^"]*"[^>]*>(.*?)</(?:div|p|li|td)>'), F.lit(1))
+    own = {"email": spans, "other_language": spans, "job": blocks, "conditions": blocks}
+
+    def value(name: str, label: str) -> Column:
+        hit = F.filter(F.transform(own[name], web.strip_tags), lambda x: F.contains(x, F.lit(label)))
+        return F.coalesce(F.trim(F.replace(F.get(hit, F.size(hit) - 1), F.lit(label), F.lit(""))), F.lit(""))
+
+    return pages.select(key, *[value(n, w).alias(n) for n, w in EMPLOYER_LABELS.items()])

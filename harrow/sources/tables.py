@@ -43,18 +43,25 @@ def read_tsv(spark: SparkSession, path: str, least: int, picks: dict[int, str])
 
 
 def read_after_header(spark: SparkSession, path: str, header: str) -> DataFrame:
-    """A delimited file whose header line is found by its text; lines before it are skipped.
+    """A delimited file whose header line is found by its text; lines of the file up to it are skipped.
 
-    Lines keep their byte order by (file, offset): the header's own position is the one small value that is looked up.
+    Lines are read as splits of files, not files as a whole; `at` orders them: file, start of the split, number inside it. The
+    header's place, the first in each file, is joined to its lines.
     """
     names = tuple(re.split(r"\s*,\s*", header))
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
-    start = lines.where(F.trim("line") == header).agg(F.min("at").alias("start"))
-    body = lines.join(F.broadcast(start), F.col("at") > F.col("start")).where("line <> ''")
-    row = F.from_csv("line", strings(*names).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select(F.col("value").alias("text"), place.alias("at"))
+    start = lines.where(F.trim("text") == header).groupBy(F.col("at.file").alias("file")).agg(F.min("at").alias("start"))
+    body = lines.join(start, F.col("at.file") == F.col("file")).where((F.col("at") > F.col("start")) & (F.col("text") != ""))
+    row = F.from_csv("text", strings(*names).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
     return body.select("at", row.alias("r")).select("at", "r.*")
 
 
+def read_locations(spark: SparkSession, path: str) -> DataFrame:
+    """A location table (state, name, lat, lng, zoom) as write_dimension() leaves it, one row a centre."""
+    return spark.read.parquet(path).select("state", "name", F.col("lat").cast("double"), F.col("lng").cast("double"), F.col("zoom").cast("int")).distinct()
+
+
 def read_done(spark: SparkSession, path: str) -> DataFrame:
     """(location, state, keyword) triples of a progress file, in lower case."""
     df = spark.read.option("multiLine", True).schema("completed array<array<string>>").json(path)

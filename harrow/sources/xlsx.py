@@ -2,19 +2,23 @@
 
 spark.dataSource.register(XlsxSource); spark.read.format("xlsx").option("sheet", "Raw").option("startRow", 8).load(path)
 reads string cells col1..colN; df.write.format("xlsx").option("sheet", "Raw").save(path) writes one workbook a partition.
-Paths are files that driver and executors both see.
+Paths of the source are files that driver and executors both see; read_books() reads from any store that Spark reads.
 """
 
 from __future__ import annotations
 
+import io
 import os
 import re
 import uuid
 import zipfile
 from collections.abc import Iterator
+from typing import BinaryIO
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -37,7 +41,7 @@ def column_name(n: int) -> str:
     return out
 
 
-def read_rows(path: str, sheet: str, start: int) -> Iterator[tuple[int, dict[int, str]]]:
+def read_rows(path: str | BinaryIO, sheet: str, start: int) -> Iterator[tuple[int, dict[int, str]]]:
     """(row number, {column: text}) from row `start` on; the named sheet if there is one, else the active (first) one."""
     with zipfile.ZipFile(path) as z:
         shared = []
@@ -67,6 +71,26 @@ def read_rows(path: str, sheet: str, start: int) -> Iterator[tuple[int, dict[int
                     yield at, cells
 
 
+def read_books(spark: SparkSession, path: str, sheet: str = "", start: int = 1, cols: tuple[int, ...] = (1,)) -> DataFrame:
+    """Columns `cols` (col1..., as text) of the rows from `start` on of every workbook under path, a workbook a task at a time."""
+    names = [f"col{i}" for i in range(1, len(cols) + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for content in b.column(0):
+                rows = [[cells.get(c) for c in cols] for _, cells in read_rows(io.BytesIO(content.as_py()), sheet, start)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*rows) if rows else [()] * len(cols))], names)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ", ".join(f"{n} string" for n in names))
+
+
+def _local(path: str) -> str:
+    """A path on a file system that driver and executors mount; ValueError for other stores, which only Spark reaches."""
+    if re.match("[A-Za-z][A-Za-z0-9+.-]*:", path) and not path.startswith("file:"):
+        raise ValueError(f"the xlsx source needs a mounted folder, not {path}; read_books() reads other stores")
+    return re.sub("^file:/*", "/", path)
+
+
 class _File(InputPartition):
     def __init__(self, path: str) -> None:
         self.path = path
@@ -77,7 +101,7 @@ class _Reader(DataSourceReader):
         self.schema, self.options = schema, options
 
     def partitions(self) -> list[InputPartition]:
-        path = self.options["path"].removeprefix("file://")
+        path = _local(self.options["path"])
         if os.path.isdir(path):
             return [_File(os.path.join(path, f)) for f in sorted(os.listdir(path)) if f.endswith(".xlsx")]
         return [_File(path)]
@@ -93,16 +117,28 @@ class _Written(WriterCommitMessage):
         self.path = path
 
 
+# Fills of the header and of the tiers.
+FILLS = {"header": "D9E1F2", "HOT": "FFD8D8", "WARM": "FFF2CC", "COLD": "E2EFDA"}
 _STYLES = (
     '<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><fonts count="2"><font/><font><b/></font></fonts>'
-    '<fills count="3"><fill><patternFill patternType="none"/></fill><fill><patternFill patternType="gray125"/></fill><fill><patternFill '
-    'patternType="solid"><fgColor rgb="FFD9E1F2"/></patternFill></fill></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/>'
-    '</cellStyleXfs><cellXfs count="2"><xf/><xf fontId="1" fillId="2" applyFont="1" applyFill="1"/></cellXfs></styleSheet>'
-)
+    '<fills count="6"><fill><patternFill patternType="none"/></fill><fill><patternFill patternType="gray125"/></fill>'
+    + "".join(f'<fill><patternFill patternType="solid"><fgColor rgb="FF{c}"/></patternFill></fill>' for c in FILLS.values())
+    + '</fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="5"><xf/><xf fontId="1" fillId="2" applyFont="1" applyFill="1"/>'
+    + "".join(f'<xf fillId="{i}" applyFill="1"/>' for i in (3, 4, 5)) + "</cellXfs></styleSheet>"
+)
+
+
+def _style(tier: object) -> int:
+    """Cell style of a tier text: HOT, WARM or, for all else, COLD."""
+    return 2 if "HOT" in str(tier or "") else 3 if "WARM" in str(tier or "") else 4
+
 
+def write_book(path: str, sheet: str, header: list[str], rows: Iterator[tuple], tiers: str = "") -> None:
+    """One workbook with one sheet; the header row is bold on a light fill.
 
-def write_book(path: str, sheet: str, header: list[str], rows: Iterator[tuple]) -> None:
-    """One workbook with one sheet; the header row is bold on a light fill."""
+    With a column named `tiers`, its text colours the first two cells of each row.
+    """
+    by = header.index(tiers) if tiers in header else None
     cell = lambda r, c, v, s="": f'<c r="{column_name(c)}{r}" t="inlineStr"{s}><is><t xml:space="preserve">{escape(str(v))}</t></is></c>'
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         types = "http://schemas.openxmlformats.org/package/2006/content-types"
@@ -118,19 +154,20 @@ def write_book(path: str, sheet: str, header: list[str], rows: Iterator[tuple])
             f.write(f'<worksheet xmlns="{_MAIN[1:-1]}"><sheetData>'.encode())
             f.write(f'<row r="1">{"".join(cell(1, i, h, " s=" + chr(34) + "1" + chr(34)) for i, h in enumerate(header, 1))}</row>'.encode())
             for r, row in enumerate(rows, 2):
-                f.write(f'<row r="{r}">{"".join(cell(r, i, v) for i, v in enumerate(row, 1) if v is not None)}</row>'.encode())
+                own = f' s="{_style(row[by])}"' if by is not None else ""
+                f.write(f'<row r="{r}">{"".join(cell(r, i, v, own if i < 3 else "") for i, v in enumerate(row, 1) if v is not None)}</row>'.encode())
             f.write(b"</sheetData></worksheet>")
 
 
 class _Writer(DataSourceWriter):
     def __init__(self, schema: StructType, options: dict, overwrite: bool) -> None:
         self.names, self.options, self.overwrite = schema.names, options, overwrite
-        self.folder = options["path"].removeprefix("file://")
+        self.folder = _local(options["path"])
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
         os.makedirs(self.folder, exist_ok=True)
         path = os.path.join(self.folder, f".part-{uuid.uuid4().hex}.xlsx")
-        write_book(path, self.options.get("sheet", "Raw"), self.names, (tuple(r) for r in rows))
+        write_book(path, self.options.get("sheet", "Raw"), self.names, (tuple(r) for r in rows), self.options.get("tiers", ""))
         return _Written(path)
 
     def commit(self, messages: list) -> None:

@@ -1,10 +1,11 @@
 """Sources, sinks and whole jobs."""
 
 import json
+import zipfile
 
 import pytest
 from harrow.plans import jobs
-from harrow.plans.variants import CLEANING, FORMATTING, TEMPLATE
+from harrow.plans.variants import CLEANING, FORMATTING, LISTINGS, TEMPLATE
 from harrow.sources import pages as fetched
 from harrow.sources import tables, xlsx
 from harrow.streaming import resume
@@ -78,16 +79,89 @@ def test_format(spark):
     assert [(r["No."], r["Công ty"], r["Email"], r["SĐT"]) for r in out] == [(1, "bella  nails!", "info@b.nz", "'+64 9 2"), (2, "Other", "x@gmail.com", "'021")]
 
 
+#: Per variant: phone cell, how it is shown, category cell, how it is shown (None: no such column).
+CELLS = {
+    "nz_nails": ("+64 9 1", "'+64 9 1", "Nail salon", None),
+    "au_barbers": ("+61 2 9", "'+61 2 9", "Barber shop", "Barber shop"),
+    "nz_barbers": ("'+64 9", "'+64 9", "Barber shop", "Barber shop"),
+    "nz_farms": ("", "", "Orchard", "Orchard"),
+    "au_cars": ("+61 2 9", "'+61 2 9", "Car Factory", "Nhà máy sản xuất ô tô"),
+    "au_builders": ("+61 2 9", "'+61 2 9", "Home builder", "Nhà thầu xây dựng nhà ở"),
+    "gr_brokers": ("+30 210 1234567", "'2101234567", "Γραφείο απασχόλησης", "Văn phòng giới thiệu việc làm Hy Lạp"),
+    "gr_hotels": ("+30 210 1234567", "'+30 210 1234567", "Χόστελ", "Nhà nghỉ tập thể (Hostel) Hy Lạp"),
+    "gr_farms": ("210 1", "'210 1", "x", "Nông lâm thủy sản Hy Lạp"),
+    "gr_builders": ("210 1", "'210 1", "x", "Xây dựng Hy Lạp"),
+    "gr_makers": ("210 1", "'210 1", "x", "Sản xuất Hy Lạp"),
+    "lv_builders": ("+371 2", "'+371 2", "Būvuzņēmums", "Công ty xây dựng chung"),
+    "lv_fish": ("+371 2", "'2", "Zivju ferma", "Trại cá"),
+    "lv_metal": ("+371 2", "'+371 2", "Liela metāla darbnīca", "Xưởng gia công kim loại"),
+    "lv_wood": ("+371 2", "'+371 2", "kokzāģētava X", "Xưởng cưa gỗ"),
+    "lv_metal_members": ("+371 2", "'+371 2", "x", "Hiệp hội Cơ khí - Gia công kim loại Latvia (MASOC)"),
+    "pt_hotels": ("+351 2", "'+351 2", "Albergue", "Nhà trọ / Hostel"),
+    "sk_agencies": ("+421 5", "'05", "Sprostredkovanie práce", "Môi giới việc làm"),
+    "sk_factories": ("+421 5", "'05", "Sklad", "Kho bãi / Nhà kho"),
+    "tw_builders": ("+886 2", "'02", "承包商", "Nhà thầu"),
+    "tw_factories": ("+886 2", "'02", "紗廠", "Nhà máy kéo sợi"),
+    "tw_jobs": ("02-1", "'021", "製造工", "Lao động sản xuất / Chế tạo"),
+}
+
+
 @pytest.mark.parametrize("variant", sorted(FORMATTING))
 def test_every_variant_formats(spark, variant):
     v = FORMATTING[variant]
-    df = listing(spark, ROWS)
+    phone, shown, category, translated = CELLS[variant]
+    df = listing(spark, [(0, "Alpha", "a.b", phone, "1 St", "4", "9", category, "No", "joe@gmail.com info@acme.nz"), (1, "Alpha", "", "", "", "", "", category, "No", "")])
     if v.columns:
         named = {"name": "Name", "SĐT": "Phone", "Liên Hệ": "Website", "Địa chỉ": "Address", "email": "Email", "Category": "Category"}
         df = df.select("row_id", *[F.col(named[k]).alias(c) for k, c in v.columns.items() if k in named])
-    plan = jobs.format_leads(df, variant)
+    out = jobs.format_leads(df, variant)
     n = len(TEMPLATE) + v.latin + v.category + v.broker_phone
-    assert len(plan.columns) == n and n in (19, 20, 21)
+    assert len(out.columns) == n and n in (19, 20, 21)
+    (r,) = out.collect()
+    address = "1 St" if not v.columns or "Địa chỉ" in v.columns else ""
+    assert (r["No."], r["Công ty"], r["Email"], r["SĐT"], r["Liên Hệ"], r["Địa chỉ"]) == (1, "Alpha", "info@acme.nz", shown, "a.b", address)
+    assert (r["Category"] if v.category else None) == translated
+
+
+def test_a_constant_category_needs_no_column(spark):
+    df = spark.createDataFrame([], 'row_id long, `Tên công ty` string, Email string')
+    assert "Category" in jobs.format_leads(df, "gr_farms").columns and jobs.format_leads(df, "gr_farms").count() == 0
+
+
+@pytest.mark.parametrize("variant", ["au_cars", "gr_hotels", "gr_brokers", "sk_agencies", "tw_builders"])
+def test_listing_variants(spark, variant):
+    v = LISTINGS[variant]
+    address = {"au_loose": "1 King St, Perth, WA 6000, Australia", "gr": "Odos 1, Patra 262 21, Greece", "sk": "Ulica 1, 811 01 Bratislava, Slovakia", "tw": "100 台灣台北市中正區路1號"}[v.place]
+    first = v.categories[0]
+    rows = [("a", first), ("b", ""), ("c", "zzz"), ("d", f"x {first}")]
+    df = spark.createDataFrame([(n, address, "u", "", c) for n, c in rows], "Name string, Address string, URL string, State string, Category string")
+    got = {r.Name for r in jobs.check_listings(df, v.place, variant).collect()}
+    assert got == {"a"} | ({"b"} if v.blank else set()) | ({"d"} if v.contains else set())
+
+
+def test_searches_and_registry(spark, tmp_path):
+    grid = spark.createDataFrame([(0, "NSW", "O'Hara", -33.0, 151.0, 13, ["x"])], "id int, state string, name string, lat double, lng double, zoom int, covered array<string>")
+    tables.write_dimension(grid, str(tmp_path / "d"))
+    at = tables.read_locations(spark, str(tmp_path / "d"))
+    done = spark.createDataFrame([], "location string, state string, keyword string")
+    (r,) = jobs.searches(at, "au_nails", done).collect()
+    assert r.Search_Query == "nail salon in O'Hara, NSW, Australia" and r.search_url.endswith("/nail+salon/@-33.0,151.0,13z?hl=en")
+    assert jobs.searches(at, "au_nails", spark.createDataFrame([("o'hara", "nsw", "nail salon")], done.schema)).count() == 0
+    links = spark.createDataFrame([("A", "/1"), ("B", "/2")], "name string, href string")
+    rows, left = jobs.registry_rows(links, spark.createDataFrame([("/1", "5")], "href string, phone string"))
+    assert [(r.name, r.phone) for r in rows.collect()] == [("A", "5")] and [r.name for r in left.collect()] == ["B"]
+
+
+def test_books_from_any_store_and_tier_colours(spark, tmp_path):
+    rows = iter([("1", "a", "HOT"), ("2", "b", "WARM lead"), ("3", "c", "x")])
+    xlsx.write_book(str(tmp_path / "b.xlsx"), "Leads", ["no", "name", "tier"], rows, "tier")
+    got = xlsx.read_books(spark, f"file://{tmp_path}/*.xlsx", "Leads", 2, (2, 3)).collect()
+    assert sorted(tuple(r) for r in got) == [("a", "HOT"), ("b", "WARM lead"), ("c", "x")]
+    with zipfile.ZipFile(tmp_path / "b.xlsx") as z:
+        sheet = z.read("xl/worksheets/sheet1.xml").decode()
+    assert [sheet.count(f's="{k}"') for k in (1, 2, 3, 4)] == [3, 2, 2, 2]
+    with pytest.raises(ValueError, match="read_books"):
+        xlsx._local("s3a://x/y")
 
 
 @pytest.mark.parametrize("variant", sorted(CLEANING))

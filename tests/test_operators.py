@@ -90,3 +90,23 @@ def test_sync_and_grid(spark):
     assert joins.open_grid(loc, kw, done, ["location", "state", "keyword"]).count() == 3
     out = spark.createDataFrame([("Sydney", "NSW", "Spa in Sydney"), ("Perth", "WA", "?")], "Location_Name string, State string, Search_Query string")
     assert {tuple(r) for r in joins.finished_from_output(out, ["nail", "spa"]).collect()} == {("sydney", "nsw", "spa"), ("perth", "wa", "nail")}
+
+
+def test_places_within_reach_of_poles_and_date_line(spark):
+    import math
+    import random
+
+    from harrow.operators.clusters import within
+
+    r = random.Random(3)
+    at = [(r.uniform(-90, 90), r.uniform(-180, 180)) for _ in range(150)] + [(r.uniform(88, 90), r.uniform(-180, 180)) for _ in range(60)]
+    at += [(r.uniform(-2, 2), r.choice([-180, 180]) + r.uniform(-2, 2)) for _ in range(80)] + [(60 + r.uniform(0, 3), r.uniform(10, 16)) for _ in range(80)]
+
+    def km(a, b):
+        (p, q), (s, t) = [tuple(map(math.radians, x)) for x in (a, b)]
+        h = math.sin((s - p) / 2) ** 2 + math.cos(p) * math.cos(s) * math.sin((t - q) / 2) ** 2
+        return 2 * 6371.0 * math.atan2(math.sqrt(h), math.sqrt(1 - h))
+
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(at)], "id int, lat double, lng double")
+    got = sorted((p.earlier, p.later) for p in within(df, 90.0).collect())
+    assert got == sorted((i, j) for j in range(len(at)) for i in range(j) if km(at[i], at[j]) <= 90.0) and len(got) > 100
