@@ -110,7 +110,7 @@ def heavy_tokens(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
         for _, token, _, _ in _parts(batches, s.n):
             held.append(token)
             size += len(token)
-            if size > 4_000_000:
+            if size > 2_000_000:
                 yield flush()
                 held, size = [], 0
         if held:

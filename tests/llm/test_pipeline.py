@@ -10,7 +10,7 @@ from harrow.llm import packing, secrets
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def test_stages(spark):
+def test_stages(spark, tmp_path):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -19,7 +19,7 @@ def test_stages(spark):
     for name, stage in corpus_pipeline.STAGES:
         before = {r.doc_id: r.text for r in docs.collect()}
         result = stage(spark, docs, sf)
-        path = f"/tmp/harrow-test-pipeline/{name}"
+        path = str(tmp_path / name)
         result.write.mode("overwrite").parquet(path)
         kept = spark.read.parquet(path)
         out[name] = (before, kept)
@@ -82,3 +82,30 @@ def test_stages(spark):
         own = sorted((r for r in rows if r.doc_id == d), key=lambda r: r.piece)
         assert sum(r.length for r in own) == len(ids)
         assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own)
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty texts, repeated rows and doc_ids, clashing names and an empty table through every stage."""
+    sf = "/root/testdata/sf0.001"
+    good = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").limit(4).collect()]
+    rows = [*good, good[1], (good[2][0], "another text of one id"), (None, good[0][1]), (None, None), (900, None), (901, ""), (902, "a " * 4000), (903, good[3][1])]
+    names = "doc_id long, text string, n_chars long, __score__ string, _score_0 double, __gone__ int, __starts__ string, _starts_0 string, _copy_0 string, rank int, row string, gap long"
+    df = spark.createDataFrame([(i, t, len(t or ""), "s", 0.0, 1, "x", "y", "z", 5, "r", 7) for i, t in rows], names)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, sf)
+        none = stage(spark, df.limit(0), sf)
+        assert none.count() == 0 and none.columns == out.columns
+        got = out.collect()
+        if name == "best_fit_packing":
+            assert sum(r.piece == 0 for r in got) == len(rows)
+            continue
+        assert out.columns == df.columns
+        assert all((r["__score__"], r["_score_0"], r["__starts__"], r["_copy_0"], r["rank"], r["gap"]) == ("s", 0.0, "x", "z", 5, 7) for r in got)
+        texts = [(r.doc_id, r.text) for r in got]
+        if name != "quality_classifier":
+            assert (None, None) in texts and (900, None) in texts and (901, "") in texts
+            assert sum(i is None for i, _ in texts) == 2
+        if name == "ngram_jaccard_join":
+            assert 903 not in [i for i, _ in texts] and [i for i, _ in texts].count(good[1][0]) == 2
+        if name == "substring_dedup":
+            assert (903, "") in texts and dict(texts)[902] == " ".join(["a"] * 20)
