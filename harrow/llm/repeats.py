@@ -91,11 +91,11 @@ def _seeds(texts: DataFrame, window: int, seed: int, salt: int) -> DataFrame:
     return texts.select("doc_id", "text", "twin", F.xxhash64("text").alias("h")).mapInArrow(run, f"a long, doc_id {kind}, pos long, h long, twice boolean")
 
 
-def _listed(docs: DataFrame, positions: DataFrame) -> DataFrame:
-    """docs(doc_id, text, twin) of positions(doc_id, pos), with `at`, the sorted positions in each text."""
+def _listed(docs: DataFrame, positions: DataFrame, *also: str) -> DataFrame:
+    """doc_id, text, twin, at of the texts in positions(doc_id, pos, *also); at lists their positions, or structs of pos and `also`."""
     twin = F.shiftright("pos", _TWIN).alias("twin")
-    per = positions.groupBy("doc_id", twin).agg(F.sort_array(F.collect_set("pos")).alias("at"))
-    return docs.select("doc_id", "text", "twin").join(per, ["doc_id", "twin"])
+    per = positions.groupBy("doc_id", twin).agg(F.collect_list(F.struct("pos", *also) if also else F.col("pos")).alias("at"))
+    return docs.select("doc_id", "text", "twin").join(per, ["doc_id", "twin"]).select("doc_id", "text", "twin", "at")
 
 
 def _windows(texts: DataFrame, wanted: DataFrame, window: int, seed: int, salt: int, bits: int) -> DataFrame:
@@ -121,12 +121,11 @@ def _windows(texts: DataFrame, wanted: DataFrame, window: int, seed: int, salt:
                 )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    rows = _listed(texts, wanted).select("doc_id", "text", "twin", "at")
-    return rows.mapInArrow(run, f"k1 long, k2 long, doc_id {kind}, start long")
+    return _listed(texts, wanted).mapInArrow(run, f"k1 long, k2 long, doc_id {kind}, start long")
 
 
 def _nodes(texts: DataFrame, edges: DataFrame, window: int, salt: int) -> DataFrame:
-    """doc_id, start, node_in and node_out (hashes of the first and last window - 1 words) of edges(doc_id, pos)."""
+    """edges(doc_id, pos, k1, k2) as doc_id, start, k1, k2, node_in and node_out: hashes of the first and last window - 1 words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -134,48 +133,52 @@ def _nodes(texts: DataFrame, edges: DataFrame, window: int, salt: int) -> DataFr
             for lo, hi, part in _texts(b, "text"):
                 one, _, first = common.word_table(part, salt=salt)
                 at = ats.slice(lo, hi - lo)
-                word = np.asarray(at.flatten()) & ((1 << _TWIN) - 1)
+                flat = at.flatten()
+                word = np.asarray(flat.field(0)) & ((1 << _TWIN) - 1)
                 doc = np.repeat(np.arange(hi - lo), np.asarray(at.value_lengths()))
                 grams = common.window_hashes(one, window - 1, 3).view(np.int64)
                 s = word + first[doc]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(doc + lo)), _at(twins[lo:hi], doc, word), pa.array(grams[s]), pa.array(grams[s + 1])], ["doc_id", "start", "node_in", "node_out"]
-                )
+                    [ids.take(pa.array(doc + lo)), _at(twins[lo:hi], doc, word), flat.field(1), flat.field(2), pa.array(grams[s]), pa.array(grams[s + 1])],
+                    ["doc_id", "start", "k1", "k2", "node_in", "node_out"],
+                )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return _listed(texts, edges).select("doc_id", "text", "twin", "at").mapInArrow(run, f"doc_id {kind}, start long, node_in long, node_out long")
+    return _listed(texts, edges, "k1", "k2").mapInArrow(run, f"doc_id {kind}, start long, k1 long, k2 long, node_in long, node_out long")
 
 
 def compacted(edges: DataFrame, piece: int = 6) -> DataFrame:
-    """doc_id, start and head of every edge of edges(doc_id, start, node_in, node_out): the path it lies on.
+    """edges(doc_id, start, node_in, node_out, ...) with `head`, the path an edge lies on, instead of its nodes.
 
     Every distinct edge stands there once, at its source coordinate. Two edges are joined into one path where the node between
     them doesn't branch (one edge in, one out) and the source coordinate goes on by one word; head is the start of the
     path's first edge. Runs inside 2**piece words are joined first, then pieces are tied to the piece before, and pointers
     are doubled by self-joins until all point to their path's first piece.
     """
-    one = edges.groupBy(F.col("node_in").alias("node")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node")
-    two = edges.groupBy(F.col("node_out").alias("node")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("node")
+    rest = [c for c in edges.columns if c not in ("node_in", "node_out")]
+    first, last = F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last")
+    one = edges.groupBy(F.col("node_in").alias("node")).agg(first, last).where("first <> last").select("node")
+    two = edges.groupBy(F.col("node_out").alias("node")).agg(first, last).where("first <> last").select("node")
     branching = common.materialize(one.union(two).distinct(), "branching")
     cut = edges.join(branching.withColumn("cut", F.lit(True)), F.col("node_in") == F.col("node"), "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
     w = Window.partitionBy("doc_id", F.shiftright("start", piece)).orderBy("start")
-    opens = F.col("cut") | F.coalesce(F.lag("start").over(w) + 1 != F.col("start"), F.lit(True))
+    opens = F.col("cut") | F.coalesce(F.lag("start").over(w) + 1 < F.col("start"), F.lit(True))
     local = cut.withColumn("opens", opens).withColumn("local", F.max(F.when(F.col("opens"), F.col("start"))).over(w))
-    local = common.materialize(local.select("doc_id", "start", "local", "cut"), "local-paths")
+    local = common.materialize(local.select(*rest, "local", "cut"), "local-paths")
     pieces = local.groupBy("doc_id", "local").agg(F.max("start").alias("last"), F.max(F.when(F.col("start") == F.col("local"), F.col("cut"))).alias("cut"))
     pieces = common.materialize(pieces, "path-pieces")
     before = pieces.select("doc_id", (F.col("last") + 1).alias("local"), F.col("local").alias("prev")).where(F.pmod("local", F.lit(1 << piece)) == 0)
     to = pieces.join(before, ["doc_id", "local"], "left")
-    to = common.materialize(to.select("doc_id", "local", F.when(~F.col("cut"), F.col("prev")).alias("prev")).withColumn("head", F.coalesce("prev", "local")).drop("prev"), "pointers")
+    to = common.materialize(to.select("doc_id", "local", F.coalesce(F.when(~F.col("cut"), F.col("prev")), "local").alias("head")), "pointers")
     while True:
         far = to.select("doc_id", F.col("local").alias("head"), F.col("head").alias("next"))
-        nxt = common.materialize(to.join(far, ["doc_id", "head"]).select("doc_id", "local", F.col("next").alias("head"), (F.col("next") != F.col("head")).alias("moved")), "pointers")
+        nxt = to.join(far, ["doc_id", "head"]).select("doc_id", "local", F.col("next").alias("head"), (F.col("next") != F.col("head")).alias("moved"))
+        nxt = common.materialize(nxt, "pointers")
         common.discard(to)
-        to = nxt.drop("moved")
-        to._harrow_path = nxt._harrow_path
+        to = nxt
         if nxt.where("moved").isEmpty():
             break
-    out = common.materialize(local.join(to, ["doc_id", "local"]).select("doc_id", "start", "head"), "paths")
+    out = common.materialize(local.join(to.drop("moved"), ["doc_id", "local"]).select(*rest, "head"), "paths")
     common.discard(branching, local, pieces, to)
     return out
 
@@ -260,25 +263,23 @@ def _spans(texts: DataFrame, copies: DataFrame, window: int, seed: int, bits: in
     edges = common.materialize(_windows(texts, wanted, window, seed, salt, bits), "edges")
     common.discard(wanted)
     source = edges.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("src"), F.max(F.struct("doc_id", "start")).alias("end")).where("src <> end")
-    source = common.materialize(source.select("k1", "k2", F.col("src.doc_id").alias("src_doc"), F.col("src.start").alias("src_start")), "sources")
-    nodes = common.materialize(_nodes(texts, source.select(F.col("src_doc").alias("doc_id"), F.col("src_start").alias("pos")), window, salt).distinct(), "nodes")
-    paths = compacted(nodes)
+    source = source.select(F.col("src.doc_id").alias("doc_id"), F.col("src.start").alias("pos"), "k1", "k2")
+    nodes = common.materialize(_nodes(texts, source, window, salt), "nodes")
+    named = compacted(nodes).withColumnsRenamed({"doc_id": "src_doc", "start": "src_start"})
     common.discard(nodes)
-    named = source.join(paths.select(F.col("doc_id").alias("src_doc"), F.col("start").alias("src_start"), "head"), ["src_doc", "src_start"])
-    named = common.materialize(named, "edge-paths")
-    common.discard(source, paths)
     later = edges.join(named, ["k1", "k2"]).where("doc_id <> src_doc or start <> src_start").select("doc_id", "start", "src_doc", "src_start", "head")
+    later = later.repartition("doc_id").groupBy("doc_id", "start").agg(*[F.first(c).alias(c) for c in ("src_doc", "src_start", "head")])  # a row read twice
     w = Window.partitionBy("doc_id").orderBy("start")
     goes_on = (F.lag("start").over(w) + 1 == F.col("start")) & (F.lag("src_doc").over(w) == F.col("src_doc")) & (
         (F.lag("src_start").over(w) + 1 == F.col("src_start")) & (F.lag("head").over(w) == F.col("head"))
     )
     path = F.sum(F.when(goes_on, 0).otherwise(1)).over(w)
-    out = later.distinct().withColumn("path", path).groupBy("doc_id", "path").agg(
+    out = later.withColumn("path", path).groupBy("doc_id", "path").agg(
         F.min("start").alias("start"), (F.count(F.lit(1)) + (window - 1)).cast("int").alias("length"),
         F.min(F.struct("start", "src_doc", "src_start")).alias("x"),
     )
     out = common.materialize(out.select("doc_id", "start", "length", "x.src_doc", "x.src_start"), "spans")
-    common.discard(edges, named)
+    common.discard(edges)
     return out
 
 
