@@ -27,11 +27,12 @@ def default_vocabulary() -> str:
 
 
 class ByteBpe:
-    """Ids of whole texts by a byte-level BPE file, as little-endian 32-bit bytes.
+    """Ids of whole texts by a byte-level BPE file of `tokenizers`, as little-endian 32-bit bytes.
 
-    Where the folder has the same vocabulary as plain ranks (.tiktoken), single pieces go through those at two thirds of the
-    time; else the file's own tokenizer encodes them. Either way every `sampled`th text, the first one included, is encoded
-    whole by the file's tokenizer as well, and RuntimeError raised if the ids differ.
+    A distinct piece between single spaces is encoded once. Pieces that follow a space are encoded many in one text: there every
+    piece opens with the one token of its own that starts with a space, so the ids are cut at those; if their number isn't that
+    of the pieces, each is encoded by itself. Every `sampled`th text, the first one included, is encoded whole as well, and
+    RuntimeError raised if the ids differ.
     """
 
     def __init__(self, path: str, sampled: int = 64) -> None:
@@ -39,22 +40,24 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.sampled, self.seen = Tokenizer.from_file(path), sampled, 0
-        self.fast = None
-        ranks = path.removesuffix(".json") + ".tiktoken"
-        if os.path.exists(ranks):
-            import base64
-
-            import public_tokenizers
-            import tiktoken
-
-            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks, "rb"))}
-            self.fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.later, self.first = ChunkCache(lambda x: self._pieces([" " + c for c in x])), ChunkCache(self._pieces)
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        if self.fast is not None:
-            return [np.array(self.fast.encode_ordinary(p), "<u4").tobytes() for p in pieces]
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # how byte-level files write a space
+        self.later, self.first = ChunkCache(self._after_space), ChunkCache(self._each)
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _after_space(self, pieces: list[str], together: int = 500) -> list[bytes]:
+        runs = [pieces[i : i + together] for i in range(0, len(pieces), together)]
+        out: list[bytes] = []
+        for run, ids in zip(runs, self._each([" " + " ".join(r) for r in runs]), strict=True):
+            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")])).tolist()
+            if len(cuts) != len(run):
+                out += self._each([" " + p for p in run])
+            else:
+                out += [ids[i:j] for i, j in zip(cuts, [*cuts[1:], len(ids)], strict=True)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
