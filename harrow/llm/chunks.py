@@ -22,7 +22,7 @@ class ChunkCache:
         if len(self.known) > self.limit:
             self.known, self.old = {}, self.known
         known, old = self.known, self.old
-        fresh = {c for parts in texts for c in parts if c not in known}
+        fresh = set().union(*texts).difference(known)
         again = [c for c in fresh if c in old]
         known.update((c, old[c]) for c in again)
         good = [c for c in fresh.difference(again) if c and not c[0].isspace() and not c[-1].isspace()]
@@ -31,7 +31,7 @@ class ChunkCache:
         out: list[list | None] = []
         for parts in texts:
             try:
-                out.append([known[c] for c in parts])
+                out.append(list(map(known.__getitem__, parts)))
             except KeyError:
                 out.append(None)
         return out
