@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, cover, jaccard, mtree, packing, pieces, quality, repeats, secrets, sharding, warc
+from . import common, cover, jaccard, lines, mtree, packing, pieces, quality, ranked, repeats, secrets, sharding, spelling, warc
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,10 +52,25 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(common.table(spark, sf_dir, "embeddings"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose key stands in 10 documents go. A row each; null texts are one empty line, rows without doc_id count for no line."""
+    return lines.digests(common.table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row a word of 6 code points and 5 occurrences. Null texts have no words, repeated rows count again, a null doc_id is empty text."""
+    return spelling.variants(common.table(spark, sf_dir, "documents"))
+
+
+def op13_blockmax_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each item's 50 best documents. Null or empty texts have no terms; rows of one id are one item, but each row is a document."""
+    return ranked.search(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     own = (
         op1_sentencepiece, op2_secret_scan, op3_substring_dedup, op4_feistel_sharding, op5_ngram_jaccard, op6_cover_tree,
-        op7_quality_qda, op8_best_fit_packing, op9_warc_salvage, op10_mtree_topk,
+        op7_quality_qda, op8_best_fit_packing, op9_warc_salvage, op10_mtree_topk, op11_line_dedup, op12_spelling_variants, op13_blockmax_wand,
     )
     return {f.__name__: f for f in own}
 
@@ -153,8 +168,50 @@ FROM embeddings LEFT JOIN low ON vec_id = low.u LEFT JOIN degree ON vec_id = deg
 """
 
 
+OP11_SQL = """
+WITH l AS (SELECT rn, doc_id, t.line, t.p, translate(trim(t.line, concat(chr(9), chr(10), chr(11), chr(12), chr(13), ' ')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT row_number() OVER () AS rn, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents), LATERAL (SELECT unnest(ls) AS line, generate_subscripts(ls, 1) AS p) t),
+shared AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT l.*, shared.k IS NOT NULL AS gone FROM l LEFT JOIN shared USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rn, doc_id
+"""
+
+OP12_SQL = f"""
+WITH RECURSIVE rule AS (SELECT list_transform(range(256), lambda v: list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1
+  THEN xor(3988292384, c >> 1) ELSE c >> 1 END, v::BIGINT)) AS crc_of),
+runs AS (SELECT doc_id, run, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[a-z\\x{{C0}}-\\x{{FF}}]{{6,}}')) AS run FROM documents) GROUP BY ALL),
+d AS (SELECT run, times, coalesce(doc_id::VARCHAR, '') || ':' || run AS body, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS hexed FROM runs),
+h AS (SELECT run, times, xor({_CRC}, 4294967295) AS h FROM d, rule),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, times FROM h),
+v AS (SELECT word, sum(times)::BIGINT AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+cut AS (SELECT word, i, substring(word, 1, i) AS head, substring(word, i + 2) AS tail FROM v, LATERAL (SELECT unnest(range(length(word))) AS i)),
+near AS (SELECT a.word, b.word AS other FROM cut a JOIN cut b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT word, head || tail FROM cut WHERE head || tail IN (SELECT word FROM v)
+  UNION SELECT head || tail, word FROM cut WHERE head || tail IN (SELECT word FROM v)),
+best AS (SELECT near.word, count(*) AS n_near, max(v.n) AS most, min(struct_pack(o := -v.n, w := other)).w AS first FROM near JOIN v ON other = v.word GROUP BY near.word),
+led AS (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * n THEN first END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at FROM led UNION ALL SELECT walk.word, led.form FROM walk JOIN led ON walk.at = led.word WHERE led.form IS NOT NULL)
+SELECT led.word, led.form, walk.at AS root, led.n, led.n_near, led.form_n FROM led JOIN walk ON led.word = walk.word JOIN led e ON e.word = walk.at AND e.form IS NULL
+"""
+
+OP13_SQL = r"""
+WITH t AS (SELECT rn, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM (SELECT row_number() OVER () AS rn, * FROM documents)),
+total AS (SELECT count(*)::BIGINT AS big_n, sum(len(ts))::BIGINT AS l FROM t WHERE len(ts) > 0),
+p AS (SELECT rn, doc_id, len(ts)::BIGINT AS n, term, count(*)::BIGINT AS tf FROM t, LATERAL (SELECT unnest(ts) AS term) GROUP BY ALL),
+df AS (SELECT term, floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, total GROUP BY term, big_n),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item_id, rn, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * big_n) // l)))))::BIGINT AS score
+  FROM q JOIN df USING (term) JOIN p USING (term), total GROUP BY item_id, rn, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_substring_dedup": OP3_SQL, "op4_feistel_sharding": OP4_SQL, "op5_ngram_jaccard": OP5_SQL, "op6_cover_tree": OP6_SQL,
-        "op9_warc_salvage": OP9_SQL, "op10_mtree_topk": OP10_SQL,
+        "op9_warc_salvage": OP9_SQL, "op10_mtree_topk": OP10_SQL, "op11_line_dedup": OP11_SQL, "op12_spelling_variants": OP12_SQL, "op13_blockmax_wand": OP13_SQL,
     }

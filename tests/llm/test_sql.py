@@ -10,7 +10,7 @@ SQL = queries.oracle_sql()
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = queries.queries()[name](spark, sf)
     cols = sorted(df.columns)
