@@ -10,13 +10,15 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialize
 
 #: Fixed value of the contract: maximal runs of these letters, here after A-Z became a-z.
 LETTERS = r"[a-zÀ-ÿ]"
+#: Pairs whose shorter word has more code points meet by halves, not by bigrams.
+LONG = 64
 
 
 def runs_of(text: Column, least: int = 1) -> Column:
@@ -42,55 +44,65 @@ def vocabulary(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, l
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_n)
 
 
-def _named(words: DataFrame) -> DataFrame:
-    """words with w, 128 bits that stand for the word where its letters aren't needed, so that a long word doesn't travel with each of its bigrams."""
-    return words.withColumn("w", F.struct(F.xxhash64("word").alias("i"), F.xxhash64(F.lit(11), F.col("word")).alias("j")))
+def rarest_bigrams(words: DataFrame) -> DataFrame:
+    """words(word, n) with codes: the three rarest positional bigrams of each word, and the further places of the third where it is repeated.
 
-
-def rarest_bigrams(words: DataFrame, *keep: str) -> DataFrame:
-    """(w, keep, g, p): the three rarest positional bigrams of each word(w, word), and the further places of the third where it is repeated.
-
-    The order is the number of places a bigram has in all words, then the bigram itself. Its repetitions have to count as one, or a
-    surviving bigram could hide behind an earlier copy of itself. Bigrams are cut by one pass over the word.
+    A code is a bigram's place in the order of the number of places that hold it (ties by the bigram), times 2**32, plus its place in the
+    word. Repetitions of the third have to count, or a surviving bigram could hide behind an earlier copy of itself. The letters allow
+    8,100 bigrams at most, so their order is small whatever the corpus is. Words of more than LONG + 1 code points have no codes.
     """
-    grams = words.select("w", *keep, F.posexplode(F.regexp_extract_all("word", F.lit(r"(?s)(?=(..))"), F.lit(1))).alias("p", "g"))
-    often = grams.groupBy("g").agg(F.count("*").alias("f"))
-    ranked = grams.join(often, "g").groupBy("w", *keep).agg(F.array_sort(F.collect_list(F.struct("f", "g", "p"))).alias("gs"))
-    last = F.struct(F.col("third.f").alias("f"), F.col("third.g").alias("g"))
-    kept = ranked.withColumn("third", F.coalesce(F.get("gs", F.lit(2)), F.element_at("gs", -1)))
-    kept = kept.select("w", *keep, F.explode(F.filter("gs", lambda x: F.struct(x["f"].alias("f"), x["g"].alias("g")) <= last)).alias("x"))
-    return kept.select("w", *keep, "x.g", "x.p")
-
-
-def near_pairs(words: DataFrame) -> DataFrame:
-    """(a, b): pairs of different words one inserted, deleted or replaced code point apart, each once; a is not the longer one.
-
-    words(word) are distinct and have four code points or more. A bigram of the shorter word a at place p stands in b at p if both are
-    equally long, else at p or p + 1. Crowded bigrams are split by what one edit leaves: the first half of a is the start of b or its second half
-    the end of b, and a hash of that half goes into the key, so that words which merely share a bigram never meet.
+    short = words.where(F.length("word") <= LONG + 1)
+    grams = short.select("word", "n", F.posexplode(F.regexp_extract_all("word", F.lit(r"(?s)(?=(..))"), F.lit(1))).alias("p", "g"))
+    order = grams.groupBy("g").agg(F.count("*").alias("f")).select("g", F.row_number().over(Window.orderBy("f", "g")).cast("long").alias("r"))
+    coded = grams.join(F.broadcast(order), "g").groupBy("word", "n").agg(F.array_sort(F.collect_list(F.shiftleft("r", 32) + F.col("p"))).alias("all"))
+    third = F.coalesce(F.get("all", F.lit(2)), F.element_at("all", -1))
+    coded = coded.withColumn("end", F.shiftleft(F.shiftright(third, 32) + 1, 32)).select("word", "n", F.filter("all", lambda c: c < F.col("end")).alias("codes"))
+    return coded.union(words.where(F.length("word") > LONG + 1).select("word", "n", F.array().cast("array<long>").alias("codes")))
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """(word, n_near, best): how many words(word, n) are one inserted, deleted or replaced code point away, and the best of them.
+
+    best is struct(o, form) with o the negative count: the most frequent one, ties to the first in code-point order. words are
+    distinct and have four code points or more. Two words meet by a bigram among the three rarest of both: at the same place if they are equally long,
+    else at the same or the next place of the longer one. Crowded bigrams are split by what one edit leaves: the first half of the
+    shorter word is the start of the other or its second half the end, and that half goes into the key, so words that merely
+    share a bigram never meet. Words of more than LONG code points meet by their halves alone, so that no word travels with each of its
+    letters. A pair that meets by several keys counts at the first of them, which both words' codes tell: pairs are never shuffled.
     """
     n = F.length("word")
     half, below = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")  # below: half of a word one shorter
     head = lambda k: F.xxhash64(F.substring(F.col("word"), F.lit(1), k))
     tail = lambda k: F.xxhash64(F.substring(F.col("word"), n - k + 1, k))
     parts = {"size": n, "head": head(half), "tail": tail(n - half), "short_head": head(below), "short_tail": tail(n - 1 - below)}
-    named = _named(words)
-    grams = materialize(rarest_bigrams(named.select("w", "word", *[c.alias(k) for k, c in parts.items()]), *parts), "spelling-grams")
-
-    def keys(longer: bool, size: Column, first: str, second: str, *places: Column) -> list[Column]:
-        return [
-            F.struct(F.lit(longer).alias("longer"), F.lit(part == first).alias("first"), size.alias("size"), F.col(part).alias("part"), at.alias("p"))
-            for part in (first, second) for at in places
-        ]
-
-    p, size = F.col("p"), F.col("size")
-    same = keys(False, size, "head", "tail", p)
-    shorter = grams.select(F.col("w").alias("v"), "g", F.explode(F.array(*same, *keys(True, size, "head", "tail", p, p + 1))).alias("k"))
-    longer = grams.select("w", "g", F.explode(F.array(*same, *keys(True, size - 1, "short_head", "short_tail", p))).alias("k"))
-    met = shorter.join(longer, ["g", "k"]).where(F.col("k.longer") | (F.col("v") < F.col("w"))).select("v", "w").distinct()
-    met = met.join(named.select(F.col("w").alias("v"), F.col("word").alias("a")), "v").join(named.select("w", F.col("word").alias("b")), "w")
-    out = materialize(met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b"), "spelling-pairs")
-    discard(grams)
+    own = materialize(rarest_bigrams(words).select("*", *[c.alias(k) for k, c in parts.items()]), "spelling-codes")
+    codes = lambda size: F.when(size > LONG, F.array(F.lit(-1).cast("long"))).otherwise(F.col("codes"))
+
+    def met_by(role: list[tuple[int, int]], size: Column, first: str, second: str, prefix: str) -> DataFrame:
+        """A row a key: role has (is the pair of different length, how much later the bigram stands in the longer word)."""
+        key = lambda c, longer, left, later: F.struct(
+            F.xxhash64(F.lit(longer), F.lit(left), size, F.col(first if left else second), c + later).alias("key"), F.lit(longer).alias("longer"),
+            F.lit(left).alias("left"), F.lit(later).alias("later"), c.alias("code"),
+        )
+        every = F.flatten(F.transform(codes(size), lambda c: F.array(*[key(c, longer, left, later) for longer, later in role for left in (1, 0)])))
+        out = own.select("word", F.col("n"), codes(size).alias("codes"), F.explode(every).alias("k")).select("k.*", "word", "n", "codes")
+        return out.select("key", *[F.col(c).alias(prefix + c) for c in ("longer", "left", "later", "code", "word", "n", "codes")])
+
+    size = F.col("size")
+    a = met_by([(0, 0), (1, 0), (1, 1)], size, "head", "tail", "a_")
+    b = met_by([(0, 0)], size, "head", "tail", "b_").union(met_by([(1, 0)], size - 1, "short_head", "short_tail", "b_"))
+    met = a.join(b, "key").where("a_longer = b_longer and a_left = b_left and b_code = a_code + a_later and (a_longer = 1 or a_word < b_word)")
+    start = F.floor(F.length("a_word") / 2).cast("int")
+    same_start = F.substring(F.col("a_word"), F.lit(1), start) == F.substring(F.col("b_word"), F.lit(1), start)
+    met = met.where((F.col("a_left") == 1) | ~same_start).where(F.levenshtein("a_word", "b_word", 1) == 1)
+    here = F.array_min(F.array_intersect("a_codes", "b_codes"))
+    later = F.array_min(F.array_intersect(F.transform("a_codes", lambda c: c + 1), "b_codes")) - 1
+    at_once = here.isNotNull() & (later.isNull() | (F.col("a_longer") == 0) | (here <= later))
+    met = met.where(F.when(at_once, (F.col("a_later") == 0) & (F.col("a_code") == here)).otherwise((F.col("a_later") == 1) & (F.col("a_code") == later)))
+    ways = F.array(*[F.struct(F.col(x + "word").alias("word"), (-F.col(y + "n")).alias("o"), F.col(y + "word").alias("form")) for x, y in (("a_", "b_"), ("b_", "a_"))])
+    out = met.select(F.explode(ways).alias("w")).groupBy("w.word").agg(F.count("*").alias("n_near"), F.min(F.struct("w.o", "w.form")).alias("best"))
+    out = materialize(out, "spelling-near")
+    discard(own)
     return out
 
 
@@ -104,11 +116,9 @@ def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, lea
     if least_chars < 4 or times < 2:
         raise ValueError("least_chars has to be 4 at least and times 2 at least")
     words = materialize(vocabulary(docs, doc_id, text, least_chars=least_chars, least_n=least_n, every=every), "spelling-words")
-    pairs = near_pairs(words.select("word"))
-    both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near")).union(pairs.select(F.col("b").alias("word"), F.col("a").alias("near")))
-    seen = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
-    best = seen.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("o"), F.col("near").alias("form"))).alias("m"))
-    led = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.col("m.form").alias("form"), (-F.col("m.o")).alias("form_n"))
+    near = near_words(words)
+    led = words.join(near, "word", "left")
+    led = led.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.col("best.form").alias("form"), (-F.col("best.o")).alias("form_n"))
     good = F.col("form_n") >= times * F.col("n")
     led = materialize(led.select("word", "n", "n_near", F.when(good, F.col("form")).alias("form"), F.when(good, F.col("form_n")).alias("form_n")), "spelling-forms")
     to = materialize(led.where("form is not null").select("word", F.col("form").alias("root")), "spelling-roots")
@@ -121,5 +131,5 @@ def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, lea
             break
         to = nxt.select("word", "root")
         to._harrow_path = nxt._harrow_path
-    discard(words, pairs)
+    discard(words, near)
     return led.join(to.select("word", "root"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
