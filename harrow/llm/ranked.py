@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 import string
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase
 
 BLOCK = 128
 #: Postings of a segment: its size in memory, whatever the documents are.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 #: Query terms or items that travel to the tasks at once, in bytes; more are taken in several rounds.
 TOGETHER = 16 << 20
 #: Documents that are scored at once.
@@ -51,12 +52,42 @@ def packed(values: np.ndarray, bits: int) -> bytes:
     return np.packbits((values[:, None] >> np.arange(bits) & 1).astype(np.uint8).ravel(), bitorder="little").tobytes()
 
 
-def unpacked(data: bytes, start: int, n: int, bits: int) -> np.ndarray:
+def unpacked(data: bytes | pa.Buffer, start: int, n: int, bits: int) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8, (n * bits + 7) // 8, start)
     return np.unpackbits(raw, count=n * bits, bitorder="little").reshape(n, bits) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
 
 
-def segment(ids: list, lengths: list[int], codes: dict[bytes, int], of: list[int], doc: list[int], tf: list[int], total: tuple[int, int]) -> pa.RecordBatch:
+_IN_TERM = np.array([bool(_TERM_BYTES.match(bytes([b]))) for b in range(256)])
+
+
+def term_counts(texts: pa.Array) -> np.ndarray:
+    """How many terms each text of an Arrow array has: bytes that are of a term and follow none that is, or open a text."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    inside = _IN_TERM[np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]] if bounds[-1] > bounds[0] else np.zeros(0, bool)
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    starts = (bounds - bounds[0])[:-1]
+    starts = starts[starts < len(inside)]
+    opens[starts] = inside[starts]
+    return np.diff(np.concatenate([[0], np.cumsum(opens)])[bounds - bounds[0]])
+
+
+def corpus_totals(docs: DataFrame, text: str = "text") -> tuple[int, int]:
+    """(documents with a term, terms with repeats) of all texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = every = 0
+        for batch in batches:
+            n = term_counts(batch.column(0))
+            some, every = some + int((n > 0).sum()), every + int(n.sum())
+        yield pa.RecordBatch.from_pydict({"some": [some], "every": [every]})
+
+    got = docs.select(text).mapInArrow(count, "some bigint, every bigint").agg(F.sum("some"), F.sum("every")).first()
+    return got[0] or 0, got[1] or 0
+
+
+def segment(ids: list, lengths: list[int], codes: dict[bytes, int], of: array, doc: array, tf: array, total: tuple[int, int]) -> pa.RecordBatch:
     """One index row: posting i is term of[i] in the document doc[i], tf[i] times. total is (documents with a term, terms) of the corpus."""
     n_docs, n_terms = total
     rank = np.empty(len(ids), np.int64)
@@ -95,21 +126,21 @@ def build_index(docs: DataFrame, total: tuple[int, int], wanted: list[str] | Non
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = sent.value
-        ids, lengths, codes, of, doc, tf = [], [], {}, [], [], []
+        ids, lengths, codes, of, doc, tf = [], [], {}, array("q"), array("q"), array("q")
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = _TERM_BYTES.findall((text.as_py() or "").encode("utf-8", "surrogatepass").translate(_LOWER))
                 times = Counter(found)
                 own = times.keys() if only is None else times.keys() & only
                 if own:
-                    of += [codes.setdefault(t, len(codes)) for t in own]
-                    tf += [times[t] for t in own]
-                    doc += [len(ids)] * len(own)
+                    of.extend(codes.setdefault(t, len(codes)) for t in own)
+                    tf.extend(times[t] for t in own)
+                    doc.extend([len(ids)] * len(own))
                     ids.append(i)
                     lengths.append(len(found))
                 if len(of) >= most:
                     yield segment(ids, lengths, codes, of, doc, tf, total)
-                    ids, lengths, codes, of, doc, tf = [], [], {}, [], [], []
+                    ids, lengths, codes, of, doc, tf = [], [], {}, array("q"), array("q"), array("q")
         if of:
             yield segment(ids, lengths, codes, of, doc, tf, total)
 
@@ -119,11 +150,12 @@ def build_index(docs: DataFrame, total: tuple[int, int], wanted: list[str] | Non
 class Segment:
     """A segment as its search sees it: block bounds as arrays, blocks unpacked when first needed."""
 
-    def __init__(self, row: dict) -> None:
-        self.ids, self.data = row["doc_ids"], row["data"]
-        self.place = {t: i for i, t in enumerate(row["terms"])}
+    def __init__(self, batch: pa.RecordBatch, i: int = 0) -> None:
+        of = lambda c: batch.column(_ARROW.get_field_index(c))[i]
+        self.ids, self.data = of("doc_ids").values, of("data").as_buffer()
+        self.place = {t: k for k, t in enumerate(of("terms").as_py())}
         self.opens, self.first, self.last, self.most, self.least, self.n, self.gap_bits, self.impact_bits, self.at = (
-            np.array(row[c], np.int64) for c in ("opens", "first", "last", "most", "least", "n", "gap_bits", "impact_bits", "at")
+            of(c).values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("opens", "first", "last", "most", "least", "n", "gap_bits", "impact_bits", "at")
         )
         self.open: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -186,13 +218,13 @@ def _searched(index: DataFrame, items: list[tuple], k: int, floors: dict) -> Dat
         kept: list[list[tuple]] = [[] for _ in asked]
         for batch in batches:
             for i in range(batch.num_rows):
-                part = Segment(batch.slice(i, 1).to_pylist()[0])
+                part = Segment(batch, i)
                 for q, (item, terms) in enumerate(asked):
                     have = kept[q]
                     floor = max(least.get(item, 0), have[k - 1][0] if len(have) >= k else 0)
                     new = part.best(terms, k, floor)
                     if new:
-                        have += [(s, part.ids[d]) for s, d in new]
+                        have += [(s, part.ids[d].as_py()) for s, d in new]
                         have.sort(key=lambda x: (-x[0], x[1] is None, x[1] or 0))
                         del have[k:]
         rows = [(item, d, s) for (item, _), have in zip(asked, kept, strict=True) for s, d in have]
@@ -219,7 +251,7 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = 50, doc_id: str = "doc
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    counts = docs.select(F.regexp_count("text", F.lit(TERM)).alias("n")).where("n > 0").agg(F.count("*"), F.sum("n")).first()
+    counts = corpus_totals(docs)
     lower = F.translate(F.col(item_text), string.ascii_uppercase, string.ascii_lowercase)
     asked = items.select(F.col(item_id).cast("long").alias("item_id"), F.explode(F.array_distinct(F.regexp_extract_all(lower, F.lit(f"({TERM})"), F.lit(1)))).alias("term")).distinct()
     asked = materialize(asked, "ranked-items")
@@ -228,7 +260,7 @@ def search(docs: DataFrame, items: DataFrame, *, k: int = 50, doc_id: str = "doc
     out = None
     if counts[0] and not asked.isEmpty():
         wanted = [r.term for r in terms.collect()] if size(terms) <= TOGETHER else None
-        index = materialize(build_index(docs, (counts[0], counts[1]), wanted), "ranked-index")
+        index = materialize(build_index(docs, counts, wanted), "ranked-index")
         df = index.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.df").alias("df"))
         known = materialize(asked.join(df, "term"), "ranked-weights")
         rounds = 1 + size(known) // TOGETHER

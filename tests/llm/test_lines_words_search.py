@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from harrow.llm import lines, ranked, spelling
 from pyspark.sql import functions as F
@@ -150,7 +151,7 @@ def test_packed_numbers_and_passed_blocks():
         assert (ranked.unpacked(b"x" + ranked.packed(v, bits), 1, 100, bits) == v).all()
     # one document of 2000 repeats its term: with its score as the floor a single block of the sixteen is unpacked
     n = 2000
-    row = ranked.segment(list(range(n)), [10] * n, {b"t": 0}, [0] * n, list(range(n)), [9 if i == 700 else 1 for i in range(n)], (n, 10 * n)).to_pylist()[0]
+    row = ranked.segment(list(range(n)), [10] * n, {b"t": 0}, [0] * n, list(range(n)), [9 if i == 700 else 1 for i in range(n)], (n, 10 * n))
     s = ranked.Segment(row)
     (best,) = s.best([("t", 3)], 1, 0)
     assert best[1] == 700
@@ -158,6 +159,13 @@ def test_packed_numbers_and_passed_blocks():
     assert t.best([("t", 3)], 1, best[0]) == [best] and len(t.open) == 1
 
 
+def test_term_counts():
+    texts = ["", None, "a", " a b", "a", "é-x", "\x7f!", "Z9 z", "end"]
+    for part in (pa.array(texts), pa.array(["pad", *texts, "pad"]).slice(1, len(texts)), pa.array([], pa.string())):
+        want = [len(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "")) for t in part.to_pylist()]
+        assert ranked.term_counts(part).tolist() == want
+
+
 def test_search_with_clashing_columns(spark):
     df = spark.createDataFrame([(1, "w1 w2", "a", 3), (2, "w3", "b", 4), (3, "w4", "b", 4)], "doc_id long, text string, term string, score int")
     items = df.select(F.col("doc_id").alias("item_id"), "text", "term", F.lit(1).alias("doc_id"))
