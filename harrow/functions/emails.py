@@ -62,10 +62,11 @@ def extract(text: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(found, F.lower), lambda e: ~is_asset(e)))
 
 
-def mailto(html: Column) -> Column:
-    """Addresses of mailto links, up to a question mark."""
-    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r'(?i)href="mailto:([^"?]*)'), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(found, lambda e: F.lower(F.trim(e))), lambda e: (e != "") & ~is_asset(e)))
+def mailto(hrefs: Column) -> Column:
+    """Addresses of the mailto links among an array of hrefs, up to a question mark."""
+    found = F.filter(hrefs, lambda h: h.startswith("mailto:"))
+    found = F.transform(found, lambda h: F.lower(F.trim(F.substring_index(F.replace(h, F.lit("mailto:"), F.lit("")), "?", 1))))
+    return F.array_distinct(F.filter(found, lambda e: (e != "") & ~is_asset(e)))
 
 
 def local_part(e: Column) -> Column:

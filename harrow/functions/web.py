@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import markup
+
 # Fixed values.
 CONTACT_WORDS = ("contact", "about", "support", "reach", "info", "location", "salon", "find", "store")
 SERVICE_WORDS = ("services", "book", "us")
 FACEBOOK_REFUSED = ("share.php", "sharer.php", "facebook.com/sharer", "facebook.com/dialog", "facebook.com/plugins")
 INSTAGRAM_REFUSED = ("developer", "about", "press", "directory")
-_ANCHOR = r'(?is)<a\b[^>]*\bhref="([^"]*)"[^>]*>(.*?)</a>'
 
 
 def strip_tags(html: Column) -> Column:
@@ -28,10 +27,8 @@ def title(html: Column) -> Column:
 
 
 def anchors(html: Column) -> Column:
-    """array of struct(href, label) in page order."""
-    text = F.coalesce(html, F.lit(""))
-    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(_ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all(text, F.lit(_ANCHOR), F.lit(2)).alias("label"))
-    return F.transform(pairs, lambda p: F.struct(p["href"].alias("href"), strip_tags(p["label"]).alias("label")))
+    """array of struct(href, label) in page order, whatever the quoting; see markup.scan()."""
+    return markup.parsed(html)["links"]
 
 
 def is_page_link(href: Column) -> Column:
@@ -45,13 +42,33 @@ def link_priority(href: Column, label: Column) -> Column:
     return F.when(hit(CONTACT_WORDS), 2).when(hit(SERVICE_WORDS), 1).otherwise(0)
 
 
-def _joined(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series([urljoin(b or "", h or "").split("#")[0] for b, h in zip(base, href)])
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that starts with a slash less its . and .. parts; the parts are walked only where there are any."""
+    parts = F.slice(F.split(path, "/"), 2, 1_000_000_000)
+    up = lambda acc: F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
+    walked = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == "..", up(acc)).when(x == ".", acc).otherwise(F.array_append(acc, x)))
+    open_end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array_append(walked, "")).otherwise(walked)
+    return F.when(path.rlike(r"/\.\.?(/|\z)"), F.concat(F.lit("/"), F.array_join(open_end, "/"))).otherwise(path)
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """Absolute address of a link on a page, without fragment (relative resolution has no built-in)."""
-    return F.pandas_udf(_joined, "string")(base, href)
+    """Absolute address of a link on a page, without fragment: relative references as RFC 3986 resolves them, by built-ins alone."""
+    clean = lambda c: F.substring_index(F.btrim(F.translate(F.coalesce(c, F.lit("")), "\t\r\n", "")), "#", 1)
+    b, h = clean(base), clean(href)
+    root = F.regexp_extract(b, _SCHEME + r"//[^/?]*", 0)
+    path = F.substring_index(F.substr(b, F.length(root) + 1), "?", 1)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    folder = F.when(folder == "", "/").otherwise(folder)
+    own = F.substring_index(h, "?", 1)
+    query = F.substr(h, F.length(own) + 1)
+    return (
+        F.when(h == "", b).when(h.rlike(_SCHEME), h).when(h.startswith("//"), F.concat(F.regexp_extract(b, _SCHEME, 0), h))
+        .when(h.startswith("/"), F.concat(root, _without_dots(own), query)).when(h.startswith("?"), F.concat(root, path, h))
+        .otherwise(F.concat(root, _without_dots(F.concat(folder, own)), query))
+    )
 
 
 def host(url: Column) -> Column:

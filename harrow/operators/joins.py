@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from harrow.functions.text import stripped
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,12 +41,17 @@ def still_to_do(base: DataFrame, processed: DataFrame, key: str, retry: Column |
     return base.join(done.select(key).distinct(), key, "left_anti")
 
 
-def translate(df: DataFrame, column: str, table: dict[str, str], out: str, *, lower: bool = False, default: str | None = None, suffix: str = "") -> DataFrame:
-    """Exact lookup of a cell in a small fixed table; without a hit the cell itself, without that the default."""
-    key = F.trim(F.coalesce(F.col(column), F.lit("")))
+def translate(
+    df: DataFrame, column: str, table: dict[str, str], out: str, *, lower: bool = False, default: str | None = None, suffix: str = "", as_is: bool = False
+) -> DataFrame:
+    """Exact lookup of a cell, blanks at its ends aside, in a small fixed table; without a hit the cell itself, without that the default.
+
+    as_is: a cell that isn't found keeps the blanks at its ends. The suffix goes to whatever isn't empty.
+    """
+    key = stripped(F.col(column))
     pairs = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
     hit = F.try_element_at(pairs, F.lower(key) if lower else key)
-    text = F.coalesce(hit, F.nullif(key, F.lit("")), F.lit(default if default is not None else ""))
+    text = F.coalesce(hit, F.nullif(F.col(column) if as_is else key, F.lit("")), F.lit(default if default is not None else ""))
     return df.withColumn(out, F.when(text != "", F.concat(text, F.lit(suffix))).otherwise(text))
 
 
@@ -57,7 +63,7 @@ def translate_first(column: Column, table: dict[str, str], default: str) -> Colu
 
 def allowed(column: Column, values: tuple[str, ...], *, contains: bool = False, lower: bool = True, blank: bool = True) -> Column:
     """Category predicate: equal to or containing a listed value; whether a blank cell passes."""
-    cell = F.trim(F.coalesce(column, F.lit("")))
+    cell = stripped(column)
     cell = F.lower(cell) if lower else cell
     hit = F.exists(F.array(*map(F.lit, values)), lambda v: F.contains(cell, v)) if contains else cell.isin(*values)
     return ((cell == "") | hit) if blank else ((cell != "") & hit)

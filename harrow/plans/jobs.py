@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harrow.functions import emails, places, text, web
+from harrow.functions import emails, markup, places, text, web
 from harrow.operators import clusters, dedup, joins, leads
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from .variants import CLEANING, FORMATTING, GRIDS, LISTINGS, SEARCH_URL, TEMPLATE
 
 
-def cell(df: DataFrame, *names: str) -> Column:
-    """The first filled one of the named columns that the table has; empty text without any."""
+def cell(df: DataFrame, *names: str, take: str = "filled") -> Column:
+    """A cell of the named columns that the table has: the first filled one without blanks at its ends, the first present one, or the first column's."""
     have = [F.col(f"`{n}`") for n in names if n in df.columns]
-    return text.first_filled(*have) if have else F.lit("")
+    if not have:
+        return F.lit("")
+    if take == "first":
+        return text.blank(have[0])
+    return text.first_filled(*have) if take == "filled" else F.coalesce(*[F.nullif(c, F.lit("")) for c in have], F.lit(""))
 
 
 def clean(rows: DataFrame, variant: str, row_id: str = "row_id") -> DataFrame:
@@ -33,39 +37,54 @@ def clean(rows: DataFrame, variant: str, row_id: str = "row_id") -> DataFrame:
 
 
 def format_leads(rows: DataFrame, variant: str, row_id: str = "row_id") -> DataFrame:
-    """Template rows of a listing table: closed ones out, best e-mail, one row a name, two-key rule, numbered, projected."""
+    """Template rows of a listing table: closed ones out, best e-mail, one row a name, two-key rule, numbered, projected.
+
+    A missing column is blank; rows whose name has nothing that its key keeps are left out, repeated rows fall to the first, and an empty table
+    gives an empty one. Cells of `first` columns are shown as they are, all others without blanks at their ends.
+    """
     v = FORMATTING[variant]
-    of = lambda name, *usual: cell(rows, *([v.columns[name]] if name in v.columns else []), *usual)
+    of = lambda names: cell(rows, *names, take=v.cells.take)
+    show = (lambda c: c) if v.cells.take == "first" else text.stripped
     df = rows
     if v.closed and "Permanently_Closed" in rows.columns:
-        df = df.where(F.lower(F.trim(text.blank(F.col("Permanently_Closed")))) != "yes")
+        df = df.where(F.lower(text.stripped(F.col("Permanently_Closed"))) != "yes")
+    tier = of(v.cells.tier) if any(c in rows.columns for c in v.cells.tier) else F.lit(v.default)
     df = df.select(
-        F.col(row_id).alias("_id"), text.name_key(of("name", "Name"), v.names).alias("_key"), emails.best(of("email", "Email"), v.rules).alias("_email"),
-        of("SĐT", "Phone").alias("_phone"), of("Công ty", "Name").alias("_name"), of("Liên Hệ", "Website").alias("_web"), of("Địa chỉ", "Address").alias("_address"),
-        of("Category", "Category").alias("_category"), of("Lương").alias("_pay"), of("Hạn tuyển").alias("_until"), cell(rows, "SĐT môi giới").alias("_broker"),
-        *[text.number(cell(rows, c)).alias(f"_rank{i}") if i else (cell(rows, c) != "").cast("double").alias("_rank0") for i, c in enumerate(v.rank)],
+        F.col(row_id).alias("_id"), text.name_key(of(v.cells.name), v.names).alias("_key"), emails.best(of(v.cells.email), v.rules).alias("_email"),
+        of(v.cells.phone).alias("_phone"), show(of(v.cells.shown)).alias("_name"), show(of(v.cells.link)).alias("_web"), show(of(v.cells.address)).alias("_address"),
+        of(v.cells.category).alias("_category"), of(v.cells.pay).alias("_pay"), of(v.cells.until).alias("_until"), of(v.cells.broker).alias("_broker"), tier.alias("_tier"),
+        (text.stripped(of(v.cells.site)) != "").cast("double").alias("_site"), *[text.number(cell(rows, c)).alias(f"_rank{i}") for i, c in enumerate(v.rank)],
     )
-    rank = [(F.col("_email") != "").cast("double"), *[F.col(f"_rank{i}") for i in range(len(v.rank))]]
-    df = dedup.best_of_group(df, "_key", rank, "_id").withColumn("_phone_key", text.phone_key(F.col("_phone"), v.phone))
+    rank = [(F.col("_email") != "").cast("double"), F.col("_site"), *[F.col(f"_rank{i}") for i in range(len(v.rank))]]
+    df = dedup.best_of_group(df, "_key", rank, "_id")
+    key = lambda c: text.phone_key(F.col(c), v.phone)
+    if v.shows == "jobs":
+        own = lambda c: F.when(text.stripped(F.col(c)) != text.NOT_SHOWN, F.nullif(key(c), F.lit("")))
+        df = df.withColumn("_phone_key", F.coalesce(own("_phone"), own("_broker"), F.lit("")))
+    else:
+        df = df.withColumn("_phone_key", key("_phone"))
     df = dedup.greedy_two_key(df, "_email", "_phone_key", "group_pos")
     df = dedup.numbered(df, [(F.col("_email") == "").cast("int"), F.col("group_pos")])
-    if v.broker_phone:
-        phone = F.when(text.phone_hidden(F.col("_phone")), "").otherwise(text.phone_display(F.col("_phone"), v.phone))
-    elif v.digits:
-        phone = text.phone_display(F.col("_phone"), v.phone)
+    open_digits = lambda c: F.when(text.phone_hidden(F.col(c)) | (key(c) == ""), "").otherwise(text.phone_display(F.col(c), v.phone))
+    if v.shows == "jobs":
+        phone = open_digits("_phone")
+    elif v.shows == "digits":
+        # of a cell that is there but blank, only a registry's shows its apostrophe
+        phone = F.when(F.col("_phone") == "", "").otherwise(F.concat(F.lit("'"), key("_phone"))) if v.cells.take == "present" else text.phone_display(F.col("_phone"), v.phone)
     else:
-        phone = text.phone_prefixed(F.col("_phone"))
+        phone = (text.phone_quoted if v.shows == "quoted" else text.phone_prefixed)(F.col("_phone"))
     if v.lookup == "first":
         df = df.withColumn("Category", joins.translate_first(F.col("_category"), v.table, v.default))
     elif v.lookup == "constant":
         df = df.withColumn("Category", F.lit(v.default))
     elif v.table:
-        df = joins.translate(df, "_category", v.table, "Category", lower=v.lookup == "lower", default=v.default, suffix=v.suffix)
+        default = None if v.cells.tier else v.default
+        df = joins.translate(df, "_category", v.table, "Category", lower=v.lookup == "lower", default=default, suffix=v.suffix, as_is=v.cells.take == "first")
     else:
         df = df.withColumn("Category", F.col("_category"))
     filled = {
         "Công ty": F.col("_name"), "SĐT": phone, "Liên Hệ": F.col("_web"), "Email": F.col("_email"), "Địa chỉ": F.col("_address"), "Lương": F.col("_pay"),
-        "Hạn tuyển": F.col("_until"), "Lần Follow-up": F.lit(0), "Chức danh": F.col("Category") if v.broker_phone else F.lit(""),
+        "Hạn tuyển": F.col("_until"), "Lần Follow-up": F.lit(0), "Chức danh": F.col("Category") if v.cells.tier else F.lit(""),
     }
     out = [F.col("`No.`")]
     for name in TEMPLATE[1:]:
@@ -73,9 +92,9 @@ def format_leads(rows: DataFrame, variant: str, row_id: str = "row_id") -> DataF
         if name == "Công ty" and v.latin:
             out.append(text.to_latin(F.col("_name")).alias("Tên Latin"))
     if v.category:
-        out.append(F.col("Category"))
-    if v.broker_phone:
-        out.append(F.when(text.phone_hidden(F.col("_broker")), "").otherwise(text.phone_display(F.col("_broker"), v.phone)).alias("SĐT môi giới"))
+        out.append((text.stripped(F.col("_tier")) if v.cells.tier else F.col("Category")).alias("Category"))
+    if v.cells.broker:
+        out.append(open_digits("_broker").alias("SĐT môi giới"))
     return df.orderBy("`No.`").select(*out)
 
 
@@ -141,10 +160,11 @@ def registry_rows(links: DataFrame, details: DataFrame) -> tuple[DataFrame, Data
 
 
 def page_emails(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Addresses of a page: mailto links and visible text, sorted and joined; and its social links."""
-    found = F.array_sort(F.array_union(emails.mailto(F.col(html)), emails.extract(web.strip_tags(F.col(html)))))
-    links = F.transform(web.anchors(F.col(html)), lambda a: a["href"])
-    return pages.select(
+    """Addresses of a page: mailto links and visible text, sorted and joined; and its social links. A null page has none."""
+    seen = pages.select(key, markup.parsed(F.col(html)).alias("_p"))
+    links = F.transform("_p.links", lambda a: a["href"])
+    found = F.array_sort(F.array_union(emails.mailto(links), emails.extract(F.col("_p.text"))))
+    return seen.select(
         key, F.array_join(found, ", ").alias("email"), F.array_distinct(F.filter(links, web.is_facebook)).alias("facebook"),
         F.array_distinct(F.filter(links, web.is_instagram)).alias("instagram"),
     )

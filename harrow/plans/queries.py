@@ -115,6 +115,30 @@ def link_priority_topk(spark, sf_dir):
     return leads.next_pages(t(spark, sf_dir, "pages"))
 
 
+#: Mixed markup after every page: quotes of both kinds and none, references, raw text, comments, inline and block elements. k is the page's number.
+_MIXED = (
+    "<p>mail info&#64;p", "k", ".nz or <b>sales</b><i>@p", "k", ".nz</i></p><div>x</div><a HREF='/one/", "k", "'>One &amp; <b>on</b>ly</a><a class=x href=two?k=", "k",
+    "&amp;y=1>Two</a><script>var a = '<a href=\"no\">bad@p", "k", ".nz</a>';</script><!-- <a href='never'>c@p", "k", ".nz</a> --><a href=\"mailto:Boss@P", "k", ".nz?subject=x\">write</a>",
+    "<a title='>' href = 'https://www.facebook.com/p", "k", "'>f</a><template>t@p", "k", ".nz</template>",
+)
+
+
+@query("""WITH h AS (SELECT page_id, page_id::VARCHAR AS k, regexp_replace(html, '(?is)<(script|style|title)[^>]*>.*?</(script|style|title)>|<!--.*?-->', ' ', 'g') AS x, html FROM pages),
+t AS (SELECT *, regexp_replace(regexp_replace(x, '(?i)</?(a|b|i|em|strong|span|small|u|img)(\\s[^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g') AS seen FROM h),
+e AS (SELECT *, list_filter(list_transform(regexp_extract_all(replace(replace(seen, '&#64;', '@'), '&amp;', '&'), '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Z|a-z]{2,7}\\b'), lambda m: lower(m)),
+  lambda m: NOT regexp_matches(m, '\\.(png|jpg|jpeg|gif|svg|webp|pdf|css|js|ico|woff|woff2|mp4|mp3)$')) AS es FROM t)
+SELECT page_id, array_to_string(list_sort(list_distinct(es || ['info@p' || k || '.nz', 'sales@p' || k || '.nz', 'boss@p' || k || '.nz'])), ', ') AS email,
+ 'https://www.facebook.com/p' || k AS facebook, len(regexp_extract_all(html, '<a href="')) + 4 AS links, '/one/' || k || ' One & only' AS first, 'two?k=' || k || '&y=1 Two' AS second FROM e""")
+def page_contacts(spark, sf_dir):
+    """S21 and X1b on the pages with mixed markup appended: addresses, social links and anchors as a reader of the page has them."""
+    more = F.concat(*[F.col("page_id").cast("string") if p == "k" else F.lit(p) for p in _MIXED])
+    p = t(spark, sf_dir, "pages").select("page_id", F.concat(F.coalesce("html", F.lit("")), F.lit("</p>"), more).alias("html"))
+    links = p.select("page_id", web.anchors(F.col("html")).alias("a"))
+    shown = lambda i: F.concat(F.element_at("a", i)["href"], F.lit(" "), F.element_at("a", i)["label"])
+    links = links.select("page_id", F.size("a").cast("long").alias("links"), shown(-4).alias("first"), shown(-3).alias("second"))
+    return jobs.page_emails(p).select("page_id", "email", F.array_join("facebook", " ").alias("facebook")).join(links, "page_id")
+
+
 @query("""SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title,
 length(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))) AS text_length FROM pages""")
 def html_title_strip(spark, sf_dir):

@@ -5,7 +5,7 @@ Everything below is fixed values: word lists, translations and column names that
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from harrow.functions.emails import Rules
 
@@ -117,24 +117,71 @@ class Cleaning:
     blank: bool = True
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Input columns of each value, in the order in which they are tried.
+
+    take: `filled` is the first cell that isn't blank, without blanks at its ends; `present` the first that isn't empty; `first` the first
+    column's cell, shown as it is. site is what ranks rows of one name, link what is shown; likewise name and shown.
+    """
+
+    name: tuple[str, ...] = ("Name",)
+    shown: tuple[str, ...] = ("Name",)
+    email: tuple[str, ...] = ("Email",)
+    phone: tuple[str, ...] = ("Phone",)
+    site: tuple[str, ...] = ("Website",)
+    link: tuple[str, ...] = ("Website",)
+    address: tuple[str, ...] = ("Address",)
+    category: tuple[str, ...] = ("Category",)
+    pay: tuple[str, ...] = ()
+    until: tuple[str, ...] = ()
+    broker: tuple[str, ...] = ()
+    tier: tuple[str, ...] = ()
+    take: str = "first"
+
+
+PLAIN = Cells()
+FILLED = Cells(
+    name=("Name", "Công ty", "name"), shown=("Name", "Công ty"), email=("Email", "Category", "Liên Hệ mail"), phone=("Phone", "SĐT"),
+    site=("Website", "Công ty", "Liên Hệ"), link=("Website", "Liên Hệ"), address=("Address", "Địa chỉ"), category=("Category", "category"), take="filled",
+)
+ONE_SITE = replace(FILLED, site=("Website",))
+BROKERS = replace(FILLED, shown=("Name", "Công ty", "name"), link=("Website", "Công ty", "Liên Hệ"), address=("Address", "Địa chỉ", "address"))
+REGISTRY = Cells(
+    name=("Tên công ty", "Tên tiếng Anh"), shown=("Tên công ty", "Tên tiếng Anh"), phone=("Điện thoại",), site=("Link chi tiết",), link=("Link chi tiết",), address=(),
+    category=(), take="present",
+)
+MEMBERS = Cells(
+    name=("name", "Name", "Công ty"), shown=("name", "Name", "Công ty"), email=("email", "Email"), phone=("phone", "Phone", "SĐT"), site=("website", "Website"),
+    link=("website", "Website", "Liên Hệ"), address=("address", "Address", "Địa chỉ"), category=(), take="filled",
+)
+JOBS = Cells(
+    name=("Tên chủ sử dụng",), shown=("Tên chủ sử dụng",), email=("Email liên hệ",), phone=("SĐT chủ",), site=("Link chi tiết",), link=("Link chi tiết",),
+    address=("Địa điểm làm việc",), category=("Ngành nghề",), pay=("Điều kiện lao động (Lương/Ăn ở)",), until=("Ngày hết hạn",), broker=("SĐT môi giới",), tier=("Xếp loại Lead",),
+)
+
+
 @dataclass(frozen=True)
 class Formatting:
-    """How the template is filled: phone and name rules, e-mail rules, ranking columns, translations, extra columns."""
+    """How the template is filled: phone and name rules, e-mail rules, columns, ranking, translations, extra columns.
+
+    shows: phones as `kept` (an apostrophe unless there is one), `quoted` (exactly one), `digits` (the key after one), or as `jobs` has
+    them (digits, unless hidden; rows clash by the broker's phone where the own one is missing).
+    """
 
     phone: str
     rules: Rules = Rules()
+    cells: Cells = PLAIN
+    shows: str = "kept"
     names: str = "ascii"
     closed: bool = True
-    rank: tuple[str, ...] = ("Website", "Reviews_Count", "Rating")
+    rank: tuple[str, ...] = ("Reviews_Count", "Rating")  # after an e-mail and a site
     table: dict[str, str] = field(default_factory=dict)
     lookup: str = "exact"  # exact, lower, first, constant (the default) or none (the cell as it is)
     default: str | None = None
     suffix: str = ""
     category: bool = True
     latin: bool = False
-    digits: bool = False  # phones shown as digits instead of as they are
-    columns: dict[str, str] = field(default_factory=dict)  # template column: input column, where it isn't the usual one
-    broker_phone: bool = False
 
 
 CLEANING = {
@@ -148,48 +195,82 @@ CLEANING = {
     "lv_wood": Cleaning(tuple(LV_WOOD), contains=True),
 }
 
-_REGISTRY = {"Công ty": "Tên công ty", "SĐT": "Điện thoại", "Liên Hệ": "Link chi tiết", "name": "Tên công ty", "email": "Email"}
 FORMATTING = {
     "nz_nails": Formatting("nz", category=False),
     "au_barbers": Formatting("au", lookup="none"),
     "nz_barbers": Formatting("nz", lookup="none"),
     "nz_farms": Formatting("nz", lookup="none"),
-    "au_cars": Formatting("au_bare", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "repair", "auto", "car")), table=AU_CARS, lookup="lower", default="Gara sửa chữa ô tô", latin=True),
-    "au_builders": Formatting("au_bare", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "build", "builder", "construction")), table=AU_BUILDERS, lookup="lower"),
+    "au_cars": Formatting(
+        "au_bare", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "repair", "auto", "car")),
+        FILLED, "quoted", table=AU_CARS, lookup="lower", default="Gara sửa chữa ô tô", latin=True,
+    ),
+    "au_builders": Formatting(
+        "au_bare", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "build", "builder", "construction")),
+        FILLED, "quoted", table=AU_BUILDERS, lookup="lower",
+    ),
     "gr_brokers": Formatting(
-        "gr", Rules.broker(("info", "contact", "office", "admin", "hello", "sales", "manager", "service", "enquiries", "recruitment", "hr", "jobs", "careers")), "greek", table=GR_BROKERS, lookup="lower",
-        default="Môi giới lao động Hy Lạp", latin=True, digits=True,
+        "gr", Rules.broker(("info", "contact", "office", "admin", "hello", "sales", "manager", "service", "enquiries", "recruitment", "hr", "jobs", "careers")),
+        BROKERS, "digits", "greek", table=GR_BROKERS, lookup="lower", default="Môi giới lao động Hy Lạp", latin=True,
     ),
     "gr_hotels": Formatting(
         "gr", Rules.registry(("info", "reservations", "reception", "contact", "office", "admin", "hello", "booking", "sales", "manager", "service", "enquiries")),
-        "greek", table=GR_HOTELS, lookup="lower", suffix=" Hy Lạp",
-    ),
-    "gr_farms": Formatting("gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "farm", "agri", "fish", "forest")), "greek", False, ("Link chi tiết",), lookup="constant", default="Nông lâm thủy sản Hy Lạp", columns=_REGISTRY),
-    "gr_builders": Formatting("gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "build", "builder", "construction")), "greek", False, ("Link chi tiết",), lookup="constant", default="Xây dựng Hy Lạp", columns=_REGISTRY),
-    "gr_makers": Formatting("gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "factory", "manufacture", "production")), "greek", False, ("Link chi tiết",), lookup="constant", default="Sản xuất Hy Lạp", columns=_REGISTRY),
-    "lv_builders": Formatting("lv", Rules(("info", "hello", "contact", "birojs", "office", "admin", "sales", "recepts", "enquiries", "manager", "buve")), table=LV_BUILDERS, lookup="lower"),
-    "lv_fish": Formatting("lv", Rules(("info", "hello", "contact", "birojs", "office", "admin", "sales", "recepts", "enquiries", "manager", "zivis", "zivju", "fish")), table=LV_FISH, lookup="lower", digits=True),
-    "lv_metal": Formatting("lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries"), ("wix", "no-reply", "noreply", "test", "example", "domain")), rank=("Website", "Reviews_Count"), table=LV_METAL, lookup="first", default="Gia công kim loại"),
-    "lv_wood": Formatting("lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries", "birojs"), ("wix", "no-reply", "noreply", "test", "example", "domain")), rank=("Website", "Reviews_Count"), table=LV_WOOD, lookup="first", default="Xưởng mộc"),
+        FILLED, "digits", "greek", table=GR_HOTELS, lookup="lower", default="Khách sạn", suffix=" Hy Lạp",
+    ),
+    "gr_farms": Formatting(
+        "gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "farm", "agri", "fish", "forest")),
+        REGISTRY, "digits", "greek", False, (), lookup="constant", default="Nông lâm thủy sản Hy Lạp",
+    ),
+    "gr_builders": Formatting(
+        "gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "build", "builder", "construction")),
+        REGISTRY, "digits", "greek", False, (), lookup="constant", default="Xây dựng Hy Lạp",
+    ),
+    "gr_makers": Formatting(
+        "gr", Rules.registry(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "factory", "manufacture", "production")),
+        REGISTRY, "digits", "greek", False, (), lookup="constant", default="Sản xuất Hy Lạp",
+    ),
+    "lv_builders": Formatting(
+        "lv", Rules(("info", "hello", "contact", "birojs", "office", "admin", "sales", "recepts", "enquiries", "manager", "buve")),
+        FILLED, "digits", table=LV_BUILDERS, lookup="lower",
+    ),
+    "lv_fish": Formatting(
+        "lv", Rules(("info", "hello", "contact", "birojs", "office", "admin", "sales", "recepts", "enquiries", "manager", "zivis", "zivju", "fish")),
+        FILLED, "digits", table=LV_FISH, lookup="lower",
+    ),
+    "lv_metal": Formatting(
+        "lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries"), ("wix", "no-reply", "noreply", "test", "example", "domain")),
+        ONE_SITE, "digits", rank=("Reviews_Count",), table=LV_METAL, lookup="first", default="Gia công kim loại Latvia",
+    ),
+    "lv_wood": Formatting(
+        "lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries", "birojs"), ("wix", "no-reply", "noreply", "test", "example", "domain")),
+        ONE_SITE, "digits", rank=("Reviews_Count",), table=LV_WOOD, lookup="first", default="Gia công gỗ Latvia",
+    ),
     "lv_metal_members": Formatting(
-        "lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries"), ("wix", "no-reply", "noreply", "test", "example", "domain")), closed=False, rank=("website",), lookup="constant", default="Hiệp hội Cơ khí - Gia công kim loại Latvia (MASOC)",
-        columns={"Công ty": "name", "SĐT": "phone", "Liên Hệ": "website", "Địa chỉ": "address", "name": "name", "email": "email"},
+        "lv", Rules(("info", "hello", "contact", "office", "admin", "sales", "manager", "support", "mail", "enquiries"), ("wix", "no-reply", "noreply", "test", "example", "domain")),
+        MEMBERS, "digits", closed=False, rank=(), lookup="constant", default="Hiệp hội Cơ khí - Gia công kim loại Latvia (MASOC)",
     ),
     "pt_hotels": Formatting(
         "pt", Rules(("info", "reservas", "reservations", "recepcao", "reception", "contacto", "contact", "geral", "general", "booking", "admin", "office")),
-        table=PT_HOTELS, lookup="lower",
+        FILLED, "quoted", table=PT_HOTELS, lookup="lower",
+    ),
+    "sk_agencies": Formatting(
+        "sk", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "sk", "slovakia", "recruitment", "jobs")),
+        PLAIN, "digits", "compact", table=SK_AGENCIES,
+    ),
+    "sk_factories": Formatting(
+        "sk", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "sk", "slovakia", "factory", "mfg", "sklad")),
+        PLAIN, "digits", "compact", table=SK_FACTORIES,
+    ),
+    "tw_builders": Formatting(
+        "tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "build")),
+        PLAIN, "digits", "compact", table=TW_BUILDERS,
+    ),
+    "tw_factories": Formatting(
+        "tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "factory", "mfg")),
+        PLAIN, "digits", "compact", table=TW_FACTORIES,
     ),
-    "sk_agencies": Formatting("sk", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "sk", "slovakia", "recruitment", "jobs")), "compact", table=SK_AGENCIES, digits=True),
-    "sk_factories": Formatting("sk", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "sk", "slovakia", "factory", "mfg", "sklad")), "compact", table=SK_FACTORIES, digits=True),
-    "tw_builders": Formatting("tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "build")), "compact", table=TW_BUILDERS, digits=True),
-    "tw_factories": Formatting("tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "factory", "mfg")), "compact", table=TW_FACTORIES, digits=True),
     "tw_jobs": Formatting(
-        "tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "hr")), "compact", False, ("Link chi tiết", "Số lượng tuyển (Quota)"), TW_JOBS, digits=True, broker_phone=True,
-        columns={
-            "Công ty": "Tên chủ sử dụng", "SĐT": "SĐT chủ", "Liên Hệ": "Link chi tiết", "Địa chỉ": "Địa điểm làm việc",
-            "Lương": "Điều kiện lao động (Lương/Ăn ở)", "Hạn tuyển": "Ngày hết hạn", "name": "Tên chủ sử dụng", "email": "Email liên hệ",
-            "Category": "Ngành nghề",
-        },
+        "tw", Rules(("info", "hello", "contact", "office", "admin", "sales", "enquiries", "manager", "service", "tw", "taiwan", "hr")),
+        JOBS, "jobs", "compact", False, ("Số lượng tuyển (Quota)",), TW_JOBS, default="COLD LEAD ❄️",
     ),
 }
 

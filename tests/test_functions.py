@@ -35,7 +35,7 @@ def test_extract(spark):
     assert one(spark, emails.extract, "Mail INFO@Ex.COM or logo@2x.png") == ["info@ex.com"]
     assert one(spark, emails.extract, "λinfo@x.gr") == []
     assert one(spark, emails.extract, None) == []
-    assert one(spark, emails.mailto, '<a href="mailto:A@b.cd?subject=x">') == ["a@b.cd"]
+    assert one(spark, lambda c: emails.mailto(F.transform(web.anchors(c), lambda a: a["href"])), '<a href="mailto:A@b.cd?subject=x">') == ["a@b.cd"]
 
 
 @pytest.mark.parametrize(
@@ -144,3 +144,80 @@ def test_html_tables(spark):
     assert [tuple(r) for r in spark.sql("SELECT l.* FROM d, LATERAL labelled(html) l").collect()] == [("tālruņa numurs", "1")]
     spark.createDataFrame([("<table><tr><td> a </td><td><a href='/x'>b</a></td></tr></table>",)], "html string").createOrReplaceTempView("w")
     assert [tuple(r) for r in spark.sql("SELECT r.* FROM w, LATERAL table_rows(html) r").collect()] == [(["a", "b"], "/x")]
+
+
+def _seen_by_parser(page):
+    """(title, text without blanks, [(href, label without blanks)]) by the standard library's parser, for well-formed pages."""
+    from html.parser import HTMLParser
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.title, self.text, self.links, self.dead, self.name = "", "", [], 0, None
+
+        def handle_starttag(self, tag, attrs):
+            a = dict(attrs)
+            self.name = tag
+            self.dead += tag in ("script", "style", "title", "template")
+            if tag == "a" and "href" in a:
+                self.links.append([a["href"] or "", "", True])
+
+        def handle_endtag(self, tag):
+            self.dead -= tag in ("script", "style", "title", "template")
+            if tag == "a" and self.links:
+                self.links[-1][2] = False
+            self.name = None
+
+        def handle_data(self, data):
+            if self.name == "title" and self.dead:
+                self.title += data
+            if not self.dead:
+                self.text += data
+                if self.links and self.links[-1][2]:
+                    self.links[-1][1] += data
+
+    p = P()
+    p.feed(page)
+    p.close()
+    bare = lambda x: "".join(x.split())
+    return " ".join(p.title.split()), bare(p.text), [(h, bare(x)) for h, x, _ in p.links]
+
+
+def test_pages_as_the_parser_sees_them(spark, sf):
+    import random
+
+    from harrow.functions import markup
+
+    rng = random.Random(3)
+    bits = ["<p>", "</p>", "<b>", "</b>", "<br/>", "x y", "&amp;", "&#64;", "&eacute;", "<!-- <a href='n'> -->", "<script>if (a<b) '</p>'</script>", "<style>p{}</style>", "a@b.nz",
+            "<a href='q?a=1&amp;b=2'>l</a>", '<a class="k" href="/r">m <i>n</i></a>', "<a href=s/t title='>'>o</a>", "<a>none</a>", "<A HREF = 'u'>U</A>", "<template>t</template>", "<img alt='>' src=x>"]
+    pages = ["<title> A  &lt; b</title>" + "".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(300)]
+    pages += [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    for page in pages:
+        title, text, links = markup.scan(page)
+        assert (title, "".join(text.split()), [(h, "".join(x.split())) for h, x in links]) == _seen_by_parser(page)
+
+
+def test_odd_pages_take_linear_time():
+    import time
+
+    from harrow.functions import markup
+
+    began = time.time()
+    for bit in ('<a href="x', "<", "<script>", "<!--", "<a x='", "<a href=x>", "<svg>", "</svg>", "<svg></b>", "<a " + "b" * 9, "&", "< ", "<a ="):
+        markup.scan(bit * 100_000)
+    assert time.time() - began < 20
+    assert markup.scan("a<b c='>") == ("", "a", []) and markup.scan("1 < 2 <3") == ("", "1 < 2 <3", []) and markup.scan(None) == ("", "", [])
+    assert markup.scan("<a href=x>one<a href=y>two") == ("", "onetwo", [("x", "one"), ("y", "two")])
+    assert markup.scan("<svg><svg>a</svg>b</svg>c<title>t</title>") == ("t", "c", [])
+
+
+def test_links_resolve_as_urljoin_does(spark):
+    from urllib.parse import urljoin
+
+    bases = ("http://a.b/c/d;p?q", "https://x.y", "https://x.y/", "http://a/b/c.html#f", "http://a/b/../c/")
+    hrefs = ("g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", ";x", "", "..", "../", "../g", "../..", "../../g", "../../../g", "./..", "/./g", "/../g", "g.", "..g", "./g/.", "g/./h", "g/../h",
+             "http://h/i", "mailto:x@y", "a/b/../../c", "/a/b/..", "/.", " g ", "?a=/../b", "g?y/../x")
+    rows = [(b, h, urljoin(b, h.strip()).split("#")[0]) for b in bases for h in hrefs]
+    df = spark.createDataFrame(rows, "b string, h string, e string")
+    assert [tuple(r) for r in df.withColumn("g", web.resolve(F.col("b"), F.col("h"))).where("g <> e").collect()] == []

@@ -79,30 +79,31 @@ def test_format(spark):
     assert [(r["No."], r["Công ty"], r["Email"], r["SĐT"]) for r in out] == [(1, "bella  nails!", "info@b.nz", "'+64 9 2"), (2, "Other", "x@gmail.com", "'021")]
 
 
-#: Per variant: phone cell, how it is shown, category cell, how it is shown (None: no such column).
+#: Per variant: phone cell, how it is shown, category cell, how it is shown (None: no such column). Digits lose their prefix, or phones keep
+#: what is there behind one apostrophe; a category is translated, kept, one of its kind, or the lead's tier.
 CELLS = {
-    "nz_nails": ("+64 9 1", "'+64 9 1", "Nail salon", None),
-    "au_barbers": ("+61 2 9", "'+61 2 9", "Barber shop", "Barber shop"),
+    "nz_nails": (" +64 9 1 ", "'+64 9 1", "Nail salon", None),
+    "au_barbers": ("''+61 2 9", "''+61 2 9", " Barber shop ", " Barber shop "),
     "nz_barbers": ("'+64 9", "'+64 9", "Barber shop", "Barber shop"),
     "nz_farms": ("", "", "Orchard", "Orchard"),
-    "au_cars": ("+61 2 9", "'+61 2 9", "Car Factory", "Nhà máy sản xuất ô tô"),
-    "au_builders": ("+61 2 9", "'+61 2 9", "Home builder", "Nhà thầu xây dựng nhà ở"),
+    "au_cars": ("''+61 2 9", "'+61 2 9", " Car Factory", "Nhà máy sản xuất ô tô"),
+    "au_builders": ("''+61 2 9", "'+61 2 9", " Home builder ", "Nhà thầu xây dựng nhà ở"),
     "gr_brokers": ("+30 210 1234567", "'2101234567", "Γραφείο απασχόλησης", "Văn phòng giới thiệu việc làm Hy Lạp"),
-    "gr_hotels": ("+30 210 1234567", "'+30 210 1234567", "Χόστελ", "Nhà nghỉ tập thể (Hostel) Hy Lạp"),
-    "gr_farms": ("210 1", "'210 1", "x", "Nông lâm thủy sản Hy Lạp"),
-    "gr_builders": ("210 1", "'210 1", "x", "Xây dựng Hy Lạp"),
-    "gr_makers": ("210 1", "'210 1", "x", "Sản xuất Hy Lạp"),
-    "lv_builders": ("+371 2", "'+371 2", "Būvuzņēmums", "Công ty xây dựng chung"),
-    "lv_fish": ("+371 2", "'2", "Zivju ferma", "Trại cá"),
-    "lv_metal": ("+371 2", "'+371 2", "Liela metāla darbnīca", "Xưởng gia công kim loại"),
-    "lv_wood": ("+371 2", "'+371 2", "kokzāģētava X", "Xưởng cưa gỗ"),
-    "lv_metal_members": ("+371 2", "'+371 2", "x", "Hiệp hội Cơ khí - Gia công kim loại Latvia (MASOC)"),
-    "pt_hotels": ("+351 2", "'+351 2", "Albergue", "Nhà trọ / Hostel"),
-    "sk_agencies": ("+421 5", "'05", "Sprostredkovanie práce", "Môi giới việc làm"),
-    "sk_factories": ("+421 5", "'05", "Sklad", "Kho bãi / Nhà kho"),
+    "gr_hotels": ("0030 210 1234567", "'2101234567", "", "Khách sạn Hy Lạp"),
+    "gr_farms": ("+30 210 1234567", "'2101234567", "x", "Nông lâm thủy sản Hy Lạp"),
+    "gr_builders": (" ", "'", "x", "Xây dựng Hy Lạp"),
+    "gr_makers": ("n/a", "'", "x", "Sản xuất Hy Lạp"),
+    "lv_builders": ("+371 2", "'2", "BŪVUZŅĒMUMS", "Công ty xây dựng chung"),
+    "lv_fish": ("none", "'", "Zivju ferma", "Trại cá"),
+    "lv_metal": ("'+371 2", "'2", "Liela metāla darbnīca", "Xưởng gia công kim loại"),
+    "lv_wood": ("+371 2", "'2", "x", "Gia công gỗ Latvia"),
+    "lv_metal_members": ("+371 2", "'2", "x", "Hiệp hội Cơ khí - Gia công kim loại Latvia (MASOC)"),
+    "pt_hotels": ("''+351 2", "'+351 2", "Outro ", "Outro"),
+    "sk_agencies": ("+421 5", "'05", " Sprostredkovanie práce", "Môi giới việc làm"),
+    "sk_factories": ("x", "'", " sklad ", " sklad "),
     "tw_builders": ("+886 2", "'02", "承包商", "Nhà thầu"),
     "tw_factories": ("+886 2", "'02", "紗廠", "Nhà máy kéo sợi"),
-    "tw_jobs": ("02-1", "'021", "製造工", "Lao động sản xuất / Chế tạo"),
+    "tw_jobs": ("02-1", "'021", "製造工", "COLD LEAD ❄️"),
 }
 
 
@@ -110,17 +111,47 @@ CELLS = {
 def test_every_variant_formats(spark, variant):
     v = FORMATTING[variant]
     phone, shown, category, translated = CELLS[variant]
-    df = listing(spark, [(0, "Alpha", "a.b", phone, "1 St", "4", "9", category, "No", "joe@gmail.com info@acme.nz"), (1, "Alpha", "", "", "", "", "", category, "No", "")])
-    if v.columns:
-        named = {"name": "Name", "SĐT": "Phone", "Liên Hệ": "Website", "Địa chỉ": "Address", "email": "Email", "Category": "Category"}
-        df = df.select("row_id", *[F.col(named[k]).alias(c) for k, c in v.columns.items() if k in named])
-    out = jobs.format_leads(df, variant)
-    n = len(TEMPLATE) + v.latin + v.category + v.broker_phone
+    names = dict(name=v.cells.name[0], email=v.cells.email[0], phone=v.cells.phone[0], site=v.cells.link[0], address=(*v.cells.address, "a")[0], category=(*v.cells.category, "c")[0])
+    rows = [(0, "Alpha ", "joe@gmail.com info@acme.nz", phone, " a.b", "1 St ", category), (1, "Alpha", "", "", "", "", category)]
+    out = jobs.format_leads(spark.createDataFrame(rows, "row_id long, " + ", ".join(f"`{n}` string" for n in names.values())), variant)
+    n = len(TEMPLATE) + v.latin + v.category + bool(v.cells.broker)
     assert len(out.columns) == n and n in (19, 20, 21)
     (r,) = out.collect()
-    address = "1 St" if not v.columns or "Địa chỉ" in v.columns else ""
-    assert (r["No."], r["Công ty"], r["Email"], r["SĐT"], r["Liên Hệ"], r["Địa chỉ"]) == (1, "Alpha", "info@acme.nz", shown, "a.b", address)
+    as_is = v.cells.take == "first"
+    address = ("1 St " if as_is else "1 St") if v.cells.address else ""
+    assert (r["No."], r["Công ty"], r["Email"], r["SĐT"]) == (1, "Alpha " if as_is else "Alpha", "info@acme.nz", shown)
+    assert (r["Liên Hệ"], r["Địa chỉ"]) == (" a.b" if as_is else "a.b", address)
     assert (r["Category"] if v.category else None) == translated
+    assert r["Chức danh"] == ("Lao động sản xuất / Chế tạo" if variant == "tw_jobs" else "")
+
+
+@pytest.mark.parametrize("variant", [n for n, v in FORMATTING.items() if v.cells.take == "filled" and v.cells.category])
+def test_second_columns(spark, variant):
+    """Each cell from a further column where the first is blank; a site may be named in the company column, but only brokers show it."""
+    names = ["Name", "Công ty", "Email", "Category", "Liên Hệ mail", "Phone", "SĐT", "Website", "Liên Hệ", "Address", "Địa chỉ"]
+    rows = [(0, " ", " Firm", "", "", "a@b.lv", " ", "5", "", "l.lv", None, "A 1"), (1, "Firm", "", " ", "x", "c@b.lv", "7", "", "", "", "", "")]
+    (r,) = jobs.format_leads(spark.createDataFrame(rows, "row_id long, " + ", ".join(f"`{n}` string" for n in names)), variant).collect()
+    site = "Firm" if variant == "gr_brokers" else "l.lv"
+    assert (r["Công ty"], r["Email"], r["SĐT"], r["Liên Hệ"], r["Địa chỉ"]) == ("Firm", "a@b.lv", "'5", site, "A 1")
+
+
+def test_registry_rows_by_their_english_name(spark):
+    rows = [(0, "", "Acme Ltd", "1", "a@acme.gr"), (1, None, "Acme ltd.", "", ""), (2, "Ωμέγα", "Omega", "2", ""), (3, "", "", "3", "x@y.gr"), (4, " ", "Lost", "4", "")]
+    df = spark.createDataFrame(rows, "row_id long, `Tên công ty` string, `Tên tiếng Anh` string, `Điện thoại` string, Email string")
+    for variant in ("gr_farms", "gr_builders", "gr_makers"):
+        assert [(r["Công ty"], r["Email"]) for r in jobs.format_leads(df, variant).collect()] == [("Acme Ltd", "a@acme.gr"), ("Ωμέγα", "")]
+
+
+def test_job_rows_clash_by_the_brokers_phone(spark):
+    rows = [(0, "甲", "不顯示", "02-1", "", "HOT LEAD 🔥 "), (1, "乙", "", "021", "", ""), (2, "丙", "5E+3", "03", "", "x"), (3, "丁", "", "", "", "x"), (4, "戊", "53", "9", "", "x")]
+    df = spark.createDataFrame(rows, "row_id long, `Tên chủ sử dụng` string, `SĐT chủ` string, `SĐT môi giới` string, `Email liên hệ` string, `Xếp loại Lead` string")
+    got = [(r["Công ty"], r["SĐT"], r["SĐT môi giới"], r["Category"]) for r in jobs.format_leads(df, "tw_jobs").collect()]
+    assert got == [("甲", "", "'021", "HOT LEAD 🔥"), ("丙", "", "'03", "x"), ("丁", "", "", "x")]
+
+
+def test_no_lead_from_an_empty_table(spark):
+    for variant in FORMATTING:
+        assert jobs.format_leads(spark.createDataFrame([], "row_id long, x string"), variant).schema.names[0] == "No."
 
 
 def test_a_constant_category_needs_no_column(spark):
@@ -188,9 +219,11 @@ def test_location_grid(spark):
 
 
 def test_page_emails(spark):
-    html = '<a href="mailto:b@x.yz">m</a> a@x.yz <a href="https://facebook.com/p">f</a>'
-    (r,) = jobs.page_emails(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
-    assert (r.email, r.facebook, r.instagram) == ("a@x.yz, b@x.yz", ["https://facebook.com/p"], [])
+    html = "<a href='mailto:b@x.yz'>m</a> a@x.yz <a href=https://facebook.com/p>f</a> info&#64;acme.nz <span>d</span>@x.yz<script>'<b>no@x.yz</b>'</script><!-- no@x.yz -->"
+    rows = [(1, html), (2, None), (3, ""), (4, "<p>q@x.yz" * 3), (5, '<a href="never closed q@x.yz')]
+    got = {r.page_id: r for r in jobs.page_emails(spark.createDataFrame(rows, "page_id int, html string")).collect()}
+    assert (got[1].email, got[1].facebook, got[1].instagram) == ("a@x.yz, b@x.yz, d@x.yz, info@acme.nz", ["https://facebook.com/p"], [])
+    assert [got[k].email for k in (2, 3, 4, 5)] == ["", "", "q@x.yz", ""]
 
 
 def test_page_tables(spark, tmp_path):

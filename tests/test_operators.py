@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from harrow.functions.places import haversine_km
 from harrow.operators import clusters, dedup, joins, leads
 from pyspark.sql import functions as F
@@ -110,3 +111,32 @@ def test_places_within_reach_of_poles_and_date_line(spark):
     df = spark.createDataFrame([(i, *x) for i, x in enumerate(at)], "id int, lat double, lng double")
     got = sorted((p.earlier, p.later) for p in within(df, 90.0).collect())
     assert got == sorted((i, j) for j in range(len(at)) for i in range(j) if km(at[i], at[j]) <= 90.0) and len(got) > 100
+
+
+def _read_in_order(rows):
+    firsts, seconds, kept = set(), set(), []
+    for i, e, p in sorted(rows, key=lambda r: (not r[1], r[0])):
+        if not ((e and e in firsts) or (p and p in seconds)):
+            kept.append(i)
+            firsts |= {e} - {"", None}
+            seconds |= {p} - {"", None}
+    return sorted(kept)
+
+
+@pytest.mark.parametrize("most", [1_000_000, 120])
+def test_two_keys_with_long_chains(spark, most):
+    """A chain in which each row is beaten by the one before it, a hot key, blanks and missing keys; with 120 rows a task the chain is a giant component."""
+    rng = random.Random(2)
+    n = 10_000 if most > 1000 else 500
+    rows = [(i, f"e{(i + 1) // 2}", f"p{i // 2}") for i in range(n)]
+    rows += [(n + i, rng.choice(["hot", "", None, f"x{rng.randint(0, 80)}"]), rng.choice(["", None, f"y{rng.randint(0, 80)}"])) for i in range(400)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "i long, e string, p string")
+    assert sorted(r.i for r in dedup.greedy_two_key(df, "e", "p", "i", most=most).collect()) == _read_in_order(rows)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7), (200, 201), (201, 202), (202, 200)]
+    got = dict(map(tuple, dedup.components(spark.createDataFrame(edges, "u long, v long")).collect()))
+    assert got == {i: 1 for i in range(1, 41)} | {90: 90, 95: 90, 100: 90} | {i: 200 for i in (200, 201, 202)}
+    assert dedup.components(spark.createDataFrame([], "u long, v long")).count() == 0
