@@ -70,6 +70,46 @@ def _alphabet(c: str) -> float:
     return math.log10(26 if c.islower() else 52 if c.isalpha() else 10 if c.isdigit() else 33)
 
 
+class _Repeats:
+    """Least cost of ending at i with a block of p characters repeated m times, over all m that the run before i allows.
+
+    That is the least of best[i - m*p] + log10(m) over the starts of one residue class. Of two starts the earlier one gains on the later
+    as i grows, and once ahead it stays ahead, so a stack of starts suffices, kept in the order in which they will be overtaken.
+    """
+
+    def __init__(self, p: int) -> None:
+        self.p, self.same = p, 0
+        self.stacks: list[list[int]] = [[] for _ in range(p)]
+
+    def _overtaken(self, best: list[float], early: int, late: int) -> float:
+        """From which i on the earlier start is the cheaper one; best[early] < best[late]."""
+        gain = best[late] - best[early]
+        ratio = 10.0 ** min(gain, 300.0)
+        return math.inf if ratio <= 1.0 else (ratio * late - early) / (ratio - 1.0) if gain < 300.0 else late
+
+    def least(self, value: str, best: list[float], i: int) -> float | None:
+        """log10 of the cheapest start and count for a run that ends at i, without the block's own cost; None where nothing is repeated."""
+        p = self.p
+        if i <= p:
+            return None
+        self.same = self.same + 1 if value[i - 1] == value[i - 1 - p] else 0
+        stack = self.stacks[i % p]
+        count, fewest = self.same // p + 1, 3 if p == 1 else 2
+        if count < fewest:
+            stack.clear()
+            return None
+        new = i - fewest * p
+        while stack and best[stack[-1]] >= best[new]:
+            stack.pop()
+        while len(stack) > 1 and self._overtaken(best, stack[-2], stack[-1]) <= self._overtaken(best, stack[-1], new):
+            stack.pop()
+        stack.append(new)
+        cost = lambda j: best[j] + math.log10((i - j) // p)
+        while len(stack) > 1 and cost(stack[-2]) <= cost(stack[-1]):
+            stack.pop()
+        return cost(stack[-1])
+
+
 def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
     """log10 of the guesses that the cheapest segmentation of value needs.
 
@@ -77,7 +117,7 @@ def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
     lower case, four times for signs in place of letters); a date (130 years, times 365 with day and month); a block of at most
     _BLOCK characters repeated (the block's own cost times the count); a walk of three to _WALK keys (37 keys to start at, 6
     ways at each change of direction, its length); a stretch of the alphabet or of digits (36 starts, 2 ways, its length); or one
-    brute-force character. Time is linear in len(value).
+    brute-force character. Time is linear in len(value), runs of repeats included.
     """
     n, low = len(value), value.lower()
     if len(low) != n:  # a few letters grow when lowered
@@ -91,21 +131,17 @@ def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
                 dates.setdefault(m, []).append((i, math.log10(365 * 130)))
             if m := _YEAR.match(value, i):
                 dates.setdefault(m.end(), []).append((i, math.log10(130)))
-    reps = [[1] * (n + 1) for _ in range(_BLOCK + 1)]  # reps[p][i]: how often the p characters before i stand there in a row
-    for p in range(1, _BLOCK + 1):
-        for i in range(2 * p, n + 1):
-            if value[i - p : i] == value[i - 2 * p : i - p]:
-                reps[p][i] = reps[p][i - p] + 1
+    repeats = [_Repeats(p) for p in range(1, _BLOCK + 1)]
     blocks: dict[str, float] = {}
     for i in range(1, n + 1):
         cost = best[i - 1] + _alphabet(value[i - 1])
-        for p in range(1, _BLOCK + 1):
-            k = reps[p][i]
-            if k * p >= 3 and k > 1:
-                block = value[i - p : i]
+        for r in repeats:
+            more = r.least(value, best, i)
+            if more is not None:
+                block = value[i - r.p : i]
                 if block not in blocks:
-                    blocks[block] = _alphabet(block) if p == 1 else guess_cost(block, ranks)
-                cost = min(cost, *(best[i - m * p] + blocks[block] + math.log10(m) for m in range(2, k + 1) if m * p >= 3))
+                    blocks[block] = _alphabet(block) if r.p == 1 else guess_cost(block, ranks)
+                cost = min(cost, more + blocks[block])
         turns, way, steps = 0, None, None
         key = run = True
         for j in range(i - 2, max(-1, i - 1 - _WALK), -1):

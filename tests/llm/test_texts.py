@@ -377,3 +377,37 @@ def test_quality(spark, odd):
     scored = quality.score(odd, model)
     assert scored.columns == ["doc_id", "text", "score"] and scored.count() == len(ODD)
     assert quality.score(odd.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("value", ["a" * 100_000, "abcd" * 25_000, "qwertyui" * 12_500, "ab" * 40_000 + "password" * 2_500])
+def test_guess_cost_of_long_runs_is_linear(value):
+    import time
+
+    began = time.time()
+    assert secrets.guess_cost(value) < 16 and time.time() - began < 15
+
+
+def test_guess_cost_of_runs_takes_the_best_count():
+    """Against the plain minimum over every count, with words and blocks that make later starts the cheaper ones."""
+    import math
+    import random
+
+    rng = random.Random(9)
+
+    class Plain(secrets._Repeats):
+        def least(self, value, best, i):
+            k, p = 1, self.p
+            while (k + 1) * p <= i and value[i - (k + 1) * p : i - k * p] == value[i - p : i]:
+                k += 1
+            return min((best[i - m * p] + math.log10(m) for m in range(2, k + 1) if m * p >= 3), default=None)
+
+    mine, values = secrets._Repeats, []
+    for _ in range(400):
+        v = "".join(rng.choice(rng.choice(["ab", "a", "abc", "pasword"])) for _ in range(rng.randint(1, 20)))
+        values.append(v * rng.randint(1, 6) + rng.choice(["", "aaaaaaaaa", "password" * 3, "abababab"]) + v[:7])
+    got = [secrets.guess_cost(v, {"aaa": 2, "abab": 5, "password": 1, "bab": 900}) for v in values]
+    try:
+        secrets._Repeats = Plain
+        assert got == pytest.approx([secrets.guess_cost(v, {"aaa": 2, "abab": 5, "password": 1, "bab": 900}) for v in values])
+    finally:
+        secrets._Repeats = mine
