@@ -157,6 +157,7 @@ def salvage(data: bytes, offset: int = 0) -> Iterator[tuple[str, int, int, dict[
     member's place as start and end and their own place in its contents as headers inner-start and inner-end.
     """
     at, bad, n = 0, None, len(data)
+    ahead = {b"WARC/1.": -1, _GZIP: -1}  # the next place of each mark, looked for again only once it is passed
     while at < n:
         found, end, whole = [], at, True
         if data.startswith(_GZIP, at):
@@ -182,8 +183,11 @@ def salvage(data: bytes, offset: int = 0) -> Iterator[tuple[str, int, int, dict[
                 at = end
                 continue
         bad = at if bad is None else bad
-        tries = [x for x in (data.find(b"WARC/1.", at + 1), data.find(_GZIP, at + 1)) if x >= 0]
-        at = min(tries, default=n)
+        for mark, place in ahead.items():
+            if place <= at:
+                place = data.find(mark, at + 1)
+                ahead[mark] = n if place < 0 else place
+        at = min(ahead.values())
     if bad is not None and bad < n:
         yield "gap", offset + bad, offset + n, {}, b""
 

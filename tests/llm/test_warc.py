@@ -176,3 +176,18 @@ def test_components(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
     assert common.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_damaged_archives_take_linear_time():
+    """64 MB of records that all fail their digest, and of torn members, with one good record at the end."""
+    import gzip
+    import time
+
+    good = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    bad = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: sha1:AAAA\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    torn = gzip.compress(bytes(range(256)) * 40)[:-5]
+    for piece, size in ((bad, 64_000_000), (torn, 8_000_000)):
+        data = piece * (size // len(piece)) + good
+        began = time.time()
+        found = list(warc.salvage(data))
+        assert [x[0] for x in found] == ["gap", "record"] and found[0][2] == len(data) - len(good) and time.time() - began < 40
