@@ -231,7 +231,7 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 4096, most_
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing and stand alone; vectors of
     different lengths don't link; equal vectors are compared once and counted by number. A repeated vec_id counts as
-    several vectors of that id. Extra columns are left out, an empty table gives an empty result.
+    several vectors of that id; a missing one is named by none, and stands alone in a component without other ids. Extra columns are left out, an empty table gives an empty result.
 
     The upper levels are cells of far-apart pivots, one for every `block` vectors up to most_cells; below, blocks of bounded
     size, each under its own cover tree. Pairs of cells are pruned by their covering radii, then pairs of blocks by their
@@ -242,9 +242,14 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 4096, most_
     """
     every = df.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
     ok = vectors.valid(df).where(F.exists("vec", lambda x: x != 0))
-    size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    # by the largest component first, so that neither squares of very large ones nor of very small ones leave the doubles
+    scale = F.array_max(F.transform("vec", lambda x: F.abs(x)))
+    size = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda a, x: a + x * x))
+    # each distinct vector has a number of its own, as ids may be missing or stand on several vectors; it is written, so it stays the same
     same = ok.groupBy("vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m"))
-    reps = same.select(F.col("rep").alias("id"), F.transform("vec", lambda x: x / size).alias("vec"), "m")
+    same = common.materialize(same.withColumn("id", F.monotonically_increasing_id()), "vectors")
+    scaled = same.withColumn("scale", scale).withColumn("scaled", F.transform("vec", lambda x: x / F.col("scale"))).withColumn("size", size)
+    reps = scaled.select("id", F.transform("scaled", lambda x: x / F.col("size")).alias("vec"), "m")
     reps = common.materialize(reps, "units")
     most = max(1, min(most_cells, reps.count() // block))
     centres = vectors.pivots(reps, most, max(sample, 4 * most))
@@ -274,14 +279,16 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 4096, most_
     found = common.materialize(shipped.groupBy("g", "h").applyInArrow(work, "id long, links long, tie long"), "vector-links")
     comp = common.components(found.select(F.col("id").alias("u"), F.col("tie").alias("v")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = same.join(links, same.rep == links.id, "left").drop("id").join(comp, same.rep == comp.id, "left").select(
-        "vec", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n"), F.coalesce("component_id", "rep").alias("c")
+    least_id = comp.join(same.select("id", "rep"), "id").groupBy("component_id").agg(F.min("rep").alias("c"))
+    named = comp.join(least_id, "component_id").select("id", "c")
+    classes = same.join(links, "id", "left").join(named, "id", "left").select(
+        "vec", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n"), F.coalesce("c", "rep").alias("c")
     )
     classes = common.materialize(classes, "vector-classes")
-    common.discard(reps, trees, keys, pairs, found)
-    bad = F.col("c").isNull()
+    common.discard(same, reps, trees, keys, pairs, found)
+    bad = F.col("n").isNull()
     return every.join(classes, "vec", "left").select(
         F.col("id").alias("vec_id"), F.when(bad, F.lit(0)).otherwise(F.col("n")).cast("long").alias("n_links"),
         F.when(bad, F.col("id")).otherwise(F.col("c")).alias("component_id"),
-        (bad | (F.col("id") == F.col("c"))).alias("kept"),
+        (bad | F.col("id").eqNullSafe(F.col("c"))).alias("kept"),
     )

@@ -158,7 +158,8 @@ SELECT doc_id, len(sh)::BIGINT AS n_shingles, least(doc_id, coalesce(least, doc_
 OP6_SQL = f"""
 WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v),
+w AS (SELECT vec_id, list_transform(e, lambda x: x / list_max(list_transform(e, lambda y: abs(y)))) AS e FROM v),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM w),
 links AS (SELECT p.vec_id AS u, q.vec_id AS v FROM u p JOIN u q ON p.vec_id < q.vec_id AND len(p.e) = len(q.e)
   AND list_dot_product(p.e, q.e) / (p.size * q.size) >= 0.95::DOUBLE),
 {_REACH},

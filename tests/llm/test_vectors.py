@@ -106,3 +106,12 @@ def test_top_k(spark, page):
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert mtree.top_k(df).count() == 0 and cover.near_duplicates(df).count() == 0
+
+
+def test_cosines_of_extreme_doubles(spark):
+    """Squares of these leave the doubles at either end; only directions count."""
+    rows = [(1, [1e-170, 2e-170]), (2, [1e200, 2e200]), (3, [2e200, 4e200]), (4, [5e-324, 0.0]), (5, [1e308, 0.0]), (6, [0.0, 1.0]), (7, [0.0, 0.0])]
+    rows += [(1, [3.0, 6.0]), (None, [0.0, 2.0])]
+    got = cover.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(((r.vec_id, r.n_links) for r in got), key=repr) == sorted([(1, 3), (2, 3), (3, 3), (1, 3), (4, 1), (5, 1), (6, 1), (None, 1), (7, 0)], key=repr)
+    assert {r.component_id for r in got if r.vec_id in (1, 2, 3)} == {1} and {r.component_id for r in got if r.vec_id in (4, 5)} == {4}
