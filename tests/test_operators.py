@@ -1,6 +1,7 @@
 """Row-level operators on hand-made and random tables."""
 
 import random
+import uuid
 
 import pytest
 from harrow.functions.places import haversine_km
@@ -140,3 +141,37 @@ def test_components(spark):
     got = dict(map(tuple, dedup.components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {i: 1 for i in range(1, 41)} | {90: 90, 95: 90, 100: 90} | {i: 200 for i in (200, 201, 202)}
     assert dedup.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def _leaders_in_order(rows, km):
+    from math import asin, cos, radians, sin, sqrt
+
+    centres, out = [], {}
+    for i, lat, lng in sorted(rows):
+        d = lambda c: 12742.0 * asin(min(1, sqrt(sin(radians(lat - c[1]) / 2) ** 2 + cos(radians(lat)) * cos(radians(c[1])) * sin(radians(lng - c[2]) / 2) ** 2)))
+        hit = next((c[0] for c in centres if d(c) <= km), None)
+        if hit is None:
+            centres.append((i, lat, lng))
+        out[i] = i if hit is None else hit
+    return out
+
+
+@pytest.mark.parametrize("most", [1_000_000, 60])
+def test_leaders_are_the_sequential_ones(spark, most):
+    """A crowded city, a line of places in order, the date line, a pole, equal places and scattered ones; by one task, and by rounds and components."""
+    rng = random.Random(6)
+    at = [(rng.gauss(48, 0.05), rng.gauss(2, 0.08)) for _ in range(250)] + [(10 + 0.03 * k, 20.0) for k in range(90)] + [(0.0, 179.99 + 0.02 * k - 360 * (k > 0)) for k in range(5)]
+    at += [(89.99, 120.0 * k) for k in range(3)] + [(-89.999, 0.0), (5.0, 5.0), (5.0, 5.0)] + [(rng.uniform(-60, 60), rng.uniform(-180, 180)) for _ in range(60)]
+    if most == 60:
+        rng.shuffle(at)
+    rows = [(i, *p) for i, p in enumerate(at)]
+    df = spark.createDataFrame([*rows, (9999, None, 1.0)], "id int, lat double, lng double")
+    assert {r.id: r.centre for r in clusters.leader_clusters(df, 4.5, most=most).collect()} == _leaders_in_order(rows, 4.5)
+
+
+def test_many_places_in_one_city(spark):
+    """200,000 places within some ten reaches of each other: no pairs are made, so this takes seconds."""
+    x = spark.range(200_000).select("id", (48 + F.rand(1) / 4).alias("lat"), (2 + F.rand(2) / 4).alias("lng"))
+    x.write.mode("overwrite").parquet(path := f"{dedup.shared_root(spark)}/city-{uuid.uuid4().hex}")
+    got = clusters.leader_clusters(spark.read.parquet(path), 4.5)
+    assert got.count() == 200_000 and 10 < got.select("centre").distinct().count() < 100
