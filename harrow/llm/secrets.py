@@ -9,7 +9,7 @@ from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -21,9 +21,10 @@ _HEX = re.compile(r"[0-9a-f]{32,}")  # a maximal run of 32 or more: the leftmost
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Wider credential contexts, whose values are judged by guess cost. A keyword starts a word, or a part of one after a sign, `_`
 #: or a change from a lower-case letter or digit to upper case (DB_PWD, db-pass, dbPwd).
+#: Names of accounts take a sign before their value; after the others `is` will do, unless what follows is letters alone, which is prose.
 _CONTEXT = re.compile(
-    r"""(?ai)(?:(?<![a-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:log[_-]?in|user(?:name)?|pwd|pass(?:word|wd|code|phrase)?|pin|secret|token|api[_-]?key|access[_-]?key|"""
-    r"""private[_-]?key|client[_-]?secret|credentials?|auth(?:orization)?|bearer)\b["']?\x20{0,3}(?:[:=]|=>|\bis\b)\x20{0,3}"""
+    r"""(?ai)(?:(?<![a-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:(?:log[_-]?in|user(?:name)?)\b["']?\x20{0,3}(?:[:=]|=>)|(?:pwd|pass(?:word|wd|code|phrase)?|pin|secret|token|api[_-]?key|access[_-]?key|"""
+    r"""private[_-]?key|client[_-]?secret|credentials?|auth(?:orization)?|bearer)\b["']?\x20{0,3}(?:[:=]|=>|(\bis\b)))\x20{0,3}"""
     r"""(?:bearer\x20)?["']?([^\s"',;<>]{6,})"""
 )
 _CONTEXT_WORDS = ("login", "log_in", "log-in", "user", "pwd", "pass", "pin", "secret", "token", "key", "credential", "auth", "bearer")
@@ -35,8 +36,8 @@ COMMON_WORDS = (
     "you", "server", "system", "access", "public", "private", "account", "office", "computer", "internet", "mail", "data",
 )
 _RANK = {w: i + 1 for i, w in enumerate(COMMON_WORDS)}
-#: Words of the corpus that join them: whole words of so many letters, at most MOST_WORDS of them.
-_SHORTEST, _LONGEST, MOST_WORDS = 3, 24, 65_536
+#: Words of the corpus that join them: whole words of so many letters.
+_SHORTEST, _LONGEST = 3, 24
 _EDGES = "\"'`()[]{}<>.,;:!?¡¿„“”‘’«»…"
 #: Rows of a keyboard, each a half key to the right of the one above it or less, and runs of the alphabet and of digits.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
@@ -178,33 +179,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]], least: float, ranks: Mapping[str, int] = _RANK) -> list[tuple[int, int, int]]:
-    """Spans of credential-context values whose guess cost is at least 10**least, outside what base spans cover."""
+def contexts(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
+    """(start, end, value) in credential context, apart from what base spans cover; code points."""
     low = text.lower()
     if not any(w in low for w in _CONTEXT_WORDS):
         return []
     out = []
     for m in _CONTEXT.finditer(text):
-        s, e = m.span(1)
-        if not any(a <= s and e <= b for a, _, b in base) and guess_cost(m[1], ranks) >= least:
-            out.append((s, 3, e))
+        s, e = m.span(2)
+        prose = m[1] and m[2].strip(_EDGES).isalpha()
+        if not prose and not any(a <= s and e <= b for a, _, b in base):
+            out.append((s, e, m[2]))
     return out
 
 
+def guess_spans(text: str, base: list[tuple[int, int, int]], least: float, ranks: Mapping[str, int] = _RANK) -> list[tuple[int, int, int]]:
+    """Spans of credential-context values whose guess cost is at least 10**least, outside what base spans cover."""
+    return [(s, 3, e) for s, e, v in contexts(text, base) if guess_cost(v, ranks) >= least]
+
+
 def words_of(text: str) -> set[str]:
     """Lower-case words of the text, apart from values in credential context and fixed patterns, which aren't to vouch for themselves."""
     hidden = base_spans(text)
     if any(w in text.lower() for w in _CONTEXT_WORDS):
-        hidden += [(m.start(1), 3, m.end(1)) for m in _CONTEXT.finditer(text)]
+        hidden += [(m.start(2), 3, m.end(2)) for m in _CONTEXT.finditer(text)]
     tokens = {t.strip(_EDGES) for t in set(redact(text, sorted(hidden), " ").split())}
     return {t.lower() for t in tokens if _SHORTEST <= len(t) <= _LONGEST and t.isalpha()}
 
 
-def word_ranks(docs: DataFrame, most: int = MOST_WORDS) -> dict[str, int]:
-    """Rank by number of texts of the `most` most frequent words of all documents, whatever their language, and of COMMON_WORDS.
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of all documents, whatever their language: in how many texts a word stands, if in two at least that differ. Written.
 
-    A word counts if it occurs in at least two texts that differ. Where not all words of one count fit, none of that count is
-    taken, so the table is the same however the rows are dealt. Words are counted a task first, so no word makes a large one.
+    Words are counted a task first, so no word makes a large one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,16 +236,49 @@ def word_ranks(docs: DataFrame, most: int = MOST_WORDS) -> dict[str, int]:
 
     part = docs.where("text is not null").select("text", F.xxhash64("text").alias("h")).mapInArrow(run, "word string, n long, low long, high long")
     every = part.groupBy("word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("word", "n")
-    every = common.materialize(every, "word-counts")
-    held, least = 0, None
-    for r in sorted(every.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r.n):
-        if held + r.k > most:
-            break
-        held, least = held + r.k, r.n
-    found = [] if least is None else every.where(F.col("n") >= least).collect()
-    common.discard(every)
-    ranks = {r.word: i + 1 for i, r in enumerate(sorted(found, key=lambda r: (-r.n, r.word)))}
-    return ranks | {w: min(k, ranks.get(w, k)) for w, k in _RANK.items()}
+    return common.materialize(every, "word-counts")
+
+
+def _named(v: str) -> Column:
+    """128 bits that stand for a value, so that a long one doesn't travel with each of its words."""
+    return F.struct(F.xxhash64(v).alias("i"), F.xxhash64(F.lit(11), F.col(v)).alias("j"))
+
+
+def costly_values(values: DataFrame, words: DataFrame, least: float) -> DataFrame:
+    """(id) of values(v), each once, whose guess cost is at least 10**least, with the ranks of all words of the corpus. Written.
+
+    A word's rank is one more than the number of words that stand in more texts; COMMON_WORDS keep theirs where it is smaller. Only ranks of words
+    that a value holds travel to it: its letter runs of _SHORTEST to _LONGEST are joined to words(word, n). Ranks come from the counts
+    by number of texts, one row for each number that occurs.
+    """
+    values = common.materialize(values.distinct().withColumn("id", _named("v")), "secret-values")
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct([("i", pa.int64()), ("j", pa.int64())])
+        for b in batches:
+            for v, who in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                low = v.lower() if len(v.lower()) == len(v) else v
+                for x in {low, low.translate(_SWAPS)}:
+                    runs = {x[j:i] for i in range(_SHORTEST, len(x) + 1) for j in range(max(0, i - _LONGEST), i - _SHORTEST + 1) if x[j:i].isalpha()}
+                    yield pa.RecordBatch.from_arrays([pa.array([who] * len(runs), kind), pa.array(list(runs), pa.string())], ["id", "word"])
+
+    held = values.select("v", "id").mapInArrow(parts, "id struct<i:bigint,j:bigint>, word string").distinct()
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = words.groupBy("n").agg(F.count(F.lit(1)).alias("k")).select("n", (F.coalesce(F.sum("k").over(above), F.lit(0)) + 1).alias("rank"))
+    ranked = held.join(words, "word").join(ranks, "n").groupBy("id").agg(F.collect_list("word").alias("ws"), F.collect_list("rank").alias("rs"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for v, ws, rs in zip(*(b.column(c).to_pylist() for c in ("v", "ws", "rs")), strict=True):
+                own = dict(zip(ws or (), rs or (), strict=True))
+                keep.append(guess_cost(v, own | {w: min(k, own.get(w, k)) for w, k in _RANK.items()}) >= least)
+            yield pa.RecordBatch.from_arrays([b.column("id").filter(pa.array(keep, pa.bool_()))], ["id"])
+
+    out = values.join(ranked, "id", "left").select("v", "ws", "rs", "id").mapInArrow(judge, "id struct<i:bigint,j:bigint>")
+    out = common.materialize(out, "secret-ids")
+    common.discard(values)
+    return out
 
 
 def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "<secret>") -> str:
@@ -256,54 +295,93 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
+_SPANS = "array<struct<s:int,k:int,e:int>>"
+_CONTEXTS = "array<struct<s:int,e:int,v:string>>"
+_SPAN_TYPE = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
+_CONTEXT_TYPE = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("v", pa.string())]))
+
+
+def _found(base: list[tuple[int, int, int]], values: list[tuple[int, int, str]]) -> tuple[list[dict], list[dict]]:
+    return [{"s": s, "k": k, "e": e} for s, k, e in base], [{"s": s, "e": e, "v": v} for s, e, v in values]
+
+
+def _guessed(found: DataFrame, key: list[str], docs: DataFrame, least: float) -> DataFrame:
+    """(key, guesses): the spans of found(key, contexts) whose values are costly, for keys that have some. Written."""
+    words = word_counts(docs)
+    each = found.select(*key, F.explode("contexts").alias("c")).select(*key, "c.*")
+    bad = costly_values(each.select("v"), words, least)
+    hit = each.withColumn("id", _named("v")).join(bad, "id", "left_semi")
+    span = F.struct("s", F.lit(3).alias("k"), "e")
+    out = common.materialize(hit.groupBy(*key).agg(F.array_sort(F.collect_set(span)).cast(_SPANS).alias("guesses")), "secret-guesses")
+    common.discard(words, bad)
+    return out
+
+
 def scan(docs: DataFrame, least: float = 9.0) -> DataFrame:
     """Secrets of every whole text: doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans.
 
     A null text counts as empty; a row without secrets has zeros, an empty span list and the digest of "". Repeated rows
-    give repeated results, an empty table an empty one, columns besides doc_id and text are left out. The only shuffle is
-    that of word_ranks(), whose table travels with the tasks.
+    give repeated results, an empty table an empty one, columns besides doc_id and text are left out. Texts are read twice and never
+    shuffled: what is found in each row is written and numbered, and values, judged once each, are joined back to it.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            spans, values, digests = [], [], []
             for t in b.column(1).to_pylist():
                 base = base_spans(t or "")
-                guess = guess_spans(t or "", base, least, ranks.value)
-                for k in range(3):
-                    cols[k].append(sum(1 for x in base if x[1] == k))
-                cols[3].append(len(guess))
-                cols[4].append(hashlib.sha256(_joined(base).encode()).hexdigest())
-                cols[5].append(_joined(sorted(base + guess)))
-            ints = [pa.array(c, pa.int64()) for c in cols[:4]]
-            yield pa.RecordBatch.from_arrays([b.column(0), *ints, pa.array(cols[4], pa.string()), pa.array(cols[5], pa.string())], names)
-
-    names = ["doc_id", "n_assign", "n_access", "n_hex", "n_guess", "base_sha256", "spans"]
+                one = _found(base, contexts(t or "", base))
+                spans.append(one[0])
+                values.append(one[1])
+                digests.append(hashlib.sha256(_joined(base).encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.string()), pa.array(spans, _SPAN_TYPE), pa.array(values, _CONTEXT_TYPE)], ["doc_id", "base_sha256", "base", "contexts"])
+
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string"
-    )
+    found = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, base_sha256 string, base {_SPANS}, contexts {_CONTEXTS}")
+    found = common.materialize(found.withColumn("row", F.monotonically_increasing_id()), "secret-contexts")
+    guessed = _guessed(found.where(F.size("contexts") > 0), ["row"], docs, least)
+    guesses = F.coalesce("guesses", F.array().cast(_SPANS))
+    names = F.array(*map(F.lit, KINDS))
+    shown = F.transform(F.array_sort(F.concat("base", guesses)), lambda x: F.concat_ws(":", F.get(names, x["k"]), x["s"], x["e"]))
+    n = lambda k: F.size(F.filter("base", lambda x: x["k"] == k)).cast("long")
+    return found.join(guessed, "row", "left").select(
+        "doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.size(guesses).cast("long").alias("n_guess"), "base_sha256",
+        F.array_join(shown, ",").alias("spans"),
+    )
 
 
 def redacted(docs: DataFrame, least: float = 9.0) -> DataFrame:
     """docs with every secret span of the text replaced by <secret>.
 
     Null and empty texts stay as they are, so do other columns whatever their names; equal rows change alike; an empty table stays empty.
+    Guessed spans are found for each text once and joined to its rows by 128 bits of hash.
     """
+    t1, t2, more = common.unused(docs.columns, "t1", "t2", "guesses")
     at = docs.columns.index("text")
-    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))
+    marked = docs.withColumns({t1: F.xxhash64("text"), t2: F.xxhash64(F.lit(11), F.col("text"))})
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            values = [_found([], contexts(t, base_spans(t)))[1] for t in b.column(0).to_pylist()]
+            keep = pa.array([bool(v) for v in values], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(1).filter(keep), b.column(2).filter(keep), pa.array(values, _CONTEXT_TYPE).filter(keep)], ["t1", "t2", "contexts"])
+
+    found = marked.where(F.col("text").isNotNull()).select("text", t1, t2).mapInArrow(look, f"t1 long, t2 long, contexts {_CONTEXTS}")
+    found = common.materialize(found.groupBy("t1", "t2").agg(F.first("contexts").alias("contexts")), "secret-contexts")
+    guessed = _guessed(found, ["t1", "t2"], docs, least)
+    common.discard(found)
+    g = guessed.select(F.col("t1").alias(f"{more}_1"), F.col("t2").alias(f"{more}_2"), F.col("guesses").alias(more))
+    joined = marked.join(g, (F.col(t1) == F.col(f"{more}_1")) & (F.col(t2) == F.col(f"{more}_2")), "left").select(*[F.col(f"`{c}`") for c in docs.columns], more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = []
-            for t in b.column(at).to_pylist():
+            for t, extra in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
                 if t is not None:
-                    base = base_spans(t)
-                    t = redact(t, sorted(base + guess_spans(t, base, least, ranks.value)))
+                    t = redact(t, sorted(base_spans(t) + [(x["s"], x["k"], x["e"]) for x in extra or ()]))
                 texts.append(t)
-            cols = list(b.columns)
+            cols = list(b.columns)[:-1]
             cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, b.schema.names)
+            yield pa.RecordBatch.from_arrays(cols, b.schema.names[:-1])
 
-    return docs.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema)

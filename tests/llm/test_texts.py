@@ -345,9 +345,50 @@ def test_words_of_the_corpus_are_cheap(spark):
     assert [found[n + len(clean) + i] for i in range(len(real))] == [1] * len(real)
     texts = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
     assert [texts[n + i] for i in range(len(clean))] == clean
-    ranks = secrets.word_ranks(df)
-    assert "zqxkvwpj" not in ranks and "xvqkzwbn" not in ranks and ranks["jardinerie"] > ranks["gardening"] and ranks["password"] == 1
-    assert secrets.word_ranks(df, most=0) == {w: i + 1 for i, w in enumerate(secrets.COMMON_WORDS)} == secrets.word_ranks(df.limit(0))
+    counts = {r.word: r.n for r in secrets.word_counts(df).collect()}
+    assert "zqxkvwpj" not in counts and "xvqkzwbn" not in counts and counts["jardinerie"] == 2 and counts["gardening"] == 2
+    assert secrets.word_counts(df.limit(0)).count() == 0 == secrets.scan(df.limit(0)).count() == secrets.redacted(df.limit(0)).count()
+
+
+def test_scan_is_the_plain_rule_over_all_words(spark):
+    """Words, their ranks and the spans of every row, against counting everything at once; a value of many letters, repeated rows and nulls too."""
+    import random
+    from collections import Counter
+
+    rng = random.Random(12)
+    stock = ["".join(rng.choice("abcdefghiklmnoprstuvz") for _ in range(rng.randint(3, 11))) for _ in range(300)]
+    rows = []
+    for i in range(150):
+        words = [stock[int(300 * rng.random() ** 3)] for _ in range(30)]
+        value = "".join(rng.choice(stock) for _ in range(rng.randint(1, 3))) + rng.choice(["", "7", "!", "2001", "".join(rng.choices("xyzXYZ129#-", k=rng.randint(3, 9)))])
+        rows.append((i, " ".join([*words, rng.choice(["pwd: ", "login=", "the pin is ", "token: "]) + value, rng.choice(stock)])))
+    rows += [(5, rows[5][1]), (None, rows[6][1]), (200, None), (201, ""), (202, "pin: " + "ab" * 3000 + "x"), (203, "pin: " + stock[0] * 500)]
+    n, seen = Counter(), {}
+    for _, t in rows:
+        for w in secrets.words_of(t or ""):
+            n[w] += 1
+            seen.setdefault(w, set()).add(t)
+    n = {w: c for w, c in n.items() if len(seen[w]) > 1}
+    ranks = {w: 1 + sum(x > c for x in n.values()) for w, c in n.items()}
+    ranks |= {w: min(k, ranks.get(w, k)) for w, k in secrets._RANK.items()}
+    want = []
+    for i, t in rows:
+        base = secrets.base_spans(t or "")
+        every = sorted(base + secrets.guess_spans(t or "", base, 9.0, ranks))
+        want.append((i, sum(k == 3 for _, k, _ in every), ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in every)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_guess, r.spans) for r in secrets.scan(df).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and 10 < sum(g[1] for g in got) < 150
+    cut = {(i, secrets.redact(t, [(int(a), 0, int(b)) for a, b in (x.split(":")[1:] for x in sp.split(",") if x)]) if t is not None else None) for (i, t), (_, _, sp) in zip(rows, want, strict=True)}
+    assert {(r.doc_id, r.text) for r in secrets.redacted(df).collect()} == cut
+
+
+@pytest.mark.parametrize("text", [
+    "The user is unfortunately interested and the login is straightforward.", "Das secret is selbstverständlich; der Bearer is offensichtlich.",
+    "El token is extraordinariamente. Le pass is malheureusement, et login is impressionnant!", "My pin is breathtaking, the password is unforgettable.",
+])
+def test_prose_after_is_holds_no_secret(spark, text):
+    assert secrets.contexts(text, []) == [] and secrets.contexts("the password is Tr0ub4dor&3", []) != []
 
 
 def test_quality(spark, odd):
