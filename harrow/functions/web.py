@@ -90,10 +90,15 @@ def is_instagram(href: Column) -> Column:
     return _social(href, "instagram.com", INSTAGRAM_REFUSED)
 
 
+def with_scheme(url: Column) -> Column:
+    return F.when(url.rlike("^https?://"), url).otherwise(F.concat(F.lit("https://"), url))
+
+
 def social_url(url: Column) -> Column:
-    """Scheme added where missing, mobile host replaced."""
-    full = F.when(url.rlike("^https?://"), url).otherwise(F.concat(F.lit("https://"), url))
-    return F.replace(full, F.lit("://m.facebook.com"), F.lit("://www.facebook.com"))
+    """The address at which a social page is fetched: mobile and bare hosts of one network become its main one, a scheme is added."""
+    main = lambda c, host: F.replace(c, F.lit(host), F.lit("www.facebook.com"))
+    bare = url.contains("facebook.com") & ~url.contains("www.facebook.com")
+    return with_scheme(F.when(url.contains("m.facebook.com"), main(url, "m.facebook.com")).when(bare, main(url, "facebook.com")).otherwise(url))
 
 
 def website_kind(url: Column) -> Column:
@@ -174,18 +179,18 @@ class ListedCompanies:
             yield link["text"].strip(), link["href"], by.get("UR vai mītnes valsts reģistrācijas numurs", ""), by.get("Statuss", "Aktīvs")
 
 
-@F.udtf(returnType="label string, value string")
+@F.udtf(returnType="label string, value string, at int")
 class LabelledValues:
-    """Label and value of each preview row of a detail page."""
+    """Label and value of each preview row of a detail page, and the row's place."""
 
     def eval(self, html: str) -> Iterator[tuple]:
         p = _Cells("wizardform__preview_row", ("wizardform__preview_label", "wizardform__preview_value"))
         p.feed(html or "")
-        for row in p.rows:
+        for at, row in enumerate(p.rows):
             label = next((c["text"] for c in row if "preview_label" in c["class"]), None)
             value = next((c["text"] for c in row if "preview_value" in c["class"]), None)
             if label is not None and value is not None:
-                yield label.strip().lower(), value.strip()
+                yield label.strip().lower(), value.strip(), at
 
 
 #: Field of a detail page and the words its label holds (fixed values); of several rows for one field the last counts.

@@ -34,16 +34,22 @@ def tier(score: Column) -> Column:
     return F.when(score >= HOT, TIERS[0]).when(score >= WARM, TIERS[1]).otherwise(TIERS[2])
 
 
-def next_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", most: int = 4) -> DataFrame:
-    """Up to `most` links a page on its own host: contact-like first, then page order, each address once, not itself."""
-    links = pages.select(key, url, F.posexplode(web.anchors(F.col(html))).alias("pos", "a")).where(web.is_page_link(F.col("a.href")))
-    links = links.withColumn("link", web.resolve(F.col(url), F.col("a.href"))).withColumn("priority", web.link_priority(F.col("a.href"), F.col("a.label")))
-    links = links.where((web.host(F.col("link")) == web.host(F.col(url))) & (F.col("link") != F.col(url)))
-    once = links.groupBy(key, "link").agg(F.max(F.struct("priority", (-F.col("pos")).alias("pos"))).alias("b"))
+def next_links(pages: DataFrame, key: str, url: str, links: str, most: int = 4) -> DataFrame:
+    """(key, link, priority, rank): up to `most` of an array of links(href, label) a page on its own host: contact-like first, then page
+    order, each address once, not the page itself."""
+    each = pages.select(key, url, F.posexplode(links).alias("pos", "a")).where(web.is_page_link(F.col("a.href")))
+    each = each.withColumn("link", web.resolve(F.col(url), F.col("a.href"))).withColumn("priority", web.link_priority(F.col("a.href"), F.col("a.label")))
+    each = each.where((web.host(F.col("link")) == web.host(F.col(url))) & (F.col("link") != F.col(url)))
+    once = each.groupBy(key, "link").agg(F.max(F.struct("priority", (-F.col("pos")).alias("pos"))).alias("b"))
     w = Window.partitionBy(key).orderBy(F.desc("b.priority"), F.desc("b.pos"))
     return once.select(key, "link", F.col("b.priority").alias("priority"), F.row_number().over(w).alias("rank")).where(F.col("rank") <= most)
 
 
+def next_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", most: int = 4) -> DataFrame:
+    """next_links() of the anchors of raw pages."""
+    return next_links(pages.select(key, url, web.anchors(F.col(html)).alias("_links")), key, url, "_links", most)
+
+
 def first_source(rows: DataFrame, key: str, order: dict[str, int], source: str = "source", value: str = "email") -> DataFrame:
     """The first source, in the given order, that has a value for a key."""
     ranks = F.create_map(*[F.lit(x) for kv in order.items() for x in kv])

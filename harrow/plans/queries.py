@@ -12,11 +12,12 @@ import uuid
 from harrow.functions import documents, emails, places, text, web
 from harrow.operators import clusters, dedup, filters, joins, leads
 from harrow.sources import pages as fetched
+from harrow.sources import tables
 from harrow.streaming import resume
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jobs
+from . import crawl, jobs
 from .variants import FORMATTING, LISTINGS, PT_HOTELS, SEARCH_URL, SK_AGENCIES
 
 QUERIES: dict = {}
@@ -350,6 +351,56 @@ def incremental_resume(spark, sf_dir):
     return spark.read.schema(schema).parquet(f"{at}/out")
 
 
+@query("""SELECT DISTINCT user_id, (user_id % 4 + 1)::INT AS attempt FROM events WHERE user_id % 4 < 3""")
+def retry_until_done(spark, sf_dir):
+    """2.8: five runs over all event files; a user's work succeeds at attempt user_id % 4 + 1, and three attempts are the most."""
+    at, runs = f"{dedup.shared_root(spark)}/retry/{uuid.uuid4().hex}", []
+
+    def work(due):
+        return due.select("user_id", (F.col("user_id") % 4 < len(runs)).alias("ok"))
+
+    for _ in range(5):
+        runs.append(1)
+        resume.run_until_done(spark, f"{sf_dir}/events.parquet*", "user_id long", "user_id", work, at, most=3)
+    return resume.results(spark, at).select("user_id", F.col("attempt").cast("int").alias("attempt"))
+
+
+_SITE_KIND = "CASE k % 8 WHEN 0 THEN 'site' WHEN 1 THEN 'subpages' WHEN 2 THEN 'facebook' WHEN 3 THEN 'instagram' WHEN 4 THEN 'none' WHEN 5 THEN 'facebook' WHEN 6 THEN 'none' ELSE 'site' END"
+
+
+@query(f"""SELECT k AS site, {_SITE_KIND} AS source, CASE k % 8 WHEN 0 THEN 'a@h' || k || '.nz, b@h' || k || '.nz' WHEN 1 THEN 'a@c' || k || '.nz, d@c' || k || '.nz' WHEN 2 THEN 'f@g' || k || '.nz'
+WHEN 3 THEN 'i@g' || k || '.nz' WHEN 5 THEN 'own@g' || k || '.nz' WHEN 7 THEN 'x@h' || k || '.nz' ELSE '' END AS email FROM (SELECT c_custkey AS k FROM customer)""")
+def site_contacts(spark, sf_dir):
+    """Sites whose address is on the home page, two subpages, the second social page, or nowhere; every table page is fetched too."""
+    c = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    kind, n = F.col("k") % 8, F.col("k").cast("string")
+    text = lambda *parts: F.concat(*[n if x is None else F.lit(x) for x in parts])
+    site = F.when(kind == 5, text("m.facebook.com/own", None)).when(kind == 6, "").when(kind == 7, text(" http://s", None, ".nz ")).otherwise(text("s", None, ".nz"))
+    sites = c.select(F.col("k").alias("site"), site.alias("website"))
+    links = text("<a href='/contact'>c</a><a href=blog>b</a><a href='about?x=1#y'>a</a><a href='http://other.nz/contact'>o</a>")
+    fb = text("<a href='https://www.facebook.com/sharer.php?u=1'>s</a><a href='facebook.com/none", None, "'>n</a><a href='https://m.facebook.com/p", None, "'>p</a>")
+    home = (
+        F.when(kind == 0, text("<p>a@h", None, ".nz</p><a href='mailto:B@h", None, ".nz?s=1'>m</a>")).when(kind == 2, F.concat(links, fb)).when(kind == 3, F.concat(links, fb, text("<a href=instagram.com/u", None, ">i</a>")))
+        .when(kind == 7, text("x@h", None, ".nz<script>no@h", None, ".nz</script>")).otherwise(links)
+    )
+    page = lambda url, html, where=None: (c.where(where) if where is not None else c).select(url.alias("url"), html.alias("html"))
+    pages = page(F.concat(F.when(kind == 7, "http://s").otherwise("https://s"), n, F.lit(".nz")), home, kind != 6)
+    pages = pages.union(page(text("https://s", None, ".nz/contact"), text("a@c", None, ".nz"), kind == 1)).union(page(text("https://s", None, ".nz/about?x=1"), text("<i>d@c", None, ".nz</i>"), kind == 1))
+    pages = pages.union(page(text("https://www.facebook.com/p", None), text("f@g", None, ".nz"), kind == 2)).union(page(text("https://www.facebook.com/own", None), text("own@g", None, ".nz"), kind == 5))
+    pages = pages.union(page(text("https://instagram.com/u", None), text("i@g", None, ".nz <a href='mailto:hidden@g.nz'>m</a>"), kind == 3))
+    return crawl.site_contacts(sites, pages.union(t(spark, sf_dir, "pages").select("url", "html")))
+
+
+@query("""WITH d AS (SELECT doc_id::VARCHAR AS doc_id, coalesce(lang, '') AS lang, replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents)
+SELECT doc_id, lang, length(text) AS length, md5(text) AS digest FROM d""")
+def csv_round_trip(spark, sf_dir):
+    """Whole texts with quotes and line breaks written as files with a mark and a header each, and read by splits."""
+    path = f"{dedup.shared_root(spark)}/csv/{uuid.uuid4().hex}"
+    tables.write_csv(t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "text"), path)
+    back = tables.read_csv(spark, path)
+    return back.select("doc_id", "lang", F.length("text").cast("long").alias("length"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 @query("""SELECT event_type, count(*) AS rows, count(*) FILTER (WHERE value > 50) AS large FROM events GROUP BY event_type""")
 def run_counters(spark, sf_dir):
     return t(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("rows"), F.count_if(F.col("value") > 50).alias("large"))

@@ -30,7 +30,7 @@ def register_list(pages: DataFrame, key: str = "page_id", html: str = "html") ->
 
 
 def register_details(pages: DataFrame, key: str = "href", html: str = "html") -> DataFrame:
-    """phone, email, legal_address and actual_address of every detail page; of several rows for one field the last counts."""
+    """phone, email, legal_address and actual_address of every detail page; of several rows for one field the last of its page counts."""
     rows = _lateral(pages, html, web.LabelledValues, key)
     kind = F.lit(None)
     for field, words in reversed(list(web.DETAIL_LABELS.items())):
@@ -39,7 +39,8 @@ def register_details(pages: DataFrame, key: str = "href", html: str = "html") ->
             hit = hit | F.contains(F.col("label"), F.lit(w))
         kind = F.when(hit, field).otherwise(kind)
     rows = rows.withColumn("field", kind).where("field is not null")
-    last = rows.groupBy(key).agg(*[F.last(F.when(F.col("field") == f, F.col("value")), ignorenulls=True).alias(f) for f in web.DETAIL_LABELS])
+    order = F.struct("at", "value")
+    last = rows.groupBy(key).agg(*[F.max_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, order)).alias(f) for f in web.DETAIL_LABELS])
     return last.na.fill("")
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 
+from harrow.functions import text
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from . import split_csv
+
 LISTING = ("Name", "Website", "Phone", "Address", "Rating", "Reviews_Count", "State", "Location_Name", "Latitude", "Longitude", "Search_Query", "URL")
 
 
@@ -16,10 +19,15 @@ def strings(*names: str) -> StructType:
 
 
 def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None) -> DataFrame:
-    """CSV with a header (a byte order mark is dropped), quoted line breaks, every cell a string, missing cells empty."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("enforceSchema", True)
-    df = reader.schema(strings(*columns)).csv(path) if columns else reader.csv(path)
-    return df.na.fill("")
+    """CSV with a header in each file, read by splits (see split_csv); every cell a string, missing cells empty, further ones left out.
+
+    A byte order mark is dropped, line breaks in quoted cells stay, blank lines are passed over. Names come from `columns` or the first file's
+    header; of equal names the last column counts. A file without any row, or an empty one, gives none.
+    """
+    header = list(columns) if columns else split_csv.first_record(spark, path)
+    at = {n: i for i, n in enumerate(header)}
+    rows = split_csv.read_records(spark, path).where(~split_csv.is_header() & (F.size("cells") > 0))
+    return rows.select(*[F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(n) for n, i in at.items()])
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
@@ -30,10 +38,9 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_positional(spark: SparkSession, path: str, picks: dict[int, str]) -> DataFrame:
-    """CSV columns by position whatever the header says; short rows are filled up, blank rows are left out."""
-    width = max(picks) + 1
-    df = read_csv(spark, path, tuple(f"c{i}" for i in range(width)))
-    return df.where(F.concat_ws("", *df.columns) != "").select(*[F.trim(f"c{i}").alias(n) for i, n in picks.items()])
+    """CSV columns by position whatever the header says; short rows are filled up, rows of blank cells are left out."""
+    rows = split_csv.read_records(spark, path).where(~split_csv.is_header() & F.exists("cells", lambda c: text.stripped(c) != ""))
+    return rows.select(*[text.stripped(F.get("cells", F.lit(i))).alias(n) for i, n in picks.items()])
 
 
 def read_tsv(spark: SparkSession, path: str, least: int, picks: dict[int, str]) -> DataFrame:
@@ -83,9 +90,10 @@ def read_registry_state(spark: SparkSession, path: str) -> tuple[DataFrame, Data
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header that starts with a byte order mark, for spreadsheet programs."""
+    """CSV with a header that starts with a byte order mark, for spreadsheet programs; cells keep blanks at their ends."""
     first, *rest = df.columns
-    df.withColumnRenamed(first, "﻿" + first).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    out = df.withColumnRenamed(first, "\ufeff" + first).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -99,9 +107,7 @@ def write_done(df: DataFrame, path: str) -> None:
 
 def write_dimension(df: DataFrame, path: str) -> None:
     """Centres with coordinates in six decimals and a short summary of what they cover."""
-    from harrow.functions.text import summary
-
-    rows = df.withColumn("covers", summary(F.col("covered"))).drop("covered")
+    rows = df.withColumn("covers", text.summary(F.col("covered"))).drop("covered")
     rows.withColumns({c: F.round(c, 6) for c in ("lat", "lng")}).write.mode("overwrite").parquet(path)
 
 

@@ -2,7 +2,9 @@
 
 import duckdb
 import pytest
-from harrow.plans.queries import QUERIES, SQL
+from harrow.plans import lead_queries, queries
+
+QUERIES, SQL = queries.QUERIES | lead_queries.QUERIES, queries.SQL | lead_queries.SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
