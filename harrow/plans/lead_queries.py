@@ -29,7 +29,7 @@ _NAME = f"CASE k % 9 WHEN 0 THEN '' WHEN 1 THEN '  ' ELSE ' Shop-' || {_N.format
 _FIRM = f"CASE k % 4 WHEN 0 THEN '' ELSE 'Firm ' || {_N.format('k % 60')} END"
 _SITE = f"CASE k % 3 WHEN 0 THEN ' ' ELSE 'https://s' || {_N.format('k')} || '.nz ' END"
 _CATEGORIES = (
-    "", " ", "zzz ", "Car Factory", " home builder", "ΓΡΑΦΕΊΟ ΑΠΑΣΧΌΛΗΣΗΣ", "Χόστελ", "Būvuzņēmums", "zivju ferma", "Liela metāla darbnīca", "kokzāģētava un galdniecība", "Albergue", " Sklad", "sklad",
+    "", " ", "zzz ", "Car Factory", " home builder", "ΓΡΑΦΕΊΟ Απασχόλησης", "Χόστελ", "Būvuzņēmums", "zivju ferma", "Liela metāla darbnīca", "kokzāģētava un galdniecība", "Albergue", " Sklad", "sklad",
     "Sprostredkovanie práce", "承包商", "紗廠 ",
 )
 _CATEGORY = f"CASE k % {len(_CATEGORIES)} " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CATEGORIES)) + " END"
@@ -247,8 +247,46 @@ def format_registry_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [_formatted(spark, sf_dir, c, names) for c, names in parts])
 
 
-QUERIES = {f.__name__: f for f in (format_plain_variants, format_filled_variants, format_registry_variants)}
+#: The check of each cleaning variant, stated for SQL: its categories, whether a cell has to contain or equal one, in lower case or as it is, and whether blank ones pass.
+_LISTS = {
+    "au_cars": (variants.AU_CARS, "contains"), "gr_brokers": (variants.GR_BROKERS, "contains"), "au_builders": (variants.AU_BUILDERS, "contains"), "pt_hotels": (variants.PT_HOTELS, "contains"),
+    "gr_hotels": (variants.GR_HOTELS, "contains"), "lv_metal": (variants.LV_METAL, "contains"), "lv_wood": (variants.LV_WOOD, "contains"), "lv_fish": ([k for k in variants.LV_FISH if k != "ražotājs"], "contains"),
+    "lv_builders": (variants.LV_BUILDERS, "lower"), "nz_farms": (variants.NZ_FARMS, "lower"), "au_barbers": (["barber shop"], "lower"), "nz_barbers": (["barber shop"], "lower"),
+    "sk_agencies": (variants.SK_AGENCIES, "exact"), "sk_factories": (variants.SK_FACTORIES, "exact"), "tw_builders": (variants.TW_BUILDERS, "exact"), "tw_factories": (variants.TW_FACTORIES, "exact"),
+    "au_nails": ([], "all"), "nz_nails": ([], "all"),
+}
+
+
+def _passes(v: str) -> str:
+    words, how = _LISTS[v]
+    cell = """trim("Category")"""
+    if how == "all":
+        return "true"
+    hit = " OR ".join(f"contains(lower({cell}), {_q(w)})" for w in words) if how == "contains" else f"{cell if how == 'exact' else f'lower({cell})'} IN ({', '.join(map(_q, words))})"
+    return f"({cell} <> '' AND ({hit}))" if v == "gr_brokers" else f"({cell} = '' OR {hit})"
+
+
+_ALL = ("Name", "Website", "Phone", "Address", "Category")
+#: Rows 40 apart are equal, but for those whose phones differ in apostrophes alone.
+_CLEAN = {n: LISTING[n].replace("k %", "(k % 400) %") for n in _ALL}
+_CLEAN["Website"] = f"CASE k % 3 WHEN 0 THEN ' ' ELSE 'https://www.s' || {_N.format('k % 97')} || '.nz/' END"
+
+
+def clean_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.13: equal rows once, category check, phones behind one apostrophe, for all 18 variants."""
+    made = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
+    made = made.select(F.col("k").alias("row_id"), *[F.expr(e).alias(n) for n, e in _CLEAN.items()])
+    out = [jobs.clean(made, v).select(F.lit(v).alias("variant"), "row_id", F.col("Phone").alias("phone"), F.col("Category").alias("category")) for v in _LISTS]
+    return reduce(DataFrame.unionByName, out)
+
+
+_CLEAN_SQL = f"""WITH c AS {_cells(_CLEAN)}, d AS (SELECT min(k) AS row_id, {', '.join(f'"{n}"' for n in _ALL)} FROM c GROUP BY ALL)
+{' UNION ALL '.join(f"SELECT '{v}' AS variant, row_id, {_quoted('trim(' + chr(34) + 'Phone' + chr(34) + ')')} AS phone, {chr(34)}Category{chr(34)} AS category FROM d WHERE {_passes(v)}" for v in _LISTS)}"""
+
+
+QUERIES = {f.__name__: f for f in (format_plain_variants, format_filled_variants, format_registry_variants, clean_variants)}
 SQL = {
+    "clean_variants": _CLEAN_SQL,
     "format_plain_variants": _sql({"listing": LISTING}, [_plain(v) for v in PLAIN_RULES]),
     "format_filled_variants": _sql({"listing": LISTING}, [_filled(v) for v in FILLED_RULES]),
     "format_registry_variants": _sql({"registry": REGISTRY, "members": MEMBERS, "jobs": JOBS}, [*map(_registered, REGISTRY_RULES), _member(), _job()]),

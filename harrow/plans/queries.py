@@ -12,7 +12,7 @@ import uuid
 from harrow.functions import documents, emails, places, text, web
 from harrow.operators import clusters, dedup, filters, joins, leads
 from harrow.sources import pages as fetched
-from harrow.sources import tables
+from harrow.sources import tables, xlsx
 from harrow.streaming import resume
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -391,6 +391,27 @@ def site_contacts(spark, sf_dir):
     return crawl.site_contacts(sites, pages.union(t(spark, sf_dir, "pages").select("url", "html")))
 
 
+@query("""SELECT c_custkey, c_name AS name, c_acctbal::VARCHAR AS balance FROM customer WHERE c_custkey % 5 > 0""")
+def workbook_round_trip(spark, sf_dir):
+    """S3, K5, K6: workbooks of a table, a sheet each, read back from a row on and without cells that were missing."""
+    spark.dataSource.register(xlsx.XlsxSource)
+    path = f"{dedup.shared_root(spark)}/books/{uuid.uuid4().hex}"
+    c = t(spark, sf_dir, "customer").where("c_custkey % 5 > 0")
+    c.select(F.col("c_custkey").cast("string"), "c_name", F.lit(None).cast("string").alias("none"), F.col("c_acctbal").cast("string")).repartition(3).write.format("xlsx").option("sheet", "Raw").mode("overwrite").save(path)
+    back = xlsx.read_books(spark, f"{path}/*.xlsx", "Raw", 2, (1, 2, 4))
+    return back.select(F.col("col1").cast("long").alias("c_custkey"), F.col("col2").alias("name"), F.col("col3").alias("balance"))
+
+
+@query("""SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority FROM orders WHERE o_orderkey % 7 > 0""")
+def tab_separated(spark, sf_dir):
+    """Lines of tabs, those with too few fields left out."""
+    path = f"{dedup.shared_root(spark)}/tsv/{uuid.uuid4().hex}"
+    line = F.concat_ws("\t", F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderstatus")), F.col("o_orderpriority"))
+    t(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    back = tables.read_tsv(spark, path, 3, {0: "o_orderkey", 1: "status", 2: "priority"})
+    return back.withColumn("o_orderkey", F.col("o_orderkey").cast("long"))
+
+
 @query("""WITH d AS (SELECT doc_id::VARCHAR AS doc_id, coalesce(lang, '') AS lang, replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text FROM documents)
 SELECT doc_id, lang, length(text) AS length, md5(text) AS digest FROM d""")
 def csv_round_trip(spark, sf_dir):
@@ -436,11 +457,18 @@ def address_parse(spark, sf_dir):
     return c.select("c_custkey", places.in_country(F.col("a"), "au").alias("au"), places.parse_address(F.col("a"), "au").alias("p")).select("c_custkey", "au", "p.*")
 
 
-@query(f"""SELECT c_custkey, {' || '.join(f"['Athina', 'oui', 'PSari', 'thea', 'Eva'][(c_custkey // {m} % 5 + 1)::INT]" for m in (1, 5))} AS latin FROM customer""")
+_GREEK_KEYS, _GREEK_VALUES = list(text.GREEK), list(text.GREEK.values())
+_GREEK_WORDS = ("Αθήνα", "ουι", "Ψari", "θέα", "Εύα", "αυγή", "Μπάντα", "ευΑΙ", "τζατζίκι", "Ηύ-ΓΚ", "ϊΰ ΐς")
+_LATIN_WORDS = ("Athina", "oui", "PSari", "thea", "Eva", "avgi", "Mpanta", "evAI", "tzatziki", "Iv-GK", "iy is")
+
+
+@query(f"""SELECT c_custkey, [{_quoted(_GREEK_VALUES)}][(c_custkey % {len(_GREEK_VALUES)} + 1)::INT] || '-' || [{_quoted(_LATIN_WORDS)}][(c_custkey % {len(_LATIN_WORDS)} + 1)::INT] || '.'
+|| [{_quoted(_GREEK_VALUES)}][(c_custkey * 7 % {len(_GREEK_VALUES)} + 1)::INT] || 'x' AS latin FROM customer""")
 def greek_to_latin(spark, sf_dir):
-    words = ("Αθήνα", "ουι", "Ψari", "θέα", "Εύα")
-    pick = lambda m: F.element_at(F.array(*map(F.lit, words)), (F.floor(F.col("c_custkey") / m) % 5 + 1).cast("int"))
-    return t(spark, sf_dir, "customer").select("c_custkey", text.to_latin(F.concat(pick(1), pick(5))).alias("latin"))
+    """Every entry of the table, and words whose letter pairs come first."""
+    pick = lambda words, m: F.element_at(F.array(*map(F.lit, words)), (F.col("c_custkey") * m % len(words) + 1).cast("int"))
+    cell = F.concat(pick(_GREEK_KEYS, 1), F.lit("-"), pick(_GREEK_WORDS, 1), F.lit("."), pick(_GREEK_KEYS, 7), F.lit("x"))
+    return t(spark, sf_dir, "customer").select("c_custkey", text.to_latin(cell).alias("latin"))
 
 
 @query("""SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')""")

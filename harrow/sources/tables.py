@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import fnmatch
+import io
 import re
+import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from harrow.functions import text
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +54,39 @@ def read_tsv(spark: SparkSession, path: str, least: int, picks: dict[int, str])
     return parts.select(*[F.col("p")[i].alias(n) for i, n in picks.items()])
 
 
+def read_zipped_tsv(spark: SparkSession, path: str, least: int, picks: dict[int, str], member: str = "*") -> DataFrame:
+    """read_tsv() of the members of zip archives whose names match: member and the picked fields.
+
+    An archive is one row of Spark's binary source, so its packed size is bounded by that (2 GB); members are inflated as a stream, a batch of
+    lines at a time, whatever their length. Bytes that aren't UTF-8 are replaced; folders and empty members give nothing.
+    """
+    names = ["member", *picks.values()]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for content in (c for b in batches for c in b.column(0)):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z:
+                for info in z.infolist():
+                    if info.is_dir() or not fnmatch.fnmatch(info.filename, member):
+                        continue
+                    rows, size = [], 0
+                    for line in io.TextIOWrapper(z.open(info), "utf-8", "replace"):
+                        parts = line.rstrip("\n").split("\t")
+                        if len(parts) >= least:
+                            rows.append((info.filename, *[parts[i] if i < len(parts) else None for i in picks]))
+                            size += len(line)
+                        if size > 4_000_000 or len(rows) >= 20_000:
+                            yield batch(rows)
+                            rows, size = [], 0
+                    if rows:
+                        yield batch(rows)
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(run, ", ".join(f"`{n}` string" for n in names))
+
+
 def read_after_header(spark: SparkSession, path: str, header: str) -> DataFrame:
     """A delimited file whose header line is found by its text; lines of the file up to it are skipped.
 

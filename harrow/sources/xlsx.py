@@ -53,7 +53,11 @@ def read_rows(path: str | BinaryIO, sheet: str, start: int) -> Iterator[tuple[in
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         target = targets[sheets.get(sheet, next(iter(sheets.values())))]
         with z.open(("xl/" + target) if not target.startswith("/") else target[1:]) as f:
-            for _, row in ElementTree.iterparse(f):
+            parent = None
+            for event, row in ElementTree.iterparse(f, ("start", "end")):
+                if event == "start":
+                    parent = row if row.tag == f"{_MAIN}sheetData" else parent
+                    continue
                 if row.tag != f"{_MAIN}row":
                     continue
                 at, cells = int(row.get("r")), {}
@@ -66,7 +70,7 @@ def read_rows(path: str | BinaryIO, sheet: str, start: int) -> Iterator[tuple[in
                     else:
                         text = shared[int(value.text)] if c.get("t") == "s" else value.text
                     cells[column_number(c.get("r"))] = text
-                row.clear()
+                parent.clear()  # rows that are read leave the tree, so a sheet of any length takes the memory of one
                 if at >= start and cells:
                     yield at, cells
 

@@ -120,3 +120,35 @@ def test_sites_in_the_order_they_are_searched(spark):
         1: ("site", "me@a.nz"), 2: ("subpages", "p2@b.nz, p5@b.nz"), 3: ("none", ""), 4: ("facebook", "fb@x.nz"), 5: ("instagram", "only@y.nz"), 6: ("none", ""), 7: ("instagram", "ig@c.nz"),
     }
     assert {r.source for r in crawl.site_contacts(s, p.limit(0)).collect()} == {"none"} and crawl.site_contacts(s.limit(0), p).count() == 0
+
+
+def test_zipped_tables(spark, tmp_path):
+    """Several members, one of 30 MB that packs to little, other files, short lines, bytes that aren't UTF-8 and an empty member."""
+    import zipfile
+
+    big = "\n".join(f"{i}\tname {i}\t{'x' * 60}" for i in range(400_000))
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("big.txt", big)
+        z.writestr("sub/small.txt", b"1\tZo\xc3\xab\tx\r\nshort\t2\n2\tbad\xff\tx\n\n")
+        z.writestr("readme.md", "1\tno\tx")
+        z.writestr("empty.txt", "")
+        z.mkdir("folder.txt")
+    with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
+        z.writestr("c.txt", "7\tseven\tx\tmore")
+    df = tables.read_zipped_tsv(spark, str(tmp_path / "*.zip"), 3, {1: "name", 0: "id"}, "*.txt")
+    assert df.columns == ["member", "name", "id"] and df.where("member = 'big.txt'").count() == 400_000
+    assert {tuple(r) for r in df.where("member <> 'big.txt'").collect()} == {("sub/small.txt", "Zoë", "1"), ("sub/small.txt", "bad�", "2"), ("c.txt", "seven", "7")}
+
+
+def test_long_sheets_leave_the_tree(tmp_path):
+    """Rows that are read are dropped: the parser's memory doesn't follow the sheet's length."""
+    import tracemalloc
+
+    from harrow.sources import xlsx
+
+    path = str(tmp_path / "b.xlsx")
+    xlsx.write_book(path, "Raw", ["a", "b"], ((i, f"text {i}") for i in range(60_000)))
+    tracemalloc.start()
+    assert sum(1 for _ in xlsx.read_rows(path, "Raw", 2)) == 60_000
+    assert tracemalloc.get_traced_memory()[1] < 8_000_000
+    tracemalloc.stop()
