@@ -184,7 +184,7 @@ def compacted(edges: DataFrame, piece: int = 6) -> DataFrame:
 
 
 def _digests(texts: DataFrame, places: DataFrame, most: int = 5000) -> DataFrame:
-    """doc_id, start, length, d (SHA-256 of the words there) of places(doc_id, start, length).
+    """src_doc, src_start, length, d: SHA-256 of the words at each of places(doc_id, start, length, src_doc, src_start), equal ones of a batch once.
 
     A text with more than `most` places is read once for each part of so many.
     """
@@ -192,36 +192,36 @@ def _digests(texts: DataFrame, places: DataFrame, most: int = 5000) -> DataFrame
     crowd = places.groupBy("doc_id", "twin").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
     crowd = common.materialize(crowd, "crowded-texts")
     part = F.pmod(F.xxhash64("start", "length"), F.ceil(F.coalesce("n", F.lit(1)) / F.lit(most)).cast("long"))
-    per = places.join(crowd, ["doc_id", "twin"], "left").groupBy("doc_id", "twin", part.alias("part")).agg(F.collect_list(F.struct("start", "length")).alias("at"))
+    at = F.collect_list(F.struct("start", "length", "src_doc", "src_start"))
+    per = places.join(crowd, ["doc_id", "twin"], "left").groupBy("doc_id", "twin", part.alias("part")).agg(at.alias("at"))
+    names = ["src_doc", "src_start", "length", "d"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, None] = {}
         for b in batches:
+            at = b.column(1)
+            kinds = (at.type.value_type.field(2).type, pa.int64(), pa.int32(), pa.binary())
             for i in range(b.num_rows):
-                at = b.column(2)[i].values
-                words = b.column(1)[i].as_py().encode("utf-8", "surrogatepass").split()  # bytes split at just the separators
-                start, length = np.asarray(at.field(0)), np.asarray(at.field(1))
-                word = (start & ((1 << _TWIN) - 1)).tolist()
-                d = [hashlib.sha256(b" ".join(words[s : s + n])).digest() for s, n in zip(word, length.tolist(), strict=True)]
-                ids = b.column(0).take(pa.array(np.full(len(d), i)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(start), pa.array(length), pa.array(d, pa.binary())], ["doc_id", "start", "length", "d"])
+                words = b.column(0)[i].as_py().encode("utf-8", "surrogatepass").split()  # bytes split at just the separators
+                for w, n, d, s in zip(*(at[i].values.field(k).to_pylist() for k in range(4)), strict=True):
+                    w &= (1 << _TWIN) - 1
+                    seen[d, s, n, hashlib.sha256(b" ".join(words[w : w + n])).digest()] = None
+                if len(seen) > 50_000 or i == b.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*seen, strict=True), kinds, strict=True)], names)
+                    seen.clear()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", "text", "twin").join(per, ["doc_id", "twin"]).select("doc_id", "text", "at").mapInArrow(
-        run, f"doc_id {kind}, start long, length int, d binary"
+    return texts.select("doc_id", "text", "twin").join(per, ["doc_id", "twin"]).select("text", "at").mapInArrow(
+        run, f"src_doc {kind}, src_start long, length int, d binary"
     )
 
 
 def unlike(texts: DataFrame, found: DataFrame) -> bool:
-    """Whether the words of any span differ from those at its source."""
-    own = found.select("doc_id", "start", "length")
-    source = found.select(F.col("src_doc").alias("doc_id"), F.col("src_start").alias("start"), "length")
-    got = common.materialize(_digests(texts, own.union(source).distinct()).distinct(), "span-words")
-    a = got.withColumnRenamed("d", "da")
-    b = got.select(F.col("doc_id").alias("src_doc"), F.col("start").alias("src_start"), "length", F.col("d").alias("db"))
-    both = found.join(a, ["doc_id", "start", "length"], "left").join(b, ["src_doc", "src_start", "length"], "left")
-    bad = not both.where("da is null or db is null or da <> db").isEmpty()
-    common.discard(got)
-    return bad
+    """Whether the words of any span differ from those at its source: all digests of one source have to be one."""
+    own = found.select("doc_id", "start", "length", "src_doc", "src_start")
+    source = found.select(F.col("src_doc").alias("doc_id"), F.col("src_start").alias("start"), "length", "src_doc", "src_start").distinct()
+    ends = _digests(texts, own.unionByName(source)).groupBy("src_doc", "src_start", "length").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    return not ends.where("lo <> hi").isEmpty()
 
 
 def spans(docs: DataFrame, twins: DataFrame, window: int = WINDOW, seed: int = SEED, bits: int = 64, attempts: int = 8) -> tuple[DataFrame, DataFrame]:
