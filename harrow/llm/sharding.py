@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 ROUNDS = 4
 ROWS_PER_BUCKET = 200_000
+#: Copies of one row that a task numbers at once.
+STRETCH = 1_000_000
 
 
 #: Primes and multipliers of the round function, all below 2**31, so that no product leaves 64 bits.
@@ -90,8 +92,13 @@ def row_numbers(df: DataFrame, by: list[str], rows_per_bucket: int = ROWS_PER_BU
     w = Window.partitionBy("_b").orderBy(*[F.col(c).asc_nulls_first() for c in by])
     placed = counted.withColumn("_before", F.sum("_m").over(w) - F.col("_m")).join(per, "_b")
     first = F.col("_off") + F.col("_before")
-    out = placed.select(*by, F.explode(F.sequence(first, first + F.col("_m") - 1)).alias("row_no"))
-    return out, n
+    placed = placed.select(*by, "_m", first.alias("_first"))
+    few = placed.where(F.col("_m") <= STRETCH).select(*by, F.explode(F.sequence("_first", F.col("_first") + F.col("_m") - 1)).alias("row_no"))
+    # a row repeated very often is dealt to tasks in stretches, so that neither an array nor a task holds all of it
+    starts = placed.where(F.col("_m") > STRETCH).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m") - 1, F.lit(STRETCH).cast("long"))).alias("_at"))
+    starts = starts.repartition(F.col("_first") + F.col("_at"))
+    end = F.col("_first") + F.least(F.col("_at") + STRETCH, F.col("_m")) - 1
+    return few.union(starts.select(*by, F.explode(F.sequence(F.col("_first") + F.col("_at"), end)).alias("row_no"))), n
 
 
 def shard_rows(df: DataFrame, by: list[str], shards: int = 8, seed: int = 20) -> DataFrame:
