@@ -250,13 +250,31 @@ def _verify(pairs: DataFrame, sets: DataFrame, sig: DataFrame, s: Settings) -> D
     return joined.where(F.col("i") * s.den >= union * s.num).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
 
+def set_sizes(rows: DataFrame, n: int) -> DataFrame:
+    """rows(doc_id, texts) as doc_id and n_shingles, the size of the set of all their texts' shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, _, _, d in _parts(batches, n):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.bincount(d, minlength=b.num_rows).astype(np.int64))], ["doc_id", "n_shingles"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long")
+
+
 def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Jaccard components of all documents: doc_id, n_shingles, component_id.
 
+    Rows without doc_id give a row of their own, with the size of their set and no component; all else as in classes().
+    """
+    bare = set_sizes(docs.where("doc_id is null").select("doc_id", F.array("text").alias("texts")), s.n)
+    return classes(docs, s).unionByName(bare.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def classes(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Jaccard components of all documents that have a doc_id: doc_id, n_shingles, component_id.
+
     Null and empty texts have no shingles and stand alone; equal sets are one class from the start, represented by the
     smallest doc_id. Rows of one doc_id are one document and give one row: its set is the union of its different texts'
-    shingles. Extra columns are left out; an empty table gives an empty result. Rows without doc_id give a row of their own
-    without component. Shingles are compared by 64 bits of hash, whole sets by 128.
+    shingles. Extra columns are left out; an empty table gives an empty result. Shingles are compared by 64 bits of hash, whole sets by 128.
 
     1. Prefixes under two hash orders that put frequent tokens last. Groups of one token and size zone are paired if
        small; a pair must share so many prefix tokens that what it lacks up to the shorter prefix's end still allows the
@@ -328,9 +346,7 @@ def join(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     comp2 = common.materialize(common.components(links.union(more)), "component")
     common.discard(sets, rest, known, open_, main, centre, pairs, star, rare, crowded, crowd, comp, sig)
     out = member.join(comp2.withColumnRenamed("id", "rep"), "rep", "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep").alias("component_id"))
-    bare = docs.where("doc_id is null").select("doc_id", F.lit(None).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.unionByName(bare)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -340,5 +356,5 @@ def keep_first(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     whatever their names; an empty table stays empty.
     """
     (gone,) = common.unused(docs.columns, "gone")
-    ids = join(docs, s).where("doc_id <> component_id").select(F.col("doc_id").alias(gone))
+    ids = classes(docs, s).where("doc_id <> component_id").select(F.col("doc_id").alias(gone))
     return docs.join(ids, F.col("doc_id") == F.col(gone), "left_anti")

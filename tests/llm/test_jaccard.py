@@ -94,6 +94,6 @@ def test_colliding_words_repeated_ids_and_clashing_names(spark):
     df = spark.createDataFrame([(*r, "c", "d") for r in rows], "doc_id long, text string, __gone__ string, _gone_0 string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(df).collect()}
     # 3 has the shingles of both texts, 99; 5 those and two more
-    assert got == {1: (1, 1), 2: (1, 2), 3: (99, 3), 4: (1, 4), 5: (101, 3), 6: (1, 4), None: (None, None)}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (99, 3), 4: (1, 4), 5: (101, 3), 6: (1, 4), None: (1, None)}
     kept = jaccard.keep_first(df)
     assert kept.columns == df.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 3, 3, 4]
