@@ -9,30 +9,37 @@ from . import common, cover, jaccard, lines, mtree, packing, pieces, quality, ra
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded. Null and empty texts have no pieces; repeated rows and rows without doc_id give a row each."""
     return pieces.encode_decode(common.table(spark, sf_dir, "documents"))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text. A null text counts as empty; repeated rows and rows without doc_id give a row each."""
     return secrets.scan(common.table(spark, sf_dir, "documents"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every text. A null text has no words; texts of one doc_id come in the order of their digests, a row read twice is cut once."""
     return repeats.digests(common.table(spark, sf_dir, "documents"))
 
 
 def op4_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place for every row. A null text has no bytes; null doc_ids order first; repeated rows get a place each."""
     return sharding.shard_documents(common.table(spark, sf_dir, "documents"))
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of 3-word shingle sets. A row a doc_id, with the union of its texts' shingles; null and empty texts link with nothing, rows without doc_id get a row each."""
     return jaccard.join(common.table(spark, sf_dir, "documents"))
 
 
 def op6_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors. Null, zero and non-finite ones stand alone; a repeated vec_id is several vectors, a missing one is named by none."""
     return cover.near_duplicates(common.table(spark, sf_dir, "embeddings"))
 
 
 def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every row, learnt outside the held-out third. Null and empty texts are scored; a row without doc_id is never learnt from, and its held_out is null."""
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     held = lambda c: F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(3)) == 1
     model = quality.fit(docs.where(~held("doc_id")), labels.where(~held("doc_id")))
@@ -41,14 +48,17 @@ def op7_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row packed. A null text is empty, which is one end token; repeated rows are packed each."""
     return packing.pack_documents(common.table(spark, sf_dir, "documents"))
 
 
 def op9_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page row written and read back. A null html is empty; a page without id is a response; repeated page_ids get repeated records."""
     return warc.round_trip(common.table(spark, sf_dir, "pages"))
 
 
 def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best for each query vector. Vectors that are null or hold null or non-finite components, and rows without vec_id, take no part."""
     return mtree.top_k(common.table(spark, sf_dir, "embeddings"))
 
 

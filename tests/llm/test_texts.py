@@ -136,6 +136,18 @@ def test_sharding_repeated_rows_and_empty(spark):
     assert sharding.shard_documents(same.limit(0)).count() == 0
 
 
+def test_sharding_deals_a_very_frequent_row_in_stretches(spark, monkeypatch):
+    rows = [(1, "x")] * 61 + [(2, "y")] * 7 + [(3, "z")] * 8 + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(repr, sharding.shard_documents(df).collect()))
+    monkeypatch.setattr(sharding, "STRETCH", 7)
+    assert sorted(map(repr, sharding.shard_documents(df).collect())) == want and len(want) == len(rows)
+
+
+def test_coding_an_empty_table(spark):
+    assert pieces.encode_decode(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_packing(which, request):
     from tokenizers import Tokenizer

@@ -115,3 +115,27 @@ def test_cosines_of_extreme_doubles(spark):
     got = cover.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
     assert sorted(((r.vec_id, r.n_links) for r in got), key=repr) == sorted([(1, 3), (2, 3), (3, 3), (1, 3), (4, 1), (5, 1), (6, 1), (None, 1), (7, 0)], key=repr)
     assert {r.component_id for r in got if r.vec_id in (1, 2, 3)} == {1} and {r.component_id for r in got if r.vec_id in (4, 5)} == {4}
+
+
+def test_products_beyond_doubles_and_repeated_ids(spark):
+    """Scores between 2**53 and 2**63 are exact; ids that are missing take no part, those of several rows rank each of them."""
+    import math
+    import random
+
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) * 4e6 for _ in range(6)]) for i in range(60)] + [(20, [1.0] * 6), (7, [3e6] * 6), (None, [4e6] * 6)]
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None]
+    got = mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5).collect()
+    want = {}
+    for q, qv in whole:
+        if q % 20 == 0:
+            want.setdefault(q, []).extend((-sum(a * b for a, b in zip(qv, v, strict=True)), i) for i, v in whole if i != q)
+    assert max(abs(s) for x in want.values() for s, _ in x) > 2**53
+    assert {(r.query_id, -r.score, r.vec_id) for r in got if r.query_id != 20} == {(q, *x) for q, xs in want.items() for x in sorted(xs)[:5] if q != 20}
+    assert [r.rank for r in sorted((r for r in got if r.query_id == 0), key=lambda r: r.rank)] == [1, 2, 3, 4, 5]
+
+
+def test_a_score_beyond_64_bits_is_an_error(spark):
+    df = spark.createDataFrame([(0, [1e9, 1e9]), (1, [1e9, 1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="OverflowError"):
+        mtree.top_k(df).collect()
