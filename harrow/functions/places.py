@@ -194,6 +194,6 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
 
 def district_from_address(address: Column) -> Column:
     """The last comma part that names a municipality or one of two cities, else the country code."""
-    parts = F.reverse(F.transform(F.split(F.coalesce(address, F.lit("")), ","), F.trim))
+    parts = F.reverse(F.transform(F.split(F.coalesce(address, F.lit("")), ","), lambda p: F.trim(p)))
     hit = F.filter(parts, lambda p: F.lower(p).rlike("nov\\.|pag\\.|rīga|jūrmala"))
     return F.coalesce(F.get(hit, F.lit(0)), F.lit("LV"))

@@ -2,9 +2,10 @@
 
 import duckdb
 import pytest
-from harrow.plans import lead_queries, queries
+from harrow.plans import job_queries, lead_queries, queries
 
-QUERIES, SQL = queries.QUERIES | lead_queries.QUERIES, queries.SQL | lead_queries.SQL
+MODULES = (queries, lead_queries, job_queries)
+QUERIES, SQL = {k: v for m in MODULES for k, v in m.QUERIES.items()}, {k: v for m in MODULES for k, v in m.SQL.items()}
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
