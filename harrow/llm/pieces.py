@@ -172,6 +172,14 @@ class SentencePieces:
         return [known[p] for p in pieces]
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str, bool]]:
+        """_encode() of each text, from its pieces where it can be cut; texts of every 64th checksum are held against sentencepiece whole as well."""
+        out = self._encode_texts(texts)
+        held = [i for i, t in enumerate(texts) if zlib.crc32(t.encode("utf-8", "surrogatepass")) % 64 == 0]
+        for i, ids in zip(held, self.judge.encode([texts[i] for i in held], num_threads=1), strict=True):
+            out[i] = (*out[i][:2], out[i][2] and out[i][0] == np.array(ids, "<u4").tobytes())
+        return out
+
+    def _encode_texts(self, texts: list[str]) -> list[tuple[bytes, str, bool]]:
         found = self.cache.look_up([t.split(" ") if self.cuttable and SPACE not in t else [""] for t in texts])
         out = [
             (b"".join([v[0] for v in x]), " ".join([v[1] for v in x]), all([v[2] for v in x])) if x is not None else None for x in found
@@ -192,7 +200,7 @@ def encode_decode(docs: DataFrame, model: str | None = None, threads: int = 2) -
     """Every whole text encoded and decoded: doc_id, n_ids, ids_crc32, text_crc32, decoded_crc32, round_trip, parity.
 
     ids_crc32 is over little-endian 32-bit ids; decoded_crc32 over the decoded text in UTF-8; round_trip says that it
-    equals the text and parity that sentencepiece gives the same ids. A null text counts as empty (no ids); repeated rows
+    equals the text and parity that sentencepiece gives the same ids, to every piece and, for one text in 64, to the whole text. A null text counts as empty (no ids); repeated rows
     give repeated results; columns besides doc_id and text are left out. No shuffle.
     """
     path = model or default_model()
