@@ -234,7 +234,7 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 4096, most_
     several vectors of that id; a missing one is named by none, and stands alone in a component without other ids. Extra columns are left out, an empty table gives an empty result.
 
     The upper levels are cells of far-apart pivots, one for every `block` vectors up to most_cells; below, blocks of bounded
-    size, each under its own cover tree. Pairs of cells are pruned by their covering radii, then pairs of blocks by their
+    size (`block` vectors, fewer of very long ones), each under its own cover tree. Pairs of cells are pruned by their covering radii, then pairs of blocks by their
     roots, both from summaries alone; only then do the trees of the pairs left over travel, to one task for every pair of groups of
     up to `together` blocks, which traverses them by twos. Pivots come out of `sample` vectors or four a pivot; those of a
     length that the sample lacks stand in one cell about zero. A task returns link counts and a spanning forest, not the
@@ -251,6 +251,7 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 4096, most_
     scaled = same.withColumn("scale", scale).withColumn("scaled", F.transform("vec", lambda x: x / F.col("scale"))).withColumn("size", size)
     reps = scaled.select("id", F.transform("scaled", lambda x: x / F.col("size")).alias("vec"), "m")
     reps = common.materialize(reps, "units")
+    block = vectors.fitting(reps, block, 16 << 20)
     most = max(1, min(most_cells, reps.count() // block))
     centres = vectors.pivots(reps, most, max(sample, 4 * most))
     trees = common.materialize(_trees(vectors.blocks(vectors.with_cells(reps, centres), block, ["id", "vec", "m", "dist"])), "trees")

@@ -148,6 +148,7 @@ def top_k(
     floor = lambda x: F.when(F.abs(y(x)) < 2.0**53, F.floor(y(x)).cast("double")).otherwise(y(x))  # noqa: E731  beyond, doubles are whole
     whole = vectors.valid(df).where("id is not null")
     whole = common.materialize(whole.select("id", F.transform("vec", floor).alias("vec")), "whole")
+    page = vectors.fitting(whole, page, 8 << 20)
     n = whole.count()
     most = max(1, min(most_cells, n // page))
     centres = vectors.pivots(whole, most, max(4096, 4 * most))

@@ -22,6 +22,12 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
+def fitting(df: DataFrame, rows: int, most_bytes: int) -> int:
+    """How many of df's vectors make a block: `rows` of them, or fewer where the longest are so long that a block would pass most_bytes."""
+    longest = df.agg(F.max(F.size("vec"))).first()[0] or 1
+    return max(16, min(rows, most_bytes // (8 * longest)))
+
+
 def pivots(df: DataFrame, most: int, sample: int = 4096) -> dict[int, np.ndarray]:
     """By dimension, up to `most` far-apart vectors out of a bounded sample (least hashes of id): the tree's upper level.
 

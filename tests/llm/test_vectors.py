@@ -139,3 +139,8 @@ def test_a_score_beyond_64_bits_is_an_error(spark):
     df = spark.createDataFrame([(0, [1e9, 1e9]), (1, [1e9, 1e9])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="OverflowError"):
         mtree.top_k(df).collect()
+
+
+def test_blocks_of_long_vectors_are_smaller(spark):
+    df = spark.createDataFrame([(1, [0.0] * 50_000), (2, [1.0])], "id long, vec array<double>")
+    assert vectors.fitting(df, 4096, 16 << 20) == 41 and vectors.fitting(df.where("id = 2"), 4096, 16 << 20) == 4096 and vectors.fitting(df.limit(0), 64, 1) == 16
