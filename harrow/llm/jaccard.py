@@ -87,7 +87,7 @@ def _parts(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Recor
     """The batches (doc_id, texts) in slices of bounded text, with the shingles of each."""
     for b in batches:
         lists = b.column(1).to_pylist()
-        for lo, hi in common.slices([sum(len(t or "") for t in x) for x in lists]):
+        for lo, hi in common.slices([sum(len(t or "") for t in x) for x in lists], 400_000):
             owner = np.repeat(np.arange(hi - lo), [len(x) for x in lists[lo:hi]])
             yield b.slice(lo, hi - lo), *shingles([t for x in lists[lo:hi] for t in x], n, owner)
 
@@ -110,13 +110,13 @@ def heavy_tokens(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
         for _, token, _, _ in _parts(batches, s.n):
             held.append(token)
             size += len(token)
-            if size > 2_000_000:
+            if size > 1_000_000:
                 yield flush()
                 held, size = [], 0
         if held:
             yield flush()
 
-    counts = docs.select("doc_id", "texts").mapInArrow(run, "t long, c long").groupBy("t").agg(F.sum("c").alias("c"))
+    counts = docs.select("doc_id", "texts").mapInArrow(common.tidied(run), "t long, c long").groupBy("t").agg(F.sum("c").alias("c"))
     rows = counts.orderBy(F.desc("c"), "t").limit(s.heavy).toPandas()
     tokens, places = rows["t"].to_numpy(np.int64).view(np.uint64), len(rows) - np.arange(len(rows))
     order = np.argsort(tokens)
@@ -167,7 +167,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "texts").mapInArrow(
-        run, f"doc_id {kind}, n long, f1 long, f2 long, pa array<long>, pb array<int>, ka long"
+        common.tidied(run), f"doc_id {kind}, n long, f1 long, f2 long, pa array<long>, pb array<int>, ka long"
     )
 
 
@@ -181,7 +181,7 @@ def _sets(docs: DataFrame, ids: DataFrame, s: Settings) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     # sorted and merged at any size of ids, so that the plan of a large corpus is the one that was tried on a small one
     rows = docs.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "texts")
-    return rows.mapInArrow(run, f"doc_id {kind}, tokens array<long>")
+    return rows.mapInArrow(common.tidied(run), f"doc_id {kind}, tokens array<long>")
 
 
 def _grouped(rows: DataFrame, s: Settings) -> DataFrame:

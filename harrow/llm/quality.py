@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from . import common
+
 FEATURES = (
     "log_words", "mean_word", "sd_word", "upper", "digit", "symbol", "comma_stop", "bang", "newline",
     "repeat_word", "caps_word", "short_word",
@@ -103,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", shrink: flo
         yield pa.RecordBatch.from_pydict({"y": pa.array([0, 1], pa.int32()), "s": pa.array(list(total), pa.list_(pa.float64()))})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    stats = docs.select("doc_id", "text").mapInArrow(features, f"doc_id {kind}, x array<double>")
+    stats = docs.select("doc_id", "text").mapInArrow(common.tidied(features), f"doc_id {kind}, x array<double>")
     part = stats.join(known, "doc_id").select("y", "x").mapInArrow(sums, "y int, s array<double>")
     flat = part.select("y", F.posexplode("s").alias("at", "v")).groupBy("y", "at").agg(F.sum("v").alias("v")).collect()
     total = np.zeros((2, 1 + d + d * d))
@@ -139,4 +141,4 @@ def score(docs: DataFrame, model: Discriminant, text: str = "text", out: str = "
         for b, x in _blocks(batches, text):
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x))], [*b.schema.names, out])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(common.tidied(run), schema)
