@@ -85,12 +85,12 @@ def in_ranges(df: DataFrame, value: Column, ranges: DataFrame, by: list[str] | N
     return x.join(dealt, on, "left_semi").drop("_v", "_cell")
 
 
-def without_contained(names: DataFrame, known: DataFrame, key: str, gram: int = 3) -> DataFrame:
+def without_contained(names: DataFrame, known: DataFrame, key: str, pieces: tuple[int, ...] = (1, 2, 3, 6, 12)) -> DataFrame:
     """Names that no known name contains, equals or is contained in; a blank name counts as found if anything is known.
 
-    Containment implies that all `gram`-character pieces of the shorter name stand in the longer one. So each name is
-    blocked by one piece of its own, the one that is rarest on the other side, and only those candidates are compared;
-    names shorter than a piece are matched by their own length. No side is compared with all of the other.
+    Containment implies that all pieces of the shorter name stand in the longer one. So each name is blocked by one piece of its own, of
+    the longest length of `pieces` (from 1 on) that it has, and of those by the one that is rarest on the other side; only such candidates are
+    compared. A short piece is many names' key only where many names are that short.
     """
     a, b = names.select(F.col(key).alias("a")).where("a <> ''").distinct(), known.select(F.col(key).alias("b")).where("b <> ''").distinct()
 
@@ -101,8 +101,8 @@ def without_contained(names: DataFrame, known: DataFrame, key: str, gram: int =
     def inside(short: DataFrame, s: str, long: DataFrame, t: str) -> DataFrame:
         """short names that stand inside some long one."""
         found = None
-        for n in range(1, gram + 1):
-            own = short.where(F.length(s) == n) if n < gram else short.where(F.length(s) >= gram)
+        for n, longer in zip(pieces, (*pieces[1:], None), strict=True):
+            own = short.where((F.length(s) >= n) & (F.length(s) < longer if longer else F.lit(True)))
             lg = grams(long, t, n)
             freq = lg.groupBy("g").count()
             one = grams(own, s, n).join(freq, "g", "left").groupBy(s).agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "g")).alias("m"))

@@ -7,14 +7,14 @@ from __future__ import annotations
 
 import uuid
 
-from harrow.functions import places, text
+from harrow.functions import places, text, web
 from harrow.operators import dedup, filters, joins
 from harrow.sources import pages, tables
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import jobs
-from .variants import AU_CARS, GR_HOTELS, SK_AGENCIES, TW_BUILDERS
+from .variants import AU_CARS, GR_HOTELS, LISTINGS, SEARCH_URL, SK_AGENCIES, TW_BUILDERS
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -220,3 +220,84 @@ def columns_by_position(spark, sf_dir):
     lines = _made(spark, sf_dir).withColumn("line", line).groupBy((F.col("k") % 16).alias("g")).agg(F.array_join(F.collect_list("line"), "\n").alias("x"))
     lines.select(F.concat(F.lit("h,h,h\n"), F.col("x")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return tables.read_positional(spark, path, {0: "id", 2: "note"})
+
+
+@query(f"SELECT 'M ' || k AS name, k::VARCHAR AS member_id, CASE k % 3 WHEN 0 THEN '' ELSE 'm' || k || '.lv' END AS website, '+371 ' || k AS phone, 'a@m' || k || '.lv' AS email, 'Iela ' || k AS address FROM {_K} WHERE k % 5 > 0")
+def organisation_cards(spark, sf_dir):
+    """Cards inside the html member of a JSON answer, nameless ones left out; two cards an answer."""
+    card = (
+        """concat('<li itemscope itemtype="http://schema.org/Organization"><div itemprop="name"><a href="/en/member-database/', n, '">', CASE k % 5 WHEN 0 THEN ' ' ELSE concat(' M ', n, ' ') END, '</a></div>', """
+        """CASE k % 3 WHEN 0 THEN '' ELSE concat('<span itemprop="url" class="x"><a href="u">m', n, '.lv</a></span>') END, '<i itemprop="telephone">+371 ', n, '</i><i itemprop="email">a@m', n, '.lv </i><b itemprop="address"> Iela ', n, '</b></li>')"""
+    )
+    made = _made(spark, sf_dir, card=card)
+    bodies = made.groupBy((F.col("k") / 2).cast("long").alias("g")).agg(F.to_json(F.struct(F.array_join(F.collect_list("card"), "\n").alias("html"), F.lit(2).alias("count"))).alias("body"))
+    return bodies.select(F.explode(web.member_cards(web.envelope_html(F.replace("body", F.lit("/"), F.lit("\\/"))))).alias("c")).select("c.*")
+
+
+@query(f"SELECT 'Co ' || k AS name, '/company/' || (k % 300) || '/x' AS href, (k % 300)::VARCHAR AS number FROM (SELECT min(k) AS k FROM {_K} GROUP BY k % 300)")
+def numbered_company_links(spark, sf_dir):
+    """Links of companies, each address once by page order."""
+    html = "concat('<a href=/other>o</a><a class=c href=\"/company/', cast(k % 300 AS string), '/x\">Co <b>', n, '</b></a><a href=\"/company/', cast(k % 300 AS string), '/x\">again</a>')"
+    return pages.company_links(_made(spark, sf_dir, html=html).select(F.col("k").alias("page_id"), "html"))
+
+
+@query(f"SELECT DISTINCT 'S' AS state, 'T' || k AS name, round(k / 7.0::DOUBLE, 6) AS lat, round(-k / 3.0::DOUBLE, 6) AS lng, 11 AS zoom FROM {_K}")
+def location_dimension(spark, sf_dir):
+    """Centres written with six decimals and a summary, read as a location table."""
+    path = _folder(spark, "dimension")
+    rows = _made(spark, sf_dir, state="'S'", name="concat('T', n)", lat="k / 7.0D", lng="-k / 3.0D", zoom="11", covered="array('a', n)")
+    tables.write_dimension(rows.select("state", "name", "lat", "lng", "zoom", "covered"), path)
+    return tables.read_locations(spark, path)
+
+
+@query(f"SELECT n AS id, part FROM {_K}, (VALUES ('one'), ('two')) t(part) WHERE part = 'one' OR k % 2 = 0")
+def appended_rows(spark, sf_dir):
+    """K3: two batches of rows appended to one CSV table, each file with its header."""
+    path = _folder(spark, "appended")
+    for part, where in (("one", "true"), ("two", "k % 2 = 0")):
+        tables.append_rows(_made(spark, sf_dir).where(where).select(F.col("n").alias("id"), F.lit(part).alias("part")), path)
+    return tables.read_csv(spark, f"{path}/*.csv")
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderstatus = 'F') AS done, count(*) FILTER (WHERE o_totalprice > 100000) AS large FROM orders")
+def counters_of_a_run(spark, sf_dir):
+    """Counters observed while a table is written."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    df, seen = tables.counters(orders, "run", done=F.col("o_orderstatus") == "F", large=F.col("o_totalprice") > 100000)
+    df.write.parquet(_folder(spark, "counted"))
+    return spark.createDataFrame([tuple(seen.get[c] for c in ("rows", "done", "large"))], "rows long, done long, large long")
+
+
+def _search_sql(v: str) -> str:
+    x = LISTINGS[v]
+    words = ", ".join("'" + w.replace("'", "''") + "'" for w in x.keywords)
+    where = "name || ', ' || state" if x.state else "name"
+    return f"""SELECT '{v}' AS variant, name, keyword, keyword || ' in ' || {where} || ', {x.country}' AS query,
+    '{SEARCH_URL}' || replace(url_encode(keyword), '%20', '+') || '/@' || lat || ',' || lng || ',12z?hl={x.language}' AS url FROM l, (SELECT unnest([{words}]) AS keyword)"""
+
+
+@query(f"""WITH l AS (SELECT 'ST' AS state, n_name AS name, n_nationkey * 1.5::DOUBLE - 10 AS lat, n_nationkey + 0.25::DOUBLE AS lng, n_regionkey FROM nation)
+SELECT variant, name, keyword, query, url FROM ({' UNION ALL '.join(map(_search_sql, LISTINGS))}) JOIN l USING (name) WHERE NOT (n_regionkey = 1 AND length(keyword) % 2 = 0)""")
+def search_grid_variants(spark, sf_dir):
+    """2.12, P31, J1, J2: every place with every keyword of all 18 listing variants, less the finished searches."""
+    n, k = spark.read.parquet(f"{sf_dir}/nation.parquet"), F.col("n_nationkey")
+    at = n.select(F.lit("ST").alias("state"), F.col("n_name").alias("name"), (k * 1.5 - 10).alias("lat"), (k + 0.25).alias("lng"), F.lit(12).alias("zoom"))
+    out = None
+    for v, x in LISTINGS.items():
+        even = [w.upper() for w in x.keywords if len(w) % 2 == 0]
+        done = n.where("n_regionkey = 1").select(F.col("n_name").alias("location"), F.lit("st").alias("state"), F.explode(F.array(*map(F.lit, even)) if even else F.array().cast("array<string>")).alias("keyword"))
+        one = jobs.searches(at, v, done).select(F.lit(v).alias("variant"), "name", "keyword", F.col("Search_Query").alias("query"), F.col("search_url").alias("url"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT row_number() OVER (ORDER BY e = '', k) AS i, * FROM (SELECT k, CASE k % 101 WHEN 0 THEN '' ELSE 'e' || ((k + 1) // 2) END AS e, CASE k % 67 WHEN 0 THEN '' ELSE 'p' || (k // 2) END AS p FROM {_K})),
+f AS (SELECT 0::BIGINT AS i, 0::BIGINT AS k, false AS kept, []::VARCHAR[] AS se, []::VARCHAR[] AS sp
+UNION ALL SELECT r.i, r.k, NOT ((r.e <> '' AND list_contains(f.se, r.e)) OR (r.p <> '' AND list_contains(f.sp, r.p))),
+CASE WHEN r.e = '' OR list_contains(f.se, r.e) OR (r.p <> '' AND list_contains(f.sp, r.p)) THEN f.se ELSE list_append(f.se, r.e) END,
+CASE WHEN r.p = '' OR (r.e <> '' AND list_contains(f.se, r.e)) OR list_contains(f.sp, r.p) THEN f.sp ELSE list_append(f.sp, r.p) END FROM f JOIN r ON r.i = f.i + 1)
+SELECT k FROM f WHERE kept""")
+def two_keys_in_chains(spark, sf_dir):
+    """Chains in which each row is beaten by the one before it, with components of bounded size read side by side."""
+    rows = _made(spark, sf_dir, e="CASE k % 101 WHEN 0 THEN '' ELSE concat('e', cast((k + 1) div 2 AS string)) END", p="CASE k % 67 WHEN 0 THEN '' ELSE concat('p', cast(k div 2 AS string)) END")
+    return dedup.greedy_two_key(rows, "e", "p", "k", most=1000).select("k")

@@ -58,6 +58,20 @@ def test_containment(spark):
     assert joins.without_contained(names, known.limit(0), "k").count() == 5
 
 
+def test_containment_is_the_nested_loop(spark):
+    """Names of every length up to 30 over few letters, so that all pieces are common."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("ab" if rng.random() < 0.5 else "abcdé") for _ in range(rng.choice([1, 2, 3, 5, 6, 7, 11, 12, 13, 30])))
+    known = [word() for _ in range(60)]
+    names = {word() for _ in range(150)} | {w[2:] for w in known} | {"x" + w + "y" for w in known[:30]}
+    a, b = (spark.createDataFrame([(w,) for w in sorted(ws)], "k string") for ws in (names, set(known)))
+    want = {n for n in names if n and not any(n in w or w in n for w in known if w)}
+    long = [w for w in known if len(w) > 5]
+    assert {r.k for r in joins.without_contained(a, b, "k").collect()} == want
+    few = {n for n in names if n and not any(n in w or w in n for w in long)}
+    assert {r.k for r in joins.without_contained(a, b.where("length(k) > 5"), "k").collect()} == few and few
+
+
 def test_categories(spark):
     df = spark.createDataFrame([("Hotel de 3 estrelas ",), ("",), ("製造商",), ("小製造商",), (None,)], "c string")
     ok = lambda *a, **k: [r.x for r in df.select(joins.allowed(F.col("c"), *a, **k).alias("x")).collect()]
