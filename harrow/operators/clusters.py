@@ -43,16 +43,26 @@ def _reached(df: DataFrame, radius_km: float) -> DataFrame:
     return df.withColumn("cell", F.explode(near))
 
 
-def within(df: DataFrame, radius_km: float, row_id: str = "id") -> DataFrame:
-    """Pairs (earlier, later) of places at most radius_km apart, by an equi-join on latitude bands and longitude cells.
+def within(df: DataFrame, radius_km: float, row_id: str = "id", together: int = 256) -> DataFrame:
+    """Pairs (earlier, later) of rows at most radius_km apart, by an equi-join of distinct places on latitude bands and longitude cells.
 
-    A place meets those of its own and the neighbouring bands and cells. All of a cell is near by, so a crowded one gives many pairs but few
-    that are thrown away, and skew-join handling splits it.
+    A place meets those of its own and the neighbouring bands and cells, once for all rows that stand on it. Its rows are dealt to lists of about
+    `together`; the lists of near places are spread over all tasks and become pairs there, so neither a crowded place nor a small table makes one long task.
     """
-    a = _reached(df.select(F.col(row_id).alias("earlier"), "lat", "lng"), radius_km).withColumnsRenamed({"lat": "la", "lng": "ga"})
-    b = _in_cells(df.select(F.col(row_id).alias("later"), "lat", "lng"), radius_km).withColumnsRenamed({"lat": "lb", "lng": "gb"})
-    pairs = a.join(b, ["band", "cell"]).where("earlier < later")
-    return pairs.where(haversine_km(F.col("la"), F.col("ga"), F.col("lb"), F.col("gb")) <= radius_km).select("earlier", "later")
+    rows = df.select(F.col(row_id).alias("id"), F.col("lat"), F.col("lng")).where("lat is not null and lng is not null")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sites = _written(rows.groupBy("lat", "lng").agg(F.count(F.lit(1)).alias("n")))
+    a = _reached(sites.select("lat", "lng"), radius_km).repartition(parts, "band", "cell").withColumnsRenamed({"lat": "la", "lng": "ga"})
+    b = _in_cells(sites.select("lat", "lng"), radius_km).withColumnsRenamed({"lat": "lb", "lng": "gb"})
+    near = a.join(b, ["band", "cell"]).where("la < lb or (la = lb and ga <= gb)")
+    near = near.where(haversine_km(F.col("la"), F.col("ga"), F.col("lb"), F.col("gb")) <= radius_km).select("la", "ga", "lb", "gb")
+    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(together)).cast("long"))
+    lists = _written(rows.join(sites, ["lat", "lng"]).groupBy("lat", "lng", chunk.alias("c")).agg(F.collect_list("id").alias("ids")))
+    side = lambda x: lists.select(F.col("lat").alias(f"l{x}"), F.col("lng").alias(f"g{x}"), F.col("c").alias(f"c{x}"), F.col("ids").alias(f"ids_{x}"))
+    met = near.join(side("a"), ["la", "ga"]).join(side("b"), ["lb", "gb"]).where("la < lb or ga < gb or ca <= cb")
+    met = met.withColumn("own", F.expr("la = lb and ga = gb and ca = cb")).repartition(parts, "la", "ga", "ca", "lb", "gb", "cb")
+    pairs = met.select("own", "ids_b", F.explode("ids_a").alias("a")).select("own", "a", F.explode("ids_b").alias("b"))
+    return pairs.where("a < b or (a > b and not own)").select(F.least("a", "b").alias("earlier"), F.greatest("a", "b").alias("later"))
 
 
 def _first_come(radius_km: float):

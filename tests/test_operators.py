@@ -128,6 +128,17 @@ def test_places_within_reach_of_poles_and_date_line(spark):
     assert got == sorted((i, j) for j in range(len(at)) for i in range(j) if km(at[i], at[j]) <= 90.0) and len(got) > 100
 
 
+def test_crowded_place_pairs_are_spread(spark):
+    from harrow.operators.clusters import within
+
+    at = [(i, -40.0, 170.0) for i in range(60)] + [(100 + i, -40.1, 170.0) for i in range(30)] + [(500, None, 170.0), (501, 10.0, 170.0)]
+    df = spark.createDataFrame(at, "id long, lat double, lng double").coalesce(1)
+    pairs = within(df, 30.0, together=8)
+    assert pairs.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = [i for i, lat, _ in at if lat and lat < 0]
+    assert sorted((p.earlier, p.later) for p in pairs.collect()) == [(i, j) for i in ids for j in ids if i < j]
+
+
 def _read_in_order(rows):
     firsts, seconds, kept = set(), set(), []
     for i, e, p in sorted(rows, key=lambda r: (not r[1], r[0])):
