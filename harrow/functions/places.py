@@ -131,7 +131,8 @@ def parse_address(address: Column, country: str) -> Column:
     text = F.coalesce(address, F.lit(""))
     if country == "sk":
         region = F.coalesce(*[F.when(F.lower(text).contains(r.lower()), F.lit(r)) for r in SK_REGIONS], F.lit(""))
-        post = F.coalesce(F.nullif(F.regexp_extract(text, r"(?U)\b\d{3}\s?\d{2}\b", 0), F.lit("")), F.lit(""))
+        posts = F.regexp_extract_all(text, F.lit(r"(?U)\b\d{3}\s?\d{2}\b"), F.lit(0))
+        post = F.coalesce(F.get(posts, F.size(posts) - 1), F.lit(""))  # the last one, as a house number may have five digits and stands before it
         out = (F.when(region == "", "SK").otherwise(region), F.when(region == "", "Slovakia").otherwise(region), post)
     elif country == "tw":
         bare = F.trim(F.regexp_replace(text, "Taiwan|taiwan|台灣|臺灣", ""))

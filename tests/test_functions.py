@@ -108,6 +108,11 @@ def test_addresses(spark, address, country, inside, want):
     assert got == want or (country == "tw" and got[1:] == want[1:])
 
 
+def test_house_number_of_five_digits_is_no_postcode(spark):
+    for address, post in (("Ulica 10003, 811 04 Bratislava, Slovakia", "811 04"), ("Ulica 10003, 81104 Bratislava", "81104"), ("Hlavná 5, Bratislava", "")):
+        assert one(spark, lambda c: places.parse_address(c, "sk"), address).postcode == post
+
+
 def test_key_search(spark):
     doc = '{"contact":{"email":"a@b.c"},"emails":["x@y.z",{"mail":"q@r.s"}],"mailbox":{"email":"n@o.p"}}'
     assert one(spark, lambda c: documents.values_by_key(c, ("email", "mail")), doc) == ["a@b.c", "q@r.s", "x@y.z"]
