@@ -30,7 +30,7 @@ def query(sql: str):
 
 
 def _made(spark: SparkSession, sf_dir: str, **cells: str) -> DataFrame:
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"), F.col("c_custkey").cast("string").alias("n"))
+    c = tables.spread(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k")), "k").withColumn("n", F.col("k").cast("string"))
     return c.select("k", "n", *[F.expr(e).alias(name) for name, e in cells.items()])
 
 

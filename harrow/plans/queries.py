@@ -35,7 +35,8 @@ def query(sql: str | None = None):
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tables.spread(df, "c_custkey") if name == "customer" else df
 
 
 def _quoted(words) -> str:

@@ -262,3 +262,11 @@ def test_entry(spark):
 
     df = e.entry(spark)
     assert df.count() == 200 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_rows_of_one_file_are_worked_on_by_many_tasks(spark, sf):
+    from harrow.plans import job_queries, lead_queries, queries
+
+    assert queries.t(spark, sf, "customer").rdd.getNumPartitions() > 1
+    assert job_queries._made(spark, sf, x="n").rdd.getNumPartitions() > 1
+    assert lead_queries.clean_variants(spark, sf).count() > 0
