@@ -74,7 +74,7 @@ def local_part(e: Column) -> Column:
 
 
 def domain(e: Column) -> Column:
-    return F.split(e, "@", 2)[1]
+    return F.substr(e, F.locate("@", e) + 1)
 
 
 def candidates(cell: Column, rules: Rules = Rules()) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import reduce
 
 from harrow.functions import emails
+from harrow.sources import tables
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -218,7 +219,7 @@ FROM o JOIN f USING (variant, n) WHERE kept"""
 
 
 def _formatted(spark: SparkSession, sf_dir: str, columns: dict[str, str], names: list[str]) -> DataFrame:
-    made = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
+    made = tables.spread(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k")), "k")
     made = made.select(F.col("k").alias("row_id"), *[F.expr(e).alias(n) for n, e in columns.items()])
     out = []
     for v in names:
@@ -274,7 +275,7 @@ _CLEAN["Website"] = f"CASE k % 3 WHEN 0 THEN ' ' ELSE 'https://www.s' || {_N.for
 
 def clean_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """2.13: equal rows once, category check, phones behind one apostrophe, for all 18 variants."""
-    made = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k"))
+    made = tables.spread(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("k")), "k")
     made = made.select(F.col("k").alias("row_id"), *[F.expr(e).alias(n) for n, e in _CLEAN.items()])
     out = [jobs.clean(made, v).select(F.lit(v).alias("variant"), "row_id", F.col("Phone").alias("phone"), F.col("Category").alias("category")) for v in _LISTS]
     return reduce(DataFrame.unionByName, out)
