@@ -17,6 +17,10 @@ _SLACK = 1e-9
 _SINGLE = 1e-5
 
 
+#: Points of a small part whose cosine with its centre is below this are nodes of their own.
+_WIDE = 0.9
+
+
 @dataclass
 class Tree:
     """Nodes in breadth-first order over permuted points: a node's points are order[lo:hi], its children are consecutive."""
@@ -61,6 +65,9 @@ def build(x: np.ndarray, batch: int = 64) -> tuple[Tree, np.ndarray]:
                         to[r] = r
                 parts += [free[to == r] for r in range(tried) if to[r] == r]
                 free = free[to < 0]
+            # a few points far from each other prune nothing together, so each is a node of its own
+            wide = [1 < len(p) <= LEAF and (f[p[1:]] @ f[p[0]]).min() < _WIDE for p in parts]
+            parts = [q for p, apart in zip(parts, wide, strict=True) for q in (np.split(p, len(p)) if apart else (p,))]
             nodes[k][4], nodes[k][5] = len(nodes), len(parts)
             order[lo:hi] = np.concatenate(parts)
             for p in parts:
@@ -98,8 +105,9 @@ def dual(a: Tree, xa: np.ndarray, b: Tree, xb: np.ndarray, least: float) -> tupl
                 part = ga[r : r + 512]
                 dots = fa[a.centre[part]] @ right
                 if single:
-                    if dots.max() >= least - _SINGLE:
-                        i, j = np.nonzero(dots >= least - _SINGLE)
+                    hit = np.flatnonzero(dots >= least - _SINGLE)
+                    if len(hit):
+                        i, j = np.divmod(hit, len(gb))
                         points_a.append(a.centre[part[i]])
                         points_b.append(b.centre[gb[j]])
                     continue
@@ -242,15 +250,10 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 4096, most_
     """
     every = df.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
     ok = vectors.valid(df).where(F.exists("vec", lambda x: x != 0))
-    # by the largest component first, so that neither squares of very large ones nor of very small ones leave the doubles
-    scale = F.array_max(F.transform("vec", lambda x: F.abs(x)))
-    size = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda a, x: a + x * x))
     # each distinct vector has a number of its own, as ids may be missing or stand on several vectors; it is written, so it stays the same
     same = ok.groupBy("vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("m"))
     same = common.materialize(same.withColumn("id", F.monotonically_increasing_id()), "vectors")
-    scaled = same.withColumn("scale", scale).withColumn("scaled", F.transform("vec", lambda x: x / F.col("scale"))).withColumn("size", size)
-    reps = scaled.select("id", F.transform("scaled", lambda x: x / F.col("size")).alias("vec"), "m")
-    reps = common.materialize(reps, "units")
+    reps = common.materialize(vectors.units(same.select("id", "vec", "m")), "units")
     block = vectors.fitting(reps, block, 16 << 20)
     most = max(1, min(most_cells, reps.count() // block))
     centres = vectors.pivots(reps, most, max(sample, 4 * most))
@@ -268,6 +271,8 @@ def near_duplicates(df: DataFrame, least: float = 0.95, block: int = 4096, most_
     wanted = pairs.select("g", "h", F.col("a").alias("block"), "b").union(pairs.select("g", "h", F.col("b").alias("block"), F.lit(None).cast("long").alias("b")))
     wanted = wanted.groupBy("g", "h", "block").agg(F.collect_list("b").alias("partners"))
     shipped = wanted.join(trees.select("block", "n", "ids", "weights", "points", "nodes"), "block")
+    # a number of parts of its own, as the work follows pairs of blocks and not the bytes by which small parts are put together
+    shipped = shipped.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "g", "h")
 
     def work(t: pa.Table) -> pa.Table:
         get = {}

@@ -22,6 +22,31 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
+def units(df: DataFrame) -> DataFrame:
+    """df(id, vec, m) with vectors of length one.
+
+    They are divided by their largest component first, so that neither squares of very large ones nor of very small ones leave the doubles; squares
+    are added component by component, so a vector's result doesn't depend on the rows beside it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vec = b.column(1)
+            dims, out = np.asarray(vec.value_lengths()), [None] * b.num_rows
+            for d in np.unique(dims):
+                own = np.flatnonzero(dims == d)
+                x = matrix(vec.take(pa.array(own)))
+                x = x / np.abs(x).max(axis=1)[:, None]
+                total = np.zeros(len(x))
+                for k in range(int(d)):
+                    total += x[:, k] * x[:, k]
+                for i, row in zip(own, x / np.sqrt(total)[:, None], strict=True):
+                    out[i] = row
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.float64())), b.column(2)], ["id", "vec", "m"])
+
+    return df.mapInArrow(run, "id long, vec array<double>, m long")
+
+
 def fitting(df: DataFrame, rows: int, most_bytes: int) -> int:
     """How many of df's vectors make a block: `rows` of them, or fewer where the longest are so long that a block would pass most_bytes."""
     longest = df.agg(F.max(F.size("vec"))).first()[0] or 1

@@ -144,3 +144,17 @@ def test_a_score_beyond_64_bits_is_an_error(spark):
 def test_blocks_of_long_vectors_are_smaller(spark):
     df = spark.createDataFrame([(1, [0.0] * 50_000), (2, [1.0])], "id long, vec array<double>")
     assert vectors.fitting(df, 4096, 16 << 20) == 41 and vectors.fitting(df.where("id = 2"), 4096, 16 << 20) == 4096 and vectors.fitting(df.limit(0), 64, 1) == 16
+
+
+def test_far_points_are_nodes_of_their_own():
+    x = np.random.default_rng(3).standard_normal((600, 64))
+    x[500:] = x[:100] + 0.1 * x[500:]
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    tree, order = cover.build(x)
+    few = (tree.hi - tree.lo > 1) & (tree.hi - tree.lo <= cover.LEAF)
+    assert few.any() and tree.radius[few].max() < 0.5
+    i, j, whole = cover.dual(tree, x[order], tree, x[order], 0.95)
+    got = set(zip(i.tolist(), j.tolist()))
+    for u, v in whole:
+        got |= {(p, q) for p in range(tree.lo[u], tree.hi[u]) for q in range(tree.lo[v], tree.hi[v])}
+    assert got == set(zip(*(a.tolist() for a in np.nonzero(x[order] @ x[order].T >= 0.95))))
