@@ -28,7 +28,7 @@ def title(html: Column) -> Column:
 
 def anchors(html: Column) -> Column:
     """array of struct(href, label) in page order, whatever the quoting; see markup.scan()."""
-    return markup.parsed(html)["links"]
+    return markup.linked(html)
 
 
 def is_page_link(href: Column) -> Column:

@@ -35,6 +35,8 @@ def query(sql: str | None = None):
 
 
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name == "pages":  # whole pages of 10,000 rows at once are too much for a Python worker
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return tables.spread(df, "c_custkey") if name == "customer" else df
 

@@ -270,3 +270,11 @@ def test_rows_of_one_file_are_worked_on_by_many_tasks(spark, sf):
     assert queries.t(spark, sf, "customer").rdd.getNumPartitions() > 1
     assert job_queries._made(spark, sf, x="n").rdd.getNumPartitions() > 1
     assert lead_queries.clean_variants(spark, sf).count() > 0
+
+
+def test_pages_reach_workers_in_small_batches(spark, sf):
+    from harrow.plans import queries
+
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    queries.t(spark, sf, "pages")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 500
