@@ -36,6 +36,11 @@ def gone(*frames: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df as a side of a join that is dealt to tasks whatever its size: small sides of many rounds would all pass through the driver."""
+    return df.hint("merge")
+
+
 def unused_name(taken: list[str], name: str) -> str:
     """A column name like `name` that none of `taken` is."""
     low = {t.lower() for t in taken}
@@ -53,14 +58,14 @@ def components(edges: DataFrame) -> DataFrame:
     at = _written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("component_id")))
     while True:
         # the smallest label among the neighbours goes to the vertex and to the vertex that its own label names
-        seen = both.join(at.select(F.col("id").alias("v"), F.col("component_id").alias("c")), "v").groupBy("u").agg(F.min("c").alias("c"))
-        own = at.join(seen, at["id"] == seen["u"]).select("id", "component_id", F.least("component_id", "c").alias("low"))
+        seen = both.join(shuffled(at.select(F.col("id").alias("v"), F.col("component_id").alias("c"))), "v").groupBy("u").agg(F.min("c").alias("c"))
+        own = at.join(shuffled(seen), at["id"] == seen["u"]).select("id", "component_id", F.least("component_id", "c").alias("low"))
         own = _written(own)
         hooks = own.groupBy(F.col("component_id").alias("id")).agg(F.min("low").alias("hook"))
-        low = _written(own.join(hooks, "id", "left").select("id", "component_id", F.least("low", F.coalesce("hook", "low")).alias("low")))
+        low = _written(own.join(shuffled(hooks), "id", "left").select("id", "component_id", F.least("low", F.coalesce("hook", "low")).alias("low")))
         gone(own)
         ahead = low.select(F.col("id").alias("low"), F.col("low").alias("far"))
-        nxt = _written(low.join(ahead, "low", "left").select("id", "component_id", F.least("low", F.coalesce("far", "low")).alias("new")))
+        nxt = _written(low.join(shuffled(ahead), "low", "left").select("id", "component_id", F.least("low", F.coalesce("far", "low")).alias("new")))
         gone(low)
         moved = not nxt.where("new <> component_id").isEmpty()
         gone(at)
@@ -92,7 +97,7 @@ def best_of_group(df: DataFrame, key: str, rank: list[Column], row_id: str) -> D
 def _without_kept(live: DataFrame, kept: DataFrame, keys: tuple[str, str]) -> DataFrame:
     """Live rows that share no key with a kept one."""
     for k in keys:
-        live = live.join(kept.where(F.col(k) != "").select(k).distinct(), k, "left_anti")
+        live = live.join(shuffled(kept.where(F.col(k) != "").select(k).distinct()), k, "left_anti")
     return live
 
 
@@ -100,7 +105,7 @@ def _one_round(live: DataFrame, keys: tuple[str, str]) -> tuple[DataFrame, DataF
     """(kept, still live): rows that come first in both their groups are kept, rows that share a key with them go."""
     seen = live
     for i, k in enumerate(keys):
-        seen = seen.join(live.where(F.col(k) != "").groupBy(k).agg(F.min("_o").alias(f"_m{i}")), k, "left")
+        seen = seen.join(shuffled(live.where(F.col(k) != "").groupBy(k).agg(F.min("_o").alias(f"_m{i}"))), k, "left")
     wins = (F.col("_m0").isNull() | (F.col("_m0") == F.col("_o"))) & (F.col("_m1").isNull() | (F.col("_m1") == F.col("_o")))
     marked = _written(seen.withColumn("_wins", wins).select(*live.columns, "_wins"))
     kept = _written(marked.where("_wins").drop("_wins"))
@@ -157,9 +162,9 @@ def greedy_two_key(df: DataFrame, first: str, second: str, position: str, *, mos
     while live is not None and live.count() > most:
         label = unused_name(live.columns, "component")
         links = [live.where(F.col(k) != "").select(F.col("_o.at").alias("u"), F.xxhash64(F.lit(i), F.col(k)).alias("k")) for i, k in enumerate(keys)]
-        firsts = [x.groupBy("k").agg(F.min("u").alias("v")) for x in links]
+        firsts = [shuffled(x.groupBy("k").agg(F.min("u").alias("v"))) for x in links]
         known = components(links[0].join(firsts[0], "k").union(links[1].join(firsts[1], "k")).select("u", "v"))
-        labelled = live.join(known.select(F.col("id").alias("_id"), F.col("component_id").alias("_c")), F.col("_o.at") == F.col("_id"), "left")
+        labelled = live.join(shuffled(known.select(F.col("id").alias("_id"), F.col("component_id").alias("_c"))), F.col("_o.at") == F.col("_id"), "left")
         labelled = _written(labelled.withColumn(label, F.coalesce("_c", "_o.at")).drop("_id", "_c"))
         gone(known)
         halves = [2.0**-k for k in range(1, 41)]
@@ -168,7 +173,7 @@ def greedy_two_key(df: DataFrame, first: str, second: str, position: str, *, mos
         # a component within bounds is read whole, of another only rows up to a quantile of its first rows
         j = F.greatest(F.lit(0), F.ceil(F.log2(F.col("f.n") / most))).cast("int")
         cut = F.when(F.col("all") > most, F.struct(F.col("f.late").alias("late"), F.when(j > 0, F.get("f.cuts", j - 1)).otherwise(F.lit((1 << 63) - 1)).alias("at")))
-        marked = labelled.join(sizes.select(label, cut.alias("_cut")), label)
+        marked = labelled.join(shuffled(sizes.select(label, cut.alias("_cut"))), label)
         marked = _written(marked.withColumn("_now", F.col("_cut").isNull() | (F.col("_o") <= F.col("_cut"))).drop("_cut"))
         gone(labelled)
         kept = _in_order(marked.where("_now").select(*live.columns, label), keys, label)

@@ -200,3 +200,10 @@ def test_many_places_in_one_city(spark):
     x.write.mode("overwrite").parquet(path := f"{dedup.shared_root(spark)}/city-{uuid.uuid4().hex}")
     got = clusters.leader_clusters(spark.read.parquet(path), 4.5)
     assert got.count() == 200_000 and 10 < got.select("centre").distinct().count() < 100
+
+
+def test_two_key_joins_pass_nothing_through_the_driver(spark):
+    live = spark.createDataFrame([(1, "a", "p"), (2, "a", "q"), (3, "b", "q")], "_o int, e string, p string")
+    left = dedup._without_kept(live, live.where("_o = 1"), ("e", "p"))
+    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+    assert [r._o for r in left.collect()] == [3]
